@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from shelfcast.catalog import sources  # noqa: F401
+from shelfcast.catalog import (  # noqa: F401
+    aggregates,
+    inventory,
+    joins,
+    modeling,
+    projections,
+    selections,
+    sources,
+    windows,
+)
 from shelfcast.catalog.base import QUERIES
 
 __all__ = ["QUERIES"]

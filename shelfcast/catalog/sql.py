@@ -193,9 +193,9 @@ FROM (SELECT *, ROW_NUMBER() OVER ({_PAIR} ORDER BY date DESC) AS back,
 SELECT *, under_cost_naive - under_cost_model AS savings_under,
        over_cost_naive - over_cost_model AS savings_over_per_day
 FROM (SELECT *, CASE WHEN "SS_naive" IS NOT NULL
-                     THEN (1 - 0.95) * daily_mean * 2 * (margin_rate * price) END AS under_cost_naive,
+                     THEN (CAST(1 AS DOUBLE) - CAST(0.95 AS DOUBLE)) * daily_mean * 2 * (margin_rate * price) END AS under_cost_naive,
              CASE WHEN "SS_model" IS NOT NULL
-                  THEN (1 - 0.95) * daily_mean * 2 * (margin_rate * price) END AS under_cost_model,
+                  THEN (CAST(1 AS DOUBLE) - CAST(0.95 AS DOUBLE)) * daily_mean * 2 * (margin_rate * price) END AS under_cost_model,
              holding_cost * "SS_naive" AS over_cost_naive,
              holding_cost * "SS_model" AS over_cost_model
       FROM (SELECT *, 1.6449 * sigma_naive * SQRT(2) AS "SS_naive",

@@ -32,10 +32,11 @@ def resample(
     ends = bins.groupBy(*keys).agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"))
     if freq == "M":
         # month starts step evenly; the label is the end of each
-        steps = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), step)
-        spine = ends.select(*keys, F.last_day(F.explode(steps)).alias("bin"))
+        starts = F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), step)
+        labels = F.transform(starts, lambda d: F.last_day(d))
     else:
-        spine = ends.select(*keys, F.explode(F.sequence("lo", "hi", step)).alias("bin"))
+        labels = F.sequence("lo", "hi", step)
+    spine = ends.select(*keys, F.explode(labels).alias("bin"))
     out = spine.join(bins, [*keys, "bin"], "left")
     if how == "sum":
         out = out.na.fill(0.0, subset=list(values))
@@ -76,11 +77,15 @@ def impute_transactions(
 
 
 def gain_heatmap(
-    df: DataFrame, rows: str, columns: str, value: str, labels: Sequence[str | int]
+    df: DataFrame, rows: str, columns: str, value: str, labels: Sequence[str | int] | None = None
 ) -> DataFrame:
-    """Mean of `value` by rows x columns, absent cells 0."""
-    wide = df.groupBy(rows).pivot(columns, list(labels)).agg(F.avg(value))
-    return wide.na.fill(0.0)
+    """Mean of `value` by rows x columns, absent cells 0.
+
+    Without `labels` the planner looks up the distinct ones, which become columns.
+    """
+    cells = df.groupBy(rows)
+    cells = cells.pivot(columns, list(labels)) if labels else cells.pivot(columns)
+    return cells.agg(F.avg(value)).na.fill(0.0)
 
 
 def sales_profiles(df: DataFrame) -> DataFrame:
@@ -106,3 +111,8 @@ def sales_profiles(df: DataFrame) -> DataFrame:
             (F.avg("sales") + half).alias("ci_high"),
         )
     )
+
+
+def ticket_items(lines: DataFrame, ticket: str) -> DataFrame:
+    """Items per ticket and family."""
+    return lines.groupBy(ticket, "family").agg(F.count(F.lit(1)).alias("qty"))

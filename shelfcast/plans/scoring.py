@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.service import P90_Z, z_from_service_level
 from shelfcast.functions.text import model_key
-from shelfcast.functions.vectors import features_to_vector, linear_score
+from shelfcast.functions.vectors import coerce_feature, features_to_vector, linear_score
 from shelfcast.schemas import PAIR
 
 NOT_FOUND = "Model not found"
@@ -166,14 +166,14 @@ def score_with_fallback(
     `global_model` has one row, read as a scalar; nothing is cross-joined.
     """
     packed = global_model.select(F.struct(*PARAM_COLUMNS).alias("m"))
-    scored = score_requests(requests, registry)
-    fallback = _predict(F.col("request"), packed.scalar())
+    scored = score_requests(requests, registry).withColumn("_global", packed.scalar())
+    fallback = _predict(F.col("request"), F.col("_global"))
     return scored.withColumns(
         {
             "source": F.when(F.col("error").isNull(), F.lit("pair")).otherwise(F.lit("global")),
             "pred_qty": F.coalesce("pred_qty", fallback),
         }
-    ).drop("error", "used_features")
+    ).drop("error", "used_features", "_global")
 
 
 def registry_listing(registry: DataFrame) -> DataFrame:
@@ -190,9 +190,24 @@ def registry_listing(registry: DataFrame) -> DataFrame:
 
 def request_from_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Turn feature rows into requests: a map of the named columns, text as 0.0."""
-    from shelfcast.functions.vectors import coerce_feature
-
     entries = []
     for n in names:
         entries += [F.lit(n), coerce_feature(F.col(n), df.schema[n].dataType)]
     return df.select(*PAIR, "date", F.create_map(*entries).alias("request"))
+
+
+def backtest(
+    rows: DataFrame, registry: DataFrame, names: Sequence[str], y: str = "sales"
+) -> DataFrame:
+    """Actual, point forecast and the 0.5 / 0.9 forecasts for the given feature rows."""
+    asked = request_from_features(rows, names).withColumn("_q", F.col("request"))
+    point = score_requests(asked, registry).filter(F.col("error").isNull())
+    both = score_quantiles(point.drop("used_features", "error"), registry, (0.5, 0.9))
+    scored = both.select(
+        *PAIR,
+        "date",
+        "pred_qty",
+        F.try_element_at("quantiles", F.lit("0.5")).alias("p50"),
+        F.try_element_at("quantiles", F.lit("0.9")).alias("p90"),
+    )
+    return rows.select(*PAIR, "date", y).join(scored, [*PAIR, "date"])
