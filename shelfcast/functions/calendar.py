@@ -36,11 +36,13 @@ def cyclic_columns(date: Column) -> dict[str, Column]:
 
 def special_day_columns(date: Column) -> dict[str, Column]:
     """Christmas, New Year and the Friday of 23-29 November."""
-    month_day = F.date_format(date, "MM-dd")
+    def falls_on(month: int, day: int) -> Column:
+        return ((F.month(date) == month) & (F.dayofmonth(date) == day)).cast("int")
+
     friday = (F.month(date) == 11) & (F.weekday(date) == 4) & F.dayofmonth(date).between(23, 29)
     return {
-        "is_christmas": (month_day == "12-25").cast("int"),
-        "is_newyear": (month_day == "01-01").cast("int"),
+        "is_christmas": falls_on(12, 25),
+        "is_newyear": falls_on(1, 1),
         "is_black_friday": friday.cast("int"),
     }
 

@@ -77,11 +77,12 @@ def add_dimensions(
     stores: DataFrame | None = None,
 ) -> DataFrame:
     """Panel joined with every optional table; a missing one degrades to defaults."""
-    df = P.add_stores(panel, stores)
-    df = P.add_holidays(df, holidays)
-    df = P.add_transactions(df, transactions)
-    df = P.add_oil(df, oil)
-    return P.fill_promotion(df)
+    days = P.store_days(panel, holidays, transactions, oil, stores)
+    return _with_store_days(panel, days)
+
+
+def _with_store_days(panel: DataFrame, days: DataFrame) -> DataFrame:
+    return P.fill_promotion(panel.join(days, ["date", "store_nbr"], "left"))
 
 
 def make_features(
@@ -99,23 +100,20 @@ def make_features(
 ) -> DataFrame:
     """Feature table of a daily panel.
 
-    All windows share one partitioning and order, so they cost one exchange. The
-    holiday calendar and the first date come from a narrow second pass over
-    (date, store) of the panel, not over the widened rows.
+    The panel is shuffled twice: by store and day for the one join that brings all
+    dimensions, and by pair for all windows, which share one partitioning and order.
+    Date columns come from a table with one row per day.
     """
     holidays, transactions, oil = order_exogenous(holidays, transactions, oil)
-    days = panel.select("date", *[c for c in ["store_nbr"] if c in panel.columns]).distinct()
-    flags = P.add_holidays(P.add_stores(days, stores), holidays)
-
-    df = add_dimensions(panel, holidays, transactions, oil, stores)
+    days = P.store_days(panel, holidays, transactions, oil, stores)
+    df = _with_store_days(panel, days)
     specs = [*EXOGENOUS, PROMOTION]
     if add_lags and target in panel.columns:
         specs.append(Rolling(target, tuple(lags), tuple(windows)))
     df = add_rolling(df, specs, layout)
-    df = P.add_calendar(df)
-    df = P.add_special_days(df)
-    df = P.add_trend(df, dates=panel)
-    df = P.add_holiday_distance(df, flags)
+    # one row per calendar day: bounded, whatever the size of the panel
+    flags = P.store_days(panel, holidays, stores=stores).select("date", "is_holiday")
+    df = df.join(F.broadcast(P.day_table(flags)), "date", "left")
     if drop_null_target and target in df.columns:
         df = df.filter(F.col(target).isNotNull())
     first = [c for c in FEATURE_COLUMNS if c in df.columns]
