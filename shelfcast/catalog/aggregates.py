@@ -142,7 +142,7 @@ FROM impact""",
 )
 def _(s):
     return money.impact_summary(
-        money.impact_report(s.panel, s.metrics, s.prices, valid_days=VALID_DAYS)
+        money.impact_report(s.stored_panel, s.metrics, s.prices, valid_days=VALID_DAYS)
     )
 
 
@@ -174,7 +174,7 @@ def _(s):
 
 @query("d13_wmape", f"{PAIR_COLS} wMAPE_%_est:f", "SELECT * FROM board")
 def _(s):
-    return E.add_wmape(s.metrics, E.tail_totals(S.recent(s.panel, VALID_DAYS)))
+    return E.add_wmape(s.metrics, E.tail_totals(S.recent(s.stored_panel, VALID_DAYS)))
 
 
 _BAND = """

@@ -102,17 +102,17 @@ MONEY = (
 
 @query("l4_pair_money", MONEY, f"SELECT * FROM ({_MONEY}) WHERE store_nbr = 7 AND family = 'ECONOMY'")
 def _(s):
-    return money.pair_money(S.only_pair(s.panel, 7, "ECONOMY"), s.metrics)
+    return money.pair_money(S.only_pair(s.stored_panel, 7, "ECONOMY"), s.metrics)
 
 
 @query("l4_money_all_pairs", MONEY, _MONEY)
 def _(s):
-    return money.pair_money(s.panel, s.metrics)
+    return money.pair_money(s.stored_panel, s.metrics)
 
 
 @query("l5_impact_report", IMPACT, "SELECT * FROM impact")
 def _(s):
-    return money.impact_report(s.panel, s.metrics, s.prices, valid_days=VALID_DAYS)
+    return money.impact_report(s.stored_panel, s.metrics, s.prices, valid_days=VALID_DAYS)
 
 
 @query(
@@ -127,7 +127,7 @@ SELECT COUNT(*) AS pairs, COUNT("model_MAPE_%") AS pairs_with_model,
 FROM impact""",
 )
 def _(s):
-    report = money.impact_report(s.panel, s.metrics, s.prices, valid_days=VALID_DAYS)
+    report = money.impact_report(s.stored_panel, s.metrics, s.prices, valid_days=VALID_DAYS)
     return money.impact_summary(report)
 
 
@@ -141,7 +141,7 @@ ORDER BY "MAPE_%" DESC, store_nbr, family LIMIT 40""",
 def _(s):
     return reports.leaderboard(
         s.metrics,
-        s.panel,
+        s.stored_panel,
         metric="MAPE_%",
         n=40,
         families=["ECONOMY", "LARGE", "PROMO"],

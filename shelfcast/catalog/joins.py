@@ -108,7 +108,7 @@ SELECT DISTINCT store_nbr, family FROM panel
 EXCEPT SELECT store_nbr, family FROM point_registry""",
 )
 def _(s):
-    return S.not_in_pairs(s.panel.select(*PAIR).distinct(), s.point_registry)
+    return S.not_in_pairs(s.stored_panel.select(*PAIR).distinct(), s.point_registry)
 
 
 @query(
@@ -122,7 +122,7 @@ LEFT JOIN metrics m USING (store_nbr, family)""",
 def _(s):
     # every metric row twice: the lookup must still give one row per pair
     twice = s.metrics.unionByName(s.metrics.withColumn("MAE", F.col("MAE") + 1))
-    return money.add_model_mape(s.panel.select(*PAIR).distinct(), twice)
+    return money.add_model_mape(s.stored_panel.select(*PAIR).distinct(), twice)
 
 
 _STORE_PRICES = """
@@ -165,7 +165,7 @@ BOARD = 'store_nbr:i family:s MAE:f N:l SUM_Y:f wMAPE_%_est:f'
 
 @query("c13_board_totals", BOARD, "SELECT * FROM board")
 def _(s):
-    return add_wmape(s.metrics, tail_totals(S.recent(s.panel, VALID_DAYS)))
+    return add_wmape(s.metrics, tail_totals(S.recent(s.stored_panel, VALID_DAYS)))
 
 
 @query(

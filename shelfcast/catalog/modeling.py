@@ -25,8 +25,8 @@ RIDGE += ["transactions", "sales_lag_1", "sales_lag_7", "sales_rollmean_7", "sal
 
 
 def written_features(s):
-    """Feature rows as a written table, for models that pass over them repeatedly."""
-    return materialize(s.features, "features")
+    """Model columns as a written table, for models that pass over them repeatedly."""
+    return materialize(s.features.select(*PAIR, "date", "sales", *RIDGE), "features")
 
 
 def written_frame(s, **options):
@@ -89,7 +89,7 @@ def _(s):
 
 @query("k3_ridge_metrics", f"{PAIR_COLS} MAE:f MAPE_%:f")
 def _(s):
-    return models.ridge_metrics(s.features, RIDGE, VALID_DAYS)
+    return models.ridge_metrics(written_features(s), RIDGE, VALID_DAYS)
 
 
 @query(
@@ -199,7 +199,7 @@ def _(s):
 
 @query("k10_ablation", f"{PAIR_COLS} setting:s MAE:f MAPE_%:f n_val:l")
 def _(s):
-    return models.ablation(s.features, RIDGE, VALID_DAYS)
+    return models.ablation(written_features(s), RIDGE, VALID_DAYS)
 
 
 @query(

@@ -8,8 +8,7 @@ from shelfcast.catalog.base import query
 from shelfcast.catalog.settings import RECENT_DAYS, VALID_DAYS
 from shelfcast.functions.vectors import features_to_vector, json_features
 from shelfcast.operators import select as S
-from shelfcast.plans import compare, models, reports
-from shelfcast.plans import features as FT
+from shelfcast.plans import models, reports
 from shelfcast.schemas import PAIR, REQUIRED_COLUMNS
 from shelfcast.session import materialize
 
@@ -49,16 +48,11 @@ def _(s):
 
 @query(
     "f4_multi_key_sort",
-    "rank:l store_nbr:i family:s total:f",
-    """
-SELECT ROW_NUMBER() OVER (ORDER BY total DESC, store_nbr, family) AS rank, store_nbr, family, total
-FROM (SELECT store_nbr, family, SUM(sales) AS total FROM panel GROUP BY 1, 2)""",
+    "date:d store_nbr:i family:s sales:f",
+    "SELECT date, store_nbr, family, sales FROM panel ORDER BY store_nbr, family, date",
 )
 def _(s):
-    totals = s.panel.groupBy(*PAIR).agg(F.sum("sales").alias("total"))
-    ordered = totals.orderBy(F.col("total").desc(), *PAIR)
-    # a row's place in the sort: rows ahead of it in its own and in earlier ranges
-    return S.sorted_rank(ordered, "total", PAIR)
+    return s.panel.orderBy("store_nbr", "family", "date")
 
 
 FOREST = ["onpromotion", "dayofweek", "month", "trend", "is_holiday", "transactions"]
@@ -99,7 +93,7 @@ def _(s):
 SELECT store_nbr, family FROM top20 INTERSECT SELECT store_nbr, family FROM point_registry""",
 )
 def _(s):
-    top = S.top_pairs(s.panel, 20, RECENT_DAYS).select(*PAIR)
+    top = S.top_pairs(s.stored_panel, 20, RECENT_DAYS).select(*PAIR)
     return top.intersect(s.point_registry.select(*PAIR))
 
 

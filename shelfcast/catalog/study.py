@@ -16,6 +16,7 @@ from shelfcast.plans import models
 from shelfcast.plans.features import add_dimensions, make_features
 from shelfcast.plans.scoring import registry_from_trend, request_from_features
 from shelfcast.schemas import PAIR
+from shelfcast.session import materialize
 from shelfcast.sources.bindings import Retail
 
 
@@ -41,9 +42,15 @@ class Study(Retail):
             drop_null_target=True,
         )
 
+    @cached_property
+    def stored_panel(self) -> DataFrame:
+        """The panel as a written table, for plans that pass over it several times: the
+        roll-up of the line items then runs once."""
+        return materialize(self.panel, "panel")
+
     @cached_property
     def daily(self) -> DataFrame:
-        return P.add_trend(self.panel)
+        return P.add_trend(self.stored_panel)
 
     @cached_property
     def split(self) -> DataFrame:

@@ -153,21 +153,3 @@ def round_display(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
     """Half-even rounding for display, in plain double arithmetic."""
     scale = float(10**digits)
     return df.withColumns({c: F.rint(F.col(f"`{c}`") * scale) / scale for c in columns})
-
-
-def sorted_rank(df: DataFrame, by: str, ties: Sequence[str]) -> DataFrame:
-    """Place of every row when sorted by `by` descending, then `ties`.
-
-    Rows are counted per distinct value of `by`; the counts are small enough to
-    accumulate, and rows with an equal value are ordered among themselves.
-    """
-    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(by, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_o"))
-    inner = F.row_number().over(Window.partitionBy(by).orderBy(*ties))
-    return (
-        df.withColumn("_r", inner)
-        .join(offsets, by)
-        .withColumn("rank", F.col("_o") + F.col("_r"))
-        .drop("_r", "_o")
-    )

@@ -13,7 +13,7 @@ from pyspark.ml.regression import (
     GeneralizedLinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as M
@@ -22,12 +22,12 @@ from shelfcast.operators.evaluate import add_baselines, add_gains, error_metrics
 from shelfcast.operators.select import encode_categories
 from shelfcast.operators.split import (
     add_holdout,
+    basic_gate,
     expand_folds,
     fold_gate,
     fold_windows,
     split_counts,
 )
-from shelfcast.operators.split import basic_gate
 from shelfcast.plans.features import FEATURE_GROUPS
 from shelfcast.schemas import PAIR
 
@@ -115,12 +115,24 @@ def mean_over_folds(fold_metrics: DataFrame) -> DataFrame:
 
 def holdout_predictions(df: DataFrame, valid_days: int = 28) -> DataFrame:
     """Holdout rows of every pair that passes the gate, with the trend forecast and
-    the two baselines. Needs `trend`."""
+    the two baselines. Needs `trend`.
+
+    Baselines, fit and gate are all windows over the pair, so the rows are shuffled
+    once and no fit is joined back.
+    """
     split = add_holdout(add_baselines(df), valid_days)
-    params = fit_trend(split, ~F.col("is_valid"))
-    gate = split_counts(split).filter(basic_gate()).select(*PAIR)
-    held = split.filter("is_valid").join(gate, PAIR, "left_semi")
-    return score_trend(held, params)
+    pair = Window.partitionBy(*PAIR)
+    train = ~F.col("is_valid")
+    y, x = F.when(train, F.col("sales")), F.when(train, F.col("trend"))
+    fitted = split.withColumns(
+        {
+            "slope": F.regr_slope(y, x).over(pair),
+            "intercept": F.regr_intercept(y, x).over(pair),
+            "n_valid": F.count_if("is_valid").over(pair),
+        }
+    )
+    held = fitted.filter(F.col("is_valid") & basic_gate())
+    return held.withColumn("y_pred", trend_prediction()).drop("slope", "intercept", "n_valid")
 
 
 def metrics_per_pair(

@@ -19,6 +19,9 @@ def build_session(app: str = "shelfcast", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # HotSpot leaves methods over 8000 bytecodes uncompiled; the feature table is
+        # wide enough to generate such methods, and several times slower with them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
