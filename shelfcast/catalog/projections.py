@@ -147,12 +147,32 @@ def _(s):
     return S.members(s.panel, [1, 2, 3, 5, 8, 13, 21], ["ECONOMY", "SMALL"])
 
 
-@query("b10_feature_columns", "feature:s n:l mean:f")
+NUMERIC_FEATURES = [
+    c for c in FT.FEATURE_COLUMNS if c not in ("id", "date", "sales", "family", "city", "state", "type")
+]
+
+
+@query(
+    "b10_feature_columns",
+    "feature:s n:l lowest:f highest:f",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, COUNT({c}) AS n, CAST(MIN({c}) AS DOUBLE) AS lowest,"
+        f" CAST(MAX({c}) AS DOUBLE) AS highest FROM feature_rows"
+        for c in NUMERIC_FEATURES
+    ),
+)
 def _(s):
     df = s.features
-    names = FT.numeric_features(df)
     # one wide partial aggregate; the long form is built from its single row
-    stats = [F.struct(F.lit(c).alias("feature"), F.count(c).alias("n"), F.avg(c).alias("mean")) for c in names]
+    stats = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.count(c).alias("n"),
+            F.min(c).cast("double").alias("lowest"),
+            F.max(c).cast("double").alias("highest"),
+        )
+        for c in FT.numeric_features(df)
+    ]
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
@@ -358,7 +378,16 @@ def _(s):
     )
 
 
-@query("b22_feature_groups", "feature_group:s n_features:i n_rows:l")
+@query(
+    "b22_feature_groups",
+    "feature_group:s n_features:i n_rows:l",
+    " UNION ALL ".join(
+        f"SELECT '{g}' AS feature_group,"
+        f" {len([c for c in FT.FEATURE_COLUMNS if c not in {*FT.NOT_FEATURES, *cols}])} AS n_features,"
+        " COUNT(*) AS n_rows FROM panel"
+        for g, cols in FT.FEATURE_GROUPS.items()
+    ),
+)
 def _(s):
     df = make_features(s.panel, s.holidays, s.transactions, s.oil, s.stores)
     sizes = F.array(

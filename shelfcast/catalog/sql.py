@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfcast.catalog.settings import FOLDS, RECENT_DAYS, VALID_DAYS
+from shelfcast.plans.features import EXOGENOUS, PROMOTION, TARGET
 
 _PAIR = "PARTITION BY store_nbr, family"
 
@@ -26,6 +27,30 @@ def mae_mape(y: str, p: str, prefix: str = "") -> str:
     return f'AVG(ABS({y} - {p})) AS "{prefix}MAE", AVG({ape(y, p)}) * 100 AS "{prefix}MAPE_%"'
 
 
+def _features_sql() -> str:
+    specs = ", ".join(
+        lag_roll(c.column, c.lags, c.windows) for c in [*EXOGENOUS, PROMOTION, TARGET]
+    )
+    return f"""
+SELECT d.*, year(d.date) AS year, month(d.date) AS month, weekofyear(d.date) AS week,
+       day(d.date) AS day, isodow(d.date) - 1 AS dayofweek, quarter(d.date) AS quarter,
+       CASE WHEN isodow(d.date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN day(d.date) = 1 THEN 1 ELSE 0 END AS is_month_start,
+       CASE WHEN d.date = last_day(d.date) THEN 1 ELSE 0 END AS is_month_end,
+       SIN(2 * PI() * (isodow(d.date) - 1) / 7) AS dow_sin,
+       COS(2 * PI() * (isodow(d.date) - 1) / 7) AS dow_cos,
+       SIN(2 * PI() * (month(d.date) - 1) / 12) AS month_sin,
+       COS(2 * PI() * (month(d.date) - 1) / 12) AS month_cos,
+       d.date - (SELECT MIN(date) FROM panel) AS trend,
+       CASE WHEN month(d.date) = 12 AND day(d.date) = 25 THEN 1 ELSE 0 END AS is_christmas,
+       CASE WHEN month(d.date) = 1 AND day(d.date) = 1 THEN 1 ELSE 0 END AS is_newyear,
+       CASE WHEN month(d.date) = 11 AND isodow(d.date) = 5 AND day(d.date) BETWEEN 23 AND 29
+            THEN 1 ELSE 0 END AS is_black_friday,
+       h.days_from_prev_holiday, h.days_to_next_holiday, h.is_day_before_holiday,
+       h.is_day_after_holiday
+FROM (SELECT *, {specs} FROM dims) d LEFT JOIN holiday_distance h ON d.date = h.date"""
+
+
 CTES: dict[str, str] = {
     "panel": """
 SELECT MIN(l.l_orderkey * 10 + l.l_linenumber) AS id, CAST(l.l_shipdate AS DATE) AS date,
@@ -102,6 +127,7 @@ FROM (SELECT date,
              MIN(CASE WHEN h = 1 THEN date END)
                OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nxt
       FROM holiday_days)""",
+    "feature_rows": _features_sql(),
     "daily": """
 SELECT *, CAST(date - (SELECT MIN(date) FROM panel) AS INTEGER) AS trend FROM panel""",
     "split": f"""

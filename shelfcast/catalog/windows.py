@@ -207,30 +207,6 @@ def _(s):
     return W.pair_bounds(s.panel)
 
 
-def _features_sql() -> str:
-    specs = ", ".join(
-        lag_roll(c.column, c.lags, c.windows) for c in [*FT.EXOGENOUS, FT.PROMOTION, FT.TARGET]
-    )
-    return f"""
-SELECT d.*, year(d.date) AS year, month(d.date) AS month, weekofyear(d.date) AS week,
-       day(d.date) AS day, isodow(d.date) - 1 AS dayofweek, quarter(d.date) AS quarter,
-       CASE WHEN isodow(d.date) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-       CASE WHEN day(d.date) = 1 THEN 1 ELSE 0 END AS is_month_start,
-       CASE WHEN d.date = last_day(d.date) THEN 1 ELSE 0 END AS is_month_end,
-       SIN(2 * PI() * (isodow(d.date) - 1) / 7) AS dow_sin,
-       COS(2 * PI() * (isodow(d.date) - 1) / 7) AS dow_cos,
-       SIN(2 * PI() * (month(d.date) - 1) / 12) AS month_sin,
-       COS(2 * PI() * (month(d.date) - 1) / 12) AS month_cos,
-       d.date - (SELECT MIN(date) FROM panel) AS trend,
-       CASE WHEN month(d.date) = 12 AND day(d.date) = 25 THEN 1 ELSE 0 END AS is_christmas,
-       CASE WHEN month(d.date) = 1 AND day(d.date) = 1 THEN 1 ELSE 0 END AS is_newyear,
-       CASE WHEN month(d.date) = 11 AND isodow(d.date) = 5 AND day(d.date) BETWEEN 23 AND 29
-            THEN 1 ELSE 0 END AS is_black_friday,
-       h.days_from_prev_holiday, h.days_to_next_holiday, h.is_day_before_holiday,
-       h.is_day_after_holiday
-FROM (SELECT *, {specs} FROM dims) d LEFT JOIN holiday_distance h ON d.date = h.date"""
-
-
 _TYPES = {"id": "l", "date": "d", "family": "s", "city": "s", "state": "s", "type": "s"}
 _INTS = {"store_nbr", "cluster", "trend", *FT.CALENDAR, *FT.SPECIAL_DAYS, *FT.HOLIDAYS}
 _INTS |= {"is_day_before_holiday", "is_day_after_holiday"}
@@ -239,6 +215,6 @@ FEATURE_TYPES = " ".join(
 )
 
 
-@query("features_table", FEATURE_TYPES, _features_sql())
+@query("features_table", FEATURE_TYPES, "SELECT * FROM feature_rows")
 def _(s):
     return s.features

@@ -44,6 +44,15 @@ class Layout:
     order: str = "date"
 
 
+def layout_for(df: DataFrame, longest: int = 1_000_000) -> Layout:
+    """Layout for input whose pairs may be of any length, say with several rows a day.
+
+    One grouped count decides: blocks as soon as a pair exceeds `longest` rows.
+    """
+    longest_pair = df.groupBy(*PAIR).count().agg(F.max("count")).first()[0] or 0
+    return Layout(block_rows=BLOCK_ROWS) if longest_pair > longest else Layout()
+
+
 def add_rolling(
     df: DataFrame, specs: list[Rolling], layout: Layout | None = None
 ) -> DataFrame:

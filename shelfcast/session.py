@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# folder of each local application that runs without the setting
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str = "shelfcast", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the plans rely on; `master` only for local runs."""
@@ -42,9 +45,10 @@ def work_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="shelfcast-")
-    spark.conf.set(CHECKPOINT_KEY, path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="shelfcast-")
+    return _LOCAL_FOLDERS[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -99,3 +99,9 @@ def test_windows_share_one_exchange(spark):
     plan = add_rolling(df, [Rolling("sales", (1, 7), (7, 30)), Rolling("x", (7,), (7,))])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1
+
+
+def test_layout_follows_the_longest_pair(spark):
+    df = series(spark, {A: range(30), B: [1]})
+    assert W.layout_for(df, longest=29).block_rows == W.BLOCK_ROWS
+    assert W.layout_for(df, longest=30).block_rows is None
