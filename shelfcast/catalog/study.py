@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.settings import FOLDS, STEP_DAYS, VALID_DAYS
 from shelfcast.operators import panel as P
 from shelfcast.operators.evaluate import add_baselines
-from shelfcast.operators.split import add_holdout, gated_pairs
+from shelfcast.operators.split import add_holdout
 from shelfcast.operators.windows import last_rows
 from shelfcast.plans import models
 from shelfcast.plans.features import add_dimensions, make_features
 from shelfcast.plans.scoring import registry_from_trend, request_from_features
-from shelfcast.schemas import PAIR
 from shelfcast.session import materialize
 from shelfcast.sources.bindings import Retail
 
@@ -32,15 +31,16 @@ class Study(Retail):
         )
 
     @cached_property
-    def features(self) -> DataFrame:
-        return make_features(
-            self.panel,
-            self.holidays,
-            self.transactions,
-            self.oil,
-            self.stores,
-            drop_null_target=True,
+    def stored_days(self) -> DataFrame:
+        """Store-days of the panel as a written table, small next to the panel."""
+        days = P.store_days(
+            self.stored_panel, self.holidays, self.transactions, self.oil, self.stores
         )
+        return materialize(days, "store-days")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return make_features(self.stored_panel, days=self.stored_days, drop_null_target=True)
 
     @cached_property
     def stored_panel(self) -> DataFrame:
@@ -56,10 +56,6 @@ class Study(Retail):
     def split(self) -> DataFrame:
         return add_holdout(add_baselines(self.daily), VALID_DAYS)
 
-    @cached_property
-    def gate(self) -> DataFrame:
-        return gated_pairs(self.split)
-
     @cached_property
     def fit(self) -> DataFrame:
         return models.fit_trend(self.split, ~F.col("is_valid"))
@@ -74,13 +70,15 @@ class Study(Retail):
 
     @cached_property
     def point_registry(self) -> DataFrame:
-        return registry_from_trend(self.fit.join(self.gate, PAIR, "left_semi"))
+        return registry_from_trend(models.fit_gated_trend(self.split))
 
     @cached_property
     def registry(self) -> DataFrame:
-        """Point and quantile models of the pairs that pass the holdout gate."""
-        shifts = models.residual_quantiles(self.split, self.fit, ~F.col("is_valid"))
-        return registry_from_trend(self.fit.join(self.gate, PAIR, "left_semi"), shifts)
+        """Point and quantile models of the pairs that pass the holdout gate, written:
+        training stores them, scoring reads them."""
+        params = materialize(models.fit_gated_trend(self.split), "params")
+        shifts = models.residual_quantiles(self.split, params, ~F.col("is_valid"))
+        return materialize(registry_from_trend(params, shifts), "registry")
 
     @cached_property
     def requests(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.schemas import PAIR
@@ -11,14 +11,19 @@ MIN_VALID_ROWS = 7
 
 
 def add_holdout(df: DataFrame, valid_days: int = 28, scope: str = "pair") -> DataFrame:
-    """Flag the last `valid_days` days, counted back from the pair's or the global last date."""
+    """Flag the last `valid_days` days, counted back from the pair's or the global last date.
+
+    The pair's last date is a grouped maximum joined back: a hot pair shrinks to one
+    row per task before the shuffle, and the rows themselves are not sorted.
+    """
+    start = F.date_sub("_last", valid_days - 1)
     if scope == "pair":
-        last = F.max("date").over(Window.partitionBy(*PAIR))
-    elif scope == "global":
+        last = df.groupBy(*PAIR).agg(F.max("date").alias("_last"))
+        return df.join(last, PAIR).withColumn("is_valid", F.col("date") >= start).drop("_last")
+    if scope == "global":
         last = df.agg(F.max("date")).scalar()
-    else:
-        raise ValueError(f"unknown scope {scope!r}")
-    return df.withColumn("is_valid", F.col("date") >= F.date_sub(last, valid_days - 1))
+        return df.withColumn("is_valid", F.col("date") >= F.date_sub(last, valid_days - 1))
+    raise ValueError(f"unknown scope {scope!r}")
 
 
 def split_counts(split: DataFrame) -> DataFrame:

@@ -97,23 +97,27 @@ def make_features(
     layout: Layout | None = None,
     lags: tuple[int, ...] = LAGS,
     windows: tuple[int, ...] = WINDOWS,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Feature table of a daily panel.
 
     The panel is shuffled twice: by store and day for the one join that brings all
     dimensions, and by pair for all windows, which share one partitioning and order.
-    Date columns come from a table with one row per day.
+    Date columns come from a table with one row per day. `days` is the result of
+    `store_days` for these tables, for callers who have written it beforehand.
     """
     holidays, transactions, oil = order_exogenous(holidays, transactions, oil)
-    days = P.store_days(panel, holidays, transactions, oil, stores)
+    flags = days
+    if days is None:
+        days = P.store_days(panel, holidays, transactions, oil, stores)
+        flags = P.store_days(panel, holidays, stores=stores)
     df = _with_store_days(panel, days)
     specs = [*EXOGENOUS, PROMOTION]
     if add_lags and target in panel.columns:
         specs.append(Rolling(target, tuple(lags), tuple(windows)))
     df = add_rolling(df, specs, layout)
     # one row per calendar day: bounded, whatever the size of the panel
-    flags = P.store_days(panel, holidays, stores=stores).select("date", "is_holiday")
-    df = df.join(F.broadcast(P.day_table(flags)), "date", "left")
+    df = df.join(F.broadcast(P.day_table(flags.select("date", "is_holiday"))), "date", "left")
     if drop_null_target and target in df.columns:
         df = df.filter(F.col(target).isNotNull())
     first = [c for c in FEATURE_COLUMNS if c in df.columns]

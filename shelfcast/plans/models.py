@@ -45,6 +45,18 @@ def fit_trend(
     )
 
 
+def fit_gated_trend(split: DataFrame) -> DataFrame:
+    """Slope and intercept of the pairs with enough holdout rows, in one grouped pass."""
+    train = ~F.col("is_valid")
+    y, x = F.when(train, F.col("sales")), F.when(train, F.col("trend"))
+    fitted = split.groupBy(*PAIR).agg(
+        F.regr_slope(y, x).alias("slope"),
+        F.regr_intercept(y, x).alias("intercept"),
+        F.count_if("is_valid").alias("n_valid"),
+    )
+    return fitted.filter(basic_gate()).drop("n_valid")
+
+
 def trend_prediction(x: str = "trend") -> Column:
     return F.col("intercept") + F.col("slope") * F.col(x)
 
@@ -120,8 +132,9 @@ def holdout_predictions(df: DataFrame, valid_days: int = 28) -> DataFrame:
     Baselines, fit and gate are all windows over the pair, so the rows are shuffled
     once and no fit is joined back.
     """
-    split = add_holdout(add_baselines(df), valid_days)
     pair = Window.partitionBy(*PAIR)
+    start = F.date_sub(F.max("date").over(pair), valid_days - 1)
+    split = add_baselines(df).withColumn("is_valid", F.col("date") >= start)
     train = ~F.col("is_valid")
     y, x = F.when(train, F.col("sales")), F.when(train, F.col("trend"))
     fitted = split.withColumns(

@@ -99,52 +99,55 @@ class Retail:
         )
 
     @cached_property
-    def holidays(self) -> DataFrame:
-        """Holiday calendar on the shipping dates; every national row occurs twice."""
-        days = (
-            self.table("lineitem")
-            .select(F.col("l_shipdate").cast("date").alias("date"))
-            .distinct()
-            .select(
-                "date",
-                F.year("date").alias("y"),
-                F.month("date").alias("m"),
-                F.dayofmonth("date").alias("d"),
-            )
+    def holiday_rules(self) -> DataFrame:
+        """Month and day of every holiday by place; national rules occur twice."""
+        # Month and day of the national holidays.
+        national = self.spark.createDataFrame(
+            [(m, d) for m, d in [(1, 1), (5, 1), (12, 1), (12, 25)]] * 2, "m int, d int"
         )
-        first = (F.col("d") == 1) & F.col("m").isin(1, 5, 12)
-        eve = (F.col("d") == 25) & (F.col("m") == 12)
-        national = days.filter(first | eve).select(
-            "date",
-            F.lit("Holiday").alias("type"),
-            F.lit("National").alias("locale"),
-            F.explode(F.array_repeat(F.lit("ALL"), 2)).alias("locale_name"),
-            F.lit("n").alias("description"),
-            ((F.col("m") == 5) & (F.col("y") % 4 == 0)).alias("transferred"),
-        )
-        region = self.table("region").select(
-            F.col("r_name").alias("locale_name"), (F.col("r_regionkey") + 2).alias("m")
-        )
-        regional = days.filter(F.col("d") == 10).join(region, "m")
-        nation = self.table("nation").select(
-            F.col("n_name").alias("locale_name"),
-            (F.col("n_nationkey") % 12 + 1).alias("m"),
-            (F.col("n_nationkey") % 28 + 1).alias("d"),
-        )
-        local = days.join(nation, ["m", "d"])
+        region, nation = self.table("region"), self.table("nation")
 
-        def rows(df: DataFrame, kind: str, locale: str, text: str) -> DataFrame:
+        def rules(df: DataFrame, kind: str, locale: str, place, text: str, m, d) -> DataFrame:
             return df.select(
-                "date",
                 F.lit(kind).alias("type"),
                 F.lit(locale).alias("locale"),
-                "locale_name",
+                place.alias("locale_name"),
                 F.lit(text).alias("description"),
-                F.lit(False).alias("transferred"),
+                m.cast("int").alias("m"),
+                d.cast("int").alias("d"),
+            )
+
+        key = F.col("n_nationkey")
+        return (
+            rules(national, "Holiday", "National", F.lit("ALL"), "n", F.col("m"), F.col("d"))
+            .unionByName(
+                rules(
+                    region,
+                    "Holiday",
+                    "Regional",
+                    F.col("r_name"),
+                    "r",
+                    F.col("r_regionkey") + 2,
+                    F.lit(10),
+                )
+            )
+            .unionByName(
+                rules(nation, "Event", "Local", F.col("n_name"), "l", key % 12 + 1, key % 28 + 1)
             )
+        )
 
-        return national.unionByName(rows(regional, "Holiday", "Regional", "r")).unionByName(
-            rows(local, "Event", "Local", "l")
+    @cached_property
+    def holidays(self) -> DataFrame:
+        """Holiday rules on the shipping dates: one pass over the dates, joined by day."""
+        days = (
+            self.table("lineitem")
+            .select(F.col("l_shipdate").cast("date").alias("date"))
+            .distinct()
+            .select("date", F.month("date").alias("m"), F.dayofmonth("date").alias("d"))
+        )
+        moved = (F.col("locale") == "National") & (F.col("m") == 5) & (F.year("date") % 4 == 0)
+        return days.join(self.holiday_rules, ["m", "d"]).select(
+            "date", "type", "locale", "locale_name", "description", moved.alias("transferred")
         )
 
     def raw_tables(self) -> dict[str, DataFrame]:
