@@ -135,8 +135,9 @@ def _(s):
     """
 SELECT COUNT(*) AS pairs, COUNT("model_MAPE_%") AS pairs_with_model,
        COUNT(*) - COUNT("model_MAPE_%") AS pairs_without_model,
-       SUM(CASE WHEN "model_MAPE_%" IS NOT NULL THEN savings_under END) AS savings_under,
-       SUM(CASE WHEN "model_MAPE_%" IS NOT NULL THEN savings_over_per_day END)
+       COALESCE(SUM(CASE WHEN "model_MAPE_%" IS NOT NULL THEN savings_under END), 0)
+         AS savings_under,
+       COALESCE(SUM(CASE WHEN "model_MAPE_%" IS NOT NULL THEN savings_over_per_day END), 0)
          AS savings_over_per_day
 FROM impact""",
 )

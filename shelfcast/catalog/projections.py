@@ -216,11 +216,10 @@ def _(s):
 SELECT date, store_nbr, family,
        DENSE_RANK() OVER (ORDER BY store_nbr) - 1 AS store_nbr_code,
        DENSE_RANK() OVER (ORDER BY family) - 1 AS family_code,
-       COALESCE(city_code, -1) AS city_code,
+       CASE WHEN city IS NULL THEN -1 ELSE DENSE_RANK() OVER (ORDER BY city NULLS LAST) - 1 END
+         AS city_code,
        CASE WHEN onpromotion > 0 THEN 1 ELSE 0 END AS is_promo_code
-FROM panel LEFT JOIN (
-  SELECT store_nbr, DENSE_RANK() OVER (ORDER BY city) - 1 AS city_code
-  FROM stores WHERE type <> 'A') USING (store_nbr)""",
+FROM panel LEFT JOIN (SELECT store_nbr, city FROM stores WHERE type <> 'A') USING (store_nbr)""",
 )
 def _(s):
     # stores of type A are left out, so their rows have no city to encode
