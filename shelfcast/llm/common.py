@@ -7,6 +7,8 @@ the result; only the named columns are read, so other columns never clash.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,3 +108,18 @@ def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
 
 def text_bytes(texts) -> list[bytes]:
     return [t.encode() if t is not None and t == t else b"" for t in texts]
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """New path in the folder that all executors share, `spark.checkpoint.dir`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once, read back: cuts lineage and survives the loss of executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
