@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid, secrets
+from shelfcast.llm import bpe, decontaminate, langid, lines, secrets, simhash
 from shelfcast.llm.common import doc_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_register
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, folder, "documents"))
+    print_hex = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", print_hex, "component_id")
+
+
 @_register
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -59,3 +66,48 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     model = secrets.train(docs)
     digest = secrets.secret_digest(spark, model, "text").alias("d")
     return docs.select("doc_id", digest).select("doc_id", "d.*")
+
+
+@_register
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = lines.dedup_lines(docs)
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    return found.select(
+        "doc_id",
+        n_lines.alias("n_lines"),
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+SQL["op10_line_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts
+  FROM documents
+), cut AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM docs
+), placed AS (
+  SELECT *, coalesce(sum(length(line)) OVER (
+      PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM cut WHERE trim(line) <> ''
+), spans AS (
+  SELECT doc_id, pos, start, sum(length(line)) OVER run AS size,
+    list(line) OVER run AS run, list(pos) OVER run AS places
+  FROM placed
+  WINDOW run AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), ranked AS (
+  SELECT doc_id, places, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth
+  FROM spans WHERE size >= 20 OR start = 0
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(places) AS pos FROM ranked WHERE nth > 1
+), rest AS (
+  SELECT c.doc_id, count(g.pos) AS n_removed,
+    string_agg(c.line, chr(10) ORDER BY c.pos) FILTER (WHERE g.pos IS NULL) AS kept
+  FROM cut c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.pos = g.pos
+  GROUP BY c.doc_id
+)
+SELECT d.doc_id, CAST(len(d.parts) AS BIGINT) AS n_lines, CAST(r.n_removed AS BIGINT) AS n_removed,
+  sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM docs d JOIN rest r ON d.doc_id = r.doc_id
+"""
