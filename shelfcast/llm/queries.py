@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid, lines, secrets, simhash
+from shelfcast.llm import bpe, decontaminate, langid, lines, secrets, simhash, substrings
 from shelfcast.llm.common import doc_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_register
+def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_register
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"))
