@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid, lines, secrets, simhash, substrings
+from shelfcast.llm import (
+    bpe,
+    decontaminate,
+    langid,
+    lines,
+    ngram,
+    secrets,
+    simhash,
+    substrings,
+)
 from shelfcast.llm.common import doc_remainder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +34,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_register
+def op2_ngram_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = ngram.score_documents(docs, doc_remainder("doc_id", 10) != 0)
+    return found.select(
+        "doc_id",
+        (~F.col("trains")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @_register
 def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(read_table(spark, folder, "documents"))
