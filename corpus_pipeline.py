@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid
+from shelfcast.llm import bpe, decontaminate, langid, lines, simhash
 from shelfcast.llm.common import doc_remainder, fresh_path, read_table
 from shelfcast.llm.queries import tokenizer_path
 
@@ -21,6 +21,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(langid.predict(spark, model, F.col("text"))["lang_pred"] != langid.UNKNOWN)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later repeated runs of lines; documents that lose all lines go."""
+    found = lines.dedup_lines(docs, kept="__kept", removed="__removed_lines")
+    found = found.where((F.trim("__kept") != "") | (F.col("__removed_lines") == 0))
+    text = F.when(F.col("__removed_lines") > 0, F.col("__kept")).otherwise(F.col("text"))
+    found = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = F.col("__removed_lines") > 0
+        found = found.withColumn("n_chars", F.when(changed, counted).otherwise(F.col("n_chars")))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles are similar by 0.8 or more."""
+    return simhash.keep_one(docs, shingle=5, similarity=0.8, words=8)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     benchmark = decontaminate.Benchmark(read_table(spark, sf_dir, "benchmark"))
@@ -36,11 +54,13 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("bpe_encoding", bpe_encoding),
 ]
 
-# code lengths and token ids have no SQL; tests compare with plain Python
+# code lengths, signatures and token ids have no SQL; tests compare with plain Python
 ORACLE_SQL: str | None = None
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
+    ann,
     bpe,
     decontaminate,
     langid,
@@ -34,6 +35,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_register
+def op1_hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, F.col("id") % 50 == 0)
+
+
 @_register
 def op2_ngram_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")

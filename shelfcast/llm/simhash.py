@@ -77,6 +77,10 @@ def signature(text: Column | str, shingle: int, words: int) -> Column:
     return run(text)
 
 
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def pivots() -> np.ndarray:
     return np.random.default_rng(5).integers(0, 1 << 64, PIVOTS, dtype=np.uint64)
 
@@ -261,13 +265,15 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, node, fingerprint, component_id) of every row.
+    """(doc_id, text_hash, node, group_node, fingerprint, component_id) of every row.
 
     With `similarity`, nodes are linked by their whole signatures of `words` fingerprints;
     else by one fingerprint within `bits`.
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    prints = docs.select("doc_id", signature("text", shingle, words).alias("sig"))
+    prints = docs.select(
+        "doc_id", text_hash("text").alias("text_hash"), signature("text", shingle, words).alias("sig")
+    )
     node = F.col("sig")[0] if words == 1 else F.xxhash64("sig")
     prints = stored(prints.withColumn("node", node), "signatures")
     nodes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
@@ -278,6 +284,27 @@ def near_duplicates(
         "node", "least", F.coalesce("root", "node").alias("root")
     )
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(labelled.join(least, "root").select("node", "component_id"), "classes")
-    rows = prints.select("doc_id", "node", F.col("sig")[0].alias("fingerprint"))
-    return rows.join(classes, "node").select("doc_id", "node", "fingerprint", "component_id")
+    classes = labelled.join(least, "root").select(
+        "node", F.col("root").alias("group_node"), "component_id"
+    )
+    classes = stored(classes, "classes")
+    rows = prints.select("doc_id", "text_hash", "node", F.col("sig")[0].alias("fingerprint"))
+    return rows.join(classes, "node").select(
+        "doc_id", "text_hash", "node", "group_node", "fingerprint", "component_id"
+    )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The row of smallest id of each group of near duplicates, with all of its columns.
+
+    NULL ids come last; of equal ids the smaller text hash stays, and one of equal rows.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    # groups are told apart by their smallest node, since ids may repeat
+    groups = found.groupBy("group_node").agg(F.min(F.struct(own_id.alias("i"), "text_hash")).alias("k"))
+    kept = groups.select(F.col("k.i").alias("__i"), F.col("k.text_hash").alias("__h"))
+    row_id = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
+    rows = docs.withColumns({"__id": row_id, "__hash": text_hash(f"`{text_col}`")})
+    rows = rows.join(kept, (F.col("__id") == F.col("__i")) & (F.col("__hash") == F.col("__h")), "left_semi")
+    return rows.dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
