@@ -7,14 +7,13 @@ the result; only the named columns are read, so other columns never clash.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shelfcast.llm
+from shelfcast.session import fresh_path
 
 # executors get the code with the task, wherever the package is installed
 cloudpickle.register_pickle_by_value(shelfcast.llm)
@@ -45,6 +44,11 @@ def doc_remainder(doc_id: Column | str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(modulus)
 
 
+def in_sample(share: Column, *key: Column) -> Column:
+    """True for that share of all keys, the same keys in every run."""
+    return F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < share * (1 << 30)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(33))
@@ -110,14 +114,6 @@ def text_bytes(texts) -> list[bytes]:
     return [t.encode() if t is not None and t == t else b"" for t in texts]
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """New path in the folder that all executors share, `spark.checkpoint.dir`."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: cuts lineage and survives the loss of executors."""
     path = fresh_path(df.sparkSession, name)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
@@ -65,9 +65,9 @@ def fit(counts: pd.DataFrame) -> PpmModel:
         size = SYMBOLS ** (order + 1)
         table = np.zeros((size, width))
         np.add.at(table, (code % size, lang), n)
-        cost, escape = _level(table.reshape(-1, SYMBOLS, width))
+        cost, escape = _level(table.reshape(size // SYMBOLS, SYMBOLS, width))
         # what is not in the context costs its escape and the cost one symbol shorter
-        base = np.tile(lower.reshape(-1, width), (size // len(lower), 1))
+        base = np.tile(lower, (size // len(lower), 1))
         cost = cost.reshape(size, width)
         fallback = np.repeat(escape, SYMBOLS, axis=0) + base
         lower = np.where(np.isnan(cost), fallback, cost)
@@ -117,18 +117,22 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> PpmModel:
-    """Count contexts in at most `train_docs` documents of each language, whole texts.
+    """Count contexts in about `train_docs` documents of each language, whole texts.
 
-    The sample is that of smallest hashed id. Rows without text or language are not used.
+    The sample is the share of hashed ids that gives this number; it is drawn where the rows
+    are read. Rows without text or language are not used. The number of languages must fit
+    the driver.
     """
     rows = docs.select(
         F.col(f"`{lang_col}`").alias("lang"),
         F.col(f"`{id_col}`").cast("string").alias("i"),
         F.col(f"`{text_col}`").alias("t"),
     ).where(F.col("lang").isNotNull() & F.col("t").isNotNull())
-    # the rank is limited before the shuffle, so a frequent language sends no more rows
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i", F.xxhash64("t"))
-    sample = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= train_docs)
+    there = rows.groupBy("lang").count().collect()
+    share = F.lit(0.0)
+    for lang, n in there:
+        share = F.when(F.col("lang") == lang, train_docs / n).otherwise(share)
+    sample = rows.where(common.in_sample(share, F.col("i"), F.length("t")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -139,7 +143,7 @@ def train(
                     gram, n = np.unique(four_bytes(data), return_counts=True)
                     yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
 
-    grams = sample.select("lang", "t").repartition(32).mapInPandas(count, "lang string, gram long, n long")
+    grams = sample.select("lang", "t").mapInPandas(count, "lang string, gram long, n long")
     return fit(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas())
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import common  # noqa: F401  (registers the code for executors)
+from shelfcast.llm import common
 
 # The kinds in their order, and the characters of tokens
 KINDS = ("assign", "access", "hex", "markov")
@@ -103,14 +103,16 @@ class MarkovPair:
 def train(
     docs: DataFrame, train_docs: int = 4000, id_col: str = "doc_id", text_col: str = "text"
 ) -> MarkovPair:
-    """Fit both models on at most `train_docs` documents, those of smallest hashed id."""
-    sample = (
-        docs.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t"))
-        .where(F.col("t").isNotNull())
-        .orderBy(F.xxhash64("i"), "i", F.xxhash64("t"))
-        .limit(train_docs)
-        .select("t")
-    )
+    """Fit both models on about `train_docs` documents.
+
+    The sample is the share of hashed ids that gives this number, drawn where the rows are
+    read; only counts of character pairs leave the tasks.
+    """
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t")
+    ).where(F.col("t").isNotNull())
+    share = F.lit(train_docs / max(docs.count(), 1))
+    sample = rows.where(common.in_sample(share, F.col("i"), F.length("t"))).select("t")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = {c: i + 1 for i, c in enumerate(ALPHABET)}
