@@ -241,9 +241,9 @@ LEFT JOIN (SELECT store_nbr, family, AVG("MAE_GAIN_vs_LAG7") AS gain FROM metric
   ON s.store_nbr = g.store_nbr AND f.family = g.family""",
 )
 def _(s):
-    families = [r.family for r in s.table("part").select(F.col("p_type").alias("family")).distinct().collect()]
-    wide = R.gain_heatmap(s.metrics, "store_nbr", "family", "MAE_GAIN_vs_LAG7", families)
-    return wide.unpivot("store_nbr", families, "family", "gain")
+    stores = s.metrics.select("store_nbr").distinct()
+    families = s.table("part").select(F.col("p_type").alias("family")).distinct()
+    return R.gain_cells(s.metrics, stores, families, "MAE_GAIN_vs_LAG7")
 
 
 def _resample_sql(label: str, spine: str, how: str) -> str:
@@ -251,9 +251,9 @@ def _resample_sql(label: str, spine: str, how: str) -> str:
     return f"""
 SELECT sp.store_nbr, sp.family, sp.bin, {value} AS sales
 FROM (SELECT store_nbr, family, UNNEST({spine}) AS bin
-      FROM (SELECT store_nbr, family, MIN({label}) AS lo, MAX({label}) AS hi FROM recent_rows
+      FROM (SELECT store_nbr, family, MIN({label}) AS lo, MAX({label}) AS hi FROM panel
             GROUP BY 1, 2)) sp
-LEFT JOIN (SELECT store_nbr, family, {label} AS bin, {how}(sales) AS v FROM recent_rows
+LEFT JOIN (SELECT store_nbr, family, {label} AS bin, {how}(sales) AS v FROM panel
            GROUP BY 1, 2, 3) b
   ON sp.store_nbr = b.store_nbr AND sp.family = b.family AND CAST(sp.bin AS DATE) = b.bin"""
 
@@ -270,32 +270,49 @@ BINS = f"{PAIR_COLS} bin:d sales:f"
 
 @query("d18_resample_week_sum", BINS, _resample_sql(_WEEK, _WEEKS, "SUM"))
 def _(s):
-    return R.resample(S.recent(s.panel, RECENT_DAYS), ["sales"], "W", "sum", PAIR)
+    return R.resample(s.panel, ["sales"], "W", "sum", PAIR)
 
 
 @query("d18_resample_week_mean", BINS, _resample_sql(_WEEK, _WEEKS, "AVG"))
 def _(s):
-    return R.resample(S.recent(s.panel, RECENT_DAYS), ["sales"], "W", "mean", PAIR)
+    return R.resample(s.panel, ["sales"], "W", "mean", PAIR)
 
 
 @query("d18_resample_month_sum", BINS, _resample_sql(_MONTH, _MONTHS, "SUM"))
 def _(s):
-    return R.resample(S.recent(s.panel, RECENT_DAYS), ["sales"], "M", "sum", PAIR)
+    return R.resample(s.panel, ["sales"], "M", "sum", PAIR)
+
+
+def _resampled_errors_sql(label: str, spine: str) -> str:
+    """Errors of binned sums; a bin without rows is 0 against 0 and counts."""
+    return f"""
+SELECT store_nbr, family, {mae_mape("y", "p")}
+FROM (SELECT sp.store_nbr, sp.family, COALESCE(b.y, 0) AS y, COALESCE(b.p, 0) AS p
+      FROM (SELECT store_nbr, family, UNNEST({spine}) AS bin
+            FROM (SELECT store_nbr, family, MIN({label}) AS lo, MAX({label}) AS hi FROM held
+                  GROUP BY 1, 2)) sp
+      LEFT JOIN (SELECT store_nbr, family, {label} AS bin, SUM(sales) AS y, SUM(y_pred) AS p
+                 FROM held GROUP BY 1, 2, 3) b
+        ON sp.store_nbr = b.store_nbr AND sp.family = b.family AND CAST(sp.bin AS DATE) = b.bin)
+GROUP BY 1, 2"""
 
 
 @query(
     "d19_resampled_errors",
     f"{PAIR_COLS} MAE:f MAPE_%:f",
-    f"""
-SELECT store_nbr, family, {mae_mape("y", "p")}
-FROM (SELECT store_nbr, family, LAST_DAY(date) AS bin, SUM(sales) AS y, SUM(y_pred) AS p
-      FROM held GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+    _resampled_errors_sql(_MONTH, _MONTHS),
+)
+def _(s):
+    return compare.resampled_errors(s.held, "M")
+
+
+@query(
+    "d19_resampled_errors_week",
+    f"{PAIR_COLS} MAE:f MAPE_%:f",
+    _resampled_errors_sql(_WEEK, _WEEKS),
 )
 def _(s):
-    monthly = R.resample(s.held, ["sales", "y_pred"], "M", "sum", PAIR)
-    # a month without rows is 0 against 0 and would dilute the mean
-    seen = s.held.select(*PAIR, F.last_day("date").alias("bin")).distinct()
-    return E.error_metrics(monthly.join(seen, [*PAIR, "bin"], "left_semi"), {"": "y_pred"})
+    return compare.resampled_errors(s.held, "W")
 
 
 @query(

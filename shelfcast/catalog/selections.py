@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.base import query
+from shelfcast.catalog.settings import FOREST as SIZE
 from shelfcast.catalog.settings import RECENT_DAYS, VALID_DAYS
 from shelfcast.functions.vectors import features_to_vector, json_features
 from shelfcast.operators import select as S
@@ -55,15 +56,25 @@ def _(s):
     return s.panel.orderBy("store_nbr", "family", "date")
 
 
-FOREST = ["onpromotion", "dayofweek", "month", "trend", "is_holiday", "transactions"]
-FOREST += ["sales_lag_1", "sales_lag_7", "sales_rollmean_7", "sales_rollmean_30"]
+FOREST = [
+    "onpromotion",
+    "dayofweek",
+    "month",
+    "trend",
+    "is_holiday",
+    "transactions",
+    "sales_lag_1",
+    "sales_lag_7",
+    "sales_rollmean_7",
+    "sales_rollmean_30",
+]
 
 
 @query("f5_top_features", "feature:s importance:f")
 def _(s):
     frame, inputs = models.model_frame(s.features, FOREST, valid_days=VALID_DAYS)
     written = materialize(frame, "forest-frame")
-    model = models.fit_global(written, models.random_forest(inputs, trees=10, depth=6))
+    model = models.fit_global(written, models.random_forest(inputs, **SIZE))
     return models.top_features(models.importances(model, inputs, s.spark))
 
 

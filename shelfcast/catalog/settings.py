@@ -6,3 +6,8 @@ VALID_DAYS = 180
 RECENT_DAYS = 365
 FOLDS = 3
 STEP_DAYS = 180
+
+# Size of the tree models: the defaults of Spark's own learners. The functions' defaults are
+# the sizes of full training runs.
+BOOSTING = {"max_iter": 20, "depth": 5}
+FOREST = {"trees": 20, "depth": 5}

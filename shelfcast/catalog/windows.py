@@ -10,7 +10,7 @@ from shelfcast.catalog.sql import lag_roll
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import split as X
 from shelfcast.operators import windows as W
-from shelfcast.operators.windows import Layout, Rolling, add_rolling
+from shelfcast.operators.windows import Layout, Rolling, add_rolling, rolled_columns
 from shelfcast.plans import features as FT
 
 KEY = "date:d store_nbr:i family:s"
@@ -18,7 +18,7 @@ LAGS, WINDOWS = FT.LAGS, FT.WINDOWS
 
 
 def _cols(*specs: Rolling) -> str:
-    return " ".join(f"{c}:f" for s in specs for c in FT._rolled(s))
+    return " ".join(f"{c}:f" for s in specs for c in rolled_columns(s))
 
 
 def _rolled_sql(source: str, *specs: Rolling) -> str:
@@ -208,7 +208,22 @@ def _(s):
 
 
 _TYPES = {"id": "l", "date": "d", "family": "s", "city": "s", "state": "s", "type": "s"}
-_INTS = {"store_nbr", "cluster", "trend", *FT.CALENDAR, *FT.SPECIAL_DAYS, *FT.HOLIDAYS}
+_INTS = {
+    "store_nbr",
+    "cluster",
+    "trend",
+    "year",
+    "month",
+    "week",
+    "day",
+    "dayofweek",
+    "quarter",
+    "is_weekend",
+    "is_month_start",
+    "is_month_end",
+    *FT.FEATURE_GROUPS["special_days"],
+    *FT.FEATURE_GROUPS["holidays"],
+}
 _INTS |= {"is_day_before_holiday", "is_day_after_holiday"}
 FEATURE_TYPES = " ".join(
     f"{c}:{_TYPES.get(c, 'i' if c in _INTS else 'f')}" for c in FT.FEATURE_COLUMNS

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as M
+from shelfcast.operators.windows import row_order
 from shelfcast.schemas import PAIR
 
 
 def add_baselines(df: DataFrame) -> DataFrame:
     """`naive_lag7` (value 7 rows back) and `naive_ma7` (mean of up to 7 prior rows)."""
-    w = Window.partitionBy(*PAIR).orderBy("date")
+    w = Window.partitionBy(*PAIR).orderBy(*row_order(df))
     return df.withColumns(
         {
             "naive_lag7": F.lag("sales", 7).over(w),
@@ -48,8 +49,8 @@ def strict_ma7_mape(df: DataFrame, valid_days: int = 28, window: int = 7) -> Dat
 
     Pairs with fewer than valid_days + window + 1 rows get NULL.
     """
-    w = Window.partitionBy(*PAIR).orderBy("date")
-    back = Window.partitionBy(*PAIR).orderBy(F.col("date").desc())
+    w = Window.partitionBy(*PAIR).orderBy(*row_order(df))
+    back = Window.partitionBy(*PAIR).orderBy(*[F.col(c).desc() for c in row_order(df)])
     # only the last rows matter; the rank filter is pushed below the shuffle
     tail = df.withColumn("_back", F.row_number().over(back)).filter(
         F.col("_back") <= valid_days + window

@@ -88,6 +88,18 @@ def gain_heatmap(
     return cells.agg(F.avg(value)).na.fill(0.0)
 
 
+def gain_cells(df: DataFrame, rows: DataFrame, columns: DataFrame, value: str) -> DataFrame:
+    """The heatmap in long form: mean of `value` for every row label and column label.
+
+    Both label lists are short: stores and families, whatever the number of sales.
+    """
+    row, column = rows.columns[0], columns.columns[0]
+    means = df.groupBy(row, column).agg(F.avg(value).alias("gain"))
+    labels = columns.agg(F.collect_set(column)).scalar()
+    cells = rows.select(row, F.explode(labels).alias(column))
+    return cells.join(means, [row, column], "left").na.fill(0.0, subset=["gain"])
+
+
 def sales_profiles(df: DataFrame) -> DataFrame:
     """Mean sales by weekday, month and promotion, with a normal 95 % interval.
 

@@ -67,6 +67,39 @@ def fold_windows(
     )
 
 
+def with_last(df: DataFrame) -> DataFrame:
+    """Rows with the last date `last` and the row count `n_rows` of their pair."""
+    last = df.groupBy(*PAIR).agg(F.max("date").alias("last"), F.count(F.lit(1)).alias("n_rows"))
+    return df.join(last, PAIR)
+
+
+def fold_columns(
+    fold: int, folds: int, valid_days: int = 28, step_days: int = 28
+) -> tuple[Column, Column]:
+    """(row is inside the fold, row is before it), from `date` and `last`."""
+    end = F.date_sub("last", (folds - 1 - fold) * step_days)
+    start = F.date_sub(end, valid_days - 1)
+    return F.col("date").between(start, end), F.col("date") < start
+
+
+def fold_training(inside: Column, before: Column, mode: str) -> Column:
+    """"outside" trains on every row outside the fold, later dates included; "past_only" on
+    rows before it."""
+    if mode not in ("outside", "past_only"):
+        raise ValueError(f"unknown mode {mode!r}")
+    return ~inside if mode == "outside" else before
+
+
+def inside_folds(
+    df: DataFrame, folds: int, valid_days: int = 28, step_days: int = 28
+) -> DataFrame:
+    """Rows with the number `fold` of each fold that holds them; other rows go."""
+    own = [
+        F.when(fold_columns(k, folds, valid_days, step_days)[0], F.lit(k)) for k in range(folds)
+    ]
+    return df.withColumn("fold", F.explode(F.array_compact(F.array(*own))))
+
+
 def expand_folds(
     df: DataFrame, windows: DataFrame, mode: str = "outside", drop_unused: bool = True
 ) -> DataFrame:

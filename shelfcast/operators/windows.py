@@ -3,7 +3,8 @@
 Two layouts compute the same numbers:
 
 * `pair`: one window partition per pair. A daily panel has one row per pair and
-  day, so a partition is bounded by the calendar.
+  day, so a partition is bounded by the calendar. Callers with several rows a day,
+  whose pairs may be of any length, ask for blocks.
 * blocks: rows get their position first (counts per pair and period, then a
   running offset), are cut into blocks of `block_rows`, and each block also
   receives the last rows of the block before it. No task ever holds more than a
@@ -44,13 +45,17 @@ class Layout:
     order: str = "date"
 
 
-def layout_for(df: DataFrame, longest: int = 1_000_000) -> Layout:
-    """Layout for input whose pairs may be of any length, say with several rows a day.
+def row_order(df: DataFrame, order: str = "date") -> list[str]:
+    """Columns that order the rows of a pair: the date, then the id where there is one, so
+    rows of one day have the same order in every run."""
+    return [order, "id"] if "id" in df.columns else [order]
 
-    One grouped count decides: blocks as soon as a pair exceeds `longest` rows.
-    """
-    longest_pair = df.groupBy(*PAIR).count().agg(F.max("count")).first()[0] or 0
-    return Layout(block_rows=BLOCK_ROWS) if longest_pair > longest else Layout()
+
+def rolled_columns(spec: Rolling) -> list[str]:
+    """Names of the columns that a spec adds."""
+    lags = [f"{spec.column}_lag_{k}" for k in spec.lags]
+    rolls = [f"{spec.column}_roll{s}_{n}" for n in spec.windows for s in ("mean", "std")]
+    return lags + rolls
 
 
 def add_rolling(
@@ -71,7 +76,7 @@ def add_rolling(
 
 def _by_pair(df: DataFrame, specs: list[Rolling], layout: Layout) -> DataFrame:
     # a single window spec: one exchange and one sort for all columns
-    w = Window.partitionBy(*layout.keys).orderBy(layout.order)
+    w = Window.partitionBy(*layout.keys).orderBy(*row_order(df, layout.order))
     new: dict[str, Column] = {}
     for s in specs:
         for k in s.lags:
@@ -117,7 +122,7 @@ def add_positions(df: DataFrame, layout: Layout) -> DataFrame:
         offsets = offsets.withColumn("_start", start)
     else:
         offsets = offsets.withColumn("_start", F.lit(0))
-    rank = F.row_number().over(Window.partitionBy(*keys, "_period").orderBy(layout.order))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_period").orderBy(*row_order(df, layout.order)))
     return (
         marked.withColumn("_rank", rank)
         .join(offsets.select(*keys, "_period", "_in_pair", "_start"), [*keys, "_period"])
@@ -171,7 +176,7 @@ def _by_block(df: DataFrame, specs: list[Rolling], layout: Layout) -> DataFrame:
 def last_rows(df: DataFrame, n: int, keys: list[str] = PAIR, order: str = "date") -> DataFrame:
     """Last `n` rows per pair. The rank filter is applied before the shuffle as well,
     so every task sends at most `n` rows of a pair."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in row_order(df, order)])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
@@ -191,7 +196,7 @@ def add_sequences(
     df: DataFrame, features: list[str], window: int, name: str = "sequence"
 ) -> DataFrame:
     """Previous `window` rows of `features` per row, oldest first; shorter ones go."""
-    w = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(-window, -1)
+    w = Window.partitionBy(*PAIR).orderBy(*row_order(df)).rowsBetween(-window, -1)
     vector = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     return (
         df.withColumn("_vec", vector)

@@ -6,17 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as M
+from shelfcast.operators.evaluate import error_metrics
+from shelfcast.operators.resample import resample
 from shelfcast.schemas import PAIR
 
 
 def compare_on_tail(
-    tail: DataFrame, a: str, b: str, min_tail_sales: float = 0.0, names: tuple[str, str] = ("A", "B")
+    pairs: DataFrame,
+    fitted: DataFrame,
+    tail: DataFrame,
+    a: str,
+    b: str,
+    min_tail_sales: float = 0.0,
+    names: tuple[str, str] = ("A", "B"),
 ) -> DataFrame:
-    """MAE and MAPE of two prediction columns per pair, gains of b over a, and the
-    reason why a pair is left out (NULL when it is compared)."""
+    """MAE and MAPE of two prediction columns for every pair, gains of b over a, and the
+    reason why a pair is left out (NULL when it is compared).
+
+    `pairs` are all pairs, `fitted` those that have the first model. Reasons are looked for
+    in this order: no model, no rows in the tail, no prediction, too few sales in the tail.
+    """
     left, right = names
     y = F.col("sales")
     stats = tail.groupBy(*PAIR).agg(
+        F.count(F.lit(1)).alias("n_tail"),
         F.sum("sales").alias("tail_sum"),
         F.count(a).alias("n_a"),
         F.count(b).alias("n_b"),
@@ -25,18 +38,35 @@ def compare_on_tail(
         M.mae(y, F.col(b)).alias(f"{right}_MAE"),
         M.mape(y, F.col(b)).alias(f"{right}_MAPE"),
     )
+    known = fitted.select(*PAIR).distinct().withColumn("has_model", F.lit(True))
+    every = pairs.select(*PAIR).distinct().join(known, PAIR, "left").join(stats, PAIR, "left")
     reason = (
-        F.when(F.col("n_a") == 0, F.lit(f"no {left} prediction"))
+        F.when(F.col("has_model").isNull(), F.lit(f"no {left} model"))
+        .when(F.col("n_tail").isNull(), F.lit("empty tail"))
+        .when(F.col("n_a") == 0, F.lit(f"no {left} prediction"))
         .when(F.col("n_b") == 0, F.lit(f"no {right} prediction"))
         .when(F.col("tail_sum") < min_tail_sales, F.lit(f"tail_sum<{min_tail_sales:g}"))
     )
-    return stats.withColumns(
+    return every.withColumns(
         {
             f"GAIN_{right}_vs_{left}_MAE": F.col(f"{left}_MAE") - F.col(f"{right}_MAE"),
             f"GAIN_{right}_vs_{left}_MAPE": F.col(f"{left}_MAPE") - F.col(f"{right}_MAPE"),
             "reason": reason,
         }
-    ).drop("n_a", "n_b")
+    ).drop("n_a", "n_b", "n_tail", "has_model")
+
+
+def resampled_errors(held: DataFrame, freq: str = "M", skip_empty: bool = False) -> DataFrame:
+    """MAE and MAPE per pair of weekly or monthly sums.
+
+    A bin without rows is 0 against 0 and counts; `skip_empty` leaves such bins out.
+    """
+    bins = held if not skip_empty else held.withColumn("n", F.lit(1.0))
+    values = ["sales", "y_pred"] + ["n"] * skip_empty
+    binned = resample(bins, values, freq, "sum", PAIR)
+    if skip_empty:
+        binned = binned.filter("n > 0")
+    return error_metrics(binned, {"": "y_pred"})
 
 
 def compared(result: DataFrame) -> DataFrame:

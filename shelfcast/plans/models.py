@@ -13,7 +13,7 @@ from pyspark.ml.regression import (
     GeneralizedLinearRegression,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as M
@@ -23,10 +23,13 @@ from shelfcast.operators.select import encode_categories
 from shelfcast.operators.split import (
     add_holdout,
     basic_gate,
-    expand_folds,
+    fold_columns,
     fold_gate,
-    fold_windows,
+    fold_training,
+    gated_pairs,
+    inside_folds,
     split_counts,
+    with_last,
 )
 from shelfcast.plans.features import FEATURE_GROUPS
 from shelfcast.schemas import PAIR
@@ -78,6 +81,22 @@ def residual_quantiles(
 
 # ------------------------------------------------------------------ metric table
 
+# Columns of the metric table, in order.
+METRIC_COLUMNS = [
+    "store_nbr",
+    "family",
+    "MAE",
+    "MAPE_%",
+    "CV_MAE",
+    "CV_MAPE_%",
+    "NAIVE_LAG7_MAE",
+    "NAIVE_LAG7_MAPE_%",
+    "NAIVE_MA7_MAE",
+    "NAIVE_MA7_MAPE_%",
+    "MAE_GAIN_vs_LAG7",
+    "MAE_GAIN_vs_MA7",
+]
+
 
 def trend_cross_validation(
     df: DataFrame,
@@ -86,17 +105,33 @@ def trend_cross_validation(
     step_days: int = 28,
     mode: str = "outside",
 ) -> DataFrame:
-    """MAE and MAPE of the trend model per pair and fold that passes the row gate."""
-    windows = fold_windows(df, folds, valid_days, step_days)
-    expanded = expand_folds(df, windows, mode)
-    keys = [*PAIR, "fold"]
-    params = fit_trend(expanded, F.col("in_train"), keys)
-    scored = expanded.filter("in_fold").join(params, keys).withColumn("p", trend_prediction())
+    """MAE and MAPE of the trend model per pair and fold that passes the row gate.
+
+    All folds of a pair are fitted by one aggregate of conditional sums, with a map-side
+    part; only rows inside a fold are repeated, once for each fold that holds them.
+    """
+    bounded = with_last(df)
+    y, x = F.col("sales"), F.col("trend")
+    fits = []
+    for fold in range(folds):
+        inside, before = fold_columns(fold, folds, valid_days, step_days)
+        train = fold_training(inside, before, mode)
+        own_y, own_x = F.when(train, y), F.when(train, x)
+        fits.append(
+            F.struct(
+                F.regr_slope(own_y, own_x).alias("slope"),
+                F.regr_intercept(own_y, own_x).alias("intercept"),
+            )
+        )
+    params = bounded.groupBy(*PAIR).agg(F.array(*fits).alias("fits"))
+    scored = inside_folds(bounded, folds, valid_days, step_days).join(params, PAIR)
+    fit = F.element_at("fits", F.col("fold") + 1)
+    scored = scored.withColumn("p", fit["intercept"] + fit["slope"] * x)
     return (
-        scored.groupBy(*keys)
+        scored.groupBy(*PAIR, "fold")
         .agg(
-            M.mae(F.col("sales"), F.col("p")).alias("MAE"),
-            M.mape(F.col("sales"), F.col("p")).alias("MAPE_%"),
+            M.mae(y, F.col("p")).alias("MAE"),
+            M.mape(y, F.col("p")).alias("MAPE_%"),
             F.count(F.lit(1)).alias("n_fold"),
             F.first("n_rows").alias("n_rows"),
         )
@@ -108,8 +143,7 @@ def baseline_cross_validation(
     df: DataFrame, folds: int, valid_days: int = 28, step_days: int = 28
 ) -> DataFrame:
     """The same folds for the two baselines, which need no training."""
-    windows = fold_windows(df, folds, valid_days, step_days)
-    inside = expand_folds(add_baselines(df), windows, "outside").filter("in_fold")
+    inside = inside_folds(with_last(add_baselines(df)), folds, valid_days, step_days)
     counted = inside.groupBy(*PAIR, "fold").agg(
         M.mae(F.col("sales"), F.col("naive_lag7")).alias("LAG7_MAE"),
         M.mae(F.col("sales"), F.col("naive_ma7")).alias("MA7_MAE"),
@@ -129,23 +163,12 @@ def holdout_predictions(df: DataFrame, valid_days: int = 28) -> DataFrame:
     """Holdout rows of every pair that passes the gate, with the trend forecast and
     the two baselines. Needs `trend`.
 
-    Baselines, fit and gate are all windows over the pair, so the rows are shuffled
-    once and no fit is joined back.
+    The fit and the gate are grouped sums with a map-side part, one row per pair; only the
+    baselines, which are positional, order the rows of a pair.
     """
-    pair = Window.partitionBy(*PAIR)
-    start = F.date_sub(F.max("date").over(pair), valid_days - 1)
-    split = add_baselines(df).withColumn("is_valid", F.col("date") >= start)
-    train = ~F.col("is_valid")
-    y, x = F.when(train, F.col("sales")), F.when(train, F.col("trend"))
-    fitted = split.withColumns(
-        {
-            "slope": F.regr_slope(y, x).over(pair),
-            "intercept": F.regr_intercept(y, x).over(pair),
-            "n_valid": F.count_if("is_valid").over(pair),
-        }
-    )
-    held = fitted.filter(F.col("is_valid") & basic_gate())
-    return held.withColumn("y_pred", trend_prediction()).drop("slope", "intercept", "n_valid")
+    fitted = fit_gated_trend(add_holdout(df, valid_days))
+    held = add_holdout(add_baselines(df), valid_days).filter("is_valid").join(fitted, PAIR)
+    return held.withColumn("y_pred", trend_prediction()).drop("slope", "intercept")
 
 
 def metrics_per_pair(
@@ -163,10 +186,7 @@ def metrics_per_pair(
         base = base.withColumns(
             {c: F.lit(None).cast("double") for c in ("CV_MAE", "CV_MAPE_%")}
         )
-    columns = ["MAE", "MAPE_%", "CV_MAE", "CV_MAPE_%"]
-    columns += [f"NAIVE_{b}_{m}" for b in ("LAG7", "MA7") for m in ("MAE", "MAPE_%")]
-    columns += ["MAE_GAIN_vs_LAG7", "MAE_GAIN_vs_MA7"]
-    return add_gains(base).select(*PAIR, *[F.col(f"`{c}`") for c in columns])
+    return add_gains(base).select(*[F.col(f"`{c}`") for c in METRIC_COLUMNS])
 
 
 # ------------------------------------------------------------------ ridge per pair
@@ -191,39 +211,39 @@ def ridge_sums(df: DataFrame, features: Sequence[str], is_train: Column) -> Data
     )
 
 
-def _solve(n: float, s: np.ndarray, g: np.ndarray, keep: np.ndarray, alpha: float) -> np.ndarray:
-    """Ridge on standardised columns from the sums of one pair; weights, then intercept."""
-    k = len(s) - 1
-    gram = np.zeros((k + 1, k + 1))
-    rows, cols = np.triu_indices(k + 1)
-    gram[rows, cols] = g
-    gram[cols, rows] = g
-    mean = s / n
-    cov = gram / n - np.outer(mean, mean)
-    sd = np.sqrt(np.clip(np.diag(cov)[:k], 0.0, None))
-    # a column that does not vary gets no weight
-    live = keep & (sd > 1e-9 * np.maximum(1.0, np.abs(mean[:k])))
-    weights = np.zeros(k + 1)
-    if live.any():
-        d = sd[live]
-        corr = cov[:k, :k][np.ix_(live, live)] / np.outer(d, d)
-        rhs = cov[:k, k][live] / d
-        beta = np.linalg.solve(corr + (alpha / n) * np.eye(len(d)), rhs)
-        weights[:k][live] = beta / d
-    weights[k] = mean[k] - weights[:k] @ mean[:k]
-    return weights
-
-
 def ridge_weights(sums: DataFrame, masks: dict[str, list[bool]], alpha: float) -> DataFrame:
     """Solve every pair once per mask: (pair, setting, weights, intercept)."""
     settings = {name: np.array(mask, dtype=bool) for name, mask in masks.items()}
 
+    # nested, so that it travels with the task: workers need numpy and pandas only
+    def solve_one(n: float, s: np.ndarray, g: np.ndarray, keep: np.ndarray, alpha: float) -> np.ndarray:
+        """Ridge on standardised columns from the sums of one pair; weights, then intercept."""
+        k = len(s) - 1
+        gram = np.zeros((k + 1, k + 1))
+        rows, cols = np.triu_indices(k + 1)
+        gram[rows, cols] = g
+        gram[cols, rows] = g
+        mean = s / n
+        cov = gram / n - np.outer(mean, mean)
+        sd = np.sqrt(np.clip(np.diag(cov)[:k], 0.0, None))
+        # a column that does not vary gets no weight
+        live = keep & (sd > 1e-9 * np.maximum(1.0, np.abs(mean[:k])))
+        weights = np.zeros(k + 1)
+        if live.any():
+            d = sd[live]
+            corr = cov[:k, :k][np.ix_(live, live)] / np.outer(d, d)
+            rhs = cov[:k, k][live] / d
+            beta = np.linalg.solve(corr + (alpha / n) * np.eye(len(d)), rhs)
+            weights[:k][live] = beta / d
+        weights[k] = mean[k] - weights[:k] @ mean[:k]
+        return weights
+
     @F.pandas_udf("array<array<double>>")
     def solve(n: pd.Series, s: pd.Series, g: pd.Series) -> pd.Series:
         return pd.Series(
             [
                 [
-                    _solve(float(a), np.asarray(b, float), np.asarray(c, float), m, alpha).tolist()
+                    solve_one(float(a), np.asarray(b, float), np.asarray(c, float), m, alpha).tolist()
                     for m in settings.values()
                 ]
                 for a, b, c in zip(n, s, g)
@@ -379,9 +399,16 @@ def model_frame(
     scope: str = "global",
     log1p: bool = False,
     mape_weighting: bool = False,
+    gate: Column | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Rows ready for MLlib: numeric inputs, coded categories, label, weight, split."""
-    coded = encode_categories(add_holdout(df, valid_days, scope), list(categories))
+    """Rows ready for MLlib: numeric inputs, coded categories, label, weight, split.
+
+    With `gate` only the pairs whose row counts pass it take part.
+    """
+    split = add_holdout(df, valid_days, scope)
+    if gate is not None:
+        split = split.join(gated_pairs(split, gate), PAIR, "left_semi")
+    coded = encode_categories(split, list(categories))
     codes = [f"{c}_code" for c in categories]
     inputs = [*features, *codes]
     frame = coded.withColumns({c: coerce_feature(F.col(c)) for c in inputs}).select(

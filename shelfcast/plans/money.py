@@ -120,11 +120,28 @@ def impact_columns(
     )
 
 
+# Columns of the impact report, in order.
 IMPACT_COLUMNS = [
-    *["store_nbr", "family", "daily_mean", "naive_MAPE_%", "model_MAPE_%"],
-    *["sigma_naive", "sigma_model", "SS_naive", "SS_model", "ROP_naive", "ROP_model"],
-    *["price", "margin_rate", "holding_cost", "under_cost_naive", "under_cost_model"],
-    *["over_cost_naive", "over_cost_model", "savings_under", "savings_over_per_day"],
+    "store_nbr",
+    "family",
+    "daily_mean",
+    "naive_MAPE_%",
+    "model_MAPE_%",
+    "sigma_naive",
+    "sigma_model",
+    "SS_naive",
+    "SS_model",
+    "ROP_naive",
+    "ROP_model",
+    "price",
+    "margin_rate",
+    "holding_cost",
+    "under_cost_naive",
+    "under_cost_model",
+    "over_cost_naive",
+    "over_cost_model",
+    "savings_under",
+    "savings_over_per_day",
 ]
 
 

@@ -11,8 +11,15 @@ from shelfcast.operators.evaluate import add_wmape, tail_totals
 from shelfcast.operators.select import members, recent, worst
 from shelfcast.schemas import PAIR
 
+# Columns of the leaderboard, in order.
 LEADERBOARD_COLUMNS = [
-    *["store_nbr", "family", "MAE", "MAPE_%", "wMAPE_%_est", "NAIVE_LAG7_MAE", "NAIVE_MA7_MAE"]
+    "store_nbr",
+    "family",
+    "MAE",
+    "MAPE_%",
+    "wMAPE_%_est",
+    "NAIVE_LAG7_MAE",
+    "NAIVE_MA7_MAE",
 ]
 
 

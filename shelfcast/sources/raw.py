@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,22 +102,34 @@ def prices_template(
     )
 
 
-def is_transactions(df: DataFrame | None) -> bool:
-    return df is not None and "transactions" in df.columns
-
-
-def is_oil(df: DataFrame | None) -> bool:
-    return df is not None and bool({"dcoilwtico", "oil_price"} & set(df.columns))
-
-
-def is_holidays(df: DataFrame | None) -> bool:
-    return df is not None and bool({"locale", "type", "transferred"} & set(df.columns))
+# Columns that mark the role of an optional table.
+ROLE_MARKERS: dict[str, list[str]] = {
+    "holidays": ["locale", "type", "transferred"],
+    "transactions": ["transactions"],
+    "oil": ["dcoilwtico", "oil_price"],
+}
 
 
 def order_exogenous(
     holidays: DataFrame | None, transactions: DataFrame | None, oil: DataFrame | None
 ) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
-    """Accept (transactions, oil, holidays) as well; roles are told apart by columns."""
-    if is_transactions(holidays) and is_oil(transactions) and is_holidays(oil):
-        return oil, holidays, transactions
-    return holidays, transactions, oil
+    """The three tables in the order of their roles, whatever the order they came in.
+
+    Tables that all carry a marker of the role they were given for stay there, and so do
+    incomplete sets. Else the one assignment under which every table has a marker is taken;
+    several possible ones are an error, none leaves the tables as given.
+    """
+    given = [holidays, transactions, oil]
+    if any(t is None for t in given):
+        return holidays, transactions, oil
+
+    def fits(tables) -> bool:
+        marks = ROLE_MARKERS.values()
+        return all(not set(m).isdisjoint(t.columns) for m, t in zip(marks, tables))
+
+    if fits(given):
+        return holidays, transactions, oil
+    found = [order for order in permutations(given) if fits(order)]
+    if len(found) > 1:
+        raise ValueError("the roles of the optional tables are ambiguous")
+    return found[0] if found else (holidays, transactions, oil)

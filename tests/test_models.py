@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -260,3 +263,24 @@ def test_stream_scoring(spark, requests, registry):
     assert got == want
 
 
+
+
+def test_ridge_runs_without_the_package_on_workers(tmp_path):
+    """Workers that cannot import the package still solve the ridge regressions."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "driver.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {repo!r})
+from shelfcast.session import build_session
+from shelfcast.plans import models
+spark = build_session("away", "local[2]", spark__ui__enabled="false")
+rows = [(1, "a", float(i), 2.0 * i + 1.0) for i in range(20)]
+df = spark.createDataFrame(rows, "store_nbr int, family string, x double, sales double")
+from pyspark.sql import functions as F
+row = models.fit_ridge(df, ["x"], F.lit(True), alpha=1e-9).first()
+assert abs(row.weights[0] - 2) < 1e-6 and abs(row.intercept - 1) < 1e-6
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -111,15 +111,38 @@ def test_leaderboard(spark, metrics):
     assert len(only) == 1 and only[0]["wMAPE_%_est"] is None
 
 
+def test_resampled_errors_count_empty_bins(spark):
+    held = series(spark, {(1, "a"): [4.0] * 10}).filter("date < '2024-01-04'")
+    later = series(spark, {(1, "a"): [6.0]}, start=70)
+    held = held.unionByName(later).withColumn("y_pred", F.col("sales") + 2)
+    # January 12 against 18, February empty, March 6 against 8
+    month = compare.resampled_errors(held, "M").first()
+    assert month.MAE == pytest.approx((6 + 0 + 2) / 3)
+    assert month["MAPE_%"] == pytest.approx((6 / 12 + 0 + 2 / 6) / 3 * 100)
+    assert compare.resampled_errors(held, "M", skip_empty=True).first().MAE == pytest.approx(4)
+    assert compare.resampled_errors(held, "W").first().MAE == pytest.approx(8 / 11)
+
+
 def test_model_comparison(spark):
     tail = series(spark, {(1, "a"): [10, 20], (1, "b"): [1, 1], (1, "c"): [30, 30]})
     tail = tail.withColumns(
         {"p": F.col("sales") + 2, "q": F.when(F.col("family") != "c", F.col("sales") - 1)}
     )
-    out = compare.compare_on_tail(tail, "p", "q", min_tail_sales=5)
+    pairs = spark.createDataFrame([(1, f) for f in "abcdef"], "store_nbr int, family string")
+    tail = tail.unionByName(
+        series(spark, {(1, "f"): [9]}).withColumns({"p": F.lit(None).cast("double"), "q": F.lit(1.0)})
+    )
+    fitted = pairs.filter("family != 'e'")
+    out = compare.compare_on_tail(pairs, fitted, tail, "p", "q", min_tail_sales=5)
     kept = compare.compared(out).collect()
     assert len(kept) == 1 and kept[0].GAIN_B_vs_A_MAE == 1.0
     reasons = {r.family: r.reason for r in compare.skipped(out).collect()}
-    assert reasons == {"b": "tail_sum<5", "c": "no B prediction"}
+    assert reasons == {
+        "b": "tail_sum<5",
+        "c": "no B prediction",
+        "d": "empty tail",
+        "e": "no A model",
+        "f": "no A prediction",
+    }
     runs = {"m": (spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "MAE double, `MAPE_%` double"), "x")}
     assert tuple(compare.model_summary(runs).first()) == ("m", 2.0, 3.0, "x")

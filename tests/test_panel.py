@@ -88,6 +88,11 @@ def test_table_roles_in_either_order(spark, panel, holidays):
     oil = panel.select("date", F.col("sales").alias("dcoilwtico"))
     assert order_exogenous(tx, oil, holidays) == (holidays, tx, oil)
     assert order_exogenous(holidays, tx, oil) == (holidays, tx, oil)
+    assert order_exogenous(oil, holidays, tx) == (holidays, tx, oil)
+    assert order_exogenous(tx, oil, None) == (tx, oil, None)
+    both = tx.withColumn("oil_price", F.lit(1.0))
+    with pytest.raises(ValueError):
+        order_exogenous(both, holidays, both)
 
 
 def test_calendar_against_python(spark):

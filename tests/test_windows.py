@@ -1,10 +1,13 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import windows as W
+from shelfcast.operators.evaluate import add_baselines
 from shelfcast.operators.windows import Layout, Rolling, add_rolling
-from tests.helpers import DAY0, random_series, rolling_twin, series
+from tests.helpers import DAY0, day, random_series, rolling_twin, series
 
 A, B = (1, "a"), (1, "b")
 
@@ -101,7 +104,18 @@ def test_windows_share_one_exchange(spark):
     assert text.count("Exchange") == 1
 
 
-def test_layout_follows_the_longest_pair(spark):
-    df = series(spark, {A: range(30), B: [1]})
-    assert W.layout_for(df, longest=29).block_rows == W.BLOCK_ROWS
-    assert W.layout_for(df, longest=30).block_rows is None
+def test_rows_of_one_day_have_one_order(spark):
+    rows = [(i, day(i // 3), 1, "a", float(i * i % 17), 0.0) for i in range(60)]
+    names = "id long, date date, store_nbr int, family string, sales double, onpromotion double"
+    answers = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, names).repartition(3)
+        spec = [Rolling("sales", (1, 7), (7,))]
+        pair, blocks = (add_rolling(df, spec, x) for x in (None, Layout(block_rows=16)))
+        frames = [pair, blocks.select(pair.columns), W.last_rows(df, 5), add_baselines(df)]
+        answers.append([sorted(map(tuple, f.collect())) for f in frames])
+        for got, want in zip(answers[-1][1], answers[-1][0]):
+            assert got == pytest.approx(want)
+    assert answers[0][0] == answers[1][0] and answers[0][2:] == answers[1][2:]
+    assert [r[0] for r in answers[0][2]] == [55, 56, 57, 58, 59]
