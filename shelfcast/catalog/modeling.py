@@ -125,6 +125,65 @@ def _(s):
     )
 
 
+TWO = ["onpromotion", "trend"]
+TWO_GROUPS = {"promo": ["onpromotion"], "trend": ["trend"]}
+
+
+@query(
+    "k3_ridge_two_inputs",
+    f"{PAIR_COLS} MAE:f MAPE_%:f",
+    f"""
+SELECT store_nbr, family, {mae_mape("sales", "p")} FROM ridge_held WHERE setting = 'full'
+GROUP BY 1, 2""",
+)
+def _(s):
+    return models.ridge_metrics(s.daily, TWO, VALID_DAYS)
+
+
+@query(
+    "k8_ridge_folds",
+    f"{PAIR_COLS} fold:i MAE:f MAPE_%:f n_fold:l",
+    f"""
+SELECT store_nbr, family, fold, {mae_mape("sales", "p")}, COUNT(*) AS n_fold
+FROM (SELECT d.*, r.w1 * d.onpromotion + r.w2 * d.trend + r.b AS p
+      FROM fold_rows d JOIN ridge_folds r USING (store_nbr, family, fold)
+      WHERE d.in_fold AND r.setting = 'full')
+GROUP BY 1, 2, 3
+HAVING COUNT(*) >= GREATEST(7, CAST(FLOOR(0.05 * MAX(n_rows)) AS BIGINT))""",
+)
+def _(s):
+    return models.ridge_cross_validation(s.daily, TWO, FOLDS, VALID_DAYS, STEP_DAYS)
+
+
+@query(
+    "k10_ablation_two_inputs",
+    f"{PAIR_COLS} setting:s MAE:f MAPE_%:f n_val:l",
+    f"""
+SELECT store_nbr, family, setting, {mae_mape("sales", "p")}, COUNT(*) AS n_val
+FROM ridge_held GROUP BY 1, 2, 3""",
+)
+def _(s):
+    return models.ablation(s.daily, TWO, VALID_DAYS, groups=TWO_GROUPS)
+
+
+@query(
+    "k11_ridge_two_inputs",
+    f"{PAIR_COLS} feature:s mean_abs_effect:f",
+    """
+SELECT store_nbr, family, feature, AVG(ABS(effect)) AS mean_abs_effect
+FROM (SELECT d.store_nbr, d.family, UNNEST(['onpromotion', 'trend']) AS feature,
+             UNNEST([r.w1 * (d.onpromotion - m.m1), r.w2 * (d.trend - m.m2)]) AS effect
+      FROM daily d JOIN ridge_whole r USING (store_nbr, family)
+      JOIN (SELECT store_nbr, family, AVG(onpromotion) AS m1, AVG(trend) AS m2 FROM daily
+            GROUP BY 1, 2) m USING (store_nbr, family)
+      WHERE r.setting = 'full')
+GROUP BY 1, 2, 3""",
+)
+def _(s):
+    params = models.fit_ridge(s.daily, TWO, F.lit(True))
+    return models.linear_attribution(s.daily, params, TWO, s.daily)
+
+
 @query("k4_boosted_trees", f"{PAIR_COLS} MAE:f MAPE_%:f")
 def _(s):
     frame, inputs = written_frame(s, log1p=True, mape_weighting=True)

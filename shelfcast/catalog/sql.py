@@ -51,6 +51,28 @@ SELECT d.*, year(d.date) AS year, month(d.date) AS month, weekofyear(d.date) AS
 FROM (SELECT *, {specs} FROM dims) d LEFT JOIN holiday_distance h ON d.date = h.date"""
 
 
+def ridge_two(source: str, train: str, keys: str, alpha: float = 1.0) -> str:
+    """Closed form of a ridge regression of sales on onpromotion and trend, standardised:
+    (keys, setting, w1, w2, b), with both inputs, without the first, without the second."""
+    live = "s{i} > 1e-9 * GREATEST(1, ABS(m{i})) AND k{i}"
+    return f"""
+SELECT {keys}, setting, w1, w2, my - w1 * m1 - w2 * m2 AS b
+FROM (SELECT *,
+    CASE WHEN l1 AND l2 THEN ((1 + a) * c1 - r * c2) / ((1 + a) * (1 + a) - r * r) / s1
+         WHEN l1 THEN c1 / (1 + a) / s1 ELSE 0 END AS w1,
+    CASE WHEN l1 AND l2 THEN ((1 + a) * c2 - r * c1) / ((1 + a) * (1 + a) - r * r) / s2
+         WHEN l2 THEN c2 / (1 + a) / s2 ELSE 0 END AS w2
+  FROM (SELECT *, {alpha} / n AS a, c12 / NULLIF(s1 * s2, 0) AS r, c1y / NULLIF(s1, 0) AS c1,
+               c2y / NULLIF(s2, 0) AS c2, {live.format(i=1)} AS l1, {live.format(i=2)} AS l2
+        FROM (SELECT {keys}, COUNT(*) AS n, AVG(onpromotion) AS m1, AVG(trend) AS m2,
+                     AVG(sales) AS my, STDDEV_POP(onpromotion) AS s1, STDDEV_POP(trend) AS s2,
+                     COVAR_POP(onpromotion, trend) AS c12, COVAR_POP(onpromotion, sales) AS c1y,
+                     COVAR_POP(trend, sales) AS c2y
+              FROM {source} WHERE {train} GROUP BY {keys}),
+             (VALUES ('full', TRUE, TRUE), ('w/o promo', FALSE, TRUE), ('w/o trend', TRUE, FALSE))
+               AS masks(setting, k1, k2)))"""
+
+
 CTES: dict[str, str] = {
     "panel": """
 SELECT MIN(l.l_orderkey * 10 + l.l_linenumber) AS id, CAST(l.l_shipdate AS DATE) AS date,
@@ -238,6 +260,13 @@ FROM (SELECT *, CASE WHEN "SS_naive" IS NOT NULL
                   FROM tail30 t JOIN strict_ma7 n USING (store_nbr, family)
                   LEFT JOIN metrics m USING (store_nbr, family)
                   LEFT JOIN prices pr USING (family))))""",
+    "ridge_split": ridge_two("split", "NOT is_valid", "store_nbr, family"),
+    "ridge_whole": ridge_two("daily", "TRUE", "store_nbr, family"),
+    "ridge_folds": ridge_two("fold_rows", "NOT in_fold", "store_nbr, family, fold"),
+    "ridge_held": """
+SELECT s.store_nbr, s.family, r.setting, s.sales, r.w1 * s.onpromotion + r.w2 * s.trend + r.b AS p
+FROM split s JOIN gate USING (store_nbr, family) JOIN ridge_split r USING (store_nbr, family)
+WHERE s.is_valid""",
     "recent_rows": f"""
 SELECT * FROM panel WHERE date >= (SELECT MAX(date) FROM panel) - {RECENT_DAYS - 1}""",
     "recent_valid": f"""

@@ -196,7 +196,9 @@ def _upper(k: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
-def ridge_sums(df: DataFrame, features: Sequence[str], is_train: Column) -> DataFrame:
+def ridge_sums(
+    df: DataFrame, features: Sequence[str], is_train: Column, keys: Sequence[str] = PAIR
+) -> DataFrame:
     """Per pair: row count, sums of x, y, the upper triangle of X'X, and X'y.
 
     Plain sums with a map-side part: one row per task and pair is shuffled, and
@@ -204,14 +206,16 @@ def ridge_sums(df: DataFrame, features: Sequence[str], is_train: Column) -> Data
     """
     x = [coerce_feature(F.col(c)) for c in features] + [F.col("sales")]
     rows = df.filter(is_train & F.col("sales").isNotNull())
-    return rows.groupBy(*PAIR).agg(
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(v) for v in x]).alias("s"),
         F.array(*[F.sum(x[i] * x[j]) for i, j in _upper(len(x))]).alias("g"),
     )
 
 
-def ridge_weights(sums: DataFrame, masks: dict[str, list[bool]], alpha: float) -> DataFrame:
+def ridge_weights(
+    sums: DataFrame, masks: dict[str, list[bool]], alpha: float, keys: Sequence[str] = PAIR
+) -> DataFrame:
     """Solve every pair once per mask: (pair, setting, weights, intercept)."""
     settings = {name: np.array(mask, dtype=bool) for name, mask in masks.items()}
 
@@ -252,12 +256,12 @@ def ridge_weights(sums: DataFrame, masks: dict[str, list[bool]], alpha: float) -
 
     k = len(next(iter(masks.values())))
     solved = sums.select(
-        *PAIR,
+        *keys,
         F.posexplode(solve("n", "s", "g")).alias("pos", "w"),
     )
     names = F.array(*[F.lit(n) for n in masks])
     return solved.select(
-        *PAIR,
+        *keys,
         F.element_at(names, F.col("pos") + 1).alias("setting"),
         F.slice("w", 1, k).alias("weights"),
         F.element_at("w", k + 1).alias("intercept"),
@@ -292,6 +296,51 @@ def ridge_metrics(
     return error_metrics(score_linear(held, params, features), {"": "y_pred"})
 
 
+def ridge_cross_validation(
+    df: DataFrame,
+    features: Sequence[str],
+    folds: int,
+    valid_days: int = 28,
+    step_days: int = 28,
+    alpha: float = 1.0,
+) -> DataFrame:
+    """MAE and MAPE of the ridge model per pair and fold, trained on the rows outside.
+
+    The sums outside a fold are those of the whole pair minus those of the fold, so every
+    row is summed once, and again for each fold that holds it.
+    """
+    keys = [*PAIR, "fold"]
+    inside = inside_folds(with_last(df), folds, valid_days, step_days)
+    whole = ridge_sums(df, features, F.lit(True)).toDF(*PAIR, "all_n", "all_s", "all_g")
+    own = ridge_sums(inside, features, F.lit(True), keys)
+
+    def minus(whole_sum: str, fold_sum: str) -> Column:
+        return F.zip_with(whole_sum, fold_sum, lambda a, b: a - b)
+
+    outside = own.join(whole, PAIR).select(
+        *keys,
+        (F.col("all_n") - F.col("n")).alias("n"),
+        minus("all_s", "s").alias("s"),
+        minus("all_g", "g").alias("g"),
+    )
+    masks = {"full": [True] * len(features)}
+    weights = ridge_weights(outside.filter("n > 0"), masks, alpha, keys).drop("setting")
+    vector = F.array(*[coerce_feature(F.col(c)) for c in features])
+    scored = inside.join(weights, keys).withColumn(
+        "p", linear_score(vector, F.col("weights"), F.col("intercept"))
+    )
+    return (
+        scored.groupBy(*keys)
+        .agg(
+            M.mae(F.col("sales"), F.col("p")).alias("MAE"),
+            M.mape(F.col("sales"), F.col("p")).alias("MAPE_%"),
+            F.count(F.lit(1)).alias("n_fold"),
+            F.first("n_rows").alias("n_rows"),
+        )
+        .filter(fold_gate())
+    )
+
+
 def ablation(
     df: DataFrame,
     features: Sequence[str],
