@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.catalog.base import query
 from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, STEP_DAYS, VALID_DAYS
-from shelfcast.catalog.sql import mae_mape
+from shelfcast.catalog.sql import ape, mae_mape
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import windows as W
 from shelfcast.operators.split import forest_gate
@@ -215,6 +215,69 @@ def _(s):
     return E.error_metrics(models.predict_global(model, frame.filter("is_valid")), {"": "y_pred"})
 
 
+def _by_promotion(s):
+    """One binary input: a single split, or a saturated regression, predicts group means."""
+    rows = s.daily.withColumn("promo", (F.col("onpromotion") > 0).cast("double"))
+    frame, inputs = models.model_frame(rows, ["promo"], (), VALID_DAYS)
+    return materialize(frame, "promo-frame"), inputs
+
+
+_GROUP_MEANS = f"SELECT store_nbr, family, {mae_mape('sales', 'p')} FROM promo_held GROUP BY 1, 2"
+
+
+@query("k4_one_round", f"{PAIR_COLS} MAE:f MAPE_%:f", _GROUP_MEANS)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    trees = models.boosted_trees(inputs, max_iter=1, depth=1, subsample=1.0)
+    model = models.fit_global(frame, trees, uses_holdout=True)
+    return E.error_metrics(models.predict_global(model, frame.filter("is_valid")), {"": "y_pred"})
+
+
+@query("k5_one_split", f"{PAIR_COLS} MAE:f MAPE_%:f", _GROUP_MEANS)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    tree = models.random_forest(inputs, trees=1, depth=1, bootstrap=False)
+    model = models.fit_global(frame, tree)
+    return E.error_metrics(models.predict_global(model, frame.filter("is_valid")), {"": "y_pred"})
+
+
+@query("k6_saturated", f"{PAIR_COLS} MAE:f MAPE_%:f", _GROUP_MEANS)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    model = models.fit_global(frame, models.generalized_linear(inputs, "poisson", reg=0.0))
+    return E.error_metrics(models.predict_global(model, frame.filter("is_valid")), {"": "y_pred"})
+
+
+@query(
+    "k9_search_one_round",
+    "trial:i best_iteration:i MAE:f",
+    "SELECT t AS trial, 1 AS best_iteration, mae AS \"MAE\" FROM (SELECT AVG(ABS(sales - p)) AS mae"
+    " FROM promo_held), (SELECT UNNEST([0, 1]) AS t)",
+)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    setting = {"max_iter": 1, "step": 0.1, "depth": 1, "subsample": 1.0}
+    return models.search(frame, inputs, [setting, {**setting, "depth": 2}])
+
+
+@query(
+    "d5_global_summary",
+    "model:s MAE:f MAPE:f size_hint:s",
+    f"""
+SELECT 'one split' AS model, AVG(ABS(sales - p)) AS "MAE", AVG({ape("sales", "p")}) * 100 AS "MAPE",
+       'one tree' AS size_hint FROM promo_held
+UNION ALL SELECT 'trend per pair', AVG("MAE"), AVG("MAPE_%"), 'row per pair' FROM metrics""",
+)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    model = models.fit_global(frame, models.random_forest(inputs, trees=1, depth=1, bootstrap=False))
+    held = models.predict_global(model, frame.filter("is_valid"))
+    # a global model is judged over all of its holdout rows at once
+    overall = E.error_metrics(held, {"": "y_pred"}, keys=())
+    runs = {"one split": (overall, "one tree"), "trend per pair": (s.metrics, "row per pair")}
+    return compare.model_summary(runs)
+
+
 @query("k7_residual_quantiles", f"{PAIR_COLS} quantile:f shift:f", "SELECT * FROM residual_shift")
 def _(s):
     return models.residual_quantiles(s.split, s.fit, ~F.col("is_valid"))

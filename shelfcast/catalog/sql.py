@@ -260,6 +260,13 @@ FROM (SELECT *, CASE WHEN "SS_naive" IS NOT NULL
                   FROM tail30 t JOIN strict_ma7 n USING (store_nbr, family)
                   LEFT JOIN metrics m USING (store_nbr, family)
                   LEFT JOIN prices pr USING (family))))""",
+    "promo_rows": f"""
+SELECT *, CASE WHEN onpromotion > 0 THEN 1 ELSE 0 END AS promo,
+       date >= (SELECT MAX(date) FROM daily) - {VALID_DAYS - 1} AS is_valid FROM daily""",
+    "promo_held": """
+SELECT h.*, m.p FROM promo_rows h
+JOIN (SELECT promo, AVG(sales) AS p FROM promo_rows WHERE NOT is_valid GROUP BY 1) m USING (promo)
+WHERE h.is_valid""",
     "ridge_split": ridge_two("split", "NOT is_valid", "store_nbr, family"),
     "ridge_whole": ridge_two("daily", "TRUE", "store_nbr, family"),
     "ridge_folds": ridge_two("fold_rows", "NOT in_fold", "store_nbr, family, fold"),

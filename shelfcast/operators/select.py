@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shelfcast.functions.vectors import coerce_feature
 from shelfcast.schemas import PAIR
+from shelfcast.session import materialize
 
 
 def drop_null_target(df: DataFrame, target: str = "sales") -> DataFrame:
@@ -90,25 +91,22 @@ def edge_store_pairs(
 
 
 def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
-    """Vocabulary of a column with codes 0..k-1 in value order.
+    """Vocabulary of a column with codes 0..k-1 in value order, for any type that sorts.
 
-    Values are reduced to a distinct list, ranked inside their two-character
-    prefix, and the prefixes get running offsets, so no task ranks the whole
-    vocabulary.
+    The distinct values are range-partitioned and written, so that the ranges stay as they
+    are; each is ranked by itself, and the ranges get running offsets from their counts.
     """
     words = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    if not isinstance(df.schema[column].dataType, T.StringType):
-        # numbers: buckets of the value keep its order
-        words = words.withColumn("_bucket", F.floor(F.col("value") / 1024))
-    else:
-        words = words.withColumn("_bucket", F.substring("value", 1, 2))
-    sizes = words.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_o"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("value"))
+    ranges = words.repartitionByRange("value").withColumn("_range", F.spark_partition_id())
+    ranges = materialize(ranges, "vocabulary")
+    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range
+    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_o"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("value"))
     return (
-        words.withColumn("_r", rank)
-        .join(offsets, "_bucket")
+        ranges.withColumn("_r", rank)
+        .join(offsets, "_range")
         .select("value", (F.col("_o") + F.col("_r") - 1).cast("int").alias("code"))
     )
 

@@ -497,7 +497,12 @@ def boosted_trees(
 
 
 def random_forest(
-    inputs: Sequence[str], trees: int = 500, depth: int = 12, leaf: int = 3, seed: int = 42
+    inputs: Sequence[str],
+    trees: int = 500,
+    depth: int = 12,
+    leaf: int = 3,
+    seed: int = 42,
+    bootstrap: bool = True,
 ) -> Pipeline:
     forest = RandomForestRegressor(
         featuresCol="inputs",
@@ -505,6 +510,7 @@ def random_forest(
         numTrees=trees,
         maxDepth=depth,
         minInstancesPerNode=leaf,
+        bootstrap=bootstrap,
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
