@@ -52,7 +52,11 @@ def _(s):
     folder, out = fresh_path(s.spark, "requests"), fresh_path(s.spark, "answers")
     s.requests.write.parquet(folder)
     registry = materialize(s.point_registry, "registry")
-    stream.score_stream(stream.read_requests(s.spark, folder), registry, out).awaitTermination()
+    state = fresh_path(s.spark, "stream-state")
+    for _ in range(2):
+        # the second start finds nothing new and must add nothing
+        requests = stream.read_requests(s.spark, folder)
+        stream.score_stream(requests, registry, out, state).awaitTermination()
     return s.spark.read.parquet(out)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from shelfcast import schemas
 from shelfcast.catalog.base import query
 from shelfcast.catalog.settings import RECENT_DAYS, VALID_DAYS
 from shelfcast.functions import text
@@ -14,6 +17,8 @@ from shelfcast.operators import split as X
 from shelfcast.plans import features as FT
 from shelfcast.plans import models
 from shelfcast.plans.features import make_features
+from shelfcast.session import fresh_path
+from shelfcast.sources import warehouse
 from shelfcast.sources.raw import order_exogenous
 
 KEY = "date:d store_nbr:i family:s"
@@ -98,6 +103,17 @@ def _(s):
     return S.only_pair(s.panel, 7, "ECONOMY")
 
 
+@query(
+    "b6_pruned_pair",
+    f"{KEY} sales:f",
+    "SELECT date, store_nbr, family, sales FROM panel WHERE store_nbr = 7 AND family = 'ECONOMY'",
+)
+def _(s):
+    root = fresh_path(s.spark, "wh")
+    path = warehouse.write_parquet(s.panel, root, "train", warehouse.PARTITIONING["train"])
+    return S.only_pair(warehouse.read_parquet(s.spark, path, schemas.TRAIN), 7, "ECONOMY")
+
+
 @query("b7_recent", f"{KEY} sales:f", "SELECT date, store_nbr, family, sales FROM recent_rows")
 def _(s):
     return S.recent(s.panel, RECENT_DAYS)
@@ -359,6 +375,26 @@ def _(s):
     )
 
 
+@query(
+    "b20_parse_names",
+    "name:s users:l",
+    """
+SELECT name, COUNT(*) AS users
+FROM (SELECT user_id, UNNEST(LIST_DISTINCT([TRIM(x) FOR x IN STRING_SPLIT(names, ',')
+             IF TRIM(x) <> ''])) AS name
+      FROM (SELECT user_id, event_type || ' , ,' || event_type || ', u' || CAST(user_id % 7 AS VARCHAR)
+                   AS names FROM events))
+GROUP BY 1""",
+)
+def _(s):
+    # a list with an empty entry and a repeated one
+    names = F.concat(
+        "event_type", F.lit(" , ,"), "event_type", F.lit(", u"), (F.col("user_id") % 7).cast("string")
+    )
+    parsed = s.table("events").select(F.explode(text.parse_names(names)).alias("name"))
+    return parsed.groupBy("name").agg(F.count(F.lit(1)).alias("users"))
+
+
 @query(
     "b21_target_transforms",
     f"{KEY} log_sales:f back:f weight:f",
@@ -377,25 +413,35 @@ def _(s):
     )
 
 
+def _remaining(group: str) -> list[str]:
+    gone = {*FT.NOT_FEATURES, *FT.FEATURE_GROUPS[group]}
+    return [c for c in FT.FEATURE_COLUMNS if c not in gone]
+
+
 @query(
     "b22_feature_groups",
-    "feature_group:s n_features:i n_rows:l",
+    "feature_group:s n_features:i n_rows:l n_values:l",
     " UNION ALL ".join(
-        f"SELECT '{g}' AS feature_group,"
-        f" {len([c for c in FT.FEATURE_COLUMNS if c not in {*FT.NOT_FEATURES, *cols}])} AS n_features,"
-        " COUNT(*) AS n_rows FROM panel"
-        for g, cols in FT.FEATURE_GROUPS.items()
+        f"SELECT '{g}' AS feature_group, {len(_remaining(g))} AS n_features, COUNT(*) AS n_rows,"
+        f" {' + '.join(f'COUNT({c})' for c in _remaining(g))} AS n_values FROM feature_rows"
+        for g in FT.FEATURE_GROUPS
     ),
 )
 def _(s):
     df = make_features(s.panel, s.holidays, s.transactions, s.oil, s.stores)
-    sizes = F.array(
-        *[
+    # counts of all columns in one pass; a group's row sums those of what it leaves
+    counts = df.agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in FT.feature_columns(df)]
+    )
+    entries = []
+    for group in FT.FEATURE_GROUPS:
+        left = FT.feature_columns(FT.drop_feature_group(df, group))
+        values = reduce(lambda a, b: a + b, [F.col(f"n_{c}") for c in left])
+        entries.append(
             F.struct(
-                F.lit(g).alias("feature_group"),
-                F.lit(len(FT.feature_columns(FT.drop_feature_group(df, g)))).alias("n_features"),
+                F.lit(group).alias("feature_group"),
+                F.lit(len(left)).alias("n_features"),
+                values.alias("n_values"),
             )
-            for g in FT.FEATURE_GROUPS
-        ]
-    )
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.inline(sizes), "n_rows")
+        )
+    return counts.select(F.inline(F.array(*entries)), "n_rows")
\ No newline at end of file

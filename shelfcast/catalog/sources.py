@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast import schemas
@@ -23,7 +26,34 @@ def _(s):
     return raw.read_raw_table(s.spark, folder, "train")
 
 
-@query("a2_validate_inputs", "file:s status:s missing:s")
+_RAW_COUNTS = """
+SELECT 'train' AS table_name, COUNT(*) AS n, MIN(date) AS first, MAX(date) AS last FROM panel
+UNION ALL SELECT 'transactions', COUNT(*), MIN(date), MAX(date) FROM transactions
+UNION ALL SELECT 'oil', COUNT(*), MIN(date), MAX(date) FROM oil
+UNION ALL SELECT 'holidays_events', COUNT(*), MIN(date), MAX(date) FROM holidays_events
+UNION ALL SELECT 'stores', COUNT(*), NULL, NULL FROM stores"""
+
+
+@query("a1_read_raw_all", "table_name:s n:l first:d last:d", _RAW_COUNTS)
+def _(s):
+    folder = fresh_path(s.spark, "raw")
+    warehouse.write_raw_csv(s.raw_tables(), folder)
+    parts = []
+    for name, df in raw.read_raw(s.spark, folder).items():
+        date = F.col("date") if "date" in df.columns else F.lit(None).cast("date")
+        dated = df.agg(F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last"))
+        parts.append(dated.withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_FILES = "train", "transactions", "oil", "holidays_events", "stores"
+
+
+@query(
+    "a2_validate_inputs",
+    "file:s status:s missing:s",
+    f"SELECT UNNEST({[f'{name}.csv' for name in _FILES]}) AS file, 'OK' AS status, '' AS missing",
+)
 def _(s):
     folder = fresh_path(s.spark, "raw")
     warehouse.write_raw_csv(s.raw_tables(), folder)
@@ -85,6 +115,21 @@ def _(s):
     return raw.read_sales(s.spark, f"{folder}/features", folder)
 
 
+@query("a7_feature_source", "date:d store_nbr:i family:s sales:f trend:i", "SELECT * FROM daily")
+def _(s):
+    root = fresh_path(s.spark, "wh")
+    path = warehouse.write_features(s.features, root)
+    return raw.read_sales(s.spark, path, f"{root}/none")
+
+
+@query("a8_limited_read", "n:l", "SELECT LEAST(1000, COUNT(*)) AS n FROM panel")
+def _(s):
+    folder = fresh_path(s.spark, "raw")
+    warehouse.write_raw_csv({"train": s.panel}, folder)
+    read = raw.read_raw_table(s.spark, folder, "train", nrows=1000)
+    return read.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "a8_pruned_read",
     "family:s n:l",

@@ -141,19 +141,25 @@ def _(s):
     "e11_sequences",
     f"{KEY} sales:f steps:i first_sales:f last_sales:f checksum:f",
     """
-SELECT date, store_nbr, family, sales, n AS steps, first_sales, last_sales, total AS checksum
+SELECT date, store_nbr, family, sales, n AS steps, first_sales, last_sales,
+       placed - (rn - 31) * total AS checksum
 FROM (SELECT *, COUNT(*) OVER w AS n, FIRST_VALUE(sales) OVER w AS first_sales,
-             LAST_VALUE(sales) OVER w AS last_sales, SUM(sales + 3 * onpromotion) OVER w AS total
-      FROM panel
+             LAST_VALUE(sales) OVER w AS last_sales, SUM(v) OVER w AS total,
+             SUM(v * rn) OVER w AS placed
+      FROM (SELECT *, sales + 3 * onpromotion AS v,
+                   ROW_NUMBER() OVER (PARTITION BY store_nbr, family ORDER BY date) AS rn
+            FROM panel)
       WINDOW w AS (PARTITION BY store_nbr, family ORDER BY date
                    ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))
 WHERE n = 30""",
 )
 def _(s):
     df = W.add_sequences(s.panel, ["sales", "onpromotion"], 30)
-    total = F.aggregate(
-        "sequence", F.lit(0.0), lambda acc, v: acc + F.element_at(v, 1) + 3 * F.element_at(v, 2)
+    # each step weighs its place, so the order of the steps counts
+    weighted = F.transform(
+        "sequence", lambda v, i: (i + 1) * (F.element_at(v, 1) + 3 * F.element_at(v, 2))
     )
+    total = F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
     return df.select(
         "date",
         "store_nbr",

@@ -74,9 +74,9 @@ def write_features(features: DataFrame, root: str) -> str:
 
 
 def write_metrics(metrics: DataFrame, path: str) -> str:
-    """Metric table as CSV, best MAE first inside every file."""
+    """Metric table as CSV, best MAE first over all files in the order of their names."""
     (
-        metrics.sortWithinPartitions("MAE", *schemas.PAIR)
+        metrics.orderBy("MAE", *schemas.PAIR)
         .write.mode("overwrite")
         .option("header", True)
         .csv(path)

@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.functions.vectors import FEATURE_MAP
 from shelfcast.plans.scoring import score_requests
-from shelfcast.session import fresh_path
 
 REQUEST_DDL = f"store_nbr int, family string, date date, request {FEATURE_MAP.simpleString()}"
 
@@ -20,13 +19,19 @@ def read_requests(spark: SparkSession, folder: str, files_per_trigger: int = 100
     )
 
 
-def score_stream(requests: DataFrame, registry: DataFrame, out: str) -> StreamingQuery:
-    """Stream-static join, exactly once into parquet; drains what is there and stops."""
+def score_stream(
+    requests: DataFrame, registry: DataFrame, out: str, state: str
+) -> StreamingQuery:
+    """Stream-static join, exactly once into parquet; drains what is there and stops.
+
+    `state` is the folder of the stream's own progress: a later start with the same folder
+    goes on after the last request that was answered.
+    """
     return (
         score_requests(requests, registry)
         .writeStream.format("parquet")
         .option("path", out)
-        .option("checkpointLocation", fresh_path(requests.sparkSession, "stream-state"))
+        .option("checkpointLocation", state)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

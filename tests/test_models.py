@@ -250,14 +250,18 @@ def test_backtest(frame, registry):
     assert all(r.p90 >= r.p50 for r in got)
 
 
-def test_stream_scoring(spark, requests, registry):
+def test_stream_scoring(spark, requests, registry, tmp_path):
     from shelfcast.session import fresh_path, materialize
     from shelfcast.streaming import scoring as stream
 
     folder, out = fresh_path(spark, "requests"), fresh_path(spark, "answers")
     requests.write.parquet(folder)
     models = materialize(registry, "registry")
-    stream.score_stream(stream.read_requests(spark, folder), models, out).awaitTermination()
+    state = str(tmp_path / "state")
+    for _ in range(2):
+        arriving = stream.read_requests(spark, folder)
+        stream.score_stream(arriving, models, out, state).awaitTermination()
+    assert spark.read.parquet(out).count() == requests.count()
     got = {r.store_nbr: r.pred_qty for r in spark.read.parquet(out).collect()}
     want = {r.store_nbr: r.pred_qty for r in scoring.score_requests(requests, registry).collect()}
     assert got == want
