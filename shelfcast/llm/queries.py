@@ -14,6 +14,7 @@ from shelfcast.llm import (
     langid,
     lines,
     ngram,
+    quality,
     secrets,
     simhash,
     substrings,
@@ -68,6 +69,15 @@ def op3_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = quality.train(docs, read_table(spark, folder, "labels"))
+    found = quality.score_documents(docs, model)
+    keep = (F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5)
+    return found.select("doc_id", "quality_score", "toxic_score", keep.alias("keep"))
+
+
 @_register
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"))
