@@ -355,3 +355,15 @@ def _(s):
 )
 def _(s):
     return s.panel.select(*PAIR).distinct()
+
+
+@query(
+    "d21_impute_all",
+    "store_nbr:i date:d units:f n_tickets:i",
+    """
+SELECT p.store_nbr, p.date, SUM(p.sales) AS units,
+       CAST(LEAST(GREATEST(MAX(t.transactions), 2), 30) AS INTEGER) AS n_tickets
+FROM panel p JOIN transactions t ON p.store_nbr = t.store_nbr AND p.date = t.date GROUP BY 1, 2""",
+)
+def _(s):
+    return R.impute_transactions(R.sales_with_transactions(s.panel, s.transactions), 2, 30)

@@ -160,6 +160,17 @@ def _(s):
     return money.add_prices(pairs, rows).join(plain, PAIR)
 
 
+@query(
+    "c12_prices_all",
+    "store_nbr:i family:s price:f margin_rate:f holding_cost:f",
+    """
+SELECT p.store_nbr, p.family, f.price, f.margin_rate, f.holding_cost
+FROM (SELECT DISTINCT store_nbr, family FROM panel) p JOIN prices f USING (family)""",
+)
+def _(s):
+    return money.add_prices(s.panel.select(*PAIR).distinct(), s.prices)
+
+
 BOARD = 'store_nbr:i family:s MAE:f N:l SUM_Y:f wMAPE_%_est:f'
 
 

@@ -347,7 +347,7 @@ def _(s):
     """
 SELECT q.store_nbr, q.family, 'trend' AS feature, AVG(ABS(f.slope * (q.trend - m.mu)))
        AS mean_abs_effect
-FROM requests q JOIN fit f USING (store_nbr, family)
+FROM tail_rows q JOIN fit f USING (store_nbr, family)
 JOIN (SELECT store_nbr, family, AVG(trend) AS mu FROM daily GROUP BY 1, 2) m
   USING (store_nbr, family)
 GROUP BY 1, 2""",
@@ -459,7 +459,7 @@ def _(s):
 SELECT q.date, q.store_nbr, q.family, q.sales, q.pred_qty,
        q.pred_qty + a.shift AS p50, q.pred_qty + b.shift AS p90
 FROM (SELECT r.*, p.intercept + p.slope * r.trend AS pred_qty
-      FROM requests r JOIN point_registry p USING (store_nbr, family)) q
+      FROM tail_rows r JOIN point_registry p USING (store_nbr, family)) q
 JOIN residual_shift a ON q.store_nbr = a.store_nbr AND q.family = a.family AND a.quantile = 0.5
 JOIN residual_shift b ON q.store_nbr = b.store_nbr AND q.family = b.family AND b.quantile = 0.9""",
 )

@@ -245,6 +245,19 @@ def _(s):
     return S.encode_categories(df, ["store_nbr", "family", "city", "is_promo"])
 
 
+@query(
+    "b13_encode_all",
+    f"{KEY} city_code:i type_code:i",
+    """
+SELECT date, store_nbr, family, DENSE_RANK() OVER (ORDER BY city) - 1 AS city_code,
+       DENSE_RANK() OVER (ORDER BY type) - 1 AS type_code
+FROM panel JOIN stores USING (store_nbr)""",
+)
+def _(s):
+    df = s.panel.join(s.stores.select("store_nbr", "city", "type"), "store_nbr")
+    return S.encode_categories(df, ["city", "type"])
+
+
 @query(
     "b14_null_handling",
     f"{KEY} oil_clean:f oil_filled:f sales_per_promo:f",

@@ -218,7 +218,8 @@ WHERE slope IS NOT NULL""",
     "quantile_registry": """
 SELECT r.store_nbr, r.family, q.quantile, r.slope, r.intercept + q.shift AS intercept
 FROM point_registry r JOIN residual_shift q USING (store_nbr, family)""",
-    "requests": f"""
+    "requests": "SELECT store_nbr, family, date, trend, sales FROM daily",
+    "tail_rows": f"""
 SELECT store_nbr, family, date, trend, sales FROM (
   SELECT *, ROW_NUMBER() OVER ({_PAIR} ORDER BY date DESC) AS rn FROM daily) WHERE rn <= 30""",
     "scored": """
@@ -227,7 +228,7 @@ SELECT q.*, r.intercept + r.slope * q.trend AS pred_qty,
 FROM requests q LEFT JOIN point_registry r USING (store_nbr, family)""",
     "tail30": """
 SELECT store_nbr, family, AVG(sales) AS daily_mean, STDDEV_SAMP(sales) AS sd, COUNT(*) AS n
-FROM requests GROUP BY 1, 2""",
+FROM tail_rows GROUP BY 1, 2""",
     "strict_ma7": f"""
 SELECT store_nbr, family,
        CASE WHEN MAX(n) >= {VALID_DAYS + 8}

@@ -11,7 +11,6 @@ from shelfcast.catalog.settings import FOLDS, STEP_DAYS, VALID_DAYS
 from shelfcast.operators import panel as P
 from shelfcast.operators.evaluate import add_baselines
 from shelfcast.operators.split import add_holdout
-from shelfcast.operators.windows import last_rows
 from shelfcast.plans import models
 from shelfcast.plans.features import add_dimensions, make_features
 from shelfcast.plans.scoring import registry_from_trend, request_from_features
@@ -82,5 +81,5 @@ class Study(Retail):
 
     @cached_property
     def requests(self) -> DataFrame:
-        """Scoring requests: the last 30 rows of every pair as feature maps."""
-        return request_from_features(last_rows(self.daily, 30), ["trend"])
+        """Scoring requests: every row of every pair as a feature map."""
+        return request_from_features(self.daily, ["trend"])

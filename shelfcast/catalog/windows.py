@@ -82,7 +82,7 @@ def _(s):
     return add_rolling(s.panel, [FT.TARGET], Layout(boundary="carry", block_rows=1000))
 
 
-@query("e6_tail", f"{KEY} sales:f", "SELECT date, store_nbr, family, sales FROM requests")
+@query("e6_tail", f"{KEY} sales:f", "SELECT date, store_nbr, family, sales FROM tail_rows")
 def _(s):
     return W.last_rows(s.panel, 30)
 
