@@ -8,16 +8,9 @@ the result; only the named columns are read, so other columns never clash.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import shelfcast.llm
-from shelfcast.session import fresh_path
-
-# executors get the code with the task, wherever the package is installed
-cloudpickle.register_pickle_by_value(shelfcast.llm)
-
 # A-Z to a-z, all other bytes as they are
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BYTE = np.arange(256)
@@ -64,7 +57,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, for n positions at least."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = (n >> 18) + 1 << 18
         for key, factor in (("up", _STEP), ("down", _STEP_INVERSE)):
             row = np.full(size, factor)
             row[0] = 1
@@ -97,6 +90,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths)
 
 
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted unsigned values as differences, all first bytes, then all second bytes, and so
+    on; the high ones are nearly all zero, which Spark's own compression takes out."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+
+
+def unpack_sorted(blob: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(blob, dtype=np.uint8).reshape(width, len(blob) // width)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(kind)[:, 0], dtype=kind)
+
+
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     """Consecutive index ranges whose sizes sum to `limit` or one item."""
     out, first, total = [], 0, 0
@@ -112,10 +118,3 @@ def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
 
 def text_bytes(texts) -> list[bytes]:
     return [t.encode() if t is not None and t == t else b"" for t in texts]
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read back: cuts lineage and survives the loss of executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
