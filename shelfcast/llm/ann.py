@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored
+from shelfcast.llm.storage import stored
 
 CURVES = 24
 WINDOW = 0.02
@@ -75,8 +75,10 @@ def curve_keys(vectors: np.ndarray, curve: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec) of the rows that take part, the vectors as doubles."""
-    vec = F.col(f"`{vec_col}`").cast("array<double>")
+    """(id, vec) of the rows that take part; single precision stays until scores are made."""
+    vec = F.col(f"`{vec_col}`")
+    if vectors.schema[vec_col].dataType.simpleString() != "array<float>":
+        vec = vec.cast("array<double>")
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull())
@@ -100,7 +102,8 @@ def _ordered(classes: DataFrame, curves: int) -> DataFrame:
                 for curve in range(curves):
                     yield batch.assign(curve=curve, key=curve_keys(units, curve))
 
-    columns = "cid long, ids array<long>, vec array<double>, wanted boolean"
+    kind = classes.schema["vec"].dataType.simpleString()
+    columns = f"cid long, ids array<long>, vec {kind}, wanted boolean"
     keyed = classes.mapInPandas(keys, columns + ", curve int, key long")
     parts = keyed.repartitionByRange("curve", "key", "cid").sortWithinPartitions("curve", "key", "cid")
     # written once: the places must not change when a lost part is made again

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import pickle
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -25,7 +26,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import common  # noqa: F401  (registers the code for executors)
+from shelfcast.llm import common
+from shelfcast.llm.storage import share
 
 # stretches kept with their tokens; beyond it the store is emptied and filled again
 KEPT_STRETCHES = 400_000
@@ -285,11 +287,11 @@ def stretches(text: str) -> list[str]:
 
 
 def _per_text(spark: SparkSession, model: BpeModel, kind: str, row: Callable) -> Callable:
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(pickle.loads(shared.value))
         for texts in batches:
             rows = [row(*x) for x in encoder.encoded(list(texts))]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
@@ -319,11 +321,11 @@ def encode_digest(spark: SparkSession, model: BpeModel, text: Column | str) -> C
 
 def decode_ids(spark: SparkSession, model: BpeModel, ids: Column | str) -> Column:
     """Text of an array of ids, special tokens included; unknown ids are left out."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = shared.value
+        m = pickle.loads(shared.value)
         token = {i: t for t, i in m.vocab.items()} | {i: t for t, i in m.special.items()}
         for rows in batches:
             yield pd.Series(

@@ -14,6 +14,7 @@ not listed, though its windows count as hits. Repeated ids are listed once.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
+from shelfcast.llm.storage import share
 
 WINDOW = 10
 # bytes of a shard
@@ -249,7 +251,7 @@ class Benchmark:
         for b in range(blocks):
             part = rows.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect()
             phrases = Phrases.from_items([(r["i"], r["t"]) for r in part], window)
-            self.shared.append(spark.sparkContext.broadcast(phrases))
+            self.shared.append(share(spark, phrases))
             self.first.append(self.first[-1] + len(phrases.sizes))
 
 
@@ -259,13 +261,13 @@ def _per_text(benchmark: Benchmark, kind: str, row: Callable) -> Callable:
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in kind.split(", ")]
-        items = [ids for s in shared for ids in s.value.items]
+        items = [ids for s in shared for ids in pickle.loads(s.value).items]
         for texts in batches:
             blobs = common.text_bytes(texts)
             rows = []
             for first, last in common.slices([len(b) for b in blobs], SHARD):
                 part = blobs[first:last]
-                hits = search_shard(part, zip(numbers, (s.value for s in shared)))
+                hits = search_shard(part, zip(numbers, (pickle.loads(s.value) for s in shared)))
                 for blob, found in zip(part, text_hits(hits, items)):
                     rows.append(row(blob, hits, *found))
             yield pd.DataFrame(rows, columns=names)

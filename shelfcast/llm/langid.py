@@ -12,6 +12,7 @@ was learned. Equal code lengths go to the language that sorts first.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
+from shelfcast.llm.storage import share
 
 SYMBOLS = 64
 UNKNOWN = "und"
@@ -185,11 +187,11 @@ class Scorer:
 
 def predict(spark: SparkSession, model: PpmModel, text: Column | str) -> Column:
     """Struct (lang_pred, score): the shortest code and its share of the posterior."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        fitted = shared.value
+        fitted = pickle.loads(shared.value)
         scorer = Scorer(fitted)
         letter = regex.compile(r"\p{L}").search
         for texts in batches:

@@ -17,6 +17,7 @@ document count once; without labels all rates are one half.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
-from shelfcast.llm.common import stored
+from shelfcast.llm.storage import share, stored
 
 BINS = 8
 SHARES = 5
@@ -137,12 +138,12 @@ def train(
 
 def evidence(spark: SparkSession, model: Evidence, text: Column | str) -> Column:
     """Log-likelihood ratio of each label, as an array of doubles."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value.vocabulary
-        weights, offsets = shared.value.weights, np.array(shared.value.offsets)
+        fitted = pickle.loads(shared.value)
+        known, weights, offsets = fitted.vocabulary, fitted.weights, np.array(fitted.offsets)
         for texts in batches:
             found = [features(t, known) for t in texts]
             yield pd.Series([weights[f].sum(axis=0) + offsets if f else offsets * 0 for f in found])

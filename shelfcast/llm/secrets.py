@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
+from shelfcast.llm.storage import share
 
 # The kinds in their order, and the characters of tokens
 KINDS = ("assign", "access", "hex", "markov")
@@ -154,11 +156,11 @@ def find_spans(text: str, model: MarkovPair, margin: float) -> tuple[list[Span],
 def _per_text(
     spark: SparkSession, model: MarkovPair, kind: str, margin: float, row: Callable
 ) -> Callable:
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
 
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        fitted = shared.value
+        fitted = pickle.loads(shared.value)
         names = [c.split()[0] for c in re.split(r", (?![^<]*>)", kind)]
         for texts in batches:
             rows = [row(*find_spans(t or "", fitted, margin)) for t in texts]
