@@ -143,7 +143,7 @@ def test_similar_documents(spark, docs):
         want.append(10 * i)
     base = spark.createDataFrame(rows, "doc_id long, text string")
     for crowd in (2, 2000):
-        simhash.similar.__defaults__ = (16, 48, crowd)
+        simhash.similar.__defaults__ = (16, 40, crowd)
         kept = simhash.keep_one(base, shingle=5, similarity=0.8, words=8)
         assert sorted(r["doc_id"] for r in kept.collect()) == want
     once = simhash.keep_one(docs, shingle=5, similarity=0.8, words=8).collect()

@@ -22,6 +22,9 @@ def folder(spark, tmp_path_factory):
     items.write.parquet(str(path / "benchmark.parquet"))
     vectors = spark.createDataFrame([(50, [1.0, 2.0]), (51, None)], "vec_id long, embedding array<float>")
     vectors.write.parquet(str(path / "embeddings.parquet"))
+    labels = [(i, i % 2, None if i == 3 else 0) for i in (0, 1, 2, 3, 4, 9, 9, 12, 7000)] + [(None, 1, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(path / "labels.parquet"))
     return path
 
 
@@ -60,7 +63,7 @@ def test_run_equals_its_stages(spark, folder):
 
 @pytest.mark.parametrize("name", [*QUERIES, "pipeline"])
 def test_empty_tables(spark, folder, tmp_path, name):
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "labels"):
         spark.read.parquet(str(folder / f"{table}.parquet")).limit(0).write.parquet(str(tmp_path / f"{table}.parquet"))
     run = corpus_pipeline.run if name == "pipeline" else QUERIES[name]
     assert run(spark, str(tmp_path)).count() == 0
@@ -71,6 +74,7 @@ def test_query_columns(spark, folder):
         "op1": ["query_id", "rank", "vec_id", "score"],
         "op2": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         "op3": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+        "op4": ["doc_id", "quality_score", "toxic_score", "keep"],
         "op5": ["doc_id", "fingerprint", "component_id"],
         "op6": ["doc_id", "held_out", "lang_pred", "score"],
         "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -9,7 +9,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid, secrets
+from shelfcast.llm import bpe, decontaminate, langid, quality, secrets
 from shelfcast.llm.queries import tokenizer_path
 from tests.llm import twins
 
@@ -215,3 +215,50 @@ def test_secrets_keep_base_spans(spark, docs):
     assert secrets.train(both.limit(0)).score("abc") == pytest.approx(0)
     listed = both.select(secrets.secret_spans(spark, model, "text").alias("s")).collect()
     assert [len(r["s"]["found"]) for r in listed] == [r["s"]["n_found"] for r in listed]
+
+
+def test_quality_on_held_out_documents(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(600)]
+    rows, labels = [], []
+    for i in range(700):
+        good, toxic = rng.random() < 0.7, rng.random() < 0.2
+        text = rng.choices(words, k=rng.randint(20, 150))
+        if not good:
+            text = [w.upper() + "!!" for w in text]
+        if toxic:
+            text[::9] = rng.choices(["grim", "vile"], k=len(text[::9]))
+        rows.append((i, " ".join(text), f"host{i % 7 if i % 3 else 0}", "a" if i % 2 else None))
+        labels.append((i, int(good), int(toxic)))
+    rows += [(None, None, None, None), (900, "", "alone", "x"), (901, None, "host0", "a"), (0, *rows[0][1:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.train(docs, known.where("doc_id % 2 = 0"), least_docs=4)
+    found = quality.score_documents(docs, model).collect()
+    assert len(found) == len(rows)
+    assert all(0 < r["quality_score"] < 1 and 0 < r["toxic_score"] < 1 for r in found)
+    truth = {i: (q, t) for i, q, t in labels}
+    held = [r for r in found if r["doc_id"] in truth and r["doc_id"] % 2]
+    for k, name in enumerate(("quality_score", "toxic_score")):
+        assert sum((r[name] >= 0.5) == truth[r["doc_id"]][k] for r in held) >= 0.97 * len(held)
+    # no evidence: the rate of the path, shrunk to the global one where the site is sparse
+    alone = [r for r in found if r["doc_id"] == 900][0]
+    assert alone["quality_score"] == pytest.approx(model.rates[0], abs=0.02)
+
+
+def test_quality_rates_are_shrunk(spark):
+    """Sites against the plain formulas, with evidence that is nothing but the rates."""
+    rows = [(i, None, "big" if i < 400 else "small", "p") for i in range(403)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    model = quality.Evidence({}, quality.np.zeros((40, 1)), [0.0], [0.3])
+    found = quality.score_documents(docs, model, ("quality",), strength=10.0).collect()
+    assert {round(r["quality_score"], 9) for r in found} == {0.3}
+
+
+def test_quality_without_labels(spark, docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    assert model.rates == [0.5, 0.5]
+    found = quality.score_documents(docs, model).collect()
+    assert len(found) == docs.count()
+    assert {(r["quality_score"], r["toxic_score"]) for r in found} == {(0.5, 0.5)}

@@ -14,7 +14,7 @@ import xxhash
 
 LAST = (1 << 63) - 1
 
-SCHEMA = "doc_id long, text string, lang string, node string, bucket string, n_chars int"
+SCHEMA = "doc_id long, text string, lang string, source string, bucket string, n_chars int"
 
 
 def lower(text: str) -> str:
