@@ -164,3 +164,38 @@ SELECT d.doc_id, CAST(len(d.parts) AS BIGINT) AS n_lines, CAST(r.n_removed AS BI
   sha256(coalesce(r.kept, '')) AS kept_sha256
 FROM docs d JOIN rest r ON d.doc_id = r.doc_id
 """
+
+SQL["op8_decontaminate"] = r"""
+WITH fixed AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower,
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), word) AS w
+  FROM documents, fixed
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, upper, lower), word) AS w
+  FROM benchmark, fixed WHERE text IS NOT NULL
+), items AS (
+  SELECT DISTINCT item, w[i + 1 : i + 10] AS part
+  FROM (SELECT item, w, unnest(range(greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT len(part) AS size FROM items
+), places AS (
+  SELECT doc_id, p, size, w[p + 1 : p + size] AS part
+  FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS p
+        FROM d JOIN sizes ON len(w) >= size)
+), hits AS (
+  SELECT doc_id, p, size, item FROM places JOIN items USING (part)
+), words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + size)) AS word FROM (SELECT DISTINCT doc_id, p, size FROM hits))
+  GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
