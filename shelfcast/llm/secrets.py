@@ -86,9 +86,14 @@ class MarkovPair:
     def from_counts(counts: list[tuple[int, int, int, int]]) -> MarkovPair:
         """From (label, previous, next, count) with positions in the alphabet, 0 at the start."""
         n = len(ALPHABET)
-        table = np.ones((2, n + 1, n))
+        table = np.zeros((2, n + 1, n))
         for label, before, after, count in counts:
             table[label, before, after - 1] += count
+        # what was not seen is as likely as any character in random strings, and as likely as
+        # the character by itself in ordinary ones
+        single = (table[0].sum(axis=0) + 0.5) / (table[0].sum() + 0.5 * n)
+        prior = np.stack((np.tile(5 * single, (n + 1, 1)), np.ones((n + 1, n))))
+        table += prior
         logs = np.log(table / table.sum(axis=2, keepdims=True))
         return MarkovPair(logs[1] - logs[0])
 

@@ -196,7 +196,8 @@ SECRET_TEXTS = [
 def test_secrets_keep_base_spans(spark, docs):
     extra = spark.createDataFrame([(700 + i, t) for i, t in enumerate(SECRET_TEXTS)], "doc_id long, text string")
     both = docs.select("doc_id", "text").union(extra)
-    model = secrets.train(both)
+    # the token to be found is not among the ordinary ones that were learned
+    model = secrets.train(both.where("doc_id IS NULL OR doc_id <> 705"))
     found = both.select("text", secrets.secret_digest(spark, model, "text").alias("d")).collect()
     low = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     for row in found:
