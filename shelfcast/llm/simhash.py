@@ -11,7 +11,7 @@ on one of them, so no link is lost. A key with more than CROWD members is left o
 buckets; its members meet at their midpoints instead, the values within bits/2 of them. Two
 are within `bits` if and only if they share one, whatever the size of the crowd.
 
-Several fingerprints (`similar`): the keys are bands of bits, the probe is the first
+Several fingerprints (`similar`): the keys are bands of bits, the pivots are of the first
 fingerprint, and all bits are verified. A crowded band is dealt out as pairs of chunks.
 
 NULL and empty texts have fingerprint zero and are linked like any other. A NULL doc_id is
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
-from shelfcast.llm.common import stored
+from shelfcast.llm.storage import stored
 from shelfcast.llm.components import connected
 
 # shingles whose bits are counted together
@@ -66,13 +66,14 @@ def text_signature(blob: bytes, shingle: int, words: int) -> bytes:
 
 
 def signature(text: Column | str, shingle: int, words: int) -> Column:
-    """The fingerprints of a text column, as an array of longs."""
+    """The fingerprints of a text column: an array of longs, and their bytes."""
 
-    @F.pandas_udf("array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("words array<long>, body binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = [text_signature(b, shingle, words) for b in common.text_bytes(texts)]
-            yield pd.Series([np.frombuffer(r, dtype=">i8").astype(np.int64) for r in rows])
+            longs = [np.frombuffer(r, dtype=">i8").astype(np.int64) for r in rows]
+            yield pd.DataFrame({"words": longs, "body": rows})
 
     return run(text)
 
@@ -86,14 +87,15 @@ def pivots() -> np.ndarray:
 
 
 def near_pairs(
-    key: np.ndarray, side: np.ndarray, prints: np.ndarray, bits: int
+    key: np.ndarray, side: np.ndarray, prints: np.ndarray, probe: int, bits: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of one key within `bits`, pairs of one non-zero side left out.
+    """Positions of the pairs of one key whose fingerprints differ in `bits` in all at most,
+    and the first of them in `probe`; pairs of one non-zero side are left out.
 
     Rows are sorted by key and by the distance to the first pivot; a pair is looked at only
-    while that distance differs by `bits` at most.
+    while that distance differs by `probe` at most.
     """
-    table = np.bitwise_count(prints[:, None] ^ pivots()[None, :]).astype(np.int16)
+    table = np.bitwise_count(prints[:, :1] ^ pivots()[None, :]).astype(np.int16)
     order = np.lexsort((table[:, 0], key))
     key, side, prints, table = key[order], side[order], prints[order], table[order]
     first, second = [], []
@@ -101,13 +103,15 @@ def near_pairs(
     step = 1
     while len(at := at[at + step < len(key)]):
         other = at + step
-        near = (key[other] == key[at]) & (table[other, 0] - table[at, 0] <= bits)
+        near = (key[other] == key[at]) & (table[other, 0] - table[at, 0] <= probe)
         at, other = at[near], other[near]
         kept = (side[at] == 0) | (side[at] != side[other])
         a, b = at[kept], other[kept]
-        discarded = (np.abs(table[a] - table[b]) > bits).any(axis=1)
+        discarded = (np.abs(table[a] - table[b]) > probe).any(axis=1)
         a, b = a[~discarded], b[~discarded]
-        verified = np.bitwise_count(prints[a] ^ prints[b]) <= bits
+        close = np.bitwise_count(prints[a, 0] ^ prints[b, 0]) <= probe
+        a, b = a[close], b[close]
+        verified = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64) <= bits
         first.append(order[a[verified]])
         second.append(order[b[verified]])
         step += 1
@@ -146,25 +150,26 @@ def _bit_mask(positions: list[int]) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _bucketed(rows: DataFrame, n: int, bits: int, verified: bool) -> DataFrame:
-    """Links (u, v) among rows (key, side, node, print) of one key.
+def _bucketed(rows: DataFrame, n: int, probe: int, bits: int) -> DataFrame:
+    """Links (u, v) among rows (key, part, side, node, print) of one key.
 
-    Verified links are sent as one per member; others, still to be verified, as pairs.
+    `print` is a fingerprint, or the bytes of several. A bucket sends each member's link to
+    the smallest member it is connected with there, not its pairs.
     """
     buckets = n // BUCKET_ROWS + 1
 
     def link(part: pd.DataFrame) -> pd.DataFrame:
-        node = part["node"].to_numpy()
-        prints = part["print"].to_numpy().view(np.uint64)
-        a, b = near_pairs(part["key"].to_numpy(), part["side"].to_numpy(), prints, bits)
-        if verified:
-            ids, where = np.unique(node, return_inverse=True)
-            root = smallest_linked(ids, where[a], where[b])
-            moved = root != ids
-            return pd.DataFrame({"u": ids[moved], "v": root[moved]})
-        pairs = np.stack((np.minimum(node[a], node[b]), np.maximum(node[a], node[b])), axis=1)
-        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+        node, prints = part["node"].to_numpy(), part["print"].to_numpy()
+        if prints.dtype == object:
+            prints = np.frombuffer(b"".join(prints), dtype=np.uint64).reshape(len(node), -1)
+        else:
+            prints = prints.view(np.uint64)[:, None]
+        key, side = part["key"].to_numpy(), part["side"].to_numpy()
+        a, b = near_pairs(key, side, prints, probe, bits)
+        ids, where = np.unique(node, return_inverse=True)
+        root = smallest_linked(ids, where[a], where[b])
+        moved = root != ids
+        return pd.DataFrame({"u": ids[moved], "v": root[moved]})
 
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "part"), F.lit(buckets)))
     return dealt.groupBy("bucket").applyInPandas(link, "u long, v long").distinct()
@@ -183,7 +188,7 @@ def links(nodes: DataFrame, bits: int = 4, crowd: int = CROWD) -> DataFrame:
     members = rows.join(crowded, "key", "left_semi").select("node").distinct()
     calm = rows.join(crowded, "key", "left_anti")
     calm = calm.withColumns({"part": F.lit(0), "side": F.lit(0), "print": F.col("node")})
-    return _bucketed(calm, n * len(keys), bits, True).union(_midpoint_links(members, bits))
+    return _bucketed(calm, n * len(keys), bits, bits).union(_midpoint_links(members, bits))
 
 
 def _midpoint_links(members: DataFrame, bits: int) -> DataFrame:
@@ -199,14 +204,17 @@ def _midpoint_links(members: DataFrame, bits: int) -> DataFrame:
 
 
 def similar(
-    nodes: DataFrame, similarity: float, band_bits: int = 16, bands: int = 48, crowd: int = CROWD
+    nodes: DataFrame, similarity: float, band_bits: int = 16, bands: int = 40, crowd: int = CROWD
 ) -> DataFrame:
     """Links (u, v) of the nodes whose signatures `sig` show that Jaccard similarity.
 
     Sets of similarity s have a cosine of 2s/(1+s), and a bit of their signatures differs
-    with probability arccos(cosine)/pi. The probe allows for more than three deviations.
+    with probability arccos(cosine)/pi. The first fingerprint may differ by more than three
+    deviations. With the defaults, pairs of similarity 0.8 meet in a band with probability
+    0.96, those of 0.9 with 0.999.
     """
-    width = 64 * len(nodes.select("sig").first()[0]) if not nodes.isEmpty() else 64
+    row = nodes.select(F.size("sig")).first()
+    width = 64 * row[0] if row else 64
     differs = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     probe = int(64 * differs + 3.2 * np.sqrt(64 * differs * (1 - differs)) + 1)
     rng = np.random.default_rng(7)
@@ -225,7 +233,7 @@ def similar(
             for i, (a, b, x, y) in enumerate(chosen)
         ]
     )
-    rows = nodes.select("node", F.col("sig")[0].alias("print"), F.explode(keys).alias("key"))
+    rows = nodes.select("node", F.col("body").alias("print"), F.explode(keys).alias("key"))
     counts = rows.groupBy("key").count().where(F.col("count") > crowd)
     counts = stored(counts.select("key", F.ceil(F.col("count") / crowd).alias("chunks")), "crowded-keys")
     calm = rows.join(counts, "key", "left_anti").withColumns({"part": F.lit(0), "side": F.lit(0)})
@@ -244,16 +252,7 @@ def similar(
     )
     columns = ["key", "part", "side", "node", "print"]
     rows = calm.select(*columns).union(crowded.select(*columns))
-    pairs = _bucketed(rows, nodes.count() * bands, probe, False)
-    left = nodes.select(F.col("node").alias("u"), F.col("sig").alias("x"))
-    right = nodes.select(F.col("node").alias("v"), F.col("sig").alias("y"))
-    distance = F.aggregate(
-        F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))),
-        F.lit(0),
-        lambda total, d: total + d,
-    )
-    found = pairs.join(left, "u").join(right, "v").where(distance <= int(width * differs))
-    return found.select("u", "v")
+    return _bucketed(rows, nodes.count() * bands, probe, int(width * differs))
 
 
 def near_duplicates(
@@ -272,11 +271,16 @@ def near_duplicates(
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     prints = docs.select(
-        "doc_id", text_hash("text").alias("text_hash"), signature("text", shingle, words).alias("sig")
+        "doc_id", text_hash("text").alias("text_hash"), signature("text", shingle, words).alias("s")
+    )
+    prints = prints.select(
+        "doc_id", "text_hash", F.col("s.words").alias("sig"), F.col("s.body").alias("body")
     )
     node = F.col("sig")[0] if words == 1 else F.xxhash64("sig")
     prints = stored(prints.withColumn("node", node), "signatures")
-    nodes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
+    nodes = prints.groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.first("body").alias("body")
+    )
     nodes = stored(nodes, "nodes")
     edges = links(nodes, bits) if similarity is None else similar(nodes, similarity)
     roots = connected(edges)
