@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.storage import stored
+
 LEAST = 20
 _LAST_ID = (1 << 63) - 1
 
@@ -63,16 +65,18 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(id, hash, removed): line numbers to delete of documents (id, hash, text)."""
-    found = windows(docs, least)
+    # what the joins below read is written first: both sides then arrive through exchanges of
+    # their own, and adaptive execution can split a frequent line over many tasks
+    found = stored(windows(docs, least), "line-windows")
     place = F.struct("id", "hash", "at")
     # fingerprints that stand in two places, by sums made before the shuffle
     shared = found.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-    shared = shared.where("a != b").select("anchor")
+    shared = stored(shared.where("a != b").select("anchor"), "line-fingerprints")
     candidates = found.join(shared, "anchor", "left_semi")
     first = candidates.groupBy("anchor", "whole").agg(
         F.min(place).alias("first"), F.max(place).alias("last")
     )
-    first = first.where("first != last").drop("last")
+    first = stored(first.where("first != last").drop("last"), "line-first")
     later = candidates.join(first, ["anchor", "whole"]).where(place > F.col("first"))
     lines = later.select("id", "hash", F.explode("lines").alias("line"))
     return lines.groupBy("id", "hash").agg(F.collect_set("line").alias("removed"))
