@@ -1,14 +1,16 @@
 """Operator 3: bytes covered by long strings that an earlier document also has.
 
 Documents are dealt into shards by id. A string of `length` bytes holds a seed: the first
-of its smallest 16-byte hashes, so equal strings hold equal seeds at equal places.
+of its smallest GRAM-byte hashes, so equal strings hold equal seeds at equal places.
 
-1. Each shard sends its distinct seeds to buckets; a bucket answers which of them another
-   document has, and which stand in many shards.
+1. Each shard sends its distinct seeds to buckets, with a mark of the stretch around each; a
+   bucket answers which of them another document has, which stand in many shards, and, where
+   all shards have the same stretch, which one of them is to send it.
 2. Each shard sends the stretches around shared seeds, each distinct stretch once with its
-   smallest document. A bucket thus gets every string of its seeds. Strings of a seed that
-   stands in CROWD shards are dealt one by one, by their own hash, so that no bucket gathers
-   all that surrounds a frequent passage.
+   smallest document; the hash stands for a stretch that another shard sends. A bucket thus
+   gets every string of its seeds. Strings of a seed that stands in CROWD shards amid
+   different stretches are dealt one by one, by their own hash, so that no bucket gathers all
+   that surrounds a frequent passage.
 3. A bucket cuts its stretches into parts of PART bytes, builds a suffix array of each by
    Larsson-Sadakane refinement, takes Kasai's common prefixes to group equal strings, merges
    the parts by binary search, and answers which strings a smaller document has.
@@ -32,11 +34,13 @@ from pyspark.sql import functions as F
 from shelfcast.llm import common, suffixes
 
 SHARD = 4_000_000
-PART = 1_000_000
+PART = 2_000_000
 CROWD = 64
-GRAM = 16
+GRAM = 32
+_BLOCK = 1 << 15
 _LAST_ID = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F)
+_K3, _K4 = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 @dataclass
@@ -58,17 +62,7 @@ def find_stretches(blobs: list[bytes], length: int, buckets: int) -> Stretches:
     none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
         return Stretches(data, offsets, sizes, none, none, none, none)
-    words = suffixes.words_at(data)
-    least = common.mix(words[: 1 - GRAM] * _K1 + words[8 : len(data) - GRAM + 9] * _K2)
-    # least hash of the grams within each string, and the first place that has it
-    place = np.arange(len(least), dtype=np.int32)
-    span, grams = 1, length - GRAM + 1
-    while span < grams:
-        step = min(span, grams - span)
-        later = least[step:] < least[:-step]
-        place = np.where(later, place[step:], place[:-step])
-        least = np.minimum(least[step:], least[:-step])
-        span += step
+    least, place = _least_grams(data, length - GRAM + 1)
     # strings that end within their text, and the runs among them
     strings = np.maximum(sizes - length + 1, 0)
     at = _ranges(offsets, strings)
@@ -81,6 +75,33 @@ def find_stretches(blobs: list[bytes], length: int, buckets: int) -> Stretches:
     return Stretches(data, offsets, sizes, at[opens], count, seed, row[opens])
 
 
+def _least_grams(data: np.ndarray, grams: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least hash among the next `grams` grams of each position, and the first place of it.
+
+    Worked off in blocks that stay in the processor's cache.
+    """
+    total = len(data) - GRAM - grams + 2
+    least = np.empty(total, dtype=np.uint64)
+    place = np.empty(total, dtype=np.int32)
+    for first in range(0, total, _BLOCK):
+        last = min(first + _BLOCK, total)
+        words = suffixes.words_at(data[first : last + grams + GRAM - 2])
+        n = last - first + grams - 1
+        value = words[:n] * _K1 + words[8 : n + 8] * _K2
+        value += words[16 : n + 16] * _K3 + words[GRAM - 8 : n + GRAM - 8] * _K4
+        value = common.mix(value)
+        at = np.arange(first, first + n, dtype=np.int32)
+        span = 1
+        while span < grams:
+            step = min(span, grams - span)
+            later = value[step:] < value[:-step]
+            at = np.where(later, at[step:], at[:-step])
+            value = np.minimum(value[step:], value[:-step])
+            span += step
+        least[first:last], place[first:last] = value, at
+    return least, place
+
+
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0]+1, ... for each count, one after another."""
     return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
@@ -107,28 +128,51 @@ def _seed_rows(blobs: list[bytes], ids: np.ndarray, length: int, buckets: int) -
     high = np.full(len(seeds), -_LAST_ID)
     np.minimum.at(low, where, ids[found.row])
     np.maximum.at(high, where, ids[found.row])
+    value = _values(found, length)
+    mark = np.zeros(len(seeds), dtype=np.uint64)
+    mark[where] = value
+    several = np.zeros(len(seeds), dtype=bool)
+    np.logical_or.at(several, where, mark[where] != value)
+    # 0 stands for different stretches
+    marks = np.where(several, 0, (mark & np.uint64(0xFFFFFFFF)) | np.uint64(1)).astype(np.uint32)
     rows = [
-        (b, seeds[i:j].astype(np.uint32).tobytes(), np.packbits(low[i:j] != high[i:j]).tobytes())
+        (
+            b,
+            common.pack_sorted(seeds[i:j].astype(np.uint32)),
+            marks[i:j].tobytes(),
+            np.packbits(low[i:j] != high[i:j]).tobytes(),
+        )
         for b, i, j in _by_bucket(seeds >> 32)
     ]
-    return pd.DataFrame(rows, columns=["bucket", "seeds", "many"])
+    return pd.DataFrame(rows, columns=["bucket", "seeds", "marks", "many"])
+
+
+def _values(found: Stretches, length: int) -> np.ndarray:
+    return common.span_hashes(found.data, found.first, found.first + found.count + length - 1)
 
 
 def _shared_rows(part: pd.DataFrame, crowd: int) -> pd.DataFrame:
-    """Of each shard's seeds in one bucket: shared, and crowded."""
-    own = [np.frombuffer(s, dtype=np.uint32) for s in part["seeds"]]
-    seeds, where = np.unique(np.concatenate(own), return_inverse=True)
+    """Of each shard's seeds in one bucket: shared, crowded, and to be sent by it."""
+    own = [common.unpack_sorted(s, np.uint32) for s in part["seeds"]]
+    seeds, sender, where = np.unique(np.concatenate(own), return_index=True, return_inverse=True)
+    mark = np.concatenate([np.frombuffer(m, dtype=np.uint32) for m in part["marks"]])
+    one = mark[sender]
+    differs = np.bincount(where, weights=mark != one[where], minlength=len(seeds)) > 0
+    uniform = (one > 0) & ~differs
+    sends = ~uniform[where]
+    sends[sender] = True
     shards = np.bincount(where, minlength=len(seeds))
     many = np.concatenate([
         np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(s))
         for m, s in zip(part["many"], own)
     ])
     shared = (shards > 1) | (np.bincount(where, weights=many, minlength=len(seeds)) > 0)
-    crowded = shards >= crowd
+    crowded = (shards >= crowd) & ~uniform
     rows, first = [], 0
     for shard, bucket, seeds_of in zip(part["shard"], part["bucket"], own):
         at = where[first : first + len(seeds_of)]
-        flags = np.packbits(np.concatenate((shared[at], crowded[at])))
+        mine = sends[first : first + len(seeds_of)]
+        flags = np.packbits(np.concatenate((shared[at], crowded[at], mine)))
         rows.append((shard, bucket, 0, flags.tobytes()))
         first += len(seeds_of)
     return pd.DataFrame(rows, columns=["shard", "bucket", "step", "flags"])
@@ -145,17 +189,19 @@ class Pieces:
     bucket: np.ndarray  # of each distinct piece, sorted
     sample: np.ndarray  # a piece that equals it
     least: np.ndarray  # smallest id that has it
+    value: np.ndarray  # its hash
+    sent: np.ndarray  # whether its bytes are sent
 
 
 def _pieces(
     found: Stretches, ids: np.ndarray, answers: pd.DataFrame, length: int, buckets: int
 ) -> Pieces:
     seeds, where = np.unique(found.seed, return_inverse=True)
-    shared, crowded = np.zeros(len(seeds), dtype=bool), np.zeros(len(seeds), dtype=bool)
+    shared, crowded, sends = np.zeros((3, len(seeds)), dtype=bool)
     flags = dict(zip(answers["bucket"], answers["flags"]))
     for b, i, j in _by_bucket(seeds >> 32):
-        bits = np.unpackbits(np.frombuffer(flags[b], dtype=np.uint8), count=2 * (j - i))
-        shared[i:j], crowded[i:j] = bits[: j - i], bits[j - i :]
+        bits = np.unpackbits(np.frombuffer(flags[b], dtype=np.uint8), count=3 * (j - i))
+        shared[i:j], crowded[i:j], sends[i:j] = bits.reshape(3, -1)
     calm = (shared & ~crowded)[where]
     dense = (shared & crowded)[where]
     # strings of crowded seeds one by one
@@ -175,7 +221,10 @@ def _pieces(
     sample = order[new]
     least = np.full(len(sample), _LAST_ID)
     np.minimum.at(least, which, ids[row])
-    return Pieces(first, count, row, which, bucket[sample], sample, least)
+    sent = np.concatenate((sends[where[calm]], np.ones(len(single), dtype=bool)))
+    return Pieces(
+        first, count, row, which, bucket[sample], sample, least, value[sample], sent[sample]
+    )
 
 
 def _piece_rows(
@@ -186,9 +235,11 @@ def _piece_rows(
     rows = []
     for b, i, j in _by_bucket(p.bucket):
         sizes = p.count[p.sample[i:j]] + length - 1
-        body = found.data[_ranges(p.first[p.sample[i:j]], sizes)]
-        rows.append((b, sizes.astype(np.uint32).tobytes(), body.tobytes(), p.least[i:j].tobytes()))
-    return pd.DataFrame(rows, columns=["bucket", "sizes", "body", "least"])
+        sent = p.sent[i:j]
+        body = found.data[_ranges(p.first[p.sample[i:j][sent]], sizes[sent])]
+        columns = sizes.astype(np.uint32), np.packbits(sent), body, p.value[i:j][~sent], p.least[i:j]
+        rows.append((b, *[c.tobytes() for c in columns]))
+    return pd.DataFrame(rows, columns=["bucket", "sizes", "sent", "body", "hashes", "least"])
 
 
 def _grouped(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int):
@@ -211,30 +262,46 @@ def _covered_rows(part: pd.DataFrame, length: int, part_bytes: int) -> pd.DataFr
     sizes = [np.frombuffer(s, dtype=np.uint32).astype(np.int64) for s in part["sizes"]]
     ids = np.concatenate([np.frombuffer(s, dtype=np.int64) for s in part["least"]])
     every = np.concatenate(sizes)
+    sent = np.concatenate([
+        np.unpackbits(np.frombuffer(f, dtype=np.uint8), count=len(s))
+        for f, s in zip(part["sent"], sizes)
+    ]).astype(bool)
     data = np.frombuffer(b"".join(part["body"]), dtype=np.uint8)
-    ends = np.cumsum(every)
-    # equal pieces of several shards go into the suffix arrays once
-    _, one, which = np.unique(
-        common.span_hashes(data, ends - every, ends), return_index=True, return_inverse=True
-    )
-    smallest = np.full(len(one), _LAST_ID)
+    ends = np.cumsum(every[sent])
+    value = np.zeros(len(every), dtype=np.uint64)
+    value[sent] = common.span_hashes(data, ends - every[sent], ends)
+    value[~sent] = np.frombuffer(b"".join(part["hashes"]), dtype=np.uint64)
+    # equal pieces of several shards go into the suffix arrays once, with their smallest id
+    _, which = np.unique(value, return_inverse=True)
+    pieces = int(which.max()) + 1
+    smallest = np.full(pieces, _LAST_ID)
     np.minimum.at(smallest, which, ids)
+    size = np.zeros(pieces, dtype=np.int64)
+    size[which] = every
+    strings = size - length + 1
+    starts = np.cumsum(strings) - strings
+    # a hash without bytes, which equal marks of different stretches can leave, stays alone
+    first = np.repeat(smallest, strings)
+    one = np.full(pieces, -1)
+    one[which[sent]] = np.arange(len(ends))
+    known = np.flatnonzero(one >= 0)
     parts, owns = [], []
-    for i, j in common.slices(every[one].tolist(), part_bytes):
-        chosen = one[i:j]
-        body = data[_ranges(ends[chosen] - every[chosen], every[chosen])]
-        strings, least, own = _grouped(body, every[chosen], smallest[i:j], length)
-        parts.append((strings, least))
+    for i, j in common.slices(size[known].tolist(), part_bytes):
+        chosen = known[i:j]
+        body = data[_ranges(ends[one[chosen]] - size[chosen], size[chosen])]
+        texts, least, own = _grouped(body, size[chosen], smallest[chosen], length)
+        parts.append((texts, least))
         owns.append(own)
-    numbers = suffixes.merge_least(parts) if len(parts) > 1 else [parts[0][1]]
-    first = np.concatenate([n[own] for n, own in zip(numbers, owns)])
-    strings = every - length + 1
-    starts = np.cumsum(strings[one]) - strings[one]
+    if parts:
+        numbers = suffixes.merge_least(parts) if len(parts) > 1 else [parts[0][1]]
+        merged = np.concatenate([n[own] for n, own in zip(numbers, owns)])
+        first[_ranges(starts[known], strings[known])] = merged
     rows, at = [], 0
     for shard, bucket, own in zip(part["shard"], part["bucket"], sizes):
         mine = slice(at, at + len(own))
-        least = first[_ranges(starts[which[mine]], strings[mine])]
-        earlier = least < np.repeat(ids[mine], strings[mine])
+        mine_strings = every[mine] - length + 1
+        least = first[_ranges(starts[which[mine]], mine_strings)]
+        earlier = least < np.repeat(ids[mine], mine_strings)
         rows.append((shard, bucket, 1, np.packbits(earlier).tobytes()))
         at += len(own)
     return pd.DataFrame(rows, columns=["shard", "bucket", "step", "flags"])
@@ -303,6 +370,8 @@ def remove_repeats(
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n)))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
+    sent_columns = ["shard", "bucket", "sizes", "sent", "body", "hashes", "least"]
+
     def seeds(key, part: pd.DataFrame) -> pd.DataFrame:
         out = _seed_rows(_blobs(part), _ids(part), length, n)
         out.insert(0, "shard", key[0])
@@ -313,7 +382,7 @@ def remove_repeats(
 
     def pieces(key, part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(part):
-            return pd.DataFrame(columns=["shard", "bucket", "sizes", "body", "least"])
+            return pd.DataFrame(columns=sent_columns)
         out = _piece_rows(_blobs(part), _ids(part), answers, length, n)
         out.insert(0, "shard", key[0])
         return out
@@ -325,10 +394,10 @@ def remove_repeats(
         return _result_rows(part, answers, length, n)
 
     answer = "shard long, bucket long, step int, flags binary"
-    sent = shards.applyInPandas(seeds, "shard long, bucket long, seeds binary, many binary")
+    sent = shards.applyInPandas(seeds, "shard long, bucket long, seeds binary, marks binary, many binary")
     first = sent.groupBy("bucket").applyInPandas(shared, answer)
     sent = shards.cogroup(first.groupBy("shard")).applyInPandas(
-        pieces, "shard long, bucket long, sizes binary, body binary, least binary"
+        pieces, "shard long, bucket long, " + ", ".join(f"{c} binary" for c in sent_columns[2:])
     )
     second = sent.groupBy("bucket").applyInPandas(covered, answer)
     both = first.union(second).groupBy("shard")

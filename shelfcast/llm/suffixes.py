@@ -49,7 +49,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int = 256) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int = 64) -> np.ndarray:
     """Common prefix of each suffix with the one before it in order, up to `most` or a bit over.
 
     Kasai's rule: a suffix shares at least one byte less with its neighbour than the suffix
