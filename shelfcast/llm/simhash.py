@@ -11,8 +11,13 @@ on one of them, so no link is lost. A key with more than CROWD members is left o
 buckets; its members meet at their midpoints instead, the values within bits/2 of them. Two
 are within `bits` if and only if they share one, whatever the size of the crowd.
 
-Several fingerprints (`similar`): the keys are bands of bits, the pivots are of the first
-fingerprint, and all bits are verified. A crowded band is dealt out as pairs of chunks.
+Several fingerprints (`similar`): a node is a set of shingles, whose repetitions do not
+count. The keys are bands of bits and the pivots are of the first fingerprint, but the bits
+are a filter only, with SLACK deviations to spare: the nodes they connect form coarse groups,
+and in these a link is made where the Jaccard similarity of the shingle sets, counted from
+the texts, is what was asked for. No link is made without that count, so none is wrong; a
+pair is lost only if the filter misses it (`similar` says how often). Crowded bands, and
+coarse groups of many nodes or long texts, are dealt out as pairs of chunks.
 
 NULL and empty texts have fingerprint zero and are linked like any other. A NULL doc_id is
 no representative unless its whole group has none. Equal ids stay separate rows.
@@ -40,24 +45,42 @@ PIVOTS = 32
 CROWD = 2_000
 # rows of a bucket
 BUCKET_ROWS = 200_000
+# deviations by which the bits of a similar pair may exceed what is expected
+SLACK = 4
+# nodes and bytes of text of a chunk of a coarse group, and bytes of a bucket of chunks
+GROUP = 500
+PART_BYTES = 2_000_000
+BUCKET_BYTES = 1_000_000
 
 
-def text_signature(blob: bytes, shingle: int, words: int) -> bytes:
-    """Fingerprints of a text, 8 bytes each: the majority of the bits of its shingles.
-
-    The first takes the XXH64 (seed 42) of each shingle; the others remix that hash.
-    """
+def shingle_hashes(blob: bytes, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle of a text, in order."""
     parts = blob.translate(common.LOWER).split()
     if not parts:
-        return bytes(8 * words)
+        return np.zeros(0, dtype=">u8")
     plain = b" ".join(parts)
     starts = [0, *accumulate(len(w) + 1 for w in parts)]
     step = min(shingle, len(parts))
     digest = xxhash.xxh64_digest
     hashes = [digest(plain[s : e - 1], 42) for s, e in zip(starts, starts[step:])]
+    return np.frombuffer(b"".join(hashes), dtype=">u8")
+
+
+def shingle_set(blob: bytes, shingle: int) -> np.ndarray:
+    """The sorted hashes of the different shingles of a text."""
+    return np.unique(shingle_hashes(blob, shingle).astype(np.uint64))
+
+
+def majority(hashes: np.ndarray, words: int) -> bytes:
+    """Fingerprints of hashes, 8 bytes each: the majority of their bits.
+
+    The first is of the hashes as they are; the others remix them.
+    """
+    if not len(hashes):
+        return bytes(8 * words)
     total = np.zeros((words, 64), dtype=np.int64)
     for first in range(0, len(hashes), CHUNK):
-        part = np.frombuffer(b"".join(hashes[first : first + CHUNK]), dtype=">u8")
+        part = hashes[first : first + CHUNK].astype(">u8")
         for word in range(words):
             mixed = common.mix(part + np.uint64(word)).astype(">u8") if word else part
             bits = np.unpackbits(np.ascontiguousarray(mixed).view(np.uint8))
@@ -65,15 +88,35 @@ def text_signature(blob: bytes, shingle: int, words: int) -> bytes:
     return np.packbits(total * 2 > len(hashes)).tobytes()
 
 
-def signature(text: Column | str, shingle: int, words: int) -> Column:
-    """The fingerprints of a text column: an array of longs, and their bytes."""
+def text_signature(blob: bytes, shingle: int, words: int) -> bytes:
+    """Fingerprints of all shingles of a text."""
+    return majority(shingle_hashes(blob, shingle), words)
+
+
+def signature(text: Column | str, shingle: int, words: int, distinct: bool = False) -> Column:
+    """The fingerprints of a text column: an array of longs, their bytes, and the node.
+
+    With `distinct`, fingerprints and node are of the set of shingles; else the node is
+    the fingerprints.
+    """
 
-    @F.pandas_udf("words array<long>, body binary")
+    @F.pandas_udf("words array<long>, body binary, node long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [text_signature(b, shingle, words) for b in common.text_bytes(texts)]
+            blobs = common.text_bytes(texts)
+            if distinct:
+                sets = [shingle_set(b, shingle) for b in blobs]
+                rows = [majority(s, words) for s in sets]
+                whole = [s.tobytes() for s in sets]
+            else:
+                rows = whole = [text_signature(b, shingle, words) for b in blobs]
             longs = [np.frombuffer(r, dtype=">i8").astype(np.int64) for r in rows]
-            yield pd.DataFrame({"words": longs, "body": rows})
+            if words == 1 and not distinct:
+                nodes = np.array([r[0] for r in longs], dtype=np.int64)
+            else:
+                digests = b"".join(xxhash.xxh64_digest(w, 42) for w in whole)
+                nodes = np.frombuffer(digests, dtype=">i8").astype(np.int64)
+            yield pd.DataFrame({"words": longs, "body": rows, "node": nodes})
 
     return run(text)
 
@@ -119,6 +162,31 @@ def near_pairs(
     return np.concatenate(first + none), np.concatenate(second + none)
 
 
+def exact_links(
+    a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], similarity: float
+) -> np.ndarray:
+    """Which of the pairs a-b, most similar first, are links of a spanning forest.
+
+    The Jaccard similarity of each is counted, but for pairs that links already connect.
+    """
+    label = np.arange(len(sets))
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    fewer, more = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+    open_ = np.flatnonzero(fewer >= similarity * more)
+    linked = []
+    while len(open_):
+        now, open_ = open_[: len(sets)], open_[len(sets) :]
+        for i in now.tolist():
+            x, y = a[i], b[i]
+            if label[x] != label[y]:
+                common_ = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if common_ >= similarity * (sizes[x] + sizes[y] - common_):
+                    label[label == label[y]] = label[x]
+                    linked.append(i)
+        open_ = open_[label[a[open_]] != label[b[open_]]]
+    return np.array(linked, dtype=np.int64)
+
+
 def smallest_linked(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each node the smallest node of its group under the links a-b (positions)."""
     label = nodes.copy()
@@ -203,20 +271,47 @@ def _midpoint_links(members: DataFrame, bits: int) -> DataFrame:
     return around.join(least, "middle").select(F.col("node").alias("u"), "v").distinct()
 
 
+def _chunk_pairs(rows: DataFrame, chunks: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (key, part, side, ...): rows of a key in `chunks` (key, chunks), dealt as pairs of them.
+
+    Every pair of chunks is one key; within it only pairs of two sides are new, and side 0
+    stands for a chunk that meets itself.
+    """
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    dealt = rows.join(chunks, "key").withColumn("mine", mine)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    return dealt.select(
+        F.xxhash64("key", low, high).alias("key"),
+        F.lit(1).alias("part"),
+        F.when(low == high, 0).otherwise(F.when(F.col("mine") == low, 1).otherwise(2)).alias("side"),
+        *columns,
+    )
+
+
 def similar(
-    nodes: DataFrame, similarity: float, band_bits: int = 16, bands: int = 40, crowd: int = CROWD
+    nodes: DataFrame,
+    texts: DataFrame,
+    shingle: int,
+    similarity: float,
+    band_bits: int = 16,
+    bands: int = 40,
+    crowd: int = CROWD,
 ) -> DataFrame:
-    """Links (u, v) of the nodes whose signatures `sig` show that Jaccard similarity.
-
-    Sets of similarity s have a cosine of 2s/(1+s), and a bit of their signatures differs
-    with probability arccos(cosine)/pi. The first fingerprint may differ by more than three
-    deviations. With the defaults, pairs of similarity 0.8 meet in a band with probability
-    0.96, those of 0.9 with 0.999.
+    """Links (u, v) that connect the nodes whose shingle sets have that Jaccard similarity.
+
+    `nodes` are (node, text_hash, sig, body) and `texts` (text_hash, text), rows of which
+    may repeat. Sets of similarity s have a cosine of 2s/(1+s), and a bit of their
+    signatures differs with probability arccos(cosine)/pi. With the defaults, pairs of
+    similarity 0.8 meet in a band with probability 0.95, those of 0.9 with 0.999; a pair
+    that meets in none is still found if links of the filter put both into one coarse group.
+    Sets of few shingles differ in more bits than that formula says.
     """
     row = nodes.select(F.size("sig")).first()
     width = 64 * row[0] if row else 64
     differs = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    probe = int(64 * differs + 3.2 * np.sqrt(64 * differs * (1 - differs)) + 1)
+    spread = SLACK * np.sqrt(differs * (1 - differs))
+    probe, bits = (int(n * differs + spread * np.sqrt(n) + 1) for n in (64, width))
     rng = np.random.default_rng(7)
     # a band is some bits of two fingerprints
     chosen = []
@@ -237,22 +332,65 @@ def similar(
     counts = rows.groupBy("key").count().where(F.col("count") > crowd)
     counts = stored(counts.select("key", F.ceil(F.col("count") / crowd).alias("chunks")), "crowded-keys")
     calm = rows.join(counts, "key", "left_anti").withColumns({"part": F.lit(0), "side": F.lit(0)})
-    # every pair of chunks is one part; within a part only pairs of two sides are new,
-    # and side 0 stands for a chunk that meets itself
-    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    dealt = rows.join(counts, "key").withColumn("mine", mine)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    low, high = F.least("mine", "other"), F.greatest("mine", "other")
-    crowded = dealt.select(
-        F.xxhash64("key", low, high).alias("key"),
-        "node",
-        "print",
-        F.lit(1).alias("part"),
-        F.when(low == high, 0).otherwise(F.when(F.col("mine") == low, 1).otherwise(2)).alias("side"),
-    )
     columns = ["key", "part", "side", "node", "print"]
+    crowded = _chunk_pairs(rows, counts, ["node", "print"])
     rows = calm.select(*columns).union(crowded.select(*columns))
-    return _bucketed(rows, nodes.count() * bands, probe, int(width * differs))
+    coarse = connected(_bucketed(rows, nodes.count() * bands, probe, bits))
+    return _confirmed(nodes, coarse, texts, shingle, similarity, probe, bits, crowd)
+
+
+def _confirmed(
+    nodes: DataFrame,
+    coarse: DataFrame,
+    texts: DataFrame,
+    shingle: int,
+    similarity: float,
+    probe: int,
+    bits: int,
+    crowd: int,
+) -> DataFrame:
+    """Links (u, v) of that similarity inside the coarse groups (node, root).
+
+    Pairs that pass the filter are counted, most similar signatures first; a task sends
+    the links of a spanning forest.
+    """
+    members = nodes.join(coarse, "node").select(
+        "node", "text_hash", F.col("body").alias("print"), F.col("root").alias("key")
+    )
+    members = stored(members, "coarse-groups")
+    # equal texts send one row for each task that reads them
+    found = texts.join(members, "text_hash").dropDuplicates(["node"])
+    found = stored(found.select("key", "node", "print", "text"), "coarse-texts")
+    size = F.octet_length("text")
+    sums = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("size"))
+    parts = F.ceil(F.greatest(F.col("n") / min(crowd, GROUP), F.col("size") / PART_BYTES))
+    sums = stored(sums.select("key", "size", parts.alias("chunks")), "group-sizes")
+    counts = sums.where("chunks > 1").select("key", "chunks")
+    columns = ["key", "part", "side", "node", "print", "text"]
+    calm = found.join(counts, "key", "left_anti").withColumns({"part": F.lit(0), "side": F.lit(0)})
+    crowded = _chunk_pairs(found, counts, ["node", "print", "text"])
+    rows = calm.select(*columns).union(crowded.select(*columns))
+    total = sums.agg(F.sum(F.col("size") * F.col("chunks"))).first()[0] or 0
+    buckets = total // BUCKET_BYTES + 1
+
+    def link(part: pd.DataFrame) -> pd.DataFrame:
+        links_ = []
+        for _, group in part.groupby("key"):
+            node, side = group["node"].to_numpy(), group["side"].to_numpy()
+            prints = np.frombuffer(b"".join(group["print"]), dtype=np.uint64)
+            prints = prints.reshape(len(node), -1)
+            a, b = near_pairs(np.zeros(len(node), dtype=np.int64), side, prints, probe, bits)
+            order = np.argsort(
+                np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64), kind="stable"
+            )
+            a, b = a[order], b[order]
+            sets = [shingle_set(t, shingle) for t in common.text_bytes(group["text"])]
+            kept = exact_links(a, b, sets, similarity)
+            links_.append(pd.DataFrame({"u": node[a[kept]], "v": node[b[kept]]}))
+        return pd.concat(links_)
+
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "part"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandas(link, "u long, v long").distinct()
 
 
 def near_duplicates(
@@ -266,23 +404,33 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, text_hash, node, group_node, fingerprint, component_id) of every row.
 
-    With `similarity`, nodes are linked by their whole signatures of `words` fingerprints;
-    else by one fingerprint within `bits`.
+    With `similarity`, nodes are sets of shingles, filtered by signatures of `words`
+    fingerprints and linked by their Jaccard similarity; else they are fingerprints, linked
+    within `bits`.
     """
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    prints = docs.select(
-        "doc_id", text_hash("text").alias("text_hash"), signature("text", shingle, words).alias("s")
-    )
+    texts = docs.select(text_hash("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
+    made = signature("text", shingle, words, distinct=similarity is not None)
+    prints = docs.select("doc_id", text_hash("text").alias("text_hash"), made.alias("s"))
     prints = prints.select(
-        "doc_id", "text_hash", F.col("s.words").alias("sig"), F.col("s.body").alias("body")
+        "doc_id",
+        "text_hash",
+        F.col("s.words").alias("sig"),
+        F.col("s.body").alias("body"),
+        F.col("s.node").alias("node"),
     )
-    node = F.col("sig")[0] if words == 1 else F.xxhash64("sig")
-    prints = stored(prints.withColumn("node", node), "signatures")
+    prints = stored(prints, "signatures")
     nodes = prints.groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.first("body").alias("body")
+        F.min("doc_id").alias("least"),
+        F.min("text_hash").alias("text_hash"),
+        F.first("sig").alias("sig"),
+        F.first("body").alias("body"),
     )
     nodes = stored(nodes, "nodes")
-    edges = links(nodes, bits) if similarity is None else similar(nodes, similarity)
+    if similarity is None:
+        edges = links(nodes, bits)
+    else:
+        edges = similar(nodes, texts, shingle, similarity)
     roots = connected(edges)
     labelled = nodes.join(roots, "node", "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")

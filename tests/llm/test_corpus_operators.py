@@ -16,6 +16,8 @@ from shelfcast.llm.queries import SQL
 from tests.llm import twins
 
 ROWS = twins.rows_of(twins.awkward_texts())
+# the default, before a test sets another
+BANDS = simhash.similar.__defaults__[-2]
 
 
 @pytest.fixture(scope="module")
@@ -151,6 +153,42 @@ def test_similar_documents(spark, docs):
     assert {r["doc_id"] for r in once if not (r["text"] or "").strip()} == {0}
 
 
+def _jaccard_cases():
+    """Pairs of texts whose five-word Jaccard similarity runs from 0.7 to 0.9, and of texts
+    that share a much repeated phrase only."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    rows = []
+    while len(rows) < 800:
+        text = rng.choices(words, k=300)
+        copy = list(text)
+        for at in rng.sample(range(300), rng.randint(3, 12)):
+            copy[at] = "new"
+        sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (text, copy)]
+        if 0.7 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) <= 0.9:
+            rows += [(len(rows) + j, " ".join(t)) for j, t in enumerate((text, copy))]
+    phrase = "one two three four five six seven eight " * 60
+    return rows + [(1000 + i, phrase + " ".join(rng.choices(words, k=40))) for i in range(4)]
+
+
+@pytest.mark.parametrize("crowd", [2, 2000])
+def test_links_have_the_jaccard_similarity(spark, monkeypatch, crowd):
+    rows = _jaccard_cases()
+    sets = {}
+    for i, text in rows:
+        parts = text.split()
+        sets[i] = {tuple(parts[j : j + 5]) for j in range(len(parts) - 4)}
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = {(i, i + 1) for i in range(0, 800, 2) if near(i, i + 1)}
+    assert 100 < len(want) < 300
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash.similar, "__defaults__", (16, BANDS, crowd))
+    found = simhash.near_duplicates(frame, shingle=5, similarity=0.8, words=8).collect()
+    got = {(r["component_id"], r["doc_id"]) for r in found if r["doc_id"] != r["component_id"]}
+    assert got <= want
+    assert len(want - got) <= 0.05 * len(want)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(60)] + [(500, 100 + i) for i in range(40)] + [(7, 7)]
     found = connected(spark.createDataFrame(path, "u long, v long")).collect()
