@@ -295,7 +295,7 @@ def similar(
     shingle: int,
     similarity: float,
     band_bits: int = 16,
-    bands: int = 40,
+    bands: int = 80,
     crowd: int = CROWD,
 ) -> DataFrame:
     """Links (u, v) that connect the nodes whose shingle sets have that Jaccard similarity.
@@ -303,7 +303,7 @@ def similar(
     `nodes` are (node, text_hash, sig, body) and `texts` (text_hash, text), rows of which
     may repeat. Sets of similarity s have a cosine of 2s/(1+s), and a bit of their
     signatures differs with probability arccos(cosine)/pi. With the defaults, pairs of
-    similarity 0.8 meet in a band with probability 0.95, those of 0.9 with 0.999; a pair
+    similarity 0.8 meet in a band with probability 0.997, those of 0.85 with 0.9999; a pair
     that meets in none is still found if links of the filter put both into one coarse group.
     Sets of few shingles differ in more bits than that formula says.
     """
