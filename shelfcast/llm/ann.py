@@ -6,6 +6,10 @@ range-partitioned by Spark; places come from the counts of the partitions. A cla
 searched for meets all classes within a window of places, and those are ranked by the exact
 cosine in double precision; the best of all curves are merged.
 
+A window spans as many blocks of BLOCK places as it needs, and those that search in a block
+are dealt into chunks of about CHUNK, so a task's matrices have the same size however many
+vectors there are.
+
 The half-width of the window is a share of the classes, WINDOW. On nearly isotropic vectors
 no ordering keeps neighbours together, so recall depends on the share looked at; with the
 defaults it is above 0.9 on such vectors and higher on clustered ones.
@@ -29,6 +33,9 @@ from shelfcast.llm.storage import stored
 CURVES = 24
 WINDOW = 0.02
 LEAST_WINDOW = 100
+# classes of a block, and classes searched for in it together
+BLOCK = 2_000
+CHUNK = 500
 DIMENSIONS, BITS = 8, 7
 
 
@@ -142,6 +149,35 @@ def best_in_block(
     return pd.DataFrame(rows, columns=columns)
 
 
+def _dealt(
+    placed: DataFrame, half: int, block: int, chunk: int
+) -> tuple[DataFrame, DataFrame]:
+    """Classes (curve, block, chunk, place, ...) and those searched for in each block.
+
+    The latter are dealt into chunks by the hash of their number; a block is sent once for
+    each of its chunks, and not at all without any.
+    """
+    at = F.floor(F.col("place") / block)
+    first, last = (F.floor((F.col("place") + step) / block) for step in (-half, half))
+    asked = placed.where("wanted").select(
+        F.col("curve").alias("on_curve"),
+        F.explode(F.sequence(first, last)).alias("in_block"),
+        F.col("place").alias("place"),
+        F.col("cid").alias("cid"),
+        F.col("vec").alias("vec"),
+    )
+    counts = asked.groupBy("on_curve", "in_block").count()
+    chunks = F.ceil(F.col("count") / chunk).alias("chunks")
+    counts = stored(counts.select("on_curve", "in_block", chunks), "block-chunks")
+    mine = F.pmod(F.xxhash64("cid"), F.col("chunks"))
+    asked = asked.join(counts, ["on_curve", "in_block"])
+    asked = asked.withColumn("in_chunk", mine).drop("chunks")
+    counts = counts.toDF("curve", "block", "chunks")
+    data = placed.withColumn("block", at).join(counts, ["curve", "block"])
+    data = data.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return data.drop("chunks", "wanted", "cid"), asked
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -150,6 +186,8 @@ def nearest(
     vec_col: str = "embedding",
     curves: int = CURVES,
     window: float = WINDOW,
+    block: int = BLOCK,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query.
 
@@ -171,22 +209,14 @@ def nearest(
     number = F.xxhash64("cid", "vec")
     classes = classes.withColumn("cid", number)
     half = max(LEAST_WINDOW, int(classes.count() * window) + 1)
-    placed = _ordered(classes, curves).withColumn("block", F.floor(F.col("place") / half))
-    asked = placed.where("wanted").select("curve", "place", "cid", "vec", "block")
-    asked = asked.select(
-        F.col("curve").alias("on_curve"),
-        F.col("place").alias("place"),
-        F.col("cid").alias("cid"),
-        F.col("vec").alias("vec"),
-        F.explode(F.array(*[F.col("block") + step for step in (-1, 0, 1)])).alias("in_block"),
-    )
+    data, asked = _dealt(_ordered(classes, curves), half, block, chunk)
 
     def search(block: pd.DataFrame, searched: pd.DataFrame) -> pd.DataFrame:
         return best_in_block(block, searched, half, k + 1)
 
     found = (
-        placed.groupBy("curve", "block")
-        .cogroup(asked.groupBy("on_curve", "in_block"))
+        data.groupBy("curve", "block", "chunk")
+        .cogroup(asked.groupBy("on_curve", "in_block", "in_chunk"))
         .applyInPandas(search, "cid long, id long, score double")
     )
     best = Window.partitionBy("cid").orderBy(F.desc("score"), "id")

@@ -274,3 +274,35 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert [(r["rank"], r["vec_id"]) for r in few] == [(1, r["vec_id"]) if i == 0 else (2, r["vec_id"]) for i, r in enumerate(few)]
     assert len(few) == 2
     assert ann.nearest(vectors.limit(0), F.col("id") == 50).count() == 0
+
+
+def test_neighbours_recall_with_the_defaults(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 32))
+    data = (centres[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 32))).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    want = twins.nearest(list(range(6000)), data, range(0, 6000, 50), 5)
+    got = {}
+    for r in ann.nearest(vectors, F.col("id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert {len(v) for v in got.values()} == {5}
+    assert sum(len(set(got[q]) & set(want[q])) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_neighbour_groups_are_bounded(spark):
+    """Groups hold few rows however wide the window, and together each pair within it once."""
+    rows = [(c, p, p, [p], [1.0], p % 3 == 0) for c in range(2) for p in range(1000)]
+    placed = spark.createDataFrame(
+        rows, "curve int, place long, cid long, ids array<long>, vec array<double>, wanted boolean"
+    )
+    data, asked = ann._dealt(placed, half=150, block=40, chunk=10)
+    groups = {}
+    for side, (rows, names) in enumerate(((data, ""), (asked, "on_curve in_block in_chunk"))):
+        for r in rows.collect():
+            key = tuple(r[n] for n in (names or "curve block chunk").split())
+            groups.setdefault(key, ([], []))[side].append(r["place"])
+    assert max(len(d) for d, _ in groups.values()) <= 40
+    assert max(len(a) for _, a in groups.values()) <= 30
+    pairs = [(k[0], x, y) for k, (d, a) in groups.items() for x in a for y in d if abs(x - y) <= 150]
+    want = 2 * sum(min(999, p + 150) - max(0, p - 150) + 1 for p in range(0, 1000, 3))
+    assert len(pairs) == want == len(set(pairs))
