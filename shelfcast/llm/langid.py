@@ -3,8 +3,9 @@
 Each language has a tree of byte contexts up to order three, with counts from a sample of
 its documents. A symbol costs -log2 of n/(total+kinds) in the longest context that has it;
 every longer context first charges its escape, kinds/(total+kinds). The statistics are
-frozen, so the code length of a text is a plain sum, exact for every byte. The 63 most
-frequent bytes of the sample are symbols of their own, the others share the last one.
+frozen, so the code length of a text is a plain sum, exact for every byte: all 256 byte
+values are symbols of their own. The contexts of two and three bytes are sorted tables of
+those that were seen; shorter ones are one dense table.
 
 A NULL text, and one without a letter, is `und` with score 0, as is every text if nothing
 was learned. Equal code lengths go to the language that sorts first.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import common
 from shelfcast.llm.storage import share
 
-SYMBOLS = 64
+SYMBOLS = 256
 UNKNOWN = "und"
 # bytes scored together
 CHUNK = 2_000_000
@@ -35,16 +36,24 @@ def text_lower(text: str | None) -> bytes:
     return (text or "").lower().encode()
 
 
+@dataclass(frozen=True)
+class Level:
+    """Costs in bits within contexts of `order` bytes, one column per language."""
+
+    order: int
+    seen: np.ndarray  # sorted codes of contexts and the byte after them
+    cost: np.ndarray  # (seen, language)
+    context: np.ndarray  # sorted codes of contexts
+    escape: np.ndarray  # (context, language)
+
+
 @dataclass(frozen=True)
 class PpmModel:
     """Costs in bits, one column per language."""
 
     langs: list[str]
-    symbol: np.ndarray  # byte -> symbol
-    seen: np.ndarray  # sorted codes of four symbols that some language has
-    seen_cost: np.ndarray  # (seen, language)
-    shorter: np.ndarray  # cost within two symbols of context, (64^3, language)
-    escape: np.ndarray  # escape of three symbols of context, (64^3, language)
+    shorter: np.ndarray  # cost within one byte of context, (256^2, language)
+    levels: list[Level]  # of two bytes of context, and of three
 
 
 def fit(counts: pd.DataFrame) -> PpmModel:
@@ -52,58 +61,71 @@ def fit(counts: pd.DataFrame) -> PpmModel:
     langs = sorted(counts["lang"].unique())
     gram, n = counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.float64)
     lang = np.searchsorted(langs, counts["lang"]) if langs else np.zeros(0, int)
-    histogram = np.bincount(gram & 255, weights=n, minlength=256)
-    symbol = np.full(256, SYMBOLS - 1)
-    own = np.argsort(-histogram, kind="stable")[: SYMBOLS - 1]
-    symbol[own] = np.arange(SYMBOLS - 1)
-    code = np.zeros(len(gram), dtype=np.int64)
-    for shift in (24, 16, 8, 0):
-        code = code * SYMBOLS + symbol[gram >> shift & 255]
-
-    width = len(langs)
     # below order 0: all bytes alike
-    lower = np.full((1, width), np.log2(SYMBOLS))
-    for order in range(3):
-        size = SYMBOLS ** (order + 1)
-        table = np.zeros((size, width))
-        np.add.at(table, (code % size, lang), n)
-        cost, escape = _level(table.reshape(size // SYMBOLS, SYMBOLS, width))
-        # what is not in the context costs its escape and the cost one symbol shorter
-        base = np.tile(lower, (size // len(lower), 1))
-        cost = cost.reshape(size, width)
-        fallback = np.repeat(escape, SYMBOLS, axis=0) + base
-        lower = np.where(np.isnan(cost), fallback, cost)
+    shorter, levels = np.full((1, len(langs)), np.log2(SYMBOLS)), []
+    for order in range(4):
+        code = gram & (1 << 8 * (order + 1)) - 1
+        level = _level(order, code, lang, n, levels, shorter)
+        if order < 2:
+            shorter = code_lengths([level], shorter, np.arange(SYMBOLS ** (order + 1)))
+        else:
+            levels.append(level)
+    single = [
+        Level(x.order, x.seen, x.cost.astype(np.float32), x.context, x.escape.astype(np.float32))
+        for x in levels
+    ]
+    return PpmModel(langs, shorter.astype(np.float32), single)
+
+
+def _level(
+    order: int,
+    code: np.ndarray,
+    lang: np.ndarray,
+    n: np.ndarray,
+    levels: list[Level],
+    shorter: np.ndarray,
+) -> Level:
+    """The level of one order above those of the shorter contexts."""
+    width = shorter.shape[1]
     seen, at = np.unique(code, return_inverse=True)
     table = np.zeros((len(seen), width))
     np.add.at(table, (at, lang), n)
-    context = seen // SYMBOLS
-    total = np.zeros((SYMBOLS**3, width))
-    kinds = np.zeros((SYMBOLS**3, width))
-    np.add.at(total, context, table)
-    np.add.at(kinds, context, table > 0)
+    context, of = np.unique(seen >> 8, return_inverse=True)
+    total, kinds = np.zeros((2, len(context), width))
+    np.add.at(total, of, table)
+    np.add.at(kinds, of, table > 0)
     with np.errstate(divide="ignore", invalid="ignore"):
         escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
-        own_cost = -np.log2(table / (total + kinds)[context])
-    fallback = escape[context] + lower[seen % SYMBOLS**3]
-    cost = np.where(table > 0, own_cost, fallback)
-    return PpmModel(
-        langs,
-        symbol.astype(np.uint8),
-        seen,
-        cost.astype(np.float32),
-        lower.astype(np.float32),
-        escape.astype(np.float32),
-    )
-
-
-def _level(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cost of each symbol (NaN if not seen) and escape of each context, by language."""
-    total = table.sum(axis=1)
-    kinds = (table > 0).sum(axis=1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cost = np.where(table > 0, -np.log2(table / (total + kinds)[:, None, :]), np.nan)
-        escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
-    return cost, escape
+        own = -np.log2(table / (total + kinds)[of])
+    # what is not in the context costs its escape and the cost one byte shorter
+    fallback = escape[of] + code_lengths(levels, shorter, seen & (1 << 8 * order) - 1)
+    return Level(order, seen, np.where(table > 0, own, fallback), context, escape)
+
+
+def _find(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each number in sorted values, and whether it is there."""
+    if not len(values):
+        return np.zeros(len(asked), dtype=np.int64), np.zeros(len(asked), dtype=bool)
+    at = np.minimum(np.searchsorted(values, asked), len(values) - 1)
+    return at, values[at] == asked
+
+
+def code_lengths(levels: list[Level], shorter: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Cost of the last byte of each code, by language."""
+    if not levels:
+        return shorter[code]
+    level = levels[-1]
+    at, there = _find(level.seen, code)
+    cost = np.empty((len(code), shorter.shape[1]), dtype=shorter.dtype)
+    cost[there] = level.cost[at[there]]
+    new = np.flatnonzero(~there)
+    if len(new):
+        rest = code[new]
+        part = code_lengths(levels[:-1], shorter, rest & (1 << 8 * level.order) - 1)
+        at, there = _find(level.context, rest >> 8)
+        part[there] += level.escape[at[there]]
+        cost[new] = part
+    return cost
 
 
 def four_bytes(data: np.ndarray) -> np.ndarray:
@@ -154,9 +176,6 @@ class Scorer:
 
     def __init__(self, model: PpmModel):
         self.model = model
-        # direct look-up of each code of four symbols: 64 MB
-        self.place = np.full(SYMBOLS**4, -1, dtype=np.int32)
-        self.place[model.seen] = np.arange(len(model.seen), dtype=np.int32)
 
     def bits(self, blobs: list[bytes]) -> np.ndarray:
         """Code length of each text under each language."""
@@ -166,24 +185,12 @@ class Scorer:
             data = np.frombuffer(b"   " + b"   ".join(part), dtype=np.uint8)
             sizes = np.array([len(b) for b in part])
             starts = np.cumsum(sizes + 3) - sizes - 3
-            cost = self._costs(data)
+            cost = code_lengths(self.model.levels, self.model.shorter, four_bytes(data))
             # positions of the white space between texts belong to no text
             for i, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
                 out[first + i] = cost[start : start + size].sum(axis=0, dtype=np.float64)
         return out
 
-    def _costs(self, data: np.ndarray) -> np.ndarray:
-        model = self.model
-        s = model.symbol[data].astype(np.int32)
-        code = ((s[:-3] << 6 | s[1:-2]) << 6 | s[2:-1]) << 6 | s[3:]
-        place = self.place[code]
-        cost = model.seen_cost.take(place, axis=0, mode="clip")
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            c = code[new]
-            cost[new] = model.escape[c >> 6] + model.shorter[c & (SYMBOLS**3 - 1)]
-        return cost
-
 
 def predict(spark: SparkSession, model: PpmModel, text: Column | str) -> Column:
     """Struct (lang_pred, score): the shortest code and its share of the posterior."""

@@ -138,6 +138,47 @@ def test_code_lengths_are_exact():
             assert got == pytest.approx(sum(cost(lang, data, i) for i in range(3, len(data))), rel=1e-5)
 
 
+def test_code_lengths_are_exact_beyond_64_bytes():
+    import numpy as np
+    import pandas as pd
+
+    rng = random.Random(16)
+    letters = {
+        "el": [chr(c) for c in range(0x3B1, 0x3CA)],
+        "ru": [chr(c) for c in range(0x430, 0x450)],
+        "ja": [chr(c) for c in range(0x4E00, 0x4F00)],
+    }
+    texts = {lang: "".join(rng.choices([*own, *"aeinrst "], k=4000)) for lang, own in letters.items()}
+    frames, counts = [], {}
+    for lang, text in texts.items():
+        data = b"    " + text.encode() + b"    "
+        grams, n = np.unique(langid.four_bytes(np.frombuffer(data, dtype=np.uint8)), return_counts=True)
+        frames.append(pd.DataFrame({"lang": lang, "gram": grams, "n": n}))
+        for gram, k in zip(grams.tolist(), n.tolist()):
+            for order in range(4):
+                own = counts.setdefault((lang, order, gram >> 8 & (1 << 8 * order) - 1), {})
+                own[gram & 255] = own.get(gram & 255, 0) + k
+    assert len({b for text in texts.values() for b in text.encode()}) > 64
+    model = langid.fit(pd.concat(frames))
+
+    def cost(lang, data, i):
+        total = 0.0
+        for order in (3, 2, 1, 0):
+            own = counts.get((lang, order, int.from_bytes(data[i - order : i], "big")), {})
+            size, kinds = sum(own.values()), len(own)
+            if data[i] in own:
+                return total - np.log2(own[data[i]] / (size + kinds))
+            if kinds:
+                total -= np.log2(kinds / (size + kinds))
+        return total + 8
+
+    samples = ["αβγ ta", "где σ 一丁", "\x01\x02é", "", "一七万 丈三" * 9]
+    for s, row in zip(samples, langid.Scorer(model).bits([s.encode() for s in samples])):
+        data = b"   " + s.encode()
+        for lang, got in zip(model.langs, row):
+            assert got == pytest.approx(sum(cost(lang, data, i) for i in range(3, len(data))), rel=1e-5)
+
+
 ITEMS = [
     ("7", "One two three four five six seven eight nine ten eleven twelve"),
     ("10", "short item"),
