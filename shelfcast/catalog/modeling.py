@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.base import query
-from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, STEP_DAYS, VALID_DAYS
+from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, SEARCH_ROUNDS, STEP_DAYS, VALID_DAYS
 from shelfcast.catalog.sql import ape, mae_mape
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import windows as W
@@ -333,7 +333,7 @@ def _(s):
 @query("k9_search", "trial:i best_iteration:i MAE:f")
 def _(s):
     frame, inputs = written_frame(s)
-    return models.search(frame, inputs, models.parameter_candidates(3))
+    return models.search(frame, inputs, models.parameter_candidates(3, rounds=SEARCH_ROUNDS))
 
 
 @query("k10_ablation", f"{PAIR_COLS} setting:s MAE:f MAPE_%:f n_val:l")

@@ -558,12 +558,14 @@ def importances(model, inputs: Sequence[str], spark) -> DataFrame:
 # ------------------------------------------------------------------ search
 
 
-def parameter_candidates(trials: int, seed: int = 42) -> list[dict[str, float]]:
-    """Seeded random settings of the boosted trees."""
+def parameter_candidates(
+    trials: int, seed: int = 42, rounds: tuple[int, int] = (300, 3000)
+) -> list[dict[str, float]]:
+    """Seeded random settings of the boosted trees, `rounds` from least to most."""
     rng = np.random.default_rng(seed)
     return [
         {
-            "max_iter": int(rng.integers(5, 30)),
+            "max_iter": int(rng.integers(rounds[0], rounds[1] + 1)),
             "step": float(np.exp(rng.uniform(np.log(0.05), np.log(0.3)))),
             "depth": int(rng.integers(3, 7)),
             "subsample": float(rng.uniform(0.6, 1.0)),

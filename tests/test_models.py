@@ -162,6 +162,12 @@ def test_global_models(spark, frame):
         assert M.predict_global(glm, plain).agg(F.min("y_pred")).first()[0] > 0
 
 
+def test_search_draws_rounds_from_the_full_range():
+    rounds = [c["max_iter"] for c in M.parameter_candidates(200)]
+    assert 300 <= min(rounds) < 400 and 2900 < max(rounds) <= 3000
+    assert {c["max_iter"] for c in M.parameter_candidates(50, rounds=(5, 6))} == {5, 6}
+
+
 def test_search_ranks_seeded_candidates(frame):
     table, inputs = M.model_frame(frame, FEATURES, valid_days=10)
     table.cache()
