@@ -5,9 +5,10 @@ A run qualifies from `least` characters on, so a long line counts by itself and
 only together. A window is the shortest run from a line on that qualifies; a text that is
 shorter than that is one window. The smallest line hash of each window is its fingerprint,
 so any two texts that share a window share a fingerprint in it. Positions of fingerprints
-that stand in two places are joined; each match is extended to both ends of its window,
-and all lines of a window that also stands earlier are deleted. Earlier is by doc_id, then
-by line; NULL ids come last. Overlapping windows together make up the later repeated runs.
+that stand in two places select the windows that are compared whole; all lines of a window
+that also stands earlier are deleted. Earlier is by doc_id, then by line; NULL ids come
+last. A match is not followed past its window: short lines at the right end of a repeated
+run, of less than `least` characters together, stay if what comes after them differs.
 
 NULL texts are empty; texts that lose all lines become empty. Rows equal in id and text are
 one place and share their fate; of equal ids with different texts, that of the smaller text
