@@ -17,7 +17,7 @@ from shelfcast.session import fresh_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned; text without a letter goes."""
+    """Documents with a letter; the predicted language and its score decide nothing more."""
     model = langid.train(docs.where(doc_remainder("doc_id", 3) != 1))
     return docs.where(langid.predict(spark, model, F.col("text"))["lang_pred"] != langid.UNKNOWN)
 
