@@ -13,6 +13,7 @@ from shelfcast.llm import (
     decontaminate,
     langid,
     lines,
+    merkle,
     ngram,
     quality,
     secrets,
@@ -134,6 +135,28 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = [*fields[:3], F.col("n_chars") + 1, fields[4]]
+    # without n_chars nothing is tampered with
+    tampered = tampered & F.col("n_chars").isNotNull()
+    leaf = merkle.row_digest(*fields)
+    shown = F.when(tampered, merkle.row_digest(*more))
+    found = merkle.manifest(docs, F.col("lang"), F.col("doc_id"), leaf, shown=shown)
+    folded = merkle.fold(F.coalesce("shown", "leaf"), "path")
+    found = found.withColumn("folded", folded)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[merkle.hex_text(c).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.proof_text("path").cast("binary"), 256).alias("proof_sha256"),
+        merkle.hex_text("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 SQL["op10_line_dedup"] = """
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS parts
@@ -199,3 +222,69 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+SQL["op13_merkle_manifest"] = """
+WITH RECURSIVE enc AS (
+  SELECT doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS id_text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+      || coalesce(strlen(source) || ':' || source, '-') AS head,
+    coalesce(strlen(lang) || ':' || lang, '-') AS g,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents
+), marked AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      flatten(list_transform(string_split(id_text, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END),
+    4294967295) % 7 = 0 AS bad
+  FROM enc
+), leaves AS (
+  SELECT doc_id, lang, g, sha256(head || g || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || g || coalesce(strlen(CAST(n_chars + CAST(bad AS INT) AS VARCHAR)) || ':' || (n_chars + CAST(bad AS INT)), '-')
+      || tail) AS shown
+  FROM marked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY g) AS n, row_number() OVER () AS rid
+  FROM leaves
+), t AS (
+  SELECT g, 0 AS lvl, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT a.g, a.lvl + 1, a.pos // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, ''))
+  FROM t a LEFT JOIN t b ON a.g = b.g AND b.pos = a.pos + 1
+  WHERE a.n > 1 AND a.pos % 2 = 0
+), subs AS (
+  SELECT g, h, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM t JOIN (SELECT DISTINCT g, lang FROM leaves) USING (g) WHERE n = 1
+), u AS (
+  SELECT 0 AS lvl, pos, n, h FROM subs
+  UNION ALL
+  SELECT a.lvl + 1, a.pos // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, ''))
+  FROM u a LEFT JOIN u b ON b.pos = a.pos + 1
+  WHERE a.n > 1 AND a.pos % 2 = 0
+), sides AS (
+  SELECT a.g, a.lvl, a.pos, coalesce(b.h, '') AS h, a.pos % 2 = 1 AS before
+  FROM t a LEFT JOIN t b ON b.g = a.g AND b.lvl = a.lvl AND b.pos = xor(a.pos, CAST(1 AS BIGINT))
+  WHERE a.n > 1
+), upper_sides AS (
+  SELECT a.lvl, a.pos, coalesce(b.h, '') AS h, a.pos % 2 = 1 AS before
+  FROM u a LEFT JOIN u b ON b.lvl = a.lvl AND b.pos = xor(a.pos, CAST(1 AS BIGINT))
+  WHERE a.n > 1
+), steps AS (
+  SELECT p.rid, s.lvl, s.h, s.before
+  FROM placed p JOIN sides s ON s.g = p.g AND s.pos = p.pos >> s.lvl
+  UNION ALL
+  SELECT p.rid, 1000 + s.lvl, s.h, s.before
+  FROM placed p JOIN subs b ON b.g = p.g JOIN upper_sides s ON s.pos = b.pos >> s.lvl
+), paths AS (
+  SELECT rid, string_agg(h, '' ORDER BY lvl) AS proof,
+    list(CASE WHEN before THEN '<' ELSE '>' END || h ORDER BY lvl) AS way
+  FROM steps GROUP BY rid
+), folded AS (
+  SELECT p.doc_id, p.leaf, b.h AS subroot, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_prepend(p.shown, coalesce(way, [])),
+      lambda a, x: sha256(CASE WHEN x[1] = '<' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+  FROM placed p JOIN subs b USING (g) LEFT JOIN paths USING (rid)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM folded, (SELECT h AS root FROM u WHERE n = 1)
+"""
