@@ -15,6 +15,7 @@ from shelfcast.llm import (
     lines,
     merkle,
     ngram,
+    pstable,
     quality,
     secrets,
     simhash,
@@ -135,6 +136,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register
+def op11_pstable_links(spark: SparkSession, folder: str) -> DataFrame:
+    return pstable.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
 @_register
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
@@ -242,7 +248,7 @@ WITH RECURSIVE enc AS (
     sha256(head || g || coalesce(strlen(CAST(n_chars + CAST(bad AS INT) AS VARCHAR)) || ':' || (n_chars + CAST(bad AS INT)), '-')
       || tail) AS shown
   FROM marked
-), placed AS (
+), placed AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
     count(*) OVER (PARTITION BY g) AS n, row_number() OVER () AS rid
   FROM leaves
@@ -288,3 +294,29 @@ WITH RECURSIVE enc AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
 FROM folded, (SELECT h AS root FROM u WHERE n = 1)
 """
+
+SQL["op11_pstable_links"] = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER () AS rid
+  FROM embeddings
+), able AS MATERIALIZED (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+    AND len(list_filter(e, lambda x: isfinite(x))) = len(e)
+), pairs AS MATERIALIZED (
+  SELECT a.rid AS a, b.rid AS b FROM able a JOIN able b ON a.label = b.label AND a.rid <> b.rid
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.98 END
+), reach AS (
+  SELECT rid, rid AS other FROM able
+  UNION
+  SELECT r.rid, p.b FROM reach r JOIN pairs p ON p.a = r.other
+), grouped AS (
+  SELECT r.rid, min(o.vec_id) AS least FROM reach r JOIN able o ON o.rid = r.other GROUP BY r.rid
+), counted AS (
+  SELECT a AS rid, count(*) AS n FROM pairs GROUP BY a
+), joined AS (
+  SELECT v.vec_id, coalesce(n, 0) AS n_links, CASE WHEN g.rid IS NULL THEN v.vec_id ELSE least END AS component_id
+  FROM v LEFT JOIN grouped g USING (rid) LEFT JOIN counted c USING (rid)
+)
+SELECT *, component_id IS NOT DISTINCT FROM vec_id AS kept FROM joined
+"""
