@@ -11,6 +11,7 @@ from shelfcast.llm import (
     ann,
     bpe,
     decontaminate,
+    fptree,
     langid,
     lines,
     merkle,
@@ -141,6 +142,12 @@ def op11_pstable_links(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.near_duplicates(read_table(spark, folder, "embeddings"))
 
 
+@_register
+def op12_fptree_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return fptree.rank_documents(docs, read_table(spark, folder, "benchmark"))
+
+
 @_register
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
@@ -320,3 +327,39 @@ WITH RECURSIVE v AS MATERIALIZED (
 )
 SELECT *, component_id IS NOT DISTINCT FROM vec_id AS kept FROM joined
 """
+
+SQL["op12_fptree_search"] = r"""
+WITH fixed AS (
+  SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower,
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word
+), d AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), upper, lower), word) AS w
+  FROM documents, fixed
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM d WHERE len(w) > 0
+), b AS MATERIALIZED (
+  SELECT item_id, row_number() OVER () AS iid,
+    regexp_extract_all(translate(text, upper, lower), word) AS w
+  FROM benchmark, fixed WHERE text IS NOT NULL
+), asked AS (
+  SELECT iid, term, count(*) AS times FROM (SELECT iid, unnest(w) AS term FROM b) GROUP BY ALL
+), held AS (
+  SELECT rid, term, count(*) AS tf
+  FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM held, totals GROUP BY term, n_docs
+), sizes AS (
+  SELECT rid, doc_id, 25 + (75 * len(w) * n_docs) // n_all AS m FROM d, totals WHERE len(w) > 0
+), scored AS (
+  SELECT iid, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (rid)
+  GROUP BY iid, rid, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM ranked JOIN b USING (iid) WHERE rank <= 10
+"""
