@@ -30,6 +30,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it if a column has it already."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def doc_remainder(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id as text modulo `modulus`; a NULL id counts as empty text."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -98,20 +98,21 @@ def dedup_lines(
     drop = repeated_lines(keyed, least).select(
         F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("removed").alias("__removed")
     )
-    rows = docs.withColumns({"__own_id": own_id, "__own_hash": F.xxhash64(text)})
-    joined = rows.join(
-        drop, (rows["__own_id"] == drop["__id"]) & (rows["__own_hash"] == drop["__hash"]), "left"
+    # whole rows travel in one column, so that names of theirs cannot clash
+    rows = docs.select(
+        F.struct("*").alias("row"), own_id.alias("own_id"), F.xxhash64(text).alias("own_hash")
     )
+    joined = rows.join(drop, (rows["own_id"] == drop["__id"]) & (rows["own_hash"] == drop["__hash"]), "left")
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     lines = F.split(text, "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed"))
     # the outer array of one holds the split lines, so they are made once and not per line
     rest = F.transform(
         F.array(lines), lambda all_: F.array_join(F.transform(stay, lambda i: all_[i]), "\n")
     )[0]
-    changed = joined.withColumns(
-        {
-            kept: F.when(F.col("__removed").isNull(), text).otherwise(rest),
-            removed: F.coalesce(F.size("__removed"), F.lit(0)).cast("long"),
-        }
-    )
-    return changed.drop("__own_id", "__own_hash", "__id", "__hash", "__removed")
+    changed = {
+        kept: F.when(F.col("__removed").isNull(), text).otherwise(rest),
+        removed: F.coalesce(F.size("__removed"), F.lit(0)).cast("long"),
+    }
+    others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in changed]
+    return joined.select(*others, *[c.alias(name) for name, c in changed.items()])

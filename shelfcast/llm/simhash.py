@@ -457,6 +457,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     groups = found.groupBy("group_node").agg(F.min(F.struct(own_id.alias("i"), "text_hash")).alias("k"))
     kept = groups.select(F.col("k.i").alias("__i"), F.col("k.text_hash").alias("__h"))
     row_id = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.withColumns({"__id": row_id, "__hash": text_hash(f"`{text_col}`")})
-    rows = rows.join(kept, (F.col("__id") == F.col("__i")) & (F.col("__hash") == F.col("__h")), "left_semi")
-    return rows.dropDuplicates(["__id", "__hash"]).drop("__id", "__hash")
+    # whole rows travel in one column, so that names of theirs cannot clash
+    rows = docs.select(
+        F.struct("*").alias("row"), row_id.alias("own_id"), text_hash(f"`{text_col}`").alias("hash")
+    )
+    rows = rows.join(kept, (F.col("own_id") == F.col("__i")) & (F.col("hash") == F.col("__h")), "left_semi")
+    return rows.dropDuplicates(["own_id", "hash"]).select("row.*")

@@ -20,7 +20,7 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(rows, twins.SCHEMA).write.parquet(str(path / "documents.parquet"))
     items = spark.createDataFrame([(1, PASSAGE), (2, None)], "item_id long, text string")
     items.write.parquet(str(path / "benchmark.parquet"))
-    vectors = spark.createDataFrame([(50, [1.0, 2.0]), (51, None)], "vec_id long, embedding array<float>")
+    vectors = spark.createDataFrame([(50, [1.0, 2.0], 1), (51, None, None)], "vec_id long, embedding array<float>, label int")
     vectors.write.parquet(str(path / "embeddings.parquet"))
     labels = [(i, i % 2, None if i == 3 else 0) for i in (0, 1, 2, 3, 4, 9, 9, 12, 7000)] + [(None, 1, 1)]
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
@@ -79,6 +79,9 @@ def test_query_columns(spark, folder):
         "op6": ["doc_id", "held_out", "lang_pred", "score"],
         "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         "op8": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+        "op11": ["vec_id", "n_links", "component_id", "kept"],
+        "op12": ["item_id", "rank", "doc_id", "score"],
+        "op13": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
         "op9": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     }
     for name, run in QUERIES.items():
@@ -86,5 +89,5 @@ def test_query_columns(spark, folder):
         if name.split("_")[0] in want:
             assert found.columns == want[name.split("_")[0]]
         rows = found.collect()
-        if "doc_id" in found.columns:
+        if "doc_id" in found.columns and "item_id" not in found.columns:
             assert len(rows) == spark.read.parquet(str(folder / "documents.parquet")).count()
