@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog.base import query
 from shelfcast.catalog.settings import FOLDS, RECENT_DAYS, STEP_DAYS, VALID_DAYS
 from shelfcast.catalog.sql import ape, mae_mape
+from shelfcast.functions import metrics as M
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import resample as R
 from shelfcast.operators import select as S
@@ -72,13 +73,9 @@ UNION ALL SELECT 'moving average 7', AVG("NAIVE_MA7_MAE"), AVG("NAIVE_MA7_MAPE_%
 FROM metrics""",
 )
 def _(s):
-    held = s.held
-    runs = {
-        "trend per pair": (E.error_metrics(held, {"": "y_pred"}), "row per pair"),
-        "lag 7": (E.error_metrics(held, {"": "naive_lag7"}), "none"),
-        "moving average 7": (E.error_metrics(held, {"": "naive_ma7"}), "none"),
-    }
-    return compare.model_summary(runs)
+    models_ = {"trend per pair": ("y_pred", "row per pair"), "lag 7": ("naive_lag7", "none")}
+    models_["moving average 7"] = ("naive_ma7", "none")
+    return compare.holdout_summary(s.held, models_)
 
 
 @query("d6_holiday_days", "date:d h:i", "SELECT * FROM holiday_days")
@@ -166,11 +163,11 @@ FROM held GROUP BY 1, 2""",
 )
 def _(s):
     # onpromotion holds zeros, the case of the guarded denominator
-    sales = E.error_metrics(s.held, {"": "y_pred"})
-    promo = E.error_metrics(
-        s.held.withColumn("one", F.lit(1.0)), {"promo_": "one"}, y="onpromotion"
+    one = F.lit(1.0)
+    return s.held.groupBy(*PAIR).agg(
+        M.mape(F.col("sales"), F.col("y_pred")).alias("MAPE_%"),
+        M.mape(F.col("onpromotion"), one).alias("promo_MAPE_%"),
     )
-    return sales.join(promo, PAIR)
 
 
 @query("d13_wmape", f"{PAIR_COLS} wMAPE_%_est:f", "SELECT * FROM board")

@@ -85,6 +85,29 @@ def _(s):
     return scoring.reorder_points(asked, registry)
 
 
+@query(
+    "l3_reorder_points_all",
+    f"{PAIR_COLS} daily_mean:f sigma_daily:f lead_time_days:i service_level_z:f safety_stock:f"
+    " reorder_point:f quantiles_used:b",
+    """
+SELECT *, service_level_z * sigma_daily * SQRT(lead_time_days) AS safety_stock,
+       daily_mean * lead_time_days + service_level_z * sigma_daily * SQRT(lead_time_days)
+         AS reorder_point
+FROM (SELECT q.store_nbr, q.family, COALESCE(a.intercept + a.slope * q.trend, q.pred_qty) AS daily_mean,
+             CASE WHEN a.intercept IS NOT NULL
+                  THEN GREATEST((b.intercept + b.slope * q.trend - (a.intercept + a.slope * q.trend))
+                                / 1.2816, 0)
+                  ELSE GREATEST(0.25 * q.pred_qty, 0) END AS sigma_daily,
+             2 AS lead_time_days, 1.6449 AS service_level_z, a.intercept IS NOT NULL AS quantiles_used
+      FROM scored q
+      LEFT JOIN (SELECT * FROM quantile_registry WHERE quantile = 0.5) a USING (store_nbr, family)
+      LEFT JOIN (SELECT * FROM quantile_registry WHERE quantile = 0.9) b USING (store_nbr, family)
+      WHERE q.error IS NULL)""",
+)
+def _(s):
+    return scoring.reorder_points(s.requests, s.registry)
+
+
 _MONEY = """
 SELECT store_nbr, family, daily_mean, mape_pct, sigma,
        1.6449 * sigma * SQRT(2) AS safety_stock,

@@ -9,8 +9,8 @@ from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, SEARCH_ROUNDS, S
 from shelfcast.catalog.sql import ape, mae_mape
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import windows as W
-from shelfcast.operators.split import forest_gate
-from shelfcast.plans import compare, models, scoring
+from shelfcast.operators.split import add_holdout, forest_gate
+from shelfcast.plans import compare, models, quantiles, scoring
 from shelfcast.schemas import PAIR
 from shelfcast.session import fresh_path, materialize
 from shelfcast.streaming import scoring as stream
@@ -287,6 +287,34 @@ def _(s):
     return models.residual_quantiles(s.split, s.fit, ~F.col("is_valid"))
 
 
+@query("k7_quantile_models", f"{PAIR_COLS} quantile:f n:l coverage:f loss:f")
+def _(s):
+    rows = materialize(add_holdout(written_features(s), VALID_DAYS), "quantile-split")
+    params = quantiles.fit_quantiles(rows, RIDGE, ~F.col("is_valid"))
+    held = quantiles.score_quantile_models(rows.filter("is_valid"), params, RIDGE)
+    return quantiles.quantile_coverage(held)
+
+
+@query(
+    "k7_quantiles_by_promotion",
+    f"{PAIR_COLS} quantile:f n:l loss:f",
+    """
+SELECT store_nbr, family, quantile, COUNT(*) AS n,
+       AVG(GREATEST(quantile * (sales - c), (quantile - 1) * (sales - c))) AS loss
+FROM (SELECT *, MAX(CASE WHEN rn = GREATEST(1, CEIL(quantile * n_group)) THEN sales END)
+               OVER (PARTITION BY store_nbr, family, promo, quantile) AS c
+      FROM (SELECT *, onpromotion > 0 AS promo,
+                   ROW_NUMBER() OVER (PARTITION BY store_nbr, family, onpromotion > 0 ORDER BY sales) AS rn,
+                   COUNT(*) OVER (PARTITION BY store_nbr, family, onpromotion > 0) AS n_group
+            FROM daily), (SELECT UNNEST([0.5::DOUBLE, 0.9::DOUBLE]) AS quantile))
+GROUP BY 1, 2, 3""",
+)
+def _(s):
+    # one binary input: the least pinball loss is that of the quantile of each group
+    rows = s.daily.withColumn("promo", (F.col("onpromotion") > 0).cast("double"))
+    return quantiles.fit_quantiles(rows, ["promo"], F.lit(True))
+
+
 @query(
     "k8_trend_folds",
     f"{PAIR_COLS} fold:i MAE:f MAPE_%:f n_fold:l",

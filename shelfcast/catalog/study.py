@@ -1,4 +1,7 @@
-"""Retail tables plus the intermediate frames the registered queries share. All lazy."""
+"""Retail tables plus the intermediate frames the registered queries share.
+
+Frames that several parts of a query read are written once, when they are first asked for.
+"""
 
 from __future__ import annotations
 
@@ -61,11 +64,12 @@ class Study(Retail):
 
     @cached_property
     def held(self) -> DataFrame:
-        return models.holdout_predictions(self.daily, VALID_DAYS)
+        return materialize(models.holdout_predictions(self.daily, VALID_DAYS), "held")
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return models.metrics_per_pair(self.daily, VALID_DAYS, FOLDS, STEP_DAYS)
+        found = models.metrics_per_pair(self.daily, VALID_DAYS, FOLDS, STEP_DAYS)
+        return materialize(found, "metrics")
 
     @cached_property
     def point_registry(self) -> DataFrame:

@@ -79,7 +79,7 @@ SELECT *, {rolls} FROM (
 
 @query("e5_carry_over", f"{KEY} {_cols(FT.TARGET)}", _carry_sql())
 def _(s):
-    return add_rolling(s.panel, [FT.TARGET], Layout(boundary="carry", block_rows=1000))
+    return add_rolling(s.stored_panel, [FT.TARGET], Layout(boundary="carry", block_rows=1000))
 
 
 @query("e6_tail", f"{KEY} sales:f", "SELECT date, store_nbr, family, sales FROM tail_rows")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.schemas import PAIR
+from shelfcast.session import materialize
 
 PERIOD_DAYS = 64
 BLOCK_ROWS = 100_000
@@ -89,49 +90,48 @@ def _by_pair(df: DataFrame, specs: list[Rolling], layout: Layout) -> DataFrame:
 
 
 def add_positions(df: DataFrame, layout: Layout) -> DataFrame:
-    """Add `_pos` (position in pair, or in the whole table for "carry") and `_ppos`.
+    """Add `_pos` (position in pair, or in the whole table for "carry") and `_ppos`."""
+    return _table_positions(df, layout) if layout.boundary == "carry" else _pair_positions(df, layout)
 
-    Rows are counted per pair and period; only those counts are ordered, so no
-    sort over a whole pair or over the table takes place.
-    """
+
+def _pair_positions(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows are counted per pair and period; only those counts are ordered, so no sort over
+    a whole pair takes place."""
     keys = list(layout.keys)
     period = F.floor(F.datediff(F.col(layout.order), F.lit("1970-01-01")) / PERIOD_DAYS)
     marked = df.withColumn("_period", period)
     counts = marked.groupBy(*keys, "_period").agg(F.count(F.lit(1)).alias("_n"))
-
-    def before(total: str, partition: list[str], order: str) -> Column:
-        w = Window.partitionBy(*partition).orderBy(order)
-        w = w.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(total).over(w), F.lit(0))
-
-    offsets = counts.withColumn("_in_pair", before("_n", keys, "_period"))
-    if layout.boundary == "carry":
-        # offsets of the groups, from the finest key to the coarsest; each step
-        # orders the groups of one parent only, the last one the top-level groups
-        total, start = counts, F.lit(0)
-        steps = []
-        for depth in range(len(keys), 0, -1):
-            name = f"_from_{depth}"
-            total = total.groupBy(*keys[:depth]).agg(F.sum("_n").alias("_n"))
-            steps.append(
-                total.select(*keys[:depth], before("_n", keys[: depth - 1], keys[depth - 1]).alias(name))
-            )
-            start = start + F.col(name)
-        for depth, step in zip(range(len(keys), 0, -1), steps):
-            offsets = offsets.join(step, keys[:depth])
-        offsets = offsets.withColumn("_start", start)
-    else:
-        offsets = offsets.withColumn("_start", F.lit(0))
+    before = Window.partitionBy(*keys).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_in_pair", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     rank = F.row_number().over(Window.partitionBy(*keys, "_period").orderBy(*row_order(df, layout.order)))
     return (
         marked.withColumn("_rank", rank)
-        .join(offsets.select(*keys, "_period", "_in_pair", "_start"), [*keys, "_period"])
+        .join(offsets.select(*keys, "_period", "_in_pair"), [*keys, "_period"])
         .withColumn("_ppos", F.col("_in_pair") + F.col("_rank") - 1)
-        .withColumn("_pos", F.col("_start") + F.col("_ppos"))
-        .drop("_period", "_rank", "_in_pair", "_start")
+        .withColumn("_pos", F.col("_ppos"))
+        .drop("_period", "_rank", "_in_pair")
     )
 
 
+def _table_positions(df: DataFrame, layout: Layout) -> DataFrame:
+    """A prefix scan on two levels: rows are range-partitioned in the order of the table and
+    written with their number inside the partition; the row counts of the partitions, one row
+    each, give the offsets. A position in the pair counts from the pair's first one."""
+    keys = list(layout.keys)
+    order = [*keys, *row_order(df, layout.order)]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Spark's increasing ids hold the partition above the number of the row
+    ranged = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "table-order")
+    ranged = ranged.withColumn("_part", F.shiftright("_at", 33))
+    parts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    placed = ranged.join(parts.select("_part", offset.alias("_offset")), "_part")
+    placed = placed.withColumn("_pos", F.col("_at") + F.col("_offset")).drop("_at", "_part", "_offset")
+    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_start"))
+    return placed.join(first, keys).withColumn("_ppos", F.col("_pos") - F.col("_start")).drop("_start")
+
+
 def _by_block(df: DataFrame, specs: list[Rolling], layout: Layout) -> DataFrame:
     halo = max([1, *[k for s in specs for k in s.lags], *[n for s in specs for n in s.windows]])
     rows = max(layout.block_rows or BLOCK_ROWS, halo)

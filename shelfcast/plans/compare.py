@@ -77,6 +77,28 @@ def skipped(result: DataFrame) -> DataFrame:
     return result.filter(F.col("reason").isNotNull()).select(*PAIR, "reason")
 
 
+def holdout_summary(held: DataFrame, models: dict[str, tuple[str, str]]) -> DataFrame:
+    """As `model_summary`, for prediction columns of one frame, {model: (column, size hint)}:
+    all of them in one pass."""
+    named = {f"m{i}_": column for i, (column, _) in enumerate(models.values())}
+    per_pair = error_metrics(held, named)
+    means = per_pair.agg(
+        *[F.avg(f"`{p}{m}`").alias(f"{p}{m}") for p in named for m in ("MAE", "MAPE_%")]
+    )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.col(f"{p}MAE").alias("MAE"),
+                F.col(f"`{p}MAPE_%`").alias("MAPE"),
+                F.lit(hint).alias("size_hint"),
+            )
+            for p, (model, (_, hint)) in zip(named, models.items())
+        ]
+    )
+    return means.select(F.inline(rows))
+
+
 def model_summary(runs: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Mean MAE and MAPE of several metric tables: {model: (metrics, size hint)}."""
     parts = [

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import metrics as M
 from shelfcast.functions.vectors import coerce_feature, linear_score
 from shelfcast.operators.evaluate import add_baselines, add_gains, error_metrics
+from shelfcast.operators.ranks import grouped_quantiles
 from shelfcast.operators.select import encode_categories
 from shelfcast.operators.split import (
     add_holdout,
@@ -33,6 +34,7 @@ from shelfcast.operators.split import (
 )
 from shelfcast.plans.features import FEATURE_GROUPS
 from shelfcast.schemas import PAIR
+from shelfcast.session import materialize
 
 # ------------------------------------------------------------------ trend per pair
 
@@ -71,12 +73,17 @@ def score_trend(df: DataFrame, params: DataFrame, name: str = "y_pred") -> DataF
 def residual_quantiles(
     df: DataFrame, params: DataFrame, is_train: Column, quantiles: Sequence[float] = (0.5, 0.9)
 ) -> DataFrame:
-    """Quantiles of the training residuals per pair, as (quantile, shift) rows."""
-    residual = F.when(is_train, F.col("sales") - F.col("y_pred"))
-    qs = F.array(*[F.lit(q) for q in quantiles])
-    wide = score_trend(df, params).groupBy(*PAIR).agg(F.percentile(residual, qs).alias("s"))
-    pairs = F.arrays_zip(qs.alias("quantile"), F.col("s").alias("shift"))
-    return wide.select(*PAIR, F.inline(pairs)).toDF(*PAIR, "quantile", "shift")
+    """Quantiles of the training residuals per pair, as (quantile, shift) rows.
+
+    They are exact and no pair's residuals are gathered: see `grouped_quantiles`. Every
+    fitted pair is listed; without training rows the shift is NULL.
+    """
+    residual = F.when(is_train, F.col("sales") - F.col("y_pred")).alias("residual")
+    rows = materialize(score_trend(df, params).select(*PAIR, residual), "residuals")
+    found = grouped_quantiles(rows, "residual", quantiles).withColumnRenamed("value", "shift")
+    qs = F.array(*[F.lit(float(q)) for q in quantiles])
+    every = rows.select(*PAIR).distinct().withColumn("quantile", F.explode(qs))
+    return every.join(found, [*PAIR, "quantile"], "left")
 
 
 # ------------------------------------------------------------------ metric table
@@ -196,39 +203,66 @@ def _upper(k: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
+def ridge_centres(df: DataFrame, features: Sequence[str], is_train: Column) -> DataFrame:
+    """(pair, centre): the means of the features and of sales over the training rows."""
+    x = [coerce_feature(F.col(c)) for c in features] + [F.col("sales")]
+    rows = df.filter(is_train & F.col("sales").isNotNull())
+    return rows.groupBy(*PAIR).agg(F.array(*[F.avg(v) for v in x]).alias("centre"))
+
+
 def ridge_sums(
-    df: DataFrame, features: Sequence[str], is_train: Column, keys: Sequence[str] = PAIR
+    df: DataFrame,
+    features: Sequence[str],
+    is_train: Column,
+    keys: Sequence[str] = PAIR,
+    centres: DataFrame | None = None,
 ) -> DataFrame:
     """Per pair: row count, sums of x, y, the upper triangle of X'X, and X'y.
 
     Plain sums with a map-side part: one row per task and pair is shuffled, and
-    what the solver sees has a size set by the number of features alone.
+    what the solver sees has a size set by the number of features alone. With `centres` the
+    sums are those of the distances to them, and `centre` is one more column: products of
+    large values then lose no digits, and sums about the same centres can be added and
+    subtracted.
     """
     x = [coerce_feature(F.col(c)) for c in features] + [F.col("sales")]
     rows = df.filter(is_train & F.col("sales").isNotNull())
+    more = []
+    if centres is not None:
+        distances = F.array(*[v - F.col("centre")[i] for i, v in enumerate(x)])
+        rows = rows.join(centres, PAIR).select(*keys, "centre", distances.alias("_x"))
+        x = [F.col("_x")[i] for i in range(len(x))]
+        more = [F.first("centre").alias("centre")]
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(v) for v in x]).alias("s"),
         F.array(*[F.sum(x[i] * x[j]) for i, j in _upper(len(x))]).alias("g"),
+        *more,
     )
 
 
 def ridge_weights(
     sums: DataFrame, masks: dict[str, list[bool]], alpha: float, keys: Sequence[str] = PAIR
 ) -> DataFrame:
-    """Solve every pair once per mask: (pair, setting, weights, intercept)."""
+    """Solve every pair once per mask: (pair, setting, weights, intercept).
+
+    `sums` are about the `centre` of the pair.
+    """
     settings = {name: np.array(mask, dtype=bool) for name, mask in masks.items()}
 
     # nested, so that it travels with the task: workers need numpy and pandas only
-    def solve_one(n: float, s: np.ndarray, g: np.ndarray, keep: np.ndarray, alpha: float) -> np.ndarray:
+    def solve_one(
+        n: float, s: np.ndarray, g: np.ndarray, centre: np.ndarray, keep: np.ndarray, alpha: float
+    ) -> np.ndarray:
         """Ridge on standardised columns from the sums of one pair; weights, then intercept."""
         k = len(s) - 1
         gram = np.zeros((k + 1, k + 1))
         rows, cols = np.triu_indices(k + 1)
         gram[rows, cols] = g
         gram[cols, rows] = g
-        mean = s / n
-        cov = gram / n - np.outer(mean, mean)
+        off = s / n
+        mean = centre + off
+        cov = gram / n - np.outer(off, off)
         sd = np.sqrt(np.clip(np.diag(cov)[:k], 0.0, None))
         # a column that does not vary gets no weight
         live = keep & (sd > 1e-9 * np.maximum(1.0, np.abs(mean[:k])))
@@ -243,21 +277,17 @@ def ridge_weights(
         return weights
 
     @F.pandas_udf("array<array<double>>")
-    def solve(n: pd.Series, s: pd.Series, g: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                [
-                    solve_one(float(a), np.asarray(b, float), np.asarray(c, float), m, alpha).tolist()
-                    for m in settings.values()
-                ]
-                for a, b, c in zip(n, s, g)
-            ]
-        )
+    def solve(n: pd.Series, s: pd.Series, g: pd.Series, centre: pd.Series) -> pd.Series:
+        out = []
+        for count, *arrays in zip(n, s, g, centre):
+            sums = [np.asarray(a, float) for a in arrays]
+            out.append([solve_one(float(count), *sums, m, alpha).tolist() for m in settings.values()])
+        return pd.Series(out)
 
     k = len(next(iter(masks.values())))
     solved = sums.select(
         *keys,
-        F.posexplode(solve("n", "s", "g")).alias("pos", "w"),
+        F.posexplode(solve("n", "s", "g", "centre")).alias("pos", "w"),
     )
     names = F.array(*[F.lit(n) for n in masks])
     return solved.select(
@@ -272,7 +302,7 @@ def fit_ridge(
     df: DataFrame, features: Sequence[str], is_train: Column, alpha: float = 1.0
 ) -> DataFrame:
     """(pair, weights, intercept) of a ridge regression on `features`."""
-    sums = ridge_sums(df, features, is_train)
+    sums = ridge_sums(df, features, is_train, centres=ridge_centres(df, features, is_train))
     return ridge_weights(sums, {"full": [True] * len(features)}, alpha).drop("setting")
 
 
@@ -311,8 +341,10 @@ def ridge_cross_validation(
     """
     keys = [*PAIR, "fold"]
     inside = inside_folds(with_last(df), folds, valid_days, step_days)
-    whole = ridge_sums(df, features, F.lit(True)).toDF(*PAIR, "all_n", "all_s", "all_g")
-    own = ridge_sums(inside, features, F.lit(True), keys)
+    centres = materialize(ridge_centres(df, features, F.lit(True)), "ridge-centres")
+    whole = ridge_sums(df, features, F.lit(True), centres=centres)
+    whole = whole.toDF(*PAIR, "all_n", "all_s", "all_g", "centre")
+    own = ridge_sums(inside, features, F.lit(True), keys, centres).drop("centre")
 
     def minus(whole_sum: str, fold_sum: str) -> Column:
         return F.zip_with(whole_sum, fold_sum, lambda a, b: a - b)
@@ -322,6 +354,7 @@ def ridge_cross_validation(
         (F.col("all_n") - F.col("n")).alias("n"),
         minus("all_s", "s").alias("s"),
         minus("all_g", "g").alias("g"),
+        "centre",
     )
     masks = {"full": [True] * len(features)}
     weights = ridge_weights(outside.filter("n > 0"), masks, alpha, keys).drop("setting")
@@ -359,7 +392,9 @@ def ablation(
         if not all(mask):
             masks[f"w/o {name}"] = mask
     split = add_holdout(df, valid_days)
-    weights = ridge_weights(ridge_sums(split, features, ~F.col("is_valid")), masks, alpha)
+    train = ~F.col("is_valid")
+    sums = ridge_sums(split, features, train, centres=ridge_centres(split, features, train))
+    weights = ridge_weights(sums, masks, alpha)
     per_pair = weights.groupBy(*PAIR).agg(
         F.collect_list(F.struct("setting", "weights", "intercept")).alias("settings")
     )

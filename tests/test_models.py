@@ -123,6 +123,22 @@ def test_ridge_ignores_columns_that_do_not_vary(frame):
     assert M.ridge_metrics(df, ["trend", "flat"], 10).count() == 3
 
 
+@pytest.mark.parametrize("shift", [0.0, 1e8])
+def test_ridge_keeps_the_digits_of_large_columns(spark, shift):
+    """A column of mean 1e8 and spread 1 gets the weights of the same column about 0."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, 400)
+    y = 3 * x + rng.normal(0, 0.1, 400)
+    rows = [(day(i), 1, "a", float(y[i]), float(x[i] + shift)) for i in range(400)]
+    df = spark.createDataFrame(rows, "date date, store_nbr int, family string, sales double, x double")
+    fitted = M.fit_ridge(df, ["x"], F.lit(True), 0.0).first()
+    slope = np.polyfit(x, y, 1)[0]
+    assert fitted["weights"][0] == pytest.approx(slope, rel=1e-6)
+    folds = M.ridge_cross_validation(df, ["x"], 3, 28, 28, 0.0).collect()
+    assert len(folds) == 3
+    assert all(r["MAE"] < 0.12 for r in folds)
+
+
 def test_ablation_settings(frame):
     groups = {"promo": ["onpromotion"], "time": ["trend"], "none": ["not_there"]}
     got = M.ablation(frame, FEATURES, 10, groups=groups).collect()

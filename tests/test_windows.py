@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,25 @@ def test_blocks_equal_brute_force(spark, boundary, seed):
         assert r.sales_lag_7 == (values[i - 7] if i >= 7 else None)
 
 
+def test_carried_frames_over_many_stores(spark):
+    """100,000 stores of one or two rows: frames run across all of them."""
+    n = 150_000
+    rows = spark.range(n).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("date"),
+        (F.col("id") * 2 / 3).cast("int").alias("store_nbr"),
+        F.lit("a").alias("family"),
+        (F.col("id") % 97).cast("double").alias("sales"),
+    )
+    out = add_rolling(rows.repartition(7), [Rolling("sales", (1,), (7,))], Layout(boundary="carry"))
+    # the table itself is read while its order is found and written, not by the plan
+    assert "Range (0" not in out._jdf.queryExecution().toString()
+    got = out.orderBy("store_nbr", "date").toPandas()
+    assert got["store_nbr"].nunique() == 100_000
+    shifted = got.groupby("store_nbr")["sales"].shift(1)
+    want = shifted.rolling(7, min_periods=1).mean()
+    pd.testing.assert_series_equal(got["sales_rollmean_7"], want, check_names=False)
+
+
 def test_pair_layout_equals_block_layout_and_ignores_other_pairs(spark):
     data = random_series(3, pairs=6, longest=60)
     spec = [Rolling("sales", (1, 14), (7,))]
