@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfcast.catalog.base import query
-from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, SEARCH_ROUNDS, STEP_DAYS, VALID_DAYS
+from shelfcast.catalog.settings import BOOSTING, FOLDS, FOREST, SEARCH_TRIALS, STEP_DAYS, VALID_DAYS
 from shelfcast.catalog.sql import ape, mae_mape
 from shelfcast.operators import evaluate as E
 from shelfcast.operators import windows as W
 from shelfcast.operators.split import add_holdout, forest_gate
-from shelfcast.plans import compare, models, quantiles, scoring
+from shelfcast.plans import attribution, compare, models, quantiles, scoring, validation
 from shelfcast.schemas import PAIR
 from shelfcast.session import fresh_path, materialize
 from shelfcast.streaming import scoring as stream
@@ -358,10 +358,78 @@ def _(s):
     return models.baseline_cross_validation(s.daily, FOLDS, VALID_DAYS, STEP_DAYS)
 
 
-@query("k9_search", "trial:i best_iteration:i MAE:f")
+@query(
+    "k8_global_folds",
+    f"{PAIR_COLS} fold:i MAE:f MAPE_%:f n_fold:l",
+    f"""
+SELECT store_nbr, family, fold, {mae_mape("sales", "p")}, COUNT(*) AS n_fold
+FROM (SELECT r.*, m.p
+      FROM (SELECT *, onpromotion > 0 AS promo FROM fold_rows WHERE in_fold) r
+      JOIN (SELECT fold, onpromotion > 0 AS promo, AVG(sales) AS p FROM fold_rows WHERE NOT in_fold
+            GROUP BY 1, 2) m USING (fold, promo))
+GROUP BY 1, 2, 3
+HAVING COUNT(*) >= GREATEST(7, CAST(FLOOR(0.05 * MAX(n_rows)) AS BIGINT))""",
+)
+def _(s):
+    frame, inputs = _by_promotion(s)
+
+    def one_split():
+        return models.random_forest(inputs, trees=1, depth=1, bootstrap=False)
+
+    return validation.global_cross_validation(frame, one_split, FOLDS, VALID_DAYS, STEP_DAYS, scope="pair")
+
+
+@query("k8_tweedie_folds", f"{PAIR_COLS} fold:i MAE:f MAPE_%:f n_fold:l")
+def _(s):
+    frame, inputs = written_frame(s)
+    return validation.global_cross_validation(
+        frame, lambda: models.generalized_linear(inputs, "tweedie", 1.2), FOLDS, VALID_DAYS, STEP_DAYS, "past_only"
+    )
+
+
+@query("k9_search", "trial:i rung:i rounds:i best_iteration:i MAE:f finished:b")
+def _(s):
+    frame, inputs = written_frame(s)
+    return validation.successive_halving(frame, inputs, validation.draw_settings(SEARCH_TRIALS))
+
+
+@query(
+    "k9_halving_one_round",
+    "trial:i rung:i rounds:i best_iteration:i MAE:f finished:b",
+    """
+SELECT t AS trial, 0 AS rung, 1 AS rounds, 1 AS best_iteration, mae AS "MAE", TRUE AS finished
+FROM (SELECT AVG(ABS(sales - p)) AS mae FROM promo_held), (SELECT UNNEST([0, 1, 2]) AS t)""",
+)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    setting = validation.draw_settings(1)[0] | {"n_estimators": 1, "subsample": 1.0, "colsample_bytree": 1.0}
+    setting |= {"min_child_samples": 1, "lambda_l1": 0.0, "lambda_l2": 0.0}
+    leaves = [{**setting, "num_leaves": n} for n in (2, 4, 8)]
+    return validation.successive_halving(frame, inputs, leaves)
+
+
+@query(
+    "k11_tree_effects_one_split",
+    f"{PAIR_COLS} feature:s mean_abs_effect:f",
+    """
+SELECT store_nbr, family, 'promo' AS feature, AVG(ABS(p - base)) AS mean_abs_effect
+FROM promo_held, (SELECT AVG(sales) AS base FROM promo_rows WHERE NOT is_valid) GROUP BY 1, 2""",
+)
+def _(s):
+    frame, inputs = _by_promotion(s)
+    model = models.fit_global(frame, models.random_forest(inputs, trees=1, depth=1, bootstrap=False))
+    parts = attribution.contributions(frame.filter("is_valid"), model.stages[-1], inputs, [*PAIR, "date"])
+    return attribution.mean_effects(parts, inputs, PAIR)
+
+
+@query("k11_forest_attribution", "feature:s mean_abs_effect:f")
 def _(s):
     frame, inputs = written_frame(s)
-    return models.search(frame, inputs, models.parameter_candidates(3, rounds=SEARCH_ROUNDS))
+    model = models.fit_global(frame, models.random_forest(inputs, **FOREST))
+    tail = W.last_rows(frame, 30)
+    return attribution.mean_effects(
+        attribution.contributions(tail, model.stages[-1], inputs, [*PAIR, "date"]), inputs
+    )
 
 
 @query("k10_ablation", f"{PAIR_COLS} setting:s MAE:f MAPE_%:f n_val:l")

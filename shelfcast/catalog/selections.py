@@ -9,7 +9,7 @@ from shelfcast.catalog.settings import FOREST as SIZE
 from shelfcast.catalog.settings import RECENT_DAYS, VALID_DAYS
 from shelfcast.functions.vectors import features_to_vector, json_features
 from shelfcast.operators import select as S
-from shelfcast.plans import models, reports
+from shelfcast.plans import attribution, models, reports
 from shelfcast.schemas import PAIR, REQUIRED_COLUMNS
 from shelfcast.session import materialize
 
@@ -78,6 +78,26 @@ def _(s):
     return models.top_features(models.importances(model, inputs, s.spark))
 
 
+@query(
+    "f5_gain_one_split",
+    "feature:s gain:f",
+    """
+SELECT 'promo' AS feature, v.n * v.s - SUM(g.n * g.s) AS gain
+FROM (SELECT COUNT(*) AS n, VAR_POP(sales) AS s FROM promo_rows WHERE NOT is_valid) v,
+     (SELECT promo, COUNT(*) AS n, VAR_POP(sales) AS s FROM promo_rows WHERE NOT is_valid GROUP BY 1) g
+GROUP BY v.n, v.s
+UNION ALL SELECT 'flat', 0""",
+)
+def _(s):
+    rows = s.daily.withColumns({"promo": (F.col("onpromotion") > 0).cast("double"), "flat": F.lit(1.0)})
+    frame, inputs = models.model_frame(rows, ["promo", "flat"], (), VALID_DAYS)
+    tree = models.random_forest(inputs, trees=1, depth=1, bootstrap=False)
+    tree.getStages()[-1].setFeatureSubsetStrategy("all")
+    model = models.fit_global(materialize(frame, "promo-frame"), tree)
+    nodes = attribution.tree_nodes(s.spark, model.stages[-1])
+    return models.top_features(attribution.gain_importance(nodes, inputs), 15, "gain")
+
+
 @query(
     "g1_union_all",
     "model:s store_nbr:i family:s MAE:f",

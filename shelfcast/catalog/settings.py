@@ -11,5 +11,5 @@ STEP_DAYS = 180
 # the sizes of full training runs.
 BOOSTING = {"max_iter": 20, "depth": 5}
 FOREST = {"trees": 20, "depth": 5}
-# Rounds that the registered search draws from; full searches draw from 300 to 3000.
-SEARCH_ROUNDS = (5, 29)
+# Settings that the registered search draws.
+SEARCH_TRIALS = 8

@@ -514,8 +514,17 @@ def boosted_trees(
     depth: int = 6,
     subsample: float = 0.9,
     seed: int = 42,
+    leaf: int = 1,
+    columns: float = 1.0,
+    gain: float = 0.0,
+    tolerance: float = 0.01,
 ) -> Pipeline:
-    """Gradient boosting on absolute loss that stops when the holdout gets no better."""
+    """Gradient boosting on absolute loss that stops when the holdout gets no better.
+
+    `leaf` is the least number of rows of a leaf, `columns` the share of inputs a split
+    chooses from, `gain` the least gain of a split; a round that lowers the holdout error by
+    less than the share `tolerance` is the last.
+    """
     trees = GBTRegressor(
         featuresCol="inputs",
         labelCol="label",
@@ -526,6 +535,10 @@ def boosted_trees(
         maxDepth=depth,
         subsamplingRate=subsample,
         validationIndicatorCol="is_valid",
+        minInstancesPerNode=leaf,
+        featureSubsetStrategy="all" if columns >= 1 else str(columns),
+        minInfoGain=gain,
+        validationTol=tolerance,
         seed=seed,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="inputs"), trees])
