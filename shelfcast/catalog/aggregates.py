@@ -126,6 +126,34 @@ def _(s):
     return R.sales_profiles(s.panel)
 
 
+def _bootstrap_sql(replicates: int) -> str:
+    steps = " + ".join(f"CASE WHEN u >= {p} THEN 1.0 ELSE 0.0 END" for p in R.POISSON_ONE)
+    dims = "['dayofweek', 'month', 'promo']"
+    values = "[isodow(date) - 1, month(date), CASE WHEN onpromotion > 0 THEN 1 ELSE 0 END]"
+    return f"""
+SELECT dimension, value, mean_sales, n, QUANTILE_CONT(m, 0.025) AS ci_low, QUANTILE_CONT(m, 0.975) AS ci_high
+FROM (SELECT dimension, value, SUM(w * sales) / SUM(w) AS m
+      FROM (SELECT dimension, value, sales, k, {steps} AS w
+            FROM (SELECT UNNEST({dims}) AS dimension, UNNEST({values}) AS value, sales, id, k,
+                         CAST('0x' || SUBSTR(MD5(CAST(id AS VARCHAR) || '-' || CAST(k // 4 AS VARCHAR)), 1 + k % 4 * 8, 8)
+                              AS BIGINT) / 4294967296.0::DOUBLE AS u
+                  FROM panel, (SELECT CAST(UNNEST(RANGE({replicates})) AS INTEGER) AS k)))
+      GROUP BY dimension, value, k)
+JOIN (SELECT dimension, value, AVG(sales) AS mean_sales, COUNT(sales) AS n
+      FROM (SELECT UNNEST({dims}) AS dimension, UNNEST({values}) AS value, sales FROM panel)
+      GROUP BY 1, 2) USING (dimension, value)
+GROUP BY 1, 2, 3, 4"""
+
+
+@query(
+    "d9_bootstrap_profiles",
+    "dimension:s value:i mean_sales:f n:l ci_low:f ci_high:f",
+    _bootstrap_sql(20),
+)
+def _(s):
+    return R.bootstrap_profiles(s.stored_panel, 20)
+
+
 @query(
     "d10_conditional_totals",
     "pairs:l pairs_with_model:l pairs_without_model:l savings_under:f savings_over_per_day:f",

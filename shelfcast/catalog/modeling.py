@@ -60,6 +60,28 @@ def _(s):
     return s.spark.read.parquet(out)
 
 
+@query(
+    "i1_stream_batches",
+    f"{KEY} pred_qty:f error:s registry_version:i",
+    """
+SELECT date, store_nbr, family, error, pred_qty + CASE WHEN store_nbr % 2 = 0 THEN 1000 ELSE 0 END AS pred_qty,
+       CASE WHEN store_nbr % 2 = 0 THEN 1 ELSE 2 END AS registry_version
+FROM scored""",
+)
+def _(s):
+    folder, out, state = (fresh_path(s.spark, n) for n in ("requests", "answers", "stream-state"))
+    root = fresh_path(s.spark, "registries")
+    registry = materialize(s.point_registry, "registry")
+    early = registry.withColumn("intercept", F.col("intercept") + 1000)
+    # the models are retrained between two starts of the stream
+    for models_, part in ((early, 0), (registry, 1)):
+        stream.publish_registry(models_, root)
+        s.requests.filter(F.col("store_nbr") % 2 == part).write.mode("append").parquet(folder)
+        requests = stream.read_requests(s.spark, folder)
+        stream.score_batches(requests, root, out, state).awaitTermination()
+    return s.spark.read.parquet(out)
+
+
 @query("j1_metrics_per_pair", METRIC_COLS, "SELECT * FROM metrics")
 def _(s):
     return s.metrics

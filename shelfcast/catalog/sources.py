@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast import schemas
 from shelfcast.catalog.base import query
 from shelfcast.catalog.settings import VALID_DAYS
+from shelfcast.operators.windows import Rolling, add_rolling
 from shelfcast.plans.features import FEATURE_COLUMNS
 from shelfcast.plans.reports import metric_summary
 from shelfcast.session import fresh_path
@@ -46,6 +47,40 @@ def _(s):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "a1_read_raw_values",
+    "table_name:s date:d store_nbr:i name:s value:f",
+    """
+SELECT 'transactions' AS table_name, date, store_nbr, NULL AS name, transactions AS value FROM transactions
+UNION ALL SELECT 'oil', date, NULL, NULL, dcoilwtico FROM oil
+UNION ALL SELECT 'holidays_events', date, NULL, locale || '/' || locale_name || '/' || type,
+                 CASE WHEN transferred THEN 1 ELSE 0 END FROM holidays_events
+UNION ALL SELECT 'stores', NULL, store_nbr, city || '/' || state || '/' || type, cluster FROM stores
+UNION ALL SELECT 'train', date, store_nbr, family, sales + 1000 * onpromotion FROM panel""",
+)
+def _(s):
+    folder = fresh_path(s.spark, "raw")
+    warehouse.write_raw_csv(s.raw_tables(), folder)
+    found = raw.read_raw(s.spark, folder)
+    none = F.lit(None)
+    shape = {
+        "transactions": ("date", "store_nbr", none, F.col("transactions")),
+        "oil": ("date", none, none, F.col("dcoilwtico")),
+        "holidays_events": (
+            "date", none, F.concat_ws("/", "locale", "locale_name", "type"), F.col("transferred").cast("int")
+        ),
+        "stores": (none, "store_nbr", F.concat_ws("/", "city", "state", "type"), F.col("cluster")),
+        "train": ("date", "store_nbr", F.col("family"), F.col("sales") + 1000 * F.col("onpromotion")),
+    }
+    names, kinds = ["date", "store_nbr", "name", "value"], ["date", "int", "string", "double"]
+    parts = []
+    for table, columns in shape.items():
+        columns = [F.col(c) if isinstance(c, str) else c for c in columns]
+        typed = [c.cast(k).alias(n) for c, k, n in zip(columns, kinds, names)]
+        parts.append(found[table].select(F.lit(table).alias("table_name"), *typed))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _FILES = "train", "transactions", "oil", "holidays_events", "stores"
 
 
@@ -62,6 +97,27 @@ def _(s):
     )
 
 
+@query(
+    "a2_bad_files",
+    "file:s status:s missing:s",
+    """
+SELECT UNNEST(['train.csv', 'transactions.csv', 'oil.csv', 'holidays_events.csv', 'stores.csv']) AS file,
+       UNNEST(['OK', 'BAD COLS', 'MISSING', 'BAD COLS', 'OK']) AS status,
+       UNNEST(['', 'store_nbr,transactions', '', 'locale', '']) AS missing""",
+)
+def _(s):
+    # one file lacks two columns, one lacks one, one is absent
+    folder = fresh_path(s.spark, "raw")
+    tables = s.raw_tables()
+    tables["transactions"] = tables["transactions"].drop("store_nbr", "transactions")
+    tables["holidays_events"] = tables["holidays_events"].drop("locale")
+    del tables["oil"]
+    warehouse.write_raw_csv(tables, folder)
+    report = raw.validate_inputs(s.spark, folder)
+    shown = F.when(F.col("status") == "MISSING", F.lit("")).otherwise(F.concat_ws(",", "missing"))
+    return report.withColumn("missing", shown)
+
+
 @query("a3_write_parquet", "date:d dcoilwtico:f", "SELECT * FROM oil")
 def _(s):
     path = warehouse.write_parquet(s.oil, fresh_path(s.spark, "wh"), "oil")
@@ -75,6 +131,36 @@ def _(s):
     return warehouse.read_parquet(s.spark, path, schemas.TRAIN)
 
 
+@query(
+    "a4_bucketed_windows",
+    "date:d store_nbr:i family:s sales_lag_7:f sales_rollmean_30:f",
+    """
+SELECT date, store_nbr, family,
+       LAG(sales, 7) OVER (PARTITION BY store_nbr, family ORDER BY date) AS sales_lag_7,
+       AVG(sales) OVER (PARTITION BY store_nbr, family ORDER BY date
+                        ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS sales_rollmean_30
+FROM panel""",
+)
+def _(s):
+    path = fresh_path(s.spark, "panel-buckets")
+    table = warehouse.write_bucketed(s.panel.drop("id"), path.rsplit("/", 1)[1].replace("-", "_"), path, buckets=8)
+    return add_rolling(table, [Rolling("sales", (7,), (30,))])
+
+
+@query(
+    "a4_replace_period",
+    "date:d store_nbr:i family:s sales:f",
+    """
+SELECT date, store_nbr, family, sales * CASE WHEN date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'
+                                             THEN 2 ELSE 1 END AS sales FROM panel""",
+)
+def _(s):
+    path = warehouse.write_periods(s.stored_panel, fresh_path(s.spark, "periods"))
+    march = s.stored_panel.filter(F.date_format("date", "yyyy-MM") == "1998-03")
+    warehouse.write_periods(march.withColumn("sales", F.col("sales") * 2), path)
+    return s.spark.read.parquet(path)
+
+
 @query(
     "a5_register_views",
     "table_name:s n:l",

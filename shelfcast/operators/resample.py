@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import month_end, week_end
@@ -100,21 +100,69 @@ def gain_cells(df: DataFrame, rows: DataFrame, columns: DataFrame, value: str) -
     return cells.join(means, [row, column], "left").na.fill(0.0, subset=["gain"])
 
 
+def _dimensions() -> Column:
+    """Array of (dimension, value) of a row: weekday, month and promotion."""
+    dimensions = {
+        "dayofweek": F.weekday("date"),
+        "month": F.month("date"),
+        "promo": (F.col("onpromotion") > 0).cast("int"),
+    }
+    return F.array(*[F.struct(F.lit(n).alias("dimension"), v.alias("value")) for n, v in dimensions.items()])
+
+
+# The distribution function of a Poisson variable of mean 1 at 0, 1, 2, ...
+POISSON_ONE = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759)
+
+
+def poisson_weights(row_id: Column, replicates: int) -> list[Column]:
+    """How often a row is drawn in each replicate of a bootstrap: Poisson numbers of mean 1.
+
+    They follow from the row's id alone (eight hexadecimal digits of an MD5 sum each), so they
+    are the same in every run and on any number of machines.
+    """
+    out = []
+    for k in range(replicates):
+        text = F.md5(F.concat_ws("-", row_id.cast("string"), F.lit(str(k // 4))).cast("binary"))
+        digits = F.conv(F.substring(text, k % 4 * 8 + 1, 8), 16, 10).cast("double")
+        share = digits / float(1 << 32)
+        steps = [F.when(share >= p, 1.0).otherwise(0.0) for p in POISSON_ONE]
+        out.append(sum(steps[1:], steps[0]))
+    return out
+
+
+def bootstrap_profiles(
+    df: DataFrame, replicates: int = 200, level: float = 0.95, row_id: str = "id"
+) -> DataFrame:
+    """Mean sales by weekday, month and promotion, with a bootstrap interval.
+
+    Every row is weighted once per replicate and dimension; all replicates are sums of one
+    grouped pass with a map-side part, and what is shuffled has the size of the replicates.
+    """
+    weights = poisson_weights(F.col(row_id), replicates)
+    rows = df.filter("sales IS NOT NULL").select("sales", F.explode(_dimensions()).alias("d"), F.array(*weights).alias("w"))
+    drawn = [F.sum(F.col("w")[k]) for k in range(replicates)]
+    totals = [F.sum(F.col("w")[k] * F.col("sales")) for k in range(replicates)]
+    sums = rows.groupBy("d.dimension", "d.value").agg(
+        F.avg("sales").alias("mean_sales"),
+        F.count("sales").alias("n"),
+        F.array(*[F.try_divide(t, n) for t, n in zip(totals, drawn)]).alias("means"),
+    )
+    tail = (1 - level) / 2
+    means = sums.select("dimension", "value", "mean_sales", "n", F.explode("means").alias("m"))
+    return means.groupBy("dimension", "value", "mean_sales", "n").agg(
+        F.percentile("m", F.lit(tail)).alias("ci_low"), F.percentile("m", F.lit(1 - tail)).alias("ci_high")
+    )
+
+
 def sales_profiles(df: DataFrame) -> DataFrame:
     """Mean sales by weekday, month and promotion, with a normal 95 % interval.
 
     One pass: each row counts once per dimension, and the partial aggregate leaves
     a few dozen rows per task to shuffle.
     """
-    dimensions = {
-        "dayofweek": F.weekday("date"),
-        "month": F.month("date"),
-        "promo": (F.col("onpromotion") > 0).cast("int"),
-    }
-    entries = [F.struct(F.lit(n).alias("dimension"), v.alias("value")) for n, v in dimensions.items()]
     half = F.lit(1.96) * F.stddev_samp("sales") / F.sqrt(F.count("sales"))
     return (
-        df.select("sales", F.explode(F.array(*entries)).alias("d"))
+        df.select("sales", F.explode(_dimensions()).alias("d"))
         .groupBy("d.dimension", "d.value")
         .agg(
             F.avg("sales").alias("mean_sales"),

@@ -62,6 +62,36 @@ def register_views(spark: SparkSession, root: str, prefix: str = "") -> list[str
     return names
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, keys: list[str] = schemas.PAIR, order: str = "date", buckets: int = 64
+) -> DataFrame:
+    """Write `df` as the catalog table `table`, bucketed by `keys` and sorted inside each
+    bucket, one file per bucket; returns the table.
+
+    Windows and groups by `keys` then read it without an exchange, and windows in this order
+    without a sort. A bucket holds whole pairs: meant for panels with a row per pair and day,
+    where the calendar bounds a pair.
+    """
+    spread = df.repartition(buckets, *keys).sortWithinPartitions(*keys, order)
+    writer = spread.write.bucketBy(buckets, *keys).sortBy(*keys, order)
+    writer.option("path", path).mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def write_periods(df: DataFrame, path: str, period: str = "yyyy-MM") -> str:
+    """Replace the periods (months, with the default pattern) that occur in `df`; files of
+    all other periods stay as they are, so a day is corrected by writing its period anew."""
+    dated = df.withColumn("period", F.date_format("date", period))
+    (
+        dated.repartition("period", F.pmod(F.xxhash64(*schemas.PAIR), F.lit(4)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("period")
+        .parquet(path)
+    )
+    return path
+
+
 def write_raw_csv(tables: dict[str, DataFrame], folder: str) -> str:
     for name, df in tables.items():
         df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
