@@ -111,6 +111,20 @@ def unpack_sorted(blob: bytes, kind) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(kind)[:, 0], dtype=kind)
 
 
+def pack_planes(values: np.ndarray, width: int) -> bytes:
+    """The low `width` bytes of unsigned values, all first bytes, then all second ones, and so
+    on: bytes that are mostly zero then lie together and compress away."""
+    table = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize)
+    return table[:, :width].T.tobytes()
+
+
+def unpack_planes(blob: bytes, width: int, kind) -> np.ndarray:
+    planes = np.frombuffer(blob, dtype=np.uint8).reshape(width, len(blob) // width)
+    table = np.zeros((planes.shape[1], np.dtype(kind).itemsize), dtype=np.uint8)
+    table[:, :width] = planes.T
+    return table.view(kind)[:, 0]
+
+
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     """Consecutive index ranges whose sizes sum to `limit` or one item."""
     out, first, total = [], 0, 0

@@ -51,9 +51,10 @@ class Phrases:
         starts, ends = common.word_bounds(data, common.IS_BREAK)
         words, symbol = np.unique(common.span_hashes(data, starts, ends), return_inverse=True)
         owner = np.searchsorted(offsets, starts, side="right") - 1
+        cuts = np.searchsorted(owner, np.arange(len(items) + 1)).tolist()
         found: dict[tuple, set] = {}
         for i, (item, _) in enumerate(items):
-            own = (symbol[owner == i] + 1).tolist()
+            own = (symbol[cuts[i] : cuts[i + 1]] + 1).tolist()
             for first in range(max(1, len(own) - window + 1) if own else 0):
                 ids = found.setdefault(tuple(own[first : first + window]), set())
                 if item is not None:

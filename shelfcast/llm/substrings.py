@@ -1,6 +1,6 @@
 """Operator 3: bytes covered by long strings that an earlier document also has.
 
-Documents are dealt into shards by id. A string of `length` bytes holds a seed: the first
+Documents are dealt into shards. A string of `length` bytes holds a seed: the first
 of its smallest GRAM-byte hashes, so equal strings hold equal seeds at equal places.
 
 1. Each shard sends its distinct seeds to buckets, with a mark of the stretch around each; a
@@ -36,7 +36,10 @@ from shelfcast.llm import common, suffixes
 SHARD = 4_000_000
 PART = 2_000_000
 CROWD = 64
-GRAM = 32
+GRAM = 24
+# bytes of the hash that tells the stretches of a seed apart
+MARK_BYTES = 6
+_MARK = np.uint64((1 << 8 * MARK_BYTES) - 1)
 _BLOCK = 1 << 15
 _LAST_ID = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -134,12 +137,12 @@ def _seed_rows(blobs: list[bytes], ids: np.ndarray, length: int, buckets: int) -
     several = np.zeros(len(seeds), dtype=bool)
     np.logical_or.at(several, where, mark[where] != value)
     # 0 stands for different stretches
-    marks = np.where(several, 0, (mark & np.uint64(0xFFFFFFFF)) | np.uint64(1)).astype(np.uint32)
+    marks = np.where(several, np.uint64(0), np.maximum(mark & _MARK, np.uint64(1)))
     rows = [
         (
             b,
             common.pack_sorted(seeds[i:j].astype(np.uint32)),
-            marks[i:j].tobytes(),
+            common.pack_planes(marks[i:j], MARK_BYTES),
             np.packbits(low[i:j] != high[i:j]).tobytes(),
         )
         for b, i, j in _by_bucket(seeds >> 32)
@@ -155,7 +158,7 @@ def _shared_rows(part: pd.DataFrame, crowd: int) -> pd.DataFrame:
     """Of each shard's seeds in one bucket: shared, crowded, and to be sent by it."""
     own = [common.unpack_sorted(s, np.uint32) for s in part["seeds"]]
     seeds, sender, where = np.unique(np.concatenate(own), return_index=True, return_inverse=True)
-    mark = np.concatenate([np.frombuffer(m, dtype=np.uint32) for m in part["marks"]])
+    mark = np.concatenate([common.unpack_planes(m, MARK_BYTES, np.uint64) for m in part["marks"]])
     one = mark[sender]
     differs = np.bincount(where, weights=mark != one[where], minlength=len(seeds)) > 0
     uniform = (one > 0) & ~differs
@@ -237,8 +240,9 @@ def _piece_rows(
         sizes = p.count[p.sample[i:j]] + length - 1
         sent = p.sent[i:j]
         body = found.data[_ranges(p.first[p.sample[i:j][sent]], sizes[sent])]
-        columns = sizes.astype(np.uint32), np.packbits(sent), body, p.value[i:j][~sent], p.least[i:j]
-        rows.append((b, *[c.tobytes() for c in columns]))
+        columns = np.packbits(sent), body, p.value[i:j][~sent]
+        least = common.pack_planes(p.least[i:j], 8)
+        rows.append((b, common.pack_planes(sizes, 4), *[c.tobytes() for c in columns], least))
     return pd.DataFrame(rows, columns=["bucket", "sizes", "sent", "body", "hashes", "least"])
 
 
@@ -259,8 +263,8 @@ def _grouped(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int):
 
 def _covered_rows(part: pd.DataFrame, length: int, part_bytes: int) -> pd.DataFrame:
     """Of each shard's pieces in one bucket: the strings that a smaller document has."""
-    sizes = [np.frombuffer(s, dtype=np.uint32).astype(np.int64) for s in part["sizes"]]
-    ids = np.concatenate([np.frombuffer(s, dtype=np.int64) for s in part["least"]])
+    sizes = [common.unpack_planes(s, 4, np.int64) for s in part["sizes"]]
+    ids = np.concatenate([common.unpack_planes(s, 8, np.int64) for s in part["least"]])
     every = np.concatenate(sizes)
     sent = np.concatenate([
         np.unpackbits(np.frombuffer(f, dtype=np.uint8), count=len(s))
@@ -280,7 +284,7 @@ def _covered_rows(part: pd.DataFrame, length: int, part_bytes: int) -> pd.DataFr
     size[which] = every
     strings = size - length + 1
     starts = np.cumsum(strings) - strings
-    # a hash without bytes, which equal marks of different stretches can leave, stays alone
+    # a hash without bytes, which equal marks of different stretches would leave, stays alone
     first = np.repeat(smallest, strings)
     one = np.full(pieces, -1)
     one[which[sent]] = np.arange(len(ends))
@@ -366,8 +370,9 @@ def remove_repeats(
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // shard_bytes) + 1
-    # dealt once; the three steps that read the shards use the same exchange
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n)))
+    # dealt once; the three steps that read the shards use the same exchange. The number of the
+    # row spreads rows of one id, or without an id, over the shards
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
     sent_columns = ["shard", "bucket", "sizes", "sent", "body", "hashes", "least"]

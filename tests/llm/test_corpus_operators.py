@@ -130,7 +130,7 @@ def test_keys_always_meet():
             assert any(not differ & set(k) for k in keys)
 
 
-def test_similar_documents(spark, docs):
+def test_similar_documents(spark, docs, monkeypatch):
     rng = random.Random(9)
     words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
     rows, want = [], []
@@ -145,9 +145,11 @@ def test_similar_documents(spark, docs):
         want.append(10 * i)
     base = spark.createDataFrame(rows, "doc_id long, text string")
     for crowd in (2, 2000):
-        simhash.similar.__defaults__ = (16, 40, crowd)
+        monkeypatch.setattr(simhash.similar, "__defaults__", (16, 40, crowd))
         kept = simhash.keep_one(base, shingle=5, similarity=0.8, words=8)
         assert sorted(r["doc_id"] for r in kept.collect()) == want
+    monkeypatch.undo()
+    assert simhash.similar.__defaults__[-2] == BANDS == 80
     once = simhash.keep_one(docs, shingle=5, similarity=0.8, words=8).collect()
     assert len({r["text"] or "" for r in once}) == len(once)
     assert {r["doc_id"] for r in once if not (r["text"] or "").strip()} == {0}
