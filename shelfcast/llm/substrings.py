@@ -370,9 +370,9 @@ def remove_repeats(
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // shard_bytes) + 1
-    # dealt once; the three steps that read the shards use the same exchange. The number of the
-    # row spreads rows of one id, or without an id, over the shards
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n)))
+    # dealt once; the three steps that read the shards use the same exchange. The text spreads
+    # rows of one id, or without an id, over the shards
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
     sent_columns = ["shard", "bucket", "sizes", "sent", "body", "hashes", "least"]
