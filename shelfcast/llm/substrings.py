@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,14 +236,14 @@ def _piece_rows(
 ) -> pd.DataFrame:
     found = find_stretches(blobs, length, buckets)
     p = _pieces(found, ids, answers, length, buckets)
+    press = zstandard.ZstdCompressor(level=3)
     rows = []
     for b, i, j in _by_bucket(p.bucket):
         sizes = p.count[p.sample[i:j]] + length - 1
         sent = p.sent[i:j]
         body = found.data[_ranges(p.first[p.sample[i:j][sent]], sizes[sent])]
-        columns = np.packbits(sent), body, p.value[i:j][~sent]
-        least = common.pack_planes(p.least[i:j], 8)
-        rows.append((b, common.pack_planes(sizes, 4), *[c.tobytes() for c in columns], least))
+        packed = common.pack_planes(sizes, 4), np.packbits(sent).tobytes(), press.compress(body)
+        rows.append((b, *packed, p.value[i:j][~sent].tobytes(), common.pack_planes(p.least[i:j], 8)))
     return pd.DataFrame(rows, columns=["bucket", "sizes", "sent", "body", "hashes", "least"])
 
 
@@ -270,7 +271,8 @@ def _covered_rows(part: pd.DataFrame, length: int, part_bytes: int) -> pd.DataFr
         np.unpackbits(np.frombuffer(f, dtype=np.uint8), count=len(s))
         for f, s in zip(part["sent"], sizes)
     ]).astype(bool)
-    data = np.frombuffer(b"".join(part["body"]), dtype=np.uint8)
+    press = zstandard.ZstdDecompressor()
+    data = np.frombuffer(b"".join(map(press.decompress, part["body"])), dtype=np.uint8)
     ends = np.cumsum(every[sent])
     value = np.zeros(len(every), dtype=np.uint64)
     value[sent] = common.span_hashes(data, ends - every[sent], ends)
