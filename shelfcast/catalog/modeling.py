@@ -561,6 +561,37 @@ def _(s):
     return _compared(s)
 
 
+@query(
+    "k15_compare_two_models",
+    f"{PAIR_COLS} tail_sum:f trend_MAE:f trend_MAPE:f ridge_MAE:f ridge_MAPE:f GAIN_ridge_vs_trend_MAE:f reason:s",
+    f"""
+SELECT store_nbr, family, tail_sum, "trend_MAE", "trend_MAPE_%" AS "trend_MAPE", "ridge_MAE",
+       "ridge_MAPE_%" AS "ridge_MAPE", "trend_MAE" - "ridge_MAE" AS "GAIN_ridge_vs_trend_MAE",
+       CASE WHEN r.slope IS NULL THEN 'no trend model' WHEN t.n IS NULL THEN 'empty tail'
+            WHEN t.n_a = 0 THEN 'no trend prediction' WHEN t.n_b = 0 THEN 'no ridge prediction'
+            WHEN t.tail_sum < 600 THEN 'tail_sum<600' END AS reason
+FROM (SELECT DISTINCT store_nbr, family FROM panel)
+LEFT JOIN point_registry r USING (store_nbr, family)
+LEFT JOIN (SELECT store_nbr, family, COUNT(*) AS n, COUNT(a) AS n_a, COUNT(b) AS n_b, SUM(sales) AS tail_sum,
+                  {mae_mape("sales", "a", "trend_")}, {mae_mape("sales", "b", "ridge_")}
+           FROM (SELECT s.*, m.intercept + m.slope * s.trend AS a,
+                        g.w1 * s.onpromotion + g.w2 * s.trend + g.b AS b,
+                        ROW_NUMBER() OVER (PARTITION BY s.store_nbr, s.family ORDER BY s.date DESC) AS rn
+                 FROM split s LEFT JOIN point_registry m USING (store_nbr, family)
+                 LEFT JOIN (SELECT * FROM ridge_split WHERE setting = 'full') g USING (store_nbr, family))
+           WHERE rn <= 28 GROUP BY 1, 2) t USING (store_nbr, family)""",
+)
+def _(s):
+    train = ~F.col("is_valid")
+    trend = models.fit_gated_trend(s.split).filter("slope IS NOT NULL")
+    tail = W.last_rows(s.split, 28).join(trend, PAIR, "left").withColumn("trend_pred", models.trend_prediction())
+    tail = tail.drop("slope", "intercept")
+    scored = models.score_linear(tail, models.fit_ridge(s.split, TWO, train), TWO, "ridge_pred")
+    return compare.compare_on_tail(
+        s.stored_panel, trend, scored, "trend_pred", "ridge_pred", 600, names=("trend", "ridge")
+    )
+
+
 @query(
     "k15_skipped_pairs",
     f"{PAIR_COLS} reason:s",

@@ -128,7 +128,7 @@ SELECT date, store_nbr, family, is_valid,
 FROM split""",
 )
 def _(s):
-    by_pair = X.add_holdout(s.panel, VALID_DAYS).withColumnRenamed("is_valid", "by_pair")
+    by_pair = X.add_holdout(s.stored_panel, VALID_DAYS).withColumnRenamed("is_valid", "by_pair")
     both = X.add_holdout(by_pair, VALID_DAYS, "global")
     return both.withColumnRenamed("is_valid", "is_valid_global").withColumnRenamed(
         "by_pair", "is_valid"
@@ -148,7 +148,7 @@ FROM (SELECT store_nbr, family, COUNT(*) AS n_rows,
       FROM split GROUP BY 1, 2)""",
 )
 def _(s):
-    counts = X.split_counts(X.add_holdout(s.panel, VALID_DAYS))
+    counts = X.split_counts(X.add_holdout(s.stored_panel, VALID_DAYS))
     return counts.withColumns({"basic": X.basic_gate(), "forest": X.forest_gate(VALID_DAYS)})
 
 
@@ -240,7 +240,7 @@ FROM panel LEFT JOIN (SELECT store_nbr, city FROM stores WHERE type <> 'A') USIN
 def _(s):
     # stores of type A are left out, so their rows have no city to encode
     some = s.stores.filter(F.col("type") != "A").select("store_nbr", "city")
-    df = s.panel.join(some, "store_nbr", "left")
+    df = s.stored_panel.join(some, "store_nbr", "left")
     df = df.withColumn("is_promo", F.col("onpromotion") > 0)
     return S.encode_categories(df, ["store_nbr", "family", "city", "is_promo"])
 
@@ -254,7 +254,7 @@ SELECT date, store_nbr, family, DENSE_RANK() OVER (ORDER BY city) - 1 AS city_co
 FROM panel JOIN stores USING (store_nbr)""",
 )
 def _(s):
-    df = s.panel.join(s.stores.select("store_nbr", "city", "type"), "store_nbr")
+    df = s.stored_panel.join(s.stores.select("store_nbr", "city", "type"), "store_nbr")
     return S.encode_categories(df, ["city", "type"])
 
 

@@ -9,6 +9,7 @@ from shelfcast.catalog.settings import FOREST as SIZE
 from shelfcast.catalog.settings import RECENT_DAYS, VALID_DAYS
 from shelfcast.functions.vectors import features_to_vector, json_features
 from shelfcast.operators import select as S
+from shelfcast.operators.evaluate import error_metrics
 from shelfcast.plans import attribution, models, reports
 from shelfcast.schemas import PAIR, REQUIRED_COLUMNS
 from shelfcast.session import materialize
@@ -108,12 +109,10 @@ UNION ALL
 SELECT 'trend', store_nbr, family, AVG(ABS(sales - y_pred)) FROM held GROUP BY 2, 3""",
 )
 def _(s):
-    from shelfcast.operators.evaluate import error_metrics
-
-    parts = [
-        error_metrics(s.held, {"": c}).withColumn("model", F.lit(n))
-        for n, c in [("lag", "naive_lag7"), ("trend", "y_pred")]
-    ]
+    # one pass over the holdout; the results of both models become rows of their own
+    both = error_metrics(s.held, {"lag_": "naive_lag7", "trend_": "y_pred"})
+    rows = [F.struct(F.lit(n).alias("model"), F.col(f"{n}_MAE").alias("MAE")) for n in ("lag", "trend")]
+    parts = [both.select(*PAIR, r.alias("r")).select(*PAIR, "r.*") for r in rows]
     return parts[0].unionByName(parts[1])
 
 

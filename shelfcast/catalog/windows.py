@@ -108,6 +108,15 @@ def _(s):
     return s.split.filter("is_valid")
 
 
+@query(
+    "e8_baselines_by_block",
+    f"{KEY} sales:f naive_lag7:f naive_ma7:f",
+    "SELECT date, store_nbr, family, sales, naive_lag7, naive_ma7 FROM split",
+)
+def _(s):
+    return E.add_baselines(s.daily, block_rows=200)
+
+
 @query(
     "e9_folds",
     "store_nbr:i family:s fold:i fold_start:d fold_end:d n_fold:l n_outside:l n_past:l",
@@ -210,7 +219,7 @@ SELECT date, store_nbr, family, MIN(date) OVER (PARTITION BY store_nbr, family)
        MAX(date) OVER (PARTITION BY store_nbr, family) AS last_date FROM panel""",
 )
 def _(s):
-    return W.pair_bounds(s.panel)
+    return W.pair_bounds(s.stored_panel)
 
 
 _TYPES = {"id": "l", "date": "d", "family": "s", "city": "s", "state": "s", "type": "s"}

@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as M
-from shelfcast.operators.windows import row_order
+from shelfcast.operators.windows import Layout, Rolling, add_rolling, row_order
 from shelfcast.schemas import PAIR
 
 
-def add_baselines(df: DataFrame) -> DataFrame:
-    """`naive_lag7` (value 7 rows back) and `naive_ma7` (mean of up to 7 prior rows)."""
+def add_baselines(df: DataFrame, block_rows: int | None = None) -> DataFrame:
+    """`naive_lag7` (value 7 rows back) and `naive_ma7` (mean of up to 7 prior rows).
+
+    `block_rows` cuts long pairs into blocks, see `Layout`; otherwise one task sorts a pair.
+    """
+    if block_rows:
+        rows = add_rolling(df, [Rolling("sales", (7,), (7,))], Layout(block_rows=block_rows))
+        names = {"sales_lag_7": "naive_lag7", "sales_rollmean_7": "naive_ma7"}
+        return rows.drop("sales_rollstd_7").withColumnsRenamed(names)
     w = Window.partitionBy(*PAIR).orderBy(*row_order(df))
     return df.withColumns(
         {
@@ -44,30 +51,32 @@ def add_gains(df: DataFrame) -> DataFrame:
     )
 
 
-def strict_ma7_mape(df: DataFrame, valid_days: int = 28, window: int = 7) -> DataFrame:
-    """MAPE of the moving average over the last `valid_days` rows of a pair.
+def tail_profile(
+    df: DataFrame, tail: int = 30, valid_days: int = 28, window: int = 7
+) -> DataFrame:
+    """Per pair `daily_mean`, the mean of the last `tail` rows, and `naive_MAPE_%`, the MAPE of
+    the moving average over the last `valid_days` rows; that is NULL for pairs with fewer than
+    valid_days + window + 1 rows.
 
-    Pairs with fewer than valid_days + window + 1 rows get NULL.
+    Both come from one ranked tail. The rank filter is applied before the shuffle as well, and
+    the average runs over the same sorted rows, newest first.
     """
-    w = Window.partitionBy(*PAIR).orderBy(*row_order(df))
+    needed = valid_days + window + 1
     back = Window.partitionBy(*PAIR).orderBy(*[F.col(c).desc() for c in row_order(df)])
-    # only the last rows matter; the rank filter is pushed below the shuffle
-    tail = df.withColumn("_back", F.row_number().over(back)).filter(
-        F.col("_back") <= valid_days + window
-    )
-    counts = df.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_rows"))
-    scored = tail.withColumn("_p", F.avg("sales").over(w.rowsBetween(-window, -1)))
-    errors = scored.groupBy(*PAIR).agg(
-        M.mape(
-            F.when(F.col("_back") <= valid_days, F.col("sales")), F.col("_p")
-        ).alias("_mape")
-    )
-    enough = F.col("n_rows") >= valid_days + window + 1
-    return counts.join(errors, PAIR).select(
-        *PAIR, F.when(enough, F.col("_mape")).alias("naive_MAPE_%")
+    kept = df.withColumn("_back", F.row_number().over(back)).filter(F.col("_back") <= max(tail, needed))
+    scored = kept.withColumn("_p", F.avg("sales").over(back.rowsBetween(1, window)))
+    recent = F.when(F.col("_back") <= valid_days, F.col("sales"))
+    return scored.groupBy(*PAIR).agg(
+        F.coalesce(F.avg(F.when(F.col("_back") <= tail, F.col("sales"))), F.lit(0.0)).alias("daily_mean"),
+        F.when(F.max("_back") >= needed, M.mape(recent, F.col("_p"))).alias("naive_MAPE_%"),
     )
 
 
+def strict_ma7_mape(df: DataFrame, valid_days: int = 28, window: int = 7) -> DataFrame:
+    """The `naive_MAPE_%` of `tail_profile` alone."""
+    return tail_profile(df, 1, valid_days, window).drop("daily_mean")
+
+
 def coverage_metrics(
     df: DataFrame, low: str, high: str, keys: Sequence[str] = PAIR, y: str = "sales"
 ) -> DataFrame:

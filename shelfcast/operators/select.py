@@ -90,37 +90,52 @@ def edge_store_pairs(
     return listed.limit(max_pairs) if max_pairs else listed
 
 
-def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
-    """Vocabulary of a column with codes 0..k-1 in value order, for any type that sorts.
+def ordinal_tables(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """For each column (value, code): sorted distinct non-NULL values numbered from 0.
 
-    The distinct values are range-partitioned and written, so that the ranges stay as they
-    are; each is ranked by itself, and the ranges get running offsets from their counts.
+    One pass collects the distinct values of all columns and writes them. They are
+    range-partitioned and written with their number inside the range; running row counts of
+    the ranges, one row per column and range, give the offsets.
     """
-    words = df.select(F.col(column).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    ranges = words.repartitionByRange("value").withColumn("_range", F.spark_partition_id())
-    ranges = materialize(ranges, "vocabulary")
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per range
-    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_o"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("value"))
-    return (
-        ranges.withColumn("_r", rank)
-        .join(offsets, "_range")
-        .select("value", (F.col("_o") + F.col("_r") - 1).cast("int").alias("code"))
-    )
+    columns = list(columns)
+
+    def entry(i: int) -> Column:
+        slots = [F.when(F.lit(k == i), F.col(c)).alias(f"_v{k}") for k, c in enumerate(columns)]
+        return F.struct(F.lit(i).alias("_c"), *slots)
+
+    entries = F.array(*[F.when(F.col(c).isNotNull(), entry(i)) for i, c in enumerate(columns)])
+    order = ["_c", *[f"_v{i}" for i in range(len(columns))]]
+    words = df.select(F.explode(F.array_compact(entries)).alias("e")).select("e.*").distinct()
+    words = materialize(words, "vocabulary")
+    ranges = words.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = materialize(ranges.withColumn("_at", F.monotonically_increasing_id()), "vocabulary")
+    ranges = ranges.withColumn("_range", F.shiftright("_at", 33))
+    sizes = ranges.groupBy("_c", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    running = Window.partitionBy("_c").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(running), F.lit(0)) - F.col("_first")
+    offsets = sizes.select("_c", "_range", before.alias("_o"))
+    coded = ranges.join(offsets, ["_c", "_range"]).withColumn("code", (F.col("_at") + F.col("_o")).cast("int"))
+    return {
+        c: coded.filter(F.col("_c") == i).select(F.col(f"_v{i}").alias("value"), "code")
+        for i, c in enumerate(columns)
+    }
+
+
+def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
+    """(value, code) of one column, see `ordinal_tables`."""
+    return ordinal_tables(df, [column])[column]
 
 
 def encode_categories(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:
     """Add ordinal codes; a NULL value gets -1. Booleans become 0/1."""
+    words = [c for c in columns if not isinstance(df.schema[c].dataType, T.BooleanType)]
+    tables = ordinal_tables(df, words) if words else {}
     out = df
     for c in columns:
-        if isinstance(df.schema[c].dataType, T.BooleanType):
+        if c not in tables:
             out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(c).cast("int"), F.lit(-1)))
             continue
-        codes = ordinal_codes(df, c).select(
-            F.col("value").alias(c), F.col("code").alias(f"{c}{suffix}")
-        )
+        codes = tables[c].select(F.col("value").alias(c), F.col("code").alias(f"{c}{suffix}"))
         out = out.join(codes, c, "left").withColumn(
             f"{c}{suffix}", F.coalesce(f"{c}{suffix}", F.lit(-1))
         )

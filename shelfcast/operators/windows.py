@@ -185,11 +185,10 @@ def latest_snapshot(df: DataFrame, keys: list[str] = PAIR) -> DataFrame:
 
 
 def pair_bounds(df: DataFrame, keys: list[str] = PAIR) -> DataFrame:
-    """First and last date of the pair on every row."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns(
-        {"first_date": F.min("date").over(w), "last_date": F.max("date").over(w)}
-    )
+    """First and last date of the pair on every row: grouped bounds joined back, so the rows
+    of a pair are neither gathered nor sorted."""
+    bounds = df.groupBy(*keys).agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+    return df.join(bounds, list(keys))
 
 
 def add_sequences(

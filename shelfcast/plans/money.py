@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfcast import schemas
 from shelfcast.functions.service import z_from_service_level
-from shelfcast.operators.evaluate import strict_ma7_mape
-from shelfcast.operators.windows import last_rows
+from shelfcast.operators.evaluate import tail_profile
+from shelfcast.operators.windows import last_rows, row_order
 from shelfcast.schemas import PAIR
 
 
@@ -161,7 +161,7 @@ def impact_report(
     store_override: bool = True,
 ) -> DataFrame:
     """Naive against model, in money, for every pair."""
-    base = tail_mean(df, tail).join(strict_ma7_mape(df, valid_days), PAIR)
+    base = tail_profile(df.select(*PAIR, *row_order(df), "sales"), tail, valid_days)
     priced = add_prices(add_model_mape(base, metrics), prices, store_override)
     out = impact_columns(priced, service_level, lead_time_days)
     return out.select(*[F.col(f"`{c}`") for c in IMPACT_COLUMNS])
