@@ -2,13 +2,15 @@
 
 Lines are the parts of a text between line feeds; blank ones (spaces only) are left alone.
 A run qualifies from `least` characters on, so a long line counts by itself and short ones
-only together. A window is the shortest run from a line on that qualifies; a text that is
-shorter than that is one window. The smallest line hash of each window is its fingerprint,
-so any two texts that share a window share a fingerprint in it. Positions of fingerprints
-that stand in two places select the windows that are compared whole; all lines of a window
-that also stands earlier are deleted. Earlier is by doc_id, then by line; NULL ids come
-last. A match is not followed past its window: short lines at the right end of a repeated
-run, of less than `least` characters together, stay if what comes after them differs.
+only together; a text that is shorter than that is one run. All lines of every qualifying run
+that also stands earlier are deleted. Earlier is by doc_id, then by line; NULL ids come last.
+
+A window is the shortest qualifying run from a line on, or up to a line. The smallest line hash
+of a window is its fingerprint, so any two texts that share a window share a fingerprint in
+it. Positions of fingerprints that stand in two places are joined, and a match is extended to
+both sides by the windows that go on from it: each line of a repeated run lies in a window
+inside the run, the one from it on or, near the right end, the one up to the end. So what the
+equal windows cover together are the maximal repeated runs.
 
 NULL texts are empty; texts that lose all lines become empty. Rows equal in id and text are
 one place and share their fate; of equal ids with different texts, that of the smaller text
@@ -31,7 +33,8 @@ def _text(text_col: str) -> Column:
 
 
 def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, hash, at, lines, anchor, whole): each window of documents (id, hash, text)."""
+    """(id, hash, at, lines, anchor, whole): each window of documents (id, hash, text), from
+    its first line `at` on."""
     line = F.transform(
         F.split("text", "\n"),
         lambda x, i: F.struct(
@@ -48,20 +51,31 @@ def windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
     before = Window.partitionBy("id", "hash").orderBy("at")
     offset = F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("offset", F.coalesce(offset, F.lit(0)).cast("long"))
-    # the lines that start less than `least` characters after this one starts
-    run = Window.partitionBy("id", "hash").orderBy("offset").rangeBetween(0, least - 1)
-    rows = rows.select(
-        "id",
-        "hash",
-        "at",
-        "offset",
-        F.sum("n").over(run).alias("size"),
-        F.min("h").over(run).alias("anchor"),
-        F.collect_list("h").over(run).alias("run"),
-        F.collect_list("at").over(run).alias("lines"),
+    rows = rows.withColumn("stop", F.col("offset") + F.col("n"))
+    place = Window.partitionBy("id", "hash")
+    # the lines that start less than `least` characters after this one starts, and those that
+    # stop less than that before it stops
+    onward = place.orderBy("offset").rangeBetween(0, least - 1)
+    upto = place.orderBy("stop").rangeBetween(1 - least, 0)
+
+    def window(run) -> Column:
+        return F.struct(
+            F.sum("n").over(run).alias("size"),
+            F.min("h").over(run).alias("anchor"),
+            F.collect_list("h").over(run).alias("run"),
+            F.collect_list("at").over(run).alias("lines"),
+        )
+
+    rows = rows.select("id", "hash", "offset", window(onward).alias("a"), window(upto).alias("b"))
+    kept = [
+        F.when((F.col("a.size") >= least) | (F.col("offset") == 0), F.col("a")),
+        F.when(F.col("b.size") >= least, F.col("b")),
+    ]
+    # a long line is both windows at once
+    found = rows.select("id", "hash", F.inline(F.array_distinct(F.array_compact(F.array(*kept)))))
+    return found.select(
+        "id", "hash", F.col("lines")[0].alias("at"), "lines", "anchor", F.xxhash64("run").alias("whole")
     )
-    kept = rows.where((F.col("size") >= least) | (F.col("offset") == 0))
-    return kept.select("id", "hash", "at", "lines", "anchor", F.xxhash64("run").alias("whole"))
 
 
 def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:

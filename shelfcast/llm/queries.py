@@ -181,13 +181,17 @@ WITH docs AS (
       PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM cut WHERE trim(line) <> ''
 ), spans AS (
-  SELECT doc_id, pos, start, sum(length(line)) OVER run AS size,
+  SELECT doc_id, start = 0 AS whole, sum(length(line)) OVER run AS size,
     list(line) OVER run AS run, list(pos) OVER run AS places
   FROM placed
   WINDOW run AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING)
+  UNION ALL
+  SELECT doc_id, FALSE, sum(length(line)) OVER run, list(line) OVER run, list(pos) OVER run
+  FROM (SELECT *, start + length(line) AS stop FROM placed)
+  WINDOW run AS (PARTITION BY doc_id ORDER BY stop RANGE BETWEEN 19 PRECEDING AND CURRENT ROW)
 ), ranked AS (
-  SELECT doc_id, places, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS nth
-  FROM spans WHERE size >= 20 OR start = 0
+  SELECT doc_id, places, rank() OVER (PARTITION BY run ORDER BY doc_id, places[1]) AS nth
+  FROM spans WHERE size >= 20 OR whole
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(places) AS pos FROM ranked WHERE nth > 1
 ), rest AS (

@@ -232,6 +232,16 @@ def test_lines_equal_brute_force(spark, docs, least):
     assert found[0]["id"] == "clash"
 
 
+def test_short_lines_at_both_ends_of_a_run_go(spark):
+    """A repeated run that begins and ends in short lines is deleted whole, also where another
+    document has its long line in another context first."""
+    long = "x" * 40
+    texts = [f"q\n{long}\nother", f"aa\nbb\n{long}\nok\nend", f"zz\naa\nbb\n{long}\nok\nlast"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept"] for r in lines.dedup_lines(frame).collect()}
+    assert got == {0: texts[0], 1: "aa\nbb\nok\nend", 2: "zz\nlast"}
+
+
 def test_lines_equal_sql(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate([r[1] for r in ROWS] + LINES)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

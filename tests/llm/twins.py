@@ -145,25 +145,26 @@ def window_hits(text: str | None, items: list[tuple[str, str]], window: int = 10
 
 
 def kept_lines(rows: list[tuple[int, str]], least: int) -> list[tuple[str, int]]:
-    """(text without later repeated runs, number of lines deleted) of each row."""
-    windows, first = [], {}
+    """(text without later repeated runs, number of lines deleted) of each row: every run of
+    `least` characters or more that also stands earlier goes, whatever its length."""
+    runs, first = [], {}
     places = [(i, xx(t), t) for i, t in rows]
     for place in set(places):
         parts = place[2].split("\n")
         full = [k for k, line in enumerate(parts) if line.strip(" ")]
+        total = sum(len(parts[k]) for k in full)
         for a in range(len(full)):
-            b, size = a, 0
-            while b < len(full) and size < least:
+            size = 0
+            for b in range(a, len(full)):
                 size += len(parts[full[b]])
-                b += 1
-            if size >= least or a == 0:
-                key = tuple(parts[k] for k in full[a:b])
-                windows.append((place, full[a], full[a:b], key))
-    for place, at, _, key in windows:
+                if size >= least or (total < least and a == 0 and b == len(full) - 1):
+                    key = tuple(parts[k] for k in full[a : b + 1])
+                    runs.append((place, full[a], full[a : b + 1], key))
+    for place, at, _, key in runs:
         here = (*place[:2], at)
         first[key] = min(first.get(key, here), here)
     gone = {p: set() for p in places}
-    for place, at, run, key in windows:
+    for place, at, run, key in runs:
         if (*place[:2], at) > first[key]:
             gone[place].update(run)
     return [
