@@ -6,9 +6,12 @@ has, and binned shares (of marks, capitals, distinct words); the elastic net lea
 words out that differ by chance.
 
 Sites are judged from all of their documents: the expected share of positives of a host is
-the mean posterior of its documents, shrunk to the global rate by `strength` documents, and
-that of a path within the host is shrunk to the host's. A document's posterior starts from
-its path's rate and adds its own evidence, so a sparse site hardly moves it.
+the mean posterior of its documents, shrunk to the global rate, and that of a path within the
+host is shrunk to the host's. How many documents the prior of a level counts for follows from
+the spread of its groups by the method of moments: the variance inside the paths over that
+between the groups. A document's posterior starts from its path's rate, taken over the path's
+and host's other documents, and adds its own evidence; so a sparse site hardly moves it, and
+no document counts twice.
 
 NULL and empty texts have no evidence and take the rate of their path. A NULL host or path
 is a site of its own. Labels that are NULL are not learned from, repeated labels of a
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 from shelfcast.llm import common
 from shelfcast.llm.storage import share, stored
 
+# documents a prior counts for, at least and at most (groups that do not differ)
+LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6
 BINS = 8
 SHARES = 5
 _WORD = regex.compile(r"[\p{L}\p{N}]+").findall
@@ -160,6 +165,52 @@ def _sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
+def strengths(paths: DataFrame, k: int) -> tuple[float, float]:
+    """Documents that the priors of hosts and of paths count for, for target `k`.
+
+    `paths` hold, for each path of each host, its documents `n` and the sums `s<k>` and `q<k>`
+    of their posteriors and squares. The estimates are those of a nested analysis of variance.
+    """
+    hosts = paths.groupBy("host").agg(
+        F.count(F.lit(1)).alias("p"),
+        F.sum("n").alias("n"),
+        F.sum(f"s{k}").alias("s"),
+        F.sum(f"q{k}").alias("q"),
+        F.sum(F.col(f"s{k}") ** 2 / F.col("n")).alias("ss"),
+        F.sum(F.col("n") ** 2).alias("nn"),
+    )
+    row = hosts.agg(
+        F.count(F.lit(1)).alias("hosts"),
+        F.sum("p").alias("paths"),
+        F.sum("n").alias("n"),
+        F.sum("s").alias("s"),
+        F.sum("q").alias("q"),
+        F.sum("ss").alias("path_ss"),
+        F.sum(F.col("s") ** 2 / F.col("n")).alias("host_ss"),
+        F.sum(F.col("nn") / F.col("n")).alias("path_nn"),
+        F.sum(F.col("n") ** 2).alias("host_nn"),
+    ).first()
+    if not row["hosts"]:
+        return MOST_STRENGTH, MOST_STRENGTH
+    n, hosts_, paths_ = row["n"], row["hosts"], row["paths"]
+    inside = (row["q"] - row["path_ss"]) / (n - paths_) if n > paths_ else 0.0
+
+    def strength(squares: float, groups: int, size: float) -> float:
+        """Prior documents of groups with `groups` degrees of freedom of `size` documents."""
+        if groups <= 0 or size <= 0 or inside <= 0:
+            return MOST_STRENGTH
+        between = (squares / groups - inside) / size
+        return min(max(inside / between, LEAST_STRENGTH), MOST_STRENGTH) if between > 0 else MOST_STRENGTH
+
+    host = strength(
+        row["host_ss"] - row["s"] ** 2 / n, hosts_ - 1, (n - row["host_nn"] / n) / max(hosts_ - 1, 1)
+    )
+    path = strength(
+        row["path_ss"] - row["host_ss"], paths_ - hosts_, (n - row["path_nn"]) / max(paths_ - hosts_, 1)
+    )
+    return host, path
+
+
 def score_documents(
     docs: DataFrame,
     model: Evidence,
@@ -168,9 +219,12 @@ def score_documents(
     path_col: str = "lang",
     id_col: str = "doc_id",
     text_col: str = "text",
-    strength: float = 50.0,
+    strength: float | None = None,
 ) -> DataFrame:
-    """(doc_id, host, path, one posterior `<target>_score` for each target) of every row."""
+    """(doc_id, host, path, one posterior `<target>_score` for each target) of every row.
+
+    `strength` sets the documents that each prior counts for; else they are estimated.
+    """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{host_col}`").cast("string").alias("host"),
@@ -178,39 +232,25 @@ def score_documents(
         evidence(docs.sparkSession, model, F.col(f"`{text_col}`")).alias("e"),
     )
     rows = stored(rows, "evidence")
-    sums = [
-        F.sum(_sigmoid(F.col("e")[k] + _logit(rate))).alias(f"s{k}") for k, rate in enumerate(model.rates)
-    ]
-    paths = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *sums)
+    own = [_sigmoid(F.col("e")[k] + _logit(rate)) for k, rate in enumerate(model.rates)]
+    sums = [F.sum(x).alias(f"s{k}") for k, x in enumerate(own)]
+    squares = [F.sum(x * x).alias(f"q{k}") for k, x in enumerate(own)]
+    paths = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *sums, *squares)
+    paths = stored(paths, "paths")
     hosts = paths.groupBy("host").agg(
         F.sum("n").alias("host_n"), *[F.sum(f"s{k}").alias(f"h{k}") for k in range(len(targets))]
     )
-
-    def shrunk(total: Column, n: Column, prior: Column) -> Column:
-        return (total + strength * prior) / (n + strength)
-
     hosts = hosts.withColumnRenamed("host", "own_host")
-    sites = paths.join(hosts, F.col("host").eqNullSafe(F.col("own_host"))).select(
-        F.col("host").alias("site_host"),
-        F.col("path").alias("site_path"),
-        *[
-            shrunk(
-                F.col(f"s{k}"),
-                F.col("n"),
-                shrunk(F.col(f"h{k}"), F.col("host_n"), F.lit(rate)),
-            ).alias(f"r{k}")
-            for k, rate in enumerate(model.rates)
-        ],
-    )
-    sites = stored(sites, "sites")
+    sites = paths.join(hosts, F.col("host").eqNullSafe(F.col("own_host")))
+    sites = sites.withColumnsRenamed({"host": "site_host", "path": "site_path"})
+    sites = stored(sites.drop("own_host"), "sites")
     same = F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path"))
     joined = rows.join(sites, same)
-    return joined.select(
-        "doc_id",
-        "host",
-        "path",
-        *[
-            _sigmoid(F.col("e")[k] + _logit(F.col(f"r{k}"))).alias(f"{t}_score")
-            for k, t in enumerate(targets)
-        ],
-    )
+    scores = []
+    for k, (target, rate) in enumerate(zip(targets, model.rates)):
+        of_host, of_path = (strength, strength) if strength is not None else strengths(paths, k)
+        # what the other documents of the host say, and then those of the path
+        prior = (F.col(f"h{k}") - own[k] + of_host * rate) / (F.col("host_n") - 1 + of_host)
+        prior = (F.col(f"s{k}") - own[k] + of_path * prior) / (F.col("n") - 1 + of_path)
+        scores.append(_sigmoid(F.col("e")[k] + _logit(prior)).alias(f"{target}_score"))
+    return joined.select("doc_id", "host", "path", *scores)

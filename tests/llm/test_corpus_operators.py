@@ -85,6 +85,21 @@ def test_ngram_scores_equal_brute_force(docs, shard):
         assert g[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+def test_ngram_scores_are_probabilities():
+    """Quantised counts never exceed the counts, so p is in (0, 1] and sums to one at most."""
+    counts = np.unique(np.concatenate([np.arange(1, 3000), np.random.default_rng(1).integers(1, 1 << 31, 3000)]))
+    kept = ngram.quantised(ngram.quantise(counts))
+    assert (kept <= counts).all() and (kept > counts * 2 ** (-1 / 8) - 1e-9).all()
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        follows = rng.integers(0, 1000, 40) * (rng.random(40) < 0.5)
+        follows[0] += 1
+        alone = rng.dirichlet(np.ones(41))[:40]
+        after = np.where(follows > 0, ngram.quantised(ngram.quantise(np.maximum(follows, 1))), 0) + ngram.MASS * alone
+        after = after / (follows.sum() + ngram.MASS)
+        assert (after > 0).all() and after.sum() <= 1
+
+
 def test_ngram_without_training(docs):
     rows = ngram.score_documents(docs, F.lit(False)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows} == {(0, 0, 0.0, 0.0)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -297,6 +298,78 @@ def test_quality_rates_are_shrunk(spark):
     assert {round(r["quality_score"], 9) for r in found} == {0.3}
 
 
+def _site_rows():
+    """Documents of hosts and paths that differ, with evidence between -2 and 2."""
+    rng = random.Random(21)
+    rows = []
+    for host in range(6):
+        base = rng.uniform(-0.8, 0.8)
+        for path in range(rng.randint(1, 4)):
+            level = base + rng.uniform(-0.5, 0.5)
+            for _ in range(rng.randint(1, 30)):
+                rows.append((f"h{host}" if host else None, f"p{path}" if path else None, level + rng.uniform(-1.5, 1.5)))
+    return rows + [("alone", "x", 1.5)]
+
+
+def test_quality_equals_brute_force(spark):
+    """Strengths by moments and rates without the document itself, against plain numpy."""
+    np = quality.np
+    rows, rate = _site_rows(), 0.3
+    # one word per document, whose weight is the evidence
+    words = {f"w{i}x": 40 + i for i in range(len(rows))}
+    weights = np.zeros((40 + len(rows), 1))
+    weights[40:, 0] = [e for _, _, e in rows]
+    model = quality.Evidence(words, weights, [0.0], [rate])
+    frame = spark.createDataFrame([(i, f"w{i}x", h, p) for i, (h, p, _) in enumerate(rows)], "doc_id long, text string, source string, lang string")
+    found = {r["doc_id"]: r["quality_score"] for r in quality.score_documents(frame.repartition(3), model, ("quality",)).collect()}
+
+    def logit(x):
+        return math.log(x / (1 - x))
+
+    own = np.array([1 / (1 + math.exp(-e - logit(rate))) for _, _, e in rows])
+    hosts, paths = {}, {}
+    for i, (h, p, _) in enumerate(rows):
+        hosts.setdefault(h, []).append(i)
+        paths.setdefault((h, p), []).append(i)
+    n, n_hosts, n_paths = len(rows), len(hosts), len(paths)
+    inside = sum(((own[g] - own[g].mean()) ** 2).sum() for g in paths.values()) / (n - n_paths)
+    host_ms = sum(len(g) * (own[g].mean() - own.mean()) ** 2 for g in hosts.values()) / (n_hosts - 1)
+    path_ms = sum(len(g) * (own[g].mean() - own[hosts[k[0]]].mean()) ** 2 for k, g in paths.items()) / (n_paths - n_hosts)
+    host_size = (n - sum(len(g) ** 2 for g in hosts.values()) / n) / (n_hosts - 1)
+    path_size = (n - sum(len(g) ** 2 / len(hosts[k[0]]) for k, g in paths.items())) / (n_paths - n_hosts)
+    of_host, of_path = (
+        min(max(inside / ((ms - inside) / size), 1.0), 1e6) if ms > inside else 1e6
+        for ms, size in ((host_ms, host_size), (path_ms, path_size))
+    )
+    assert 1 < of_host < 100
+    for i, (h, p, e) in enumerate(rows):
+        prior = (own[hosts[h]].sum() - own[i] + of_host * rate) / (len(hosts[h]) - 1 + of_host)
+        prior = (own[paths[h, p]].sum() - own[i] + of_path * prior) / (len(paths[h, p]) - 1 + of_path)
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-e - logit(prior))), abs=1e-9)
+
+
+def test_sites_improve_on_the_classifier(spark):
+    """Where hosts differ, their rates lower the log loss of weak evidence."""
+    rng = random.Random(5)
+    rows, truth, weights = [], [], []
+    for i in range(1500):
+        host = i % 10
+        good = rng.random() < (0.9 if host < 5 else 0.2)
+        truth.append(good)
+        weights.append((1 if good else -1) * 0.5 + rng.gauss(0, 0.7))
+        rows.append((i, f"w{i}x", f"h{host}", "p"))
+    table = quality.np.zeros((40 + len(rows), 1))
+    table[40:, 0] = weights
+    model = quality.Evidence({f"w{i}x": 40 + i for i in range(len(rows))}, table, [0.0], [0.55])
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+
+    def loss(strength):
+        scores = quality.score_documents(frame, model, ("quality",), strength=strength).collect()
+        return sum(-math.log(r[3] if truth[r["doc_id"]] else 1 - r[3]) for r in scores) / len(rows)
+
+    assert loss(None) < 0.9 * loss(1e9)
+
+
 def test_quality_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality.train(docs, labels)

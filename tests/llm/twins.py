@@ -120,7 +120,7 @@ def ngram_scores(rows: list[tuple[int | None, str | None]], mass: float) -> list
         for before, word in zip([0, *own], own):
             alone = (words[word] + 0.1) / floor
             n = pairs[(before, word)]
-            pair = 2 ** (round(8 * math.log2(n)) / 8) if n else 0
+            pair = 2 ** (math.floor(8 * math.log2(n)) / 8) if n else 0
             context = starts if before == 0 else words[before]
             base += math.log10(alone)
             score += math.log10((pair + mass * alone) / (context + mass))
