@@ -32,7 +32,7 @@ from shelfcast.llm.storage import share
 # stretches kept with their tokens; beyond it the store is emptied and filled again
 KEPT_STRETCHES = 400_000
 # characters looked at together
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 4_000_000
 
 
 @dataclass(frozen=True)

@@ -28,7 +28,7 @@ from shelfcast.llm.storage import share
 
 WINDOW = 10
 # bytes of a shard
-SHARD = 4_000_000
+SHARD = 1_000_000
 # bytes of benchmark text searched for together, which bounds what is broadcast at once
 BLOCK = 16_000_000
 # distance of sampled suffix positions
