@@ -86,18 +86,44 @@ def test_ngram_scores_equal_brute_force(docs, shard):
 
 
 def test_ngram_scores_are_probabilities():
-    """Quantised counts never exceed the counts, so p is in (0, 1] and sums to one at most."""
-    counts = np.unique(np.concatenate([np.arange(1, 3000), np.random.default_rng(1).integers(1, 1 << 31, 3000)]))
+    """Codes never stand for more than what they were made of, so p is in (0, 1] and sums to
+    one at most, also after a context that one successor always follows."""
+    rng = np.random.default_rng(1)
+    counts = np.unique(np.concatenate([np.arange(1, 3000), rng.integers(1, 1 << 31, 3000)]))
     kept = ngram.quantised(ngram.quantise(counts))
     assert (kept <= counts).all() and (kept > counts * 2 ** (-1 / 8) - 1e-9).all()
-    rng = np.random.default_rng(2)
-    for _ in range(50):
-        follows = rng.integers(0, 1000, 40) * (rng.random(40) < 0.5)
-        follows[0] += 1
-        alone = rng.dirichlet(np.ones(41))[:40]
-        after = np.where(follows > 0, ngram.quantised(ngram.quantise(np.maximum(follows, 1))), 0) + ngram.MASS * alone
-        after = after / (follows.sum() + ngram.MASS)
-        assert (after > 0).all() and after.sum() <= 1
+    assert ngram.quantised(ngram.quantise(np.array([0, 1, 2]))).tolist() == [0, 1, 2]
+    p = np.concatenate((np.exp2(-rng.random(3000) * 31), np.exp2(-np.arange(31.0))))
+    kept = ngram.probabilities(ngram.probability_codes(p))
+    assert (kept <= p).all() and (kept > p * 2 ** (-1 / 8) - 1e-12).all()
+    assert ngram.probabilities(ngram.probability_codes(np.array([1e-12, 1.0]))).tolist() == [0, 1]
+    for share in (0.5, 0.02):
+        for _ in range(30):
+            follows = rng.integers(0, 100_000, 40) * (rng.random(40) < share)
+            follows[0] += 1
+            words = follows + rng.integers(0, 1000, 40)
+            floor = words.sum() + 0.1 * 41
+            alone = (words + 0.1) / floor
+            least = (ngram.quantised(ngram.quantise(words)) + 0.1) / floor
+            context = follows.sum() + ngram.MASS
+            codes = ngram.probability_codes((follows + ngram.MASS * least) / context)
+            codes[follows == 0] = 0
+            after = np.maximum(ngram.probabilities(codes), ngram.MASS * alone / context)
+            assert (after > 0).all() and after.sum() <= 1
+
+
+def test_trie_of_any_width():
+    rng = np.random.default_rng(3)
+    for bits in (24, 32):
+        key = np.unique(rng.integers(0, 1 << 2 * bits, 500, dtype=np.uint64) | np.uint64(1))
+        key = np.unique(np.concatenate((key, key[:50] ^ np.uint64(1))))
+        shift, keep = np.uint64(bits), np.uint64((1 << bits) - 1)
+        contexts, sizes = np.unique(key >> shift, return_counts=True)
+        codes = rng.integers(1, 255, len(key))
+        trie = eliasfano.Trie(contexts, sizes, key & keep, codes, bits)
+        asked = np.concatenate((key, key ^ np.uint64(2)))
+        want = dict(zip(key.tolist(), codes.tolist()))
+        assert trie.codes_of(asked >> shift, asked & keep).tolist() == [want.get(k, 0) for k in asked.tolist()]
 
 
 def test_ngram_without_training(docs):

@@ -120,10 +120,14 @@ def ngram_scores(rows: list[tuple[int | None, str | None]], mass: float) -> list
         for before, word in zip([0, *own], own):
             alone = (words[word] + 0.1) / floor
             n = pairs[(before, word)]
-            pair = 2 ** (math.floor(8 * math.log2(n)) / 8) if n else 0
             context = starts if before == 0 else words[before]
+            after = mass * alone / (context + mass)
+            if n:
+                least = (2 ** (math.floor(8 * math.log2(words[word])) / 8) + 0.1) / floor
+                exact = (n + mass * least) / (context + mass)
+                after = max(after, 2 ** (-math.ceil(-8 * math.log2(exact)) / 8))
             base += math.log10(alone)
-            score += math.log10((pair + mass * alone) / (context + mass))
+            score += math.log10(after)
         found.append((out, len(own), sum(words[w] > 0 for w in own), total, base, score))
     return found
 
