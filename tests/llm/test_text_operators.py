@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 import regex
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, decontaminate, langid, quality, secrets
+from shelfcast.llm import bpe, common, decontaminate, langid, quality, secrets, simhash
 from shelfcast.llm.queries import tokenizer_path
 from tests.llm import twins
 
@@ -225,6 +228,40 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert both.where(decontaminate.contaminated(spark, nothing, F.col("text"))).count() == 0
 
 
+def test_texts_longer_than_a_part(monkeypatch):
+    """Operators 5, 6 and 8 give the same for small parts, which long texts exceed."""
+    long = ["one two three four five six seven eight nine ten short item é " * 200, "αβγ dog " * 500]
+    blobs = common.text_bytes([*TEXTS, *long, None, "", "x"])
+    prose = {"a": "the dog barks at the cat ", "b": "der Hund bellt die Katze an "}
+    frames = []
+    for lang, text in prose.items():
+        data = np.frombuffer(b"    " + text.encode() * 5, dtype=np.uint8)
+        gram, n = np.unique(langid.four_bytes(data), return_counts=True)
+        frames.append(pd.DataFrame({"lang": lang, "gram": gram, "n": n}))
+    scorer = langid.Scorer(langid.fit(pd.concat(frames)))
+    phrases = decontaminate.Phrases.from_items(ITEMS, decontaminate.WINDOW)
+
+    def hits(limit: int) -> list[tuple]:
+        out = []
+        for first, last in common.slices([len(b) for b in blobs], limit):
+            found = decontaminate.search_shard(blobs[first:last], iter([(0, phrases)]))
+            out += [row[:3] for row in decontaminate.text_hits(found, phrases.items)]
+        return out
+
+    def all_of(limit: int):
+        prints = [simhash.text_signature(b, 4, 1).hex() for b in blobs]
+        return prints, scorer.bits(blobs), hits(limit)
+
+    whole = all_of(decontaminate.SHARD)
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    monkeypatch.setattr(langid, "CHUNK", 60)
+    parts = all_of(60)
+    assert parts[0] == whole[0] == ["%016x" % twins.fingerprint(b.decode()) for b in blobs]
+    assert np.allclose(parts[1], whole[1])
+    assert parts[2] == whole[2]
+    assert any(hit for _, hit, _ in whole[2])
+
+
 SECRET_TEXTS = [
     "password = 'hunter22xyz' Token:abcdefgh api_KEY=short secret: \"A.b/c+d=e_f-g\"",
     "passwordpassword=longenough1 tokentoken = tokentoken",
@@ -260,6 +297,52 @@ def test_secrets_keep_base_spans(spark, docs):
     assert [len(r["s"]["found"]) for r in listed] == [r["s"]["n_found"] for r in listed]
 
 
+def test_markov_spans_equal_brute_force():
+    """Scores are mean log-likelihood ratios of two smoothed models, in a long text as well."""
+    rng = random.Random(4)
+    chars = secrets.ALPHABET
+    strings = ["".join(rng.choices(chars, k=24)) for _ in range(160)]
+    plain = [f"{a}_{b}/section-{n}_chapter" for a in ("archive", "history") for b in ("model", "table") for n in range(9)]
+    text = " ".join([f"token={x}" for x in strings[:100]] + plain)
+    steps: Counter = Counter()
+    for label, token in secrets.labelled_tokens(text):
+        for before, c in zip(["", *token], token):
+            if c in chars:
+                steps[label, before if before in chars else "", c] += 1
+    place = {"": 0} | {c: i + 1 for i, c in enumerate(chars)}
+    model = secrets.MarkovPair.from_counts([(k, place[a], place[b], n) for (k, a, b), n in steps.items()])
+    ordinary = Counter()
+    for (label, _, c), n in steps.items():
+        ordinary[c] += n * (label == 0)
+    floor = sum(ordinary.values()) + 0.5 * len(chars)
+    prior = {c: (5 * (ordinary[c] + 0.5) / floor, 1) for c in chars}
+
+    def ratio(token: str) -> float:
+        total = 0.0
+        for before, c in zip(["", *token], token):
+            logs = [
+                math.log((steps[k, before, c] + prior[c][k]) / sum(steps[k, before, x] + prior[x][k] for x in chars))
+                for k in (0, 1)
+            ]
+            total += logs[1] - logs[0]
+        return total / len(token)
+
+    tokens = strings[100:] + plain
+    rng.shuffle(tokens)
+    text, want = "", []
+    for token in tokens:
+        text += "é word "
+        judged = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+        score = ratio(token)
+        assert model.score(token) == pytest.approx(score)
+        if judged and score >= secrets.MARGIN:
+            want.append(("markov", len(text), len(text) + 24))
+        text += token
+    found = [s for s in secrets.find_spans(text, model, secrets.MARGIN)[1] if s[0] == "markov"]
+    assert found == want
+    assert len(found) >= 50 and not any(text[a:b] in plain for _, a, b in found)
+
+
 def test_quality_on_held_out_documents(spark):
     rng = random.Random(11)
     words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(600)]
