@@ -1,4 +1,4 @@
-"""Monotone integer sequences in Elias-Fano form, and a two-level n-gram trie of them."""
+"""Monotone integer sequences in Elias-Fano form, and n-gram tries of them."""
 
 from __future__ import annotations
 
@@ -123,25 +123,49 @@ def _pack(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Trie:
-    """Contexts, their successors and one code for each, in mapped memory.
+    """Runs of symbols, one level for each place in them, and a code for each run, in mapped
+    memory.
 
-    Level 1 holds the contexts. Pointers give where the successors of each begin. Level 2
-    holds the successors relative to their context: the place of the context, then the
-    successor's `bits` bits, which keeps the level monotone.
+    Every level holds its symbols relative to their context, the run before them: the place
+    of the context in the level above, then the symbol's bits, which keeps the level monotone.
+    Pointers give where the successors of each context begin.
     """
 
     def __init__(
         self, contexts: np.ndarray, sizes: np.ndarray, successors: np.ndarray, codes, bits: int = 32
     ):
-        self.bits = np.uint64(bits)
-        place = np.repeat(np.arange(len(contexts), dtype=np.uint64), sizes)
-        level = place << self.bits | successors.astype(np.uint64)
-        pointers = np.concatenate(([0], np.cumsum(sizes)))
-        parts = [
-            EliasFano.encode(contexts, 1 << bits),
-            EliasFano.encode(pointers, int(pointers[-1]) + 1),
-            EliasFano.encode(level, max(1, len(contexts)) << bits),
+        self._build([(contexts, bits), (successors, bits)], [sizes], codes)
+
+    @classmethod
+    def of(cls, symbols: list[np.ndarray], bits: list[int], codes: np.ndarray) -> Trie:
+        """Of distinct sorted runs: the symbols of each place, and their bits."""
+        n = len(codes)
+        levels, opens = [], np.zeros(n, dtype=bool)
+        firsts = []
+        for symbol, width in zip(symbols, bits):
+            opens = opens.copy()
+            opens[:1] = True
+            opens[1:] |= symbol[1:] != symbol[:-1]
+            firsts.append(np.flatnonzero(opens))
+            levels.append((symbol[firsts[-1]], width))
+        # how many runs of the next level begin with each run of this one
+        sizes = [
+            np.diff(np.searchsorted(below, above), append=len(below))
+            for above, below in zip(firsts, firsts[1:])
         ]
+        trie = cls.__new__(cls)
+        trie._build(levels, sizes, codes)
+        return trie
+
+    def _build(self, levels: list[tuple[np.ndarray, int]], sizes: list[np.ndarray], codes) -> None:
+        self.bits = [np.uint64(bits) for _, bits in levels]
+        parts = [EliasFano.encode(levels[0][0], 1 << levels[0][1])]
+        for (symbols, bits), size in zip(levels[1:], sizes):
+            place = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+            level = place << np.uint64(bits) | symbols.astype(np.uint64)
+            pointers = np.concatenate(([0], np.cumsum(size)))
+            parts.append(EliasFano.encode(pointers, int(pointers[-1]) + 1))
+            parts.append(EliasFano.encode(level, max(1, len(size)) << bits))
         arrays = [a for p in parts for a in (p.low, p.high)] + [np.asarray(codes, dtype=np.uint8)]
         # the file has no name: it goes with the process, and leaves nothing on the machine
         with tempfile.TemporaryFile() as file:
@@ -153,17 +177,20 @@ class Trie:
         for a in arrays:
             mapped.append(np.frombuffer(self._map, dtype=a.dtype, count=len(a), offset=at))
             at += len(a.tobytes()) or 1
-        self.contexts, self.pointers, self.successors = (
+        coded = [
             EliasFano(p.n, p.low_bits, mapped[2 * i], mapped[2 * i + 1]) for i, p in enumerate(parts)
-        )
+        ]
+        self.levels, self.pointers = coded[:1] + coded[2::2], coded[1::2]
         self.codes = mapped[-1]
 
-    def codes_of(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Code of each pair, 0 for those not in the trie."""
-        place = self.contexts.find(contexts)
-        out = np.zeros(len(contexts), dtype=np.uint8)
+    def codes_of(self, *symbols: np.ndarray) -> np.ndarray:
+        """Code of each run, 0 for those not in the trie."""
+        place = self.levels[0].find(symbols[0])
         known = np.flatnonzero(place >= 0)
-        x = place[known].astype(np.uint64) << self.bits | successors[known].astype(np.uint64)
-        index = self.successors.find(x)
-        out[known[index >= 0]] = self.codes[index[index >= 0]]
+        place = place[known]
+        for level, bits, symbol in zip(self.levels[1:], self.bits[1:], symbols[1:]):
+            found = level.find(place.astype(np.uint64) << bits | symbol[known].astype(np.uint64))
+            known, place = known[found >= 0], found[found >= 0]
+        out = np.zeros(len(symbols[0]), dtype=np.uint8)
+        out[known] = self.codes[place]
         return out

@@ -1,53 +1,64 @@
 """Operator 2: scores of whole texts under an n-gram model kept in Elias-Fano tries.
 
-The model has order two. Tokens are words and one end per text; the context of the first is
-a start mark. With c the counts of the training texts, N their tokens and V the distinct
-ones, a word alone has p(w) = (c(w)+0.1)/(N+0.1(V+1)), and after a context
+The model has order two or three. Tokens are words and one end per text; the context of the
+first is a start mark. With c the counts of the training texts, N their tokens and V the
+distinct ones, a word alone has p(w) = (c(w)+0.1)/(N+0.1(V+1)), and after contexts
 
     p(w|v) = (c(v,w) + MASS * p(w)) / (c(v) + MASS)
+    p(w|u,v) = (c(u,v,w) + MASS * p(w|v)) / (c(u,v) + MASS)
 
-The trie holds p(w|v) of every pair of the training texts, rounded down to eighths of a power
-of two (and c(w) in it likewise). A pair that is not there, or whose p is rounded below it,
-has MASS * p(w) / (c(v) + MASS), which needs no trie. Since nothing is rounded up, the
-probabilities after a context are positive and sum to one at most, so every score is the
-logarithm of a probability.
+The first token of a text has the start mark only before it, and p(w|v) in either order.
+
+The tries hold p(w|v) of every pair and p(w|u,v) of every triple of the training texts, rounded
+down to eighths of a power of two (and c(w) and p(w|v) in it likewise). What is not there, or
+whose p is rounded below it, has MASS * p(w) / (c(v) + MASS) or MASS * p(w|v) / (c(u,v) + MASS),
+which needs no trie. Since nothing is rounded up, the probabilities after a context are positive
+and sum to one at most, so every score is the logarithm of a probability.
 
 Texts are dealt into shards by id. Every distinct word is counted in one bucket, and every
-distinct pair in another: contexts are split into SPLITS parts by their successors, so a
-frequent context is spread over as many buckets. A shard asks for its words first, and sends
-what it then knows of them along with its pairs, so that a bucket can smooth without a table
-of words. The bucket builds a trie of its pairs and answers each shard with the codes of the
-pairs it asked for; nothing is broadcast, no part of the model is on the driver, and all
-counts cover all training texts.
-
-Words are told apart by 64-bit hashes, pairs by 24 bits of each word within their bucket: of
-the million pairs of a bucket, one is taken for another once in 2^28 cases.
+distinct pair and triple in another: pairs by their context, triples by their middle word, which
+are split into parts, by the word beside them, where they occur more than SPLIT times; so a
+frequent one is spread over many buckets. A shard asks for its words first, and sends what it
+then knows of them along with its pairs, and what it knows of these along with its triples, so
+that a bucket can smooth without a table of words or pairs. The bucket builds a trie of what it
+is sent and answers each shard with the codes of what it asked for; nothing is broadcast, no part
+of the model is on the driver, and all counts cover all training texts. A triple whose first or
+last pair is in no other shard is not sent: the shard has all its counts, and keeps it in a trie
+of its own.
+
+Words are told apart by 48 bits in their bucket, within a shard by 64. Pairs have 16 bits of the context and 32 bits of a hash of
+the pair, so that one is taken for another of its context's SPLIT in a bucket at most once in
+2^17 cases. Triples have 16 bits of the middle word, 16 of a hash of the first pair, and 24 of
+one of all three: at most once in 2^25 cases.
 NULL texts are empty: their one token is the end. Texts whose training flag is NULL do not
 train. Without training texts every probability is one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common
 from shelfcast.llm.eliasfano import Trie
-from shelfcast.llm.storage import stored
 
 SHARD = 4_000_000
 MASS = 300.0
-SPLITS = 64
+SPLIT = 1 << 15
 # marks that no word hashes to but by chance
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-PAIR_BITS = 24
-_SHIFT, _KEEP = np.uint64(PAIR_BITS), np.uint64((1 << PAIR_BITS) - 1)
 # bytes of a count on its way: of a shard or part, and of all texts
 PART_BYTES, COUNT_BYTES = 4, 6
+# bits by which a trie's levels tell their symbols apart: pairs, triples
+BITS = {1: [16, 32], 2: [16, 16, 24]}
+_HALF = np.uint64((1 << 16) - 1)
+# bits of a word's hash that are sent
+_WORD = np.uint64((1 << 48) - 1)
+_ASKED = ["shard", "bucket", "keys", "counts", "contexts", "lower", "floor"]
+_ANSWER = ["shard", "bucket", "step", "body", "count", "tokens", "distinct"]
 
 
 def tokens(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,37 +79,75 @@ def by_bucket(bucket: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
-    return ((words >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+    return ((common.mix(words) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _in_buckets(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words ordered by bucket and value, their buckets, and the place of each word."""
-    distinct, where = np.unique(words, return_inverse=True)
-    bucket = _word_bucket(distinct, buckets)
-    order = np.argsort(bucket, kind="stable")
+    distinct, first, place = _unique(words)
+    bucket, key, where, _ = _distinct(_word_bucket(distinct, buckets), distinct & _WORD)
+    return key, bucket, where[place]
+
+
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and the number of each value."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
+def split(keys: np.ndarray, bits: list[int]) -> list[np.ndarray]:
+    """The symbols of keys, which lie one after another with the last one lowest."""
+    out = []
+    for width in reversed(bits):
+        out.append(keys & np.uint64((1 << width) - 1))
+        keys = keys >> np.uint64(width)
+    return out[::-1]
+
+
+def _distinct(bucket: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (bucket, key) in order, the place of each given one, and one of each."""
+    order = np.argsort(key)
+    # few buckets fit in two bytes, which are sorted faster
+    small = bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket
+    order = order[np.argsort(small[order], kind="stable")]
+    ordered, buckets = key[order], bucket[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (buckets[1:] != buckets[:-1]) | (ordered[1:] != ordered[:-1])
     place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    return distinct[order], bucket[order], place[where]
+    place[order] = np.cumsum(new) - 1
+    first = order[new]
+    return buckets[new], ordered[new], place, first
+
+
+def _spread(context: np.ndarray, part: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each part of a context."""
+    spread = common.mix(context + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return ((spread >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _part(word: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
+    """Part of a context that occurs `count` times, by the word beside it."""
+    return word % (1 + count // size).astype(np.uint64)
 
 
 class Pairs:
     """Distinct pairs of a shard by bucket, and the place of each token's pair among them."""
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, buckets: int):
+    def __init__(self, words: np.ndarray, starts: np.ndarray, context: np.ndarray, buckets: int, split: int):
         before = np.empty_like(words)
         before[1:] = words[:-1]
-        before[np.cumsum(counts) - counts] = START
-        part = words % np.uint64(SPLITS)
-        spread = common.mix(before + part * np.uint64(0x9E3779B97F4A7C15))
-        bucket = ((spread >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
-        key = (common.mix(before) & _KEEP) << _SHIFT | (words >> np.uint64(32) & _KEEP)
-        order = np.lexsort((key, bucket))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (np.diff(bucket[order]) != 0) | (key[order][1:] != key[order][:-1])
-        self.place = np.empty(len(order), dtype=np.int64)
-        self.place[order] = np.cumsum(new) - 1
-        self.first = order[new]  # a token of each pair
-        self.bucket, self.key = bucket[self.first], key[self.first]
+        before[starts] = START
+        mixed = common.mix(before)
+        # hash of the whole pair, of which a triple's is made
+        self.hash = common.mix(mixed + words)
+        bucket = _spread(mixed, _part(words, context, split), buckets)
+        key = (mixed & _HALF) << np.uint64(BITS[1][1]) | self.hash >> np.uint64(64 - BITS[1][1])
+        self.bucket, self.key, self.place, self.first = _distinct(bucket, key)
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -122,103 +171,274 @@ def probabilities(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, np.exp2((1 - codes.astype(np.float64)) / 8), 0.0)
 
 
+def squeeze(planes: bytes, width: int) -> bytes:
+    """Planes of bytes, each compressed if that makes it shorter, after their lengths."""
+    press = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
+    n = len(planes) // width
+    parts = [planes[i * n : (i + 1) * n] for i in range(width)]
+    parts = [min(p, press.compress(p), key=len) for p in parts]
+    return np.array([n, *map(len, parts)], dtype=np.uint32).tobytes() + b"".join(parts)
+
+
+def spread_out(blob: bytes, width: int) -> bytes:
+    """The planes that were squeezed."""
+    press = zstandard.ZstdDecompressor()
+    n, *sizes = np.frombuffer(blob, dtype=np.uint32, count=width + 1).tolist()
+    at, parts = 4 * (width + 1), []
+    for size in sizes:
+        part = blob[at : at + size]
+        parts.append(part if size == n else press.decompress(part))
+        at += size
+    return b"".join(parts)
+
+
+def _sorted(values: np.ndarray) -> bytes:
+    return squeeze(common.pack_sorted(values), values.dtype.itemsize)
+
+
+def _unsorted(blob: bytes) -> np.ndarray:
+    return common.unpack_sorted(spread_out(blob, 8), np.uint64)
+
+
+def _packed(values: np.ndarray, width: int) -> bytes:
+    return squeeze(common.pack_planes(values, width), width)
+
+
+def _unpacked(blob: bytes, width: int, kind) -> np.ndarray:
+    return common.unpack_planes(spread_out(blob, width), width, kind)
+
+
 def _planes(part: pd.DataFrame, name: str, width: int, kind) -> list[np.ndarray]:
-    return [common.unpack_planes(x, width, kind) for x in part[name]]
+    return [_unpacked(x, width, kind) for x in part[name]]
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]):
-    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, _, where = _unique(np.concatenate(keys))
     total = np.bincount(where, weights=np.concatenate(counts), minlength=len(distinct))
     return distinct, total.astype(np.int64), where
 
 
-def count_words(training: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, words, counts): packed sorted words of `text` with their counts."""
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            blobs = common.text_bytes(batch["text"])
-            for first, last in common.slices([len(b) for b in blobs], SHARD):
-                words, bucket, place = _in_buckets(tokens(blobs[first:last])[0], buckets)
-                n = np.bincount(place, minlength=len(words))
-                yield pd.DataFrame(
-                    [
-                        (b, common.pack_sorted(words[i:j]), common.pack_planes(n[i:j], PART_BYTES))
-                        for b, i, j in by_bucket(bucket)
-                    ],
-                    columns=["bucket", "words", "counts"],
-                )
-
-    def total(key, part: pd.DataFrame) -> pd.DataFrame:
-        words = [common.unpack_sorted(w, np.uint64) for w in part["words"]]
-        words, counts, _ = _summed(words, _planes(part, "counts", PART_BYTES, np.uint32))
-        row = (key[0], words.tobytes(), counts.tobytes(), len(words), int(counts.sum()))
-        return pd.DataFrame([row], columns=["bucket", "words", "counts", "v", "n"])
-
-    sent = training.select("text").mapInPandas(local, "bucket long, words binary, counts binary")
-    kind = "bucket long, words binary, counts binary, v long, n long"
-    return sent.groupBy("bucket").applyInPandas(total, kind)
-
-
-def _counts_for(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """Training counts of the words that each shard asks for, in one bucket."""
-    if len(known):
-        words = np.frombuffer(known["words"].iloc[0], dtype=np.uint64)
-        counts = np.frombuffer(known["counts"].iloc[0], dtype=np.int64)
-    rows = []
-    for shard, bucket, packed in zip(part["shard"], part["bucket"], part["words"]):
-        asked = common.unpack_sorted(packed, np.uint64)
-        found = np.zeros(len(asked), dtype=np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
-            found = np.where(words[at] == asked, counts[at], 0)
-        rows.append((shard, bucket, 0, common.pack_planes(found, COUNT_BYTES)))
-    return pd.DataFrame(rows, columns=["shard", "bucket", "step", "body"])
-
-
-def _codes_for(part: pd.DataFrame, floor: float, mass: float) -> pd.DataFrame:
-    """Codes of the pairs that each shard asks for, from a trie of one bucket's pairs."""
-    asked = [common.unpack_sorted(p, np.uint64) for p in part["pairs"]]
-    pairs, total, where = _summed(asked, _planes(part, "counts", PART_BYTES, np.uint32))
-    # every shard that trains on a pair knows the counts of both words, the others send 0
-    context, word = np.zeros(len(pairs), dtype=np.int64), np.zeros(len(pairs), dtype=np.uint8)
-    np.maximum.at(context, where, np.concatenate(_planes(part, "contexts", COUNT_BYTES, np.int64)))
-    np.maximum.at(word, where, np.concatenate(_planes(part, "words", 1, np.uint8)))
+def _counts_for(part: pd.DataFrame) -> pd.DataFrame:
+    """Training counts of the words that each shard asks for, in one bucket; with them the
+    training tokens and distinct words of the bucket."""
+    asked = [_unsorted(w) for w in part["words"]]
+    _, total, where = _summed(asked, _planes(part, "counts", PART_BYTES, np.uint32))
+    tokens_, distinct = int(total.sum()), int((total > 0).sum())
+    rows, first = [], 0
+    for shard, bucket, own in zip(part["shard"], part["bucket"], asked):
+        body = _packed(total[where[first : first + len(own)]], COUNT_BYTES)
+        rows.append((shard, bucket, 0, body, b"", tokens_, distinct))
+        first += len(own)
+    return pd.DataFrame(rows, columns=_ANSWER)
+
+
+def _trie_codes(keys: np.ndarray, bits: list[int], p: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Codes of the keys asked for, from a trie of sorted distinct keys and probabilities."""
+    trie = Trie.of(split(keys, bits), bits, probability_codes(np.minimum(p, 1.0)))
+    return trie.codes_of(*split(asked, bits))
+
+
+def _filled(told: np.ndarray) -> np.ndarray:
+    """Each 0 replaced by the last value before it; what begins with 0 is in no training text."""
+    return told[np.maximum.accumulate(np.where(told > 0, np.arange(len(told)), 0))]
+
+
+def _codes_for(part: pd.DataFrame, step: int, mass: float, counted: bool) -> pd.DataFrame:
+    """Codes of the pairs or triples that each shard asks for, from a trie of one bucket's;
+    with them, if wanted, twice their training counts and one if a single shard has them."""
+    asked = [_unsorted(p) for p in part["keys"]]
+    keys, total, where = _summed(asked, _planes(part, "counts", PART_BYTES, np.uint32))
+    # every shard that trains on one knows its context's count and the probability without the
+    # first word; the others send 0 for the latter
+    context, lower = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.uint8)
+    told = [_filled(c) for c in _planes(part, "contexts", COUNT_BYTES, np.int64)]
+    np.maximum.at(context, where, np.concatenate(told))
+    np.maximum.at(lower, where, np.concatenate(_planes(part, "lower", 1, np.uint8)))
     trained = total > 0
-    alone = (quantised(word[trained]) + 0.1) / floor
-    p = (total[trained] + mass * alone) / (context[trained] + mass)
-    key = pairs[trained]
-    contexts, sizes = np.unique(key >> _SHIFT, return_counts=True)
-    trie = Trie(contexts, sizes, key & _KEEP, probability_codes(np.minimum(p, 1.0)), PAIR_BITS)
-    codes = trie.codes_of(pairs >> _SHIFT, pairs & _KEEP)[where]
+    if step == 1:
+        lower = (quantised(lower[trained]) + 0.1) / part["floor"].iloc[0]
+    else:
+        lower = probabilities(lower[trained])
+    p = (total[trained] + mass * lower) / (context[trained] + mass)
+    codes = _trie_codes(keys[trained], BITS[step], p, keys)[where]
+    # the lowest bit says that one shard alone has it
+    told = (total << 1 | (np.bincount(where, minlength=len(keys)) == 1))[where]
     rows, first = [], 0
     for shard, bucket, own in zip(part["shard"], part["bucket"], asked):
-        rows.append((shard, bucket, 1, codes[first : first + len(own)].tobytes()))
+        mine = slice(first, first + len(own))
+        count = _packed(told[mine], COUNT_BYTES) if counted else b""
+        rows.append((shard, bucket, step, _packed(codes[mine], 1), count, 0, 0))
         first += len(own)
-    return pd.DataFrame(rows, columns=["shard", "bucket", "step", "body"])
+    return pd.DataFrame(rows, columns=_ANSWER)
 
 
-def _answers(part: pd.DataFrame, step: int, buckets: np.ndarray, width: int, kind) -> np.ndarray:
+def _answers(
+    part: pd.DataFrame, step: int, buckets: np.ndarray, width: int, kind, column: str = "body"
+) -> np.ndarray:
     """Answers to all that a shard asked, in its own order of buckets."""
     rows = part[part["step"] == step]
-    body = dict(zip(rows["bucket"], rows["body"]))
-    found = [common.unpack_planes(body[b], width, kind) for b, _, _ in by_bucket(buckets)]
+    body = dict(zip(rows["bucket"], rows[column]))
+    found = [_unpacked(body[b], width, kind) for b, _, _ in by_bucket(buckets)]
     return np.concatenate(found) if found else np.zeros(0, dtype=kind)
 
 
-def _known(part: pd.DataFrame, answers: pd.DataFrame, n: int):
-    """Tokens of a shard's texts and their numbers; the training count of each token, and of
-    its context."""
-    words, counts = tokens(common.text_bytes(part["text"]))
-    distinct, bucket, place = _in_buckets(words, n)
-    found = _answers(answers, 0, bucket, COUNT_BYTES, np.int64)
-    count = found[place]
-    # a context is the token before it; as many texts start as end
-    context = np.empty_like(count)
-    context[1:] = count[:-1]
-    ends = distinct == END
-    context[np.cumsum(counts) - counts] = int(found[ends][0]) if ends.any() else 0
-    return words, counts, count, context
+def _texts(part: pd.DataFrame) -> list[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return [press.decompress(t) for t in part["text"]]
+
+
+class Shard:
+    """Tokens of a shard's texts, and what the answers so far tell of them."""
+
+    def __init__(self, part: pd.DataFrame, answers: pd.DataFrame, buckets: int, mass: float, split: int):
+        self.part, self.answers, self.buckets = part, answers, buckets
+        self.mass, self.split = mass, split
+        self.words, self.counts = tokens(_texts(part))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.trains = np.repeat(part["trains"].to_numpy(bool), self.counts)
+        asked, bucket, place = _in_buckets(self.words, buckets)
+        found = _answers(answers, 0, bucket, COUNT_BYTES, np.int64)
+        self.count = found[place]
+        # a context is the token before it; as many texts start as end
+        self.context = np.empty_like(self.count)
+        self.context[1:] = self.count[:-1]
+        self.context[self.starts] = self.count[self.starts + self.counts - 1]
+        words = answers[answers["step"] == 0]
+        self.total = int(words["tokens"].sum())
+        self.floor = self.total + 0.1 * (int(words["distinct"].sum()) + 1)
+        self.alone = (self.count + 0.1) / self.floor
+        self.pairs = Pairs(self.words, self.starts, self.context, buckets, split)
+        self.seen = self._seen(self.pairs.place, len(self.pairs.key), self.trains)
+
+    def _seen(self, place: np.ndarray, n: int, trains: np.ndarray) -> np.ndarray:
+        return np.bincount(place, weights=trains, minlength=n).astype(np.uint32)
+
+    def _rows(self, bucket, key, seen, context, lower) -> pd.DataFrame:
+        # the context's count where it changes
+        new = np.diff(context, prepend=-1) != 0
+        new |= np.diff(bucket, prepend=-1) != 0
+        told = np.where(new, context, 0)
+        lower = np.where(seen > 0, lower, 0).astype(np.uint8)
+        shard = self.part["shard"].iloc[0]
+        rows = [
+            (
+                shard,
+                b,
+                _sorted(key[i:j]),
+                _packed(seen[i:j], PART_BYTES),
+                _packed(told[i:j], COUNT_BYTES),
+                _packed(lower[i:j], 1),
+                self.floor,
+            )
+            for b, i, j in by_bucket(bucket)
+        ]
+        return pd.DataFrame(rows, columns=_ASKED)
+
+    def ask_pairs(self) -> pd.DataFrame:
+        p, at = self.pairs, self.pairs.first
+        return self._rows(p.bucket, p.key, self.seen, self.context[at], quantise(self.count[at]))
+
+    def after_one(self) -> np.ndarray:
+        """Probability of each token after the one before it."""
+        kept = probabilities(_answers(self.answers, 1, self.pairs.bucket, 1, np.uint8))
+        backed = self.mass * self.alone / (self.context + self.mass)
+        return np.maximum(kept[self.pairs.place], backed)
+
+    def _triples(self, after: np.ndarray):
+        """Tokens with two before them in their text, and their distinct triples."""
+        place = self.pairs.place
+        told = _answers(self.answers, 1, self.pairs.bucket, COUNT_BYTES, np.int64, "count")
+        total, alone = told >> 1, (told & 1) > 0
+        at = np.ones(len(place), dtype=bool)
+        at[self.starts] = False
+        at = np.flatnonzero(at)
+        run = place[at - 1] * len(total) + place[at]
+        _, first, where = _unique(run)
+        seen = self._seen(where, len(first), self.trains[at])
+        first = at[first]
+        before, last = place[first - 1], place[first]
+        # no other shard has a triple if none has one of its pairs, and none trains on it if none
+        # trains on one of them
+        own = (alone | (total == 0))[before] | (alone | (total == 0))[last]
+        context, lower = total[before], probability_codes(np.minimum(after[first], 1.0))
+        return at, where, first, seen, own, context, lower
+
+    def _keys(self, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket and key of the triples that end at some tokens, whose contexts occur so often."""
+        # a token's pair is the context of the next token's triple; by its last word first
+        context = self.pairs.hash[first - 1]
+        middle = common.mix(self.words[first - 1])
+        part = _part(context, self.count[first - 1], self.split)
+        within = _part(self.words[first], count, self.split)
+        bucket = _spread(common.mix(middle + part), within, self.buckets)
+        key = (middle & _HALF) << np.uint64(40) | (context >> np.uint64(48)) << np.uint64(24)
+        return bucket, key | common.mix(context + self.words[first]) >> np.uint64(40)
+
+    def ask_triples(self) -> pd.DataFrame:
+        _, _, first, seen, own, context, lower = self._triples(self.after_one())
+        asked = np.flatnonzero(~own)
+        bucket, key, group = _distinct(*self._keys(first[asked], context[asked]))[:3]
+        n = len(key)
+        total = np.bincount(group, weights=seen[asked], minlength=n).astype(np.uint32)
+        some = np.zeros((2, n), dtype=np.int64)
+        some[0][group], some[1][group] = context[asked], lower[asked]
+        return self._rows(bucket, key, total, *some)
+
+    def after_two(self) -> np.ndarray:
+        """Probability of each token after the two before it, or the one if it is alone."""
+        after = self.after_one()
+        at, where, first, seen, own, context, lower = self._triples(after)
+        codes = np.zeros(len(first), dtype=np.uint8)
+        bucket, key, group = _distinct(*self._keys(first[~own], context[~own]))[:3]
+        codes[~own] = _answers(self.answers, 2, bucket, 1, np.uint8)[group]
+        # the triples of this shard alone are in a trie of its own
+        mine = np.flatnonzero(own & (seen > 0))
+        _, key = self._keys(first[mine], context[mine])
+        order = np.argsort(key)
+        new = np.diff(key[order], prepend=~key[order[:1]]) != 0
+        p = (seen[mine] + self.mass * probabilities(lower[mine])) / (context[mine] + self.mass)
+        codes[mine] = _trie_codes(key[order][new], BITS[2], p[order][new], key)
+        backed = self.mass * after[at] / (context[where] + self.mass)
+        after[at] = np.maximum(probabilities(codes)[where], backed)
+        return after
+
+    def scores(self, order: int) -> pd.DataFrame:
+        after = self.after_two() if order > 2 else self.after_one()
+        parts = self.count > 0, np.log10(self.alone), np.log10(after)
+        sums = [np.add.reduceat(x, self.starts) for x in parts]
+        return pd.DataFrame(
+            {
+                "doc_id": self.part["doc_id"],
+                "trains": self.part["trains"],
+                "n_tokens": self.counts,
+                "n_known": sums[0].astype(np.int64),
+                "train_tokens": self.total,
+                "base_score": sums[1],
+                "score": sums[2],
+            }
+        )
+
+
+def _ask_words(part: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Distinct words of a shard with their training counts; every bucket is asked, if only for
+    its sums."""
+    found, counts = tokens(_texts(part))
+    words, bucket, place = _in_buckets(found, buckets)
+    trains = np.repeat(part["trains"].to_numpy(bool), counts)
+    n = np.bincount(place, weights=trains, minlength=len(words)).astype(np.uint32)
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    shard = part["shard"].iloc[0]
+    rows = [
+        (shard, b, _sorted(words[i:j]), _packed(n[i:j], PART_BYTES))
+        for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    ]
+    return pd.DataFrame(rows, columns=["shard", "bucket", "words", "counts"])
+
+
+def pressed(texts: pd.Series) -> pd.Series:
+    """Each text compressed, NULL as the empty one."""
+    press = zstandard.ZstdCompressor(level=3)
+    return pd.Series([press.compress(t) for t in common.text_bytes(texts)], dtype=object)
 
 
 def score_documents(
@@ -228,8 +448,13 @@ def score_documents(
     text_col: str = "text",
     shard_bytes: int = SHARD,
     mass: float = MASS,
+    order: int = 2,
+    split: int = SPLIT,
 ) -> DataFrame:
-    """(doc_id, trains, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(doc_id, trains, n_tokens, n_known, train_tokens, base_score, score) of every row, by a
+    model of order two or three."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     doc_id = F.col(f"`{id_col}`")
     rows = docs.select(
         doc_id.alias("doc_id"),
@@ -238,76 +463,45 @@ def score_documents(
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(size // shard_bytes) + 1
-    counted = stored(count_words(rows.where("trains"), n), "word-counts")
-    sums = counted.agg(F.sum("n"), F.sum("v")).first()
-    total, distinct = sums[0] or 0, sums[1] or 0
-    floor = total + 0.1 * (distinct + 1)
-    # dealt once; the three steps that read the shards use the same exchange
+    # dealt once, compressed; the steps that read the shards use the same exchange
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64(id_text, F.length("text")), F.lit(n)))
+    rows = rows.withColumn("text", F.pandas_udf(pressed, "binary")("text"))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
-    def ask_words(key, part: pd.DataFrame) -> pd.DataFrame:
-        words, bucket, _ = _in_buckets(tokens(common.text_bytes(part["text"]))[0], n)
-        rows = [(key[0], b, common.pack_sorted(words[i:j])) for b, i, j in by_bucket(bucket)]
-        return pd.DataFrame(rows, columns=["shard", "bucket", "words"])
+    def by_shard(answers: DataFrame) -> DataFrame:
+        # dealt once, as the shards are; a union of what is dealt alike stays where it is
+        return answers.repartition(n // 2 + 1, "shard")
+
+    def ask_words(part: pd.DataFrame) -> pd.DataFrame:
+        return _ask_words(part, n)
 
     def ask_pairs(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        words, counts, count, context = _known(part, answers, n)
-        pairs = Pairs(words, counts, n)
-        trains = np.repeat(part["trains"].to_numpy(bool), counts)
-        seen = np.bincount(pairs.place, weights=trains, minlength=len(pairs.key))
-        seen = seen.astype(np.uint32)
-        told = np.where(seen > 0, context[pairs.first], 0)
-        alone = np.where(seen > 0, quantise(count[pairs.first]), 0).astype(np.uint8)
-        shard = part["shard"].iloc[0]
-        rows = [
-            (
-                shard,
-                b,
-                common.pack_sorted(pairs.key[i:j]),
-                common.pack_planes(seen[i:j], PART_BYTES),
-                common.pack_planes(told[i:j], COUNT_BYTES),
-                alone[i:j].tobytes(),
-            )
-            for b, i, j in by_bucket(pairs.bucket)
-        ]
-        return pd.DataFrame(rows, columns=["shard", "bucket", "pairs", "counts", "contexts", "words"])
+        return Shard(part, answers, n, mass, split).ask_pairs()
 
-    def codes(part: pd.DataFrame) -> pd.DataFrame:
-        return _codes_for(part, floor, mass)
+    def ask_triples(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return Shard(part, answers, n, mass, split).ask_triples()
 
-    def score(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        words, counts, count, context = _known(part, answers, n)
-        pairs = Pairs(words, counts, n)
-        kept = probabilities(_answers(answers, 1, pairs.bucket, 1, np.uint8))[pairs.place]
-        starts = np.cumsum(counts) - counts
-        alone = (count + 0.1) / floor
-        after = np.maximum(kept, mass * alone / (context + mass))
-        sums = [np.add.reduceat(x, starts) for x in (count > 0, np.log10(alone), np.log10(after))]
-        return pd.DataFrame(
-            {
-                "doc_id": part["doc_id"],
-                "trains": part["trains"],
-                "n_tokens": counts,
-                "n_known": sums[0].astype(np.int64),
-                "train_tokens": total,
-                "base_score": sums[1],
-                "score": sums[2],
-            }
-        )
+    def pair_codes(part: pd.DataFrame) -> pd.DataFrame:
+        return _codes_for(part, 1, mass, order > 2)
+
+    def triple_codes(part: pd.DataFrame) -> pd.DataFrame:
+        return _codes_for(part, 2, mass, False)
 
-    answer = "shard long, bucket long, step int, body binary"
-    asked = shards.applyInPandas(ask_words, "shard long, bucket long, words binary")
-    known = counted.select("bucket", "words", "counts").groupBy("bucket")
-    first = asked.groupBy("bucket").cogroup(known).applyInPandas(_counts_for, answer)
-    kind = "shard long, bucket long, pairs binary, counts binary, contexts binary, words binary"
-    sent = shards.cogroup(first.groupBy("shard")).applyInPandas(ask_pairs, kind)
-    second = sent.groupBy("bucket").applyInPandas(codes, answer)
-    both = first.union(second).groupBy("shard")
+    def score(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return Shard(part, answers, n, mass, split).scores(order)
+
+    answer = "shard long, bucket long, step int, body binary, count binary, tokens long, distinct long"
+    kind = "shard long, bucket long, keys binary, counts binary, contexts binary, lower binary, floor double"
+    words = "shard long, bucket long, words binary, counts binary"
+    asked = shards.applyInPandas(ask_words, words)
+    answers = by_shard(asked.groupBy("bucket").applyInPandas(_counts_for, answer))
+    for ask, codes in [(ask_pairs, pair_codes), (ask_triples, triple_codes)][: order - 1]:
+        sent = shards.cogroup(answers.groupBy("shard")).applyInPandas(ask, kind)
+        answers = answers.union(by_shard(sent.groupBy("bucket").applyInPandas(codes, answer)))
     id_type = docs.schema[id_col].dataType.simpleString()
     kind = (
         f"doc_id {id_type}, trains boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
-    return shards.cogroup(both).applyInPandas(score, kind)
+    return shards.cogroup(answers.groupBy("shard")).applyInPandas(score, kind)

@@ -48,7 +48,7 @@ def op1_hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @_register
 def op2_ngram_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
-    found = ngram.score_documents(docs, doc_remainder("doc_id", 10) != 0)
+    found = ngram.score_documents(docs, doc_remainder("doc_id", 10) != 0, order=3)
     return found.select(
         "doc_id",
         (~F.col("trains")).alias("held_out"),

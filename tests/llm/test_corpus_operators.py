@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import duckdb
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import ann, eliasfano, lines, ngram, simhash, substrings, suffixes
 from shelfcast.llm.common import doc_remainder
 from shelfcast.llm.components import connected
-from shelfcast.llm.queries import SQL
+from shelfcast.llm.queries import QUERIES, SQL
 from tests.llm import twins
 
 ROWS = twins.rows_of(twins.awkward_texts())
@@ -85,6 +86,50 @@ def test_ngram_scores_equal_brute_force(docs, shard):
         assert g[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+@pytest.mark.parametrize("shard", [4_000_000, 9_000])
+def test_ngram_scores_of_order_three_equal_brute_force(docs, shard):
+    """Triples of one shard alone and of several, in tries of three levels."""
+    training = doc_remainder("doc_id", 10) != 0
+    key = lambda r: (str(r[0]), r[2], r[3], round(r[5], 6), round(r[6], 6))
+    found = ngram.score_documents(docs, training, shard_bytes=shard, order=3, split=4 if shard < 10_000 else ngram.SPLIT)
+    got = sorted((tuple(r) for r in found.collect()), key=key)
+    want = twins.ngram_scores([r[:2] for r in ROWS], ngram.MASS)
+    scores = twins.ngram_scores_of_three([r[:2] for r in ROWS], ngram.MASS)
+    assert any(s > w[5] + 1 for s, w in zip(scores, want))
+    want = [(r[0], not w[0], *w[1:5], s) for r, w, s in zip(ROWS, want, scores)]
+    for g, w in zip(got, sorted(want, key=key), strict=True):
+        assert g[:5] == w[:5]
+        assert g[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
+def test_op2_scores_by_three_levels(spark, tmp_path):
+    """Held-out texts of the same pairs, of which one has the triples of the training text."""
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    train = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10][:40]
+    rows = [(i, "a b c a x b d x b d a") for i in train] + [(held[0], "x b c"), (held[1], "x b d")]
+    rows += [(i + 100, "x b c a b d a") for i in train if zlib.crc32(str(i + 100).encode()) % 10]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    score = {r["doc_id"]: r["score"] for r in QUERIES["op2_ngram_score"](spark, str(tmp_path)).collect()}
+    want = twins.ngram_scores_of_three(rows, ngram.MASS)
+    assert [score[r[0]] for r in rows] == pytest.approx(want, rel=1e-9)
+    two = [w[5] for w in twins.ngram_scores(rows, ngram.MASS)]
+    assert max(abs(a - b) for a, b in zip(two, want)) > 0.01
+
+
+def test_trie_of_three_levels():
+    rng = np.random.default_rng(4)
+    bits = [16, 16, 24]
+    key = np.concatenate([rng.integers(0, 1 << 56, 300, dtype=np.uint64), np.arange(300, dtype=np.uint64) * np.uint64(1 << 22)])
+    key = np.unique(np.concatenate((key, key ^ np.uint64(1))))
+    codes = rng.integers(1, 255, len(key))
+    trie = eliasfano.Trie.of(ngram.split(key, bits), bits, codes)
+    asked = np.concatenate((key, key ^ np.uint64(2), key ^ np.uint64(1 << 30)))
+    want = dict(zip(key.tolist(), codes.tolist()))
+    assert trie.codes_of(*ngram.split(asked, bits)).tolist() == [want.get(k, 0) for k in asked.tolist()]
+    none = eliasfano.Trie.of(ngram.split(key[:0], bits), bits, codes[:0])
+    assert not none.codes_of(*ngram.split(asked, bits)).any()
+
+
 def test_ngram_scores_are_probabilities():
     """Codes never stand for more than what they were made of, so p is in (0, 1] and sums to
     one at most, also after a context that one successor always follows."""

@@ -132,6 +132,43 @@ def ngram_scores(rows: list[tuple[int | None, str | None]], mass: float) -> list
     return found
 
 
+def ngram_scores_of_three(rows: list[tuple[int | None, str | None]], mass: float) -> list[float]:
+    """Score of each row by the model of order three."""
+    tokens = [
+        [0, *re.findall(b"[^\x20\x09-\x0d]+", lower(t or "").encode()), None] for _, t in rows
+    ]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
+    # of runs of one to three tokens; a start mark is no token, but begins runs
+    counts = Counter()
+    for own, out in zip(tokens, held):
+        for n in (1, 2, 3):
+            if not out:
+                counts.update(tuple(own[k : k + n]) for k in range(len(own) - n + 1))
+    words = {run[0]: n for run, n in counts.items() if len(run) == 1 and run[0] != 0}
+    floor = sum(words.values()) + 0.1 * (len(words) + 1)
+
+    def down(p: float) -> float:
+        return 2 ** (-math.ceil(-8 * math.log2(p)) / 8)
+
+    def after(run: tuple) -> float:
+        if len(run) == 1:
+            return (words.get(run[0], 0) + 0.1) / floor
+        lower_p = after(run[1:])
+        n, context = counts[run], counts[run[:-1]]
+        p = mass * lower_p / (context + mass)
+        if n and len(run) == 2:
+            lower_p = (2 ** (math.floor(8 * math.log2(words[run[1]])) / 8) + 0.1) / floor
+        if n:
+            least = down(lower_p) if len(run) == 3 else lower_p
+            p = max(p, down((n + mass * least) / (context + mass)))
+        return p
+
+    return [
+        sum(math.log10(after(tuple(own[max(0, k - 2) : k + 1]))) for k in range(1, len(own)))
+        for own in tokens
+    ]
+
+
 def window_hits(text: str | None, items: list[tuple[str, str]], window: int = 10) -> tuple:
     """(words, words hit, number of items, digest of the items)."""
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
