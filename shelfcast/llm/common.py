@@ -8,6 +8,8 @@ the result; only the named columns are read, so other columns never clash.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,6 +127,27 @@ def unpack_planes(blob: bytes, width: int, kind) -> np.ndarray:
     return table.view(kind)[:, 0]
 
 
+def squeeze(planes: bytes, width: int) -> bytes:
+    """Planes of bytes, each compressed if that makes it shorter, after their lengths."""
+    press = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
+    n = len(planes) // width
+    parts = [planes[i * n : (i + 1) * n] for i in range(width)]
+    parts = [min(p, press.compress(p), key=len) for p in parts]
+    return np.array([n, *map(len, parts)], dtype=np.uint32).tobytes() + b"".join(parts)
+
+
+def spread_out(blob: bytes, width: int) -> bytes:
+    """The planes that were squeezed."""
+    press = zstandard.ZstdDecompressor()
+    n, *sizes = np.frombuffer(blob, dtype=np.uint32, count=width + 1).tolist()
+    at, parts = 4 * (width + 1), []
+    for size in sizes:
+        part = blob[at : at + size]
+        parts.append(part if size == n else press.decompress(part))
+        at += size
+    return b"".join(parts)
+
+
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     """Consecutive index ranges whose sizes sum to `limit` or one item."""
     out, first, total = [], 0, 0
@@ -140,3 +163,14 @@ def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
 
 def text_bytes(texts) -> list[bytes]:
     return [t.encode() if t is not None and t == t else b"" for t in texts]
+
+
+def pressed(texts: pd.Series) -> pd.Series:
+    """Each text compressed, NULL as the empty one."""
+    press = zstandard.ZstdCompressor(level=3)
+    return pd.Series([press.compress(t) for t in text_bytes(texts)], dtype=object)
+
+
+def unpressed(texts: pd.Series) -> list[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return [press.decompress(t) for t in texts]

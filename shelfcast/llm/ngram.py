@@ -38,7 +38,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,41 +170,20 @@ def probabilities(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, np.exp2((1 - codes.astype(np.float64)) / 8), 0.0)
 
 
-def squeeze(planes: bytes, width: int) -> bytes:
-    """Planes of bytes, each compressed if that makes it shorter, after their lengths."""
-    press = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
-    n = len(planes) // width
-    parts = [planes[i * n : (i + 1) * n] for i in range(width)]
-    parts = [min(p, press.compress(p), key=len) for p in parts]
-    return np.array([n, *map(len, parts)], dtype=np.uint32).tobytes() + b"".join(parts)
-
-
-def spread_out(blob: bytes, width: int) -> bytes:
-    """The planes that were squeezed."""
-    press = zstandard.ZstdDecompressor()
-    n, *sizes = np.frombuffer(blob, dtype=np.uint32, count=width + 1).tolist()
-    at, parts = 4 * (width + 1), []
-    for size in sizes:
-        part = blob[at : at + size]
-        parts.append(part if size == n else press.decompress(part))
-        at += size
-    return b"".join(parts)
-
-
 def _sorted(values: np.ndarray) -> bytes:
-    return squeeze(common.pack_sorted(values), values.dtype.itemsize)
+    return common.squeeze(common.pack_sorted(values), values.dtype.itemsize)
 
 
 def _unsorted(blob: bytes) -> np.ndarray:
-    return common.unpack_sorted(spread_out(blob, 8), np.uint64)
+    return common.unpack_sorted(common.spread_out(blob, 8), np.uint64)
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
-    return squeeze(common.pack_planes(values, width), width)
+    return common.squeeze(common.pack_planes(values, width), width)
 
 
 def _unpacked(blob: bytes, width: int, kind) -> np.ndarray:
-    return common.unpack_planes(spread_out(blob, width), width, kind)
+    return common.unpack_planes(common.spread_out(blob, width), width, kind)
 
 
 def _planes(part: pd.DataFrame, name: str, width: int, kind) -> list[np.ndarray]:
@@ -282,18 +260,13 @@ def _answers(
     return np.concatenate(found) if found else np.zeros(0, dtype=kind)
 
 
-def _texts(part: pd.DataFrame) -> list[bytes]:
-    press = zstandard.ZstdDecompressor()
-    return [press.decompress(t) for t in part["text"]]
-
-
 class Shard:
     """Tokens of a shard's texts, and what the answers so far tell of them."""
 
     def __init__(self, part: pd.DataFrame, answers: pd.DataFrame, buckets: int, mass: float, split: int):
         self.part, self.answers, self.buckets = part, answers, buckets
         self.mass, self.split = mass, split
-        self.words, self.counts = tokens(_texts(part))
+        self.words, self.counts = tokens(common.unpressed(part["text"]))
         self.starts = np.cumsum(self.counts) - self.counts
         self.trains = np.repeat(part["trains"].to_numpy(bool), self.counts)
         asked, bucket, place = _in_buckets(self.words, buckets)
@@ -422,7 +395,7 @@ class Shard:
 def _ask_words(part: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Distinct words of a shard with their training counts; every bucket is asked, if only for
     its sums."""
-    found, counts = tokens(_texts(part))
+    found, counts = tokens(common.unpressed(part["text"]))
     words, bucket, place = _in_buckets(found, buckets)
     trains = np.repeat(part["trains"].to_numpy(bool), counts)
     n = np.bincount(place, weights=trains, minlength=len(words)).astype(np.uint32)
@@ -435,12 +408,6 @@ def _ask_words(part: pd.DataFrame, buckets: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["shard", "bucket", "words", "counts"])
 
 
-def pressed(texts: pd.Series) -> pd.Series:
-    """Each text compressed, NULL as the empty one."""
-    press = zstandard.ZstdCompressor(level=3)
-    return pd.Series([press.compress(t) for t in common.text_bytes(texts)], dtype=object)
-
-
 def score_documents(
     docs: DataFrame,
     training: Column,
@@ -466,7 +433,7 @@ def score_documents(
     # dealt once, compressed; the steps that read the shards use the same exchange
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64(id_text, F.length("text")), F.lit(n)))
-    rows = rows.withColumn("text", F.pandas_udf(pressed, "binary")("text"))
+    rows = rows.withColumn("text", F.pandas_udf(common.pressed, "binary")("text"))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
     def by_shard(answers: DataFrame) -> DataFrame:

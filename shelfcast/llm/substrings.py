@@ -4,12 +4,12 @@ Documents are dealt into shards. A string of `length` bytes holds a seed: the fi
 of its smallest GRAM-byte hashes, so equal strings hold equal seeds at equal places.
 
 1. Each shard sends its distinct seeds to buckets, with a mark of the stretch around each; a
-   bucket answers which of them another document has, which stand in many shards, and, where
-   all shards have the same stretch, which one of them is to send it.
+   bucket answers which of them another document has, which stand amid many different
+   stretches, and, of the shards that have the same stretch, which one is to send it.
 2. Each shard sends the stretches around shared seeds, each distinct stretch once with its
    smallest document; the hash stands for a stretch that another shard sends. A bucket thus
-   gets every string of its seeds. Strings of a seed that stands in CROWD shards amid
-   different stretches are dealt one by one, by their own hash, so that no bucket gathers all
+   gets every string of its seeds. Strings of a seed that stands amid CROWD different
+   stretches are dealt one by one, by their own hash, so that no bucket gathers all
    that surrounds a frequent passage.
 3. A bucket cuts its stretches into parts of PART bytes, builds a suffix array of each by
    Larsson-Sadakane refinement, takes Kasai's common prefixes to group equal strings, merges
@@ -122,7 +122,7 @@ def _ids(part: pd.DataFrame) -> np.ndarray:
 
 
 def _blobs(part: pd.DataFrame) -> list[bytes]:
-    return common.text_bytes(part["text"])
+    return common.unpressed(part["text"])
 
 
 def _seed_rows(blobs: list[bytes], ids: np.ndarray, length: int, buckets: int) -> pd.DataFrame:
@@ -158,20 +158,21 @@ def _values(found: Stretches, length: int) -> np.ndarray:
 def _shared_rows(part: pd.DataFrame, crowd: int) -> pd.DataFrame:
     """Of each shard's seeds in one bucket: shared, crowded, and to be sent by it."""
     own = [common.unpack_sorted(s, np.uint32) for s in part["seeds"]]
-    seeds, sender, where = np.unique(np.concatenate(own), return_index=True, return_inverse=True)
+    seeds, where = np.unique(np.concatenate(own), return_inverse=True)
     mark = np.concatenate([common.unpack_planes(m, MARK_BYTES, np.uint64) for m in part["marks"]])
-    one = mark[sender]
-    differs = np.bincount(where, weights=mark != one[where], minlength=len(seeds)) > 0
-    uniform = (one > 0) & ~differs
-    sends = ~uniform[where]
-    sends[sender] = True
+    # the first of the shards that have the same stretch, and all that have several
+    order = np.lexsort((mark, where))
+    sends = mark == 0
+    new = np.diff(where[order], prepend=-1) != 0
+    new[1:] |= mark[order][1:] != mark[order][:-1]
+    sends[order[new]] = True
     shards = np.bincount(where, minlength=len(seeds))
     many = np.concatenate([
         np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(s))
         for m, s in zip(part["many"], own)
     ])
     shared = (shards > 1) | (np.bincount(where, weights=many, minlength=len(seeds)) > 0)
-    crowded = (shards >= crowd) & ~uniform
+    crowded = np.bincount(where, weights=sends, minlength=len(seeds)) >= crowd
     rows, first = [], 0
     for shard, bucket, seeds_of in zip(part["shard"], part["bucket"], own):
         at = where[first : first + len(seeds_of)]
@@ -242,8 +243,9 @@ def _piece_rows(
         sizes = p.count[p.sample[i:j]] + length - 1
         sent = p.sent[i:j]
         body = found.data[_ranges(p.first[p.sample[i:j][sent]], sizes[sent])]
-        packed = common.pack_planes(sizes, 4), np.packbits(sent).tobytes(), press.compress(body)
-        rows.append((b, *packed, p.value[i:j][~sent].tobytes(), common.pack_planes(p.least[i:j], 8)))
+        packed = common.squeeze(common.pack_planes(sizes, 4), 4), np.packbits(sent).tobytes(), press.compress(body)
+        least = common.squeeze(common.pack_planes(p.least[i:j], 8), 8)
+        rows.append((b, *packed, p.value[i:j][~sent].tobytes(), least))
     return pd.DataFrame(rows, columns=["bucket", "sizes", "sent", "body", "hashes", "least"])
 
 
@@ -264,8 +266,9 @@ def _grouped(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int):
 
 def _covered_rows(part: pd.DataFrame, length: int, part_bytes: int) -> pd.DataFrame:
     """Of each shard's pieces in one bucket: the strings that a smaller document has."""
-    sizes = [common.unpack_planes(s, 4, np.int64) for s in part["sizes"]]
-    ids = np.concatenate([common.unpack_planes(s, 8, np.int64) for s in part["least"]])
+    sizes = [common.unpack_planes(common.spread_out(s, 4), 4, np.int64) for s in part["sizes"]]
+    ids = [common.unpack_planes(common.spread_out(s, 8), 8, np.int64) for s in part["least"]]
+    ids = np.concatenate(ids)
     every = np.concatenate(sizes)
     sent = np.concatenate([
         np.unpackbits(np.frombuffer(f, dtype=np.uint8), count=len(s))
@@ -372,9 +375,10 @@ def remove_repeats(
     )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // shard_bytes) + 1
-    # dealt once; the three steps that read the shards use the same exchange. The text spreads
+    # dealt once, compressed; the three steps that read the shards use the same exchange. The text spreads
     # rows of one id, or without an id, over the shards
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
+    rows = rows.withColumn("text", F.pandas_udf(common.pressed, "binary")("text"))
     shards = rows.repartition(n // 2 + 1, "shard").groupBy("shard")
 
     sent_columns = ["shard", "bucket", "sizes", "sent", "body", "hashes", "least"]
@@ -402,11 +406,12 @@ def remove_repeats(
 
     answer = "shard long, bucket long, step int, flags binary"
     sent = shards.applyInPandas(seeds, "shard long, bucket long, seeds binary, marks binary, many binary")
-    first = sent.groupBy("bucket").applyInPandas(shared, answer)
+    # answers are dealt as the shards are, so that their union stays where it is
+    first = sent.groupBy("bucket").applyInPandas(shared, answer).repartition(n // 2 + 1, "shard")
     sent = shards.cogroup(first.groupBy("shard")).applyInPandas(
         pieces, "shard long, bucket long, " + ", ".join(f"{c} binary" for c in sent_columns[2:])
     )
-    second = sent.groupBy("bucket").applyInPandas(covered, answer)
+    second = sent.groupBy("bucket").applyInPandas(covered, answer).repartition(n // 2 + 1, "shard")
     both = first.union(second).groupBy("shard")
     kind = "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary"
     return shards.cogroup(both).applyInPandas(result, kind)

@@ -7,10 +7,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.llm import ann, eliasfano, lines, ngram, simhash, substrings, suffixes
+from shelfcast.llm import ann, common, eliasfano, lines, ngram, simhash, substrings, suffixes
 from shelfcast.llm.common import doc_remainder
 from shelfcast.llm.components import connected
 from shelfcast.llm.queries import QUERIES, SQL
@@ -61,6 +62,23 @@ def test_repeats_equal_brute_force(docs, shard, part, crowd):
     assert any(spans for *_, spans in got)
 
 
+def test_each_stretch_is_sent_once():
+    """Of four shards with one seed, three have the same stretch: one of them sends it, and the
+    seed stands amid two stretches, not four."""
+    marks = [5, 7, 5, 5]
+    part = pd.DataFrame({
+        "shard": range(4),
+        "bucket": 0,
+        "seeds": [common.pack_sorted(np.array([9], dtype=np.uint32))] * 4,
+        "marks": [common.pack_planes(np.array([m], dtype=np.uint64), substrings.MARK_BYTES) for m in marks],
+        "many": [b"\0"] * 4,
+    })
+    for crowd, dense in ((2, 1), (3, 0)):
+        flags = substrings._shared_rows(part, crowd)["flags"]
+        bits = [np.unpackbits(np.frombuffer(f, dtype=np.uint8), count=3).tolist() for f in flags]
+        assert bits == [[1, dense, 1], [1, dense, 1], [1, dense, 0], [1, dense, 0]]
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for n, universe in ((0, 10), (1, 1), (5, 5), (1000, 1 << 32), (1000, 1200), (300, 1 << 48)):
