@@ -42,9 +42,10 @@ GRAM = 24
 MARK_BYTES = 6
 _MARK = np.uint64((1 << 8 * MARK_BYTES) - 1)
 _BLOCK = 1 << 15
+_PLACE = np.uint64((1 << 16) - 1)
 _LAST_ID = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F)
-_K3, _K4 = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_K3 = np.uint64(0xA0761D6478BD642F)
 
 
 @dataclass
@@ -68,15 +69,19 @@ def find_stretches(blobs: list[bytes], length: int, buckets: int) -> Stretches:
         return Stretches(data, offsets, sizes, none, none, none, none)
     least, place = _least_grams(data, length - GRAM + 1)
     # strings that end within their text, and the runs among them
-    strings = np.maximum(sizes - length + 1, 0)
-    at = _ranges(offsets, strings)
-    place, row = place[at], np.repeat(np.arange(len(blobs)), strings)
-    opens = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
-    spread = common.mix(least[at[opens]])
+    ends = offsets + np.maximum(sizes - length + 1, 0)
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = place[1:] != place[:-1]
+    new[offsets[offsets < len(place)]] = True
+    opens = np.flatnonzero(new)
+    row = np.searchsorted(offsets, opens, side="right") - 1
+    count = np.minimum(np.diff(opens, append=len(place)), ends[row] - opens)
+    inside = count > 0
+    opens, row, count = opens[inside], row[inside], count[inside]
+    spread = common.mix(least[opens])
     bucket = (spread >> np.uint64(32)) % np.uint64(buckets)
     seed = (bucket << np.uint64(32) | (spread & np.uint64(0xFFFFFFFF))).astype(np.int64)
-    count = np.diff(opens, append=len(at))
-    return Stretches(data, offsets, sizes, at[opens], count, seed, row[opens])
+    return Stretches(data, offsets, sizes, opens, count, seed, row)
 
 
 def _least_grams(data: np.ndarray, grams: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,17 +97,16 @@ def _least_grams(data: np.ndarray, grams: int) -> tuple[np.ndarray, np.ndarray]:
         words = suffixes.words_at(data[first : last + grams + GRAM - 2])
         n = last - first + grams - 1
         value = words[:n] * _K1 + words[8 : n + 8] * _K2
-        value += words[16 : n + 16] * _K3 + words[GRAM - 8 : n + GRAM - 8] * _K4
-        value = common.mix(value)
-        at = np.arange(first, first + n, dtype=np.int32)
+        value += words[GRAM - 8 : n + GRAM - 8] * _K3
+        # the place in the block is in the lowest bits, so that the least value brings it along
+        value = common.mix(value) & ~_PLACE | np.arange(n, dtype=np.uint64)
         span = 1
         while span < grams:
             step = min(span, grams - span)
-            later = value[step:] < value[:-step]
-            at = np.where(later, at[step:], at[:-step])
             value = np.minimum(value[step:], value[:-step])
             span += step
-        least[first:last], place[first:last] = value, at
+        least[first:last] = value & ~_PLACE
+        place[first:last] = (value & _PLACE).astype(np.int32) + np.int32(first)
     return least, place
 
 
