@@ -7,6 +7,8 @@ the result; only the named columns are read, so other columns never clash.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pandas as pd
 import zstandard
@@ -25,6 +27,8 @@ IS_BREAK = (_BYTE < 128) & ~((_BYTE >= 48) & (_BYTE <= 57)) & ~((_BYTE >= 97) &
 # nearly all of their bits
 _STEP = np.uint64(0x9E3779B97F4A7C13)
 _STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
+# the lowest bytes of eight, by their number
+_LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 _VALUES = np.random.default_rng(20240613).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
@@ -86,7 +90,7 @@ def word_bounds(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     """Start and end of each maximal run of bytes that are no breaks."""
     inside = np.empty(len(data) + 2, dtype=np.int8)
     inside[0] = inside[-1] = 0
-    inside[1:-1] = ~breaks[data]
+    inside[1:-1] = np.frombuffer(data.tobytes().translate((~breaks).tobytes()), dtype=np.int8)
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[0::2], edges[1::2]
 
@@ -100,6 +104,31 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + lengths)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span, for many short spans; equal spans have equal hashes anywhere.
+
+    Eight bytes at a time, so the work follows the spans; those over 64 bytes go by their sums.
+    """
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) * _STEP)
+    long = np.flatnonzero(sizes > 64)
+    going = np.flatnonzero(sizes <= 64) if len(long) else np.arange(len(sizes))
+    for at in range(0, 64, 8):
+        if at:
+            going = going[sizes[going] > at]
+        if not len(going):
+            break
+        left = np.minimum(sizes[going] - at, 8)
+        out[going] = mix(out[going] ^ (eight[starts[going] + at] & _LOW_BYTES[left]))
+    if len(long):
+        last = np.cumsum(sizes[long])
+        body = np.concatenate([data[i:j] for i, j in zip(starts[long].tolist(), ends[long].tolist())])
+        out[long] = span_hashes(body, last - sizes[long], last)
+    return out
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Sorted unsigned values as differences, all first bytes, then all second bytes, and so
     on; the high ones are nearly all zero, which Spark's own compression takes out."""
@@ -128,24 +157,67 @@ def unpack_planes(blob: bytes, width: int, kind) -> np.ndarray:
 
 
 def squeeze(planes: bytes, width: int) -> bytes:
-    """Planes of bytes, each compressed if that makes it shorter, after their lengths."""
-    press = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
+    """Planes of bytes, each compressed if that makes it shorter, after their lengths; of a
+    plane of zeros nothing is kept."""
     n = len(planes) // width
-    parts = [planes[i * n : (i + 1) * n] for i in range(width)]
-    parts = [min(p, press.compress(p), key=len) for p in parts]
-    return np.array([n, *map(len, parts)], dtype=np.uint32).tobytes() + b"".join(parts)
+    return _squeezed(planes, n, width, [(0, n)])[0]
+
+
+def squeeze_runs(values: np.ndarray, width: int, runs: list[tuple[int, int]]) -> list[bytes]:
+    """The squeezed planes of each run of values, from its first to before its last."""
+    return _squeezed(pack_planes(values, width), len(values), width, runs)
+
+
+def _squeezed(planes: bytes, total: int, width: int, runs: list[tuple[int, int]]) -> list[bytes]:
+    press = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
+    head = struct.Struct(f"<{width + 1}I")
+    # planes without any byte are not looked at run by run
+    used = [planes.count(0, i * total, (i + 1) * total) < total for i in range(width)]
+    out = []
+    for first, last in runs:
+        n = last - first
+        zeros, parts = bytes(n), []
+        for i in range(width):
+            part = planes[i * total + first : i * total + last] if used[i] else zeros
+            parts.append(b"" if part == zeros else min(part, press.compress(part), key=len))
+        out.append(head.pack(n, *map(len, parts)) + b"".join(parts))
+    return out
 
 
 def spread_out(blob: bytes, width: int) -> bytes:
     """The planes that were squeezed."""
+    return b"".join(_spread([blob], width)[1][0])
+
+
+def spread_runs(blobs: list[bytes], width: int, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all squeezed runs, one after another, and the number of each run."""
+    counts, parts = _spread(blobs, width)
+    counts = np.array(counts, dtype=np.int64)
+    total = int(counts.sum())
+    table = np.zeros((total, np.dtype(kind).itemsize), dtype=np.uint8)
+    for i in range(width):
+        plane = np.frombuffer(b"".join([p[i] for p in parts]), dtype=np.uint8)
+        if plane.any():
+            table[:, i] = plane
+    return table.view(kind).reshape(total), counts
+
+
+def _spread(blobs: list[bytes], width: int) -> tuple[list[int], list[list[bytes]]]:
+    """The number of values of each blob, and its planes."""
     press = zstandard.ZstdDecompressor()
-    n, *sizes = np.frombuffer(blob, dtype=np.uint32, count=width + 1).tolist()
-    at, parts = 4 * (width + 1), []
-    for size in sizes:
-        part = blob[at : at + size]
-        parts.append(part if size == n else press.decompress(part))
-        at += size
-    return b"".join(parts)
+    head = struct.Struct(f"<{width + 1}I")
+    counts, planes = [], []
+    for blob in blobs:
+        n, *sizes = head.unpack_from(blob)
+        at, parts = head.size, []
+        for size in sizes:
+            part = blob[at : at + size]
+            # a plane of zeros takes no bytes
+            parts.append(bytes(n) if not size else part if size == n else press.decompress(part))
+            at += size
+        counts.append(n)
+        planes.append(parts)
+    return counts, planes
 
 
 def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:

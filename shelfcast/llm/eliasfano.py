@@ -63,14 +63,30 @@ class EliasFano:
             at = np.where(beyond, at + width, at)
         return at
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first value that is x or more."""
+    def _range(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past the last index of the values with these high bits."""
+        if len(high) < len(self.high):
+            end = self._select_zero(high) - high
+            first = np.where(high > 0, self._select_zero(np.maximum(high - 1, 0)) - high + 1, 0)
+            return first, end
+        # many: all zeros are selected at once
+        zeros = np.flatnonzero(np.unpackbits(~self.high.view(np.uint8), bitorder="little"))
+        ends = np.concatenate(([0], zeros - np.arange(len(zeros))))
+        return ends[high], ends[high + 1]
+
+    def _parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = x.astype(np.uint64)
         high = (x >> np.uint64(self.low_bits)).astype(np.int64)
-        low = x & np.uint64((1 << self.low_bits) - 1)
-        end = self._select_zero(high) - high
-        first = np.where(high > 0, self._select_zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        last = end
+        return high, x & np.uint64((1 << self.low_bits) - 1)
+
+    def successor(self, x: np.ndarray) -> np.ndarray:
+        """Index of the first value that is x or more."""
+        high, low = self._parts(x)
+        return self._search(low, *self._range(high))
+
+    def _search(self, low: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Index of the first value within each range whose low bits are so high, or its end."""
+        first, last = first.copy(), last.copy()
         while len(going := np.flatnonzero(first < last)):
             middle = (first[going] + last[going]) >> 1
             less = self._low(middle) < low[going]
@@ -96,10 +112,10 @@ class EliasFano:
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Index of each value, -1 where it does not occur."""
-        index = self.successor(x)
-        low = x.astype(np.uint64) & np.uint64((1 << self.low_bits) - 1)
-        high = (x.astype(np.uint64) >> np.uint64(self.low_bits)).astype(np.int64)
-        inside = index < self._select_zero(high) - high
+        high, low = self._parts(x)
+        first, end = self._range(high)
+        index = self._search(low, first, end)
+        inside = index < end
         at = np.minimum(index, max(self.n - 1, 0))
         return np.where(inside & (self._low(at) == low), index, -1) if self.n else at * 0 - 1
 
@@ -184,12 +200,15 @@ class Trie:
         self.codes = mapped[-1]
 
     def codes_of(self, *symbols: np.ndarray) -> np.ndarray:
-        """Code of each run, 0 for those not in the trie."""
-        place = self.levels[0].find(symbols[0])
-        known = np.flatnonzero(place >= 0)
-        place = place[known]
-        for level, bits, symbol in zip(self.levels[1:], self.bits[1:], symbols[1:]):
-            found = level.find(place.astype(np.uint64) << bits | symbol[known].astype(np.uint64))
+        """Code of each run, 0 for those not in the trie; fastest for runs in order."""
+        known = np.arange(len(symbols[0]))
+        place = np.zeros(len(known), dtype=np.int64)
+        for level, bits, symbol in zip(self.levels, self.bits, symbols):
+            asked = place.astype(np.uint64) << bits | symbol[known].astype(np.uint64)
+            # neighbours often begin alike, and are looked up once
+            new = np.ones(len(asked), dtype=bool)
+            new[1:] = asked[1:] != asked[:-1]
+            found = level.find(asked[new])[np.cumsum(new) - 1]
             known, place = known[found >= 0], found[found >= 0]
         out = np.zeros(len(symbols[0]), dtype=np.uint8)
         out[known] = self.codes[place]

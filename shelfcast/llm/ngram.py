@@ -29,7 +29,7 @@ of its own.
 Words are told apart by 48 bits in their bucket, within a shard by 64. Pairs have 16 bits of the context and 32 bits of a hash of
 the pair, so that one is taken for another of its context's SPLIT in a bucket at most once in
 2^17 cases. Triples have 16 bits of the middle word, 16 of a hash of the first pair, and 24 of
-one of all three: at most once in 2^25 cases.
+one of all three: at most once in 2^25 cases, within a shard as well.
 NULL texts are empty: their one token is the end. Texts whose training flag is NULL do not
 train. Without training texts every probability is one.
 """
@@ -67,7 +67,7 @@ def tokens(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     row = np.searchsorted(offsets, starts, side="right") - 1
     counts = np.bincount(row, minlength=len(blobs)) + 1
     out = np.full(len(starts) + len(blobs), END)
-    out[np.arange(len(starts)) + row] = common.span_hashes(data, starts, ends)
+    out[np.arange(len(starts)) + row] = common.word_hashes(data, starts, ends)
     return out, counts
 
 
@@ -84,7 +84,7 @@ def _word_bucket(words: np.ndarray, buckets: int) -> np.ndarray:
 def _in_buckets(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words ordered by bucket and value, their buckets, and the place of each word."""
     distinct, first, place = _unique(words)
-    bucket, key, where, _ = _distinct(_word_bucket(distinct, buckets), distinct & _WORD)
+    bucket, key, where, _ = _distinct(_word_bucket(distinct, buckets), distinct & _WORD, 48)
     return key, bucket, where[place]
 
 
@@ -108,8 +108,12 @@ def split(keys: np.ndarray, bits: list[int]) -> list[np.ndarray]:
     return out[::-1]
 
 
-def _distinct(bucket: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+def _distinct(bucket: np.ndarray, key: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
     """Distinct (bucket, key) in order, the place of each given one, and one of each."""
+    if bits <= 48 and len(bucket) and bucket.max() < 1 << 16:
+        # both fit in one value
+        joint, first, place = _unique(bucket.astype(np.uint64) << np.uint64(48) | key)
+        return (joint >> np.uint64(48)).astype(np.int64), joint & _WORD, place, first
     order = np.argsort(key)
     # few buckets fit in two bytes, which are sorted faster
     small = bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket
@@ -146,7 +150,7 @@ class Pairs:
         self.hash = common.mix(mixed + words)
         bucket = _spread(mixed, _part(words, context, split), buckets)
         key = (mixed & _HALF) << np.uint64(BITS[1][1]) | self.hash >> np.uint64(64 - BITS[1][1])
-        self.bucket, self.key, self.place, self.first = _distinct(bucket, key)
+        self.bucket, self.key, self.place, self.first = _distinct(bucket, key, sum(BITS[1]))
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -170,43 +174,44 @@ def probabilities(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, np.exp2((1 - codes.astype(np.float64)) / 8), 0.0)
 
 
-def _sorted(values: np.ndarray) -> bytes:
-    return common.squeeze(common.pack_sorted(values), values.dtype.itemsize)
+def _sorted(values: np.ndarray, runs: list[tuple[int, int]]) -> list[bytes]:
+    """Runs of ascending values as differences."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    opens = [i for i, j in runs if i < j]
+    steps[opens] = values[opens]
+    return common.squeeze_runs(steps, values.dtype.itemsize, runs)
 
 
-def _unsorted(blob: bytes) -> np.ndarray:
-    return common.unpack_sorted(common.spread_out(blob, 8), np.uint64)
+def _unsorted(blobs: pd.Series) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The values of all runs, and where each run lies among them."""
+    steps, counts = common.spread_runs(blobs, 8, np.uint64)
+    lasts = np.cumsum(counts)
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(steps, dtype=np.uint64)))
+    values = sums[1:] - np.repeat(sums[lasts - counts], counts)
+    return values, list(zip((lasts - counts).tolist(), lasts.tolist()))
 
 
-def _packed(values: np.ndarray, width: int) -> bytes:
-    return common.squeeze(common.pack_planes(values, width), width)
+def _unpacked(blobs, width: int, kind) -> np.ndarray:
+    return common.spread_runs(blobs, width, kind)[0]
 
 
-def _unpacked(blob: bytes, width: int, kind) -> np.ndarray:
-    return common.unpack_planes(common.spread_out(blob, width), width, kind)
-
-
-def _planes(part: pd.DataFrame, name: str, width: int, kind) -> list[np.ndarray]:
-    return [_unpacked(x, width, kind) for x in part[name]]
-
-
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]):
-    distinct, _, where = _unique(np.concatenate(keys))
-    total = np.bincount(where, weights=np.concatenate(counts), minlength=len(distinct))
+def _summed(keys: np.ndarray, counts: np.ndarray):
+    distinct, _, where = _unique(keys)
+    total = np.bincount(where, weights=counts, minlength=len(distinct))
     return distinct, total.astype(np.int64), where
 
 
 def _counts_for(part: pd.DataFrame) -> pd.DataFrame:
     """Training counts of the words that each shard asks for, in one bucket; with them the
     training tokens and distinct words of the bucket."""
-    asked = [_unsorted(w) for w in part["words"]]
-    _, total, where = _summed(asked, _planes(part, "counts", PART_BYTES, np.uint32))
+    asked, runs = _unsorted(part["words"])
+    _, total, where = _summed(asked, _unpacked(part["counts"], PART_BYTES, np.uint32))
     tokens_, distinct = int(total.sum()), int((total > 0).sum())
-    rows, first = [], 0
-    for shard, bucket, own in zip(part["shard"], part["bucket"], asked):
-        body = _packed(total[where[first : first + len(own)]], COUNT_BYTES)
-        rows.append((shard, bucket, 0, body, b"", tokens_, distinct))
-        first += len(own)
+    bodies = common.squeeze_runs(total[where], COUNT_BYTES, runs)
+    rows = [
+        (shard, bucket, 0, body, b"", tokens_, distinct)
+        for shard, bucket, body in zip(part["shard"], part["bucket"], bodies)
+    ]
     return pd.DataFrame(rows, columns=_ANSWER)
 
 
@@ -217,21 +222,21 @@ def _trie_codes(keys: np.ndarray, bits: list[int], p: np.ndarray, asked: np.ndar
 
 
 def _filled(told: np.ndarray) -> np.ndarray:
-    """Each 0 replaced by the last value before it; what begins with 0 is in no training text."""
+    """Each 0 replaced by the last value before it; a context of 0 is in no training text, and
+    what is said of it of no account."""
     return told[np.maximum.accumulate(np.where(told > 0, np.arange(len(told)), 0))]
 
 
 def _codes_for(part: pd.DataFrame, step: int, mass: float, counted: bool) -> pd.DataFrame:
     """Codes of the pairs or triples that each shard asks for, from a trie of one bucket's;
     with them, if wanted, twice their training counts and one if a single shard has them."""
-    asked = [_unsorted(p) for p in part["keys"]]
-    keys, total, where = _summed(asked, _planes(part, "counts", PART_BYTES, np.uint32))
+    asked, runs = _unsorted(part["keys"])
+    keys, total, where = _summed(asked, _unpacked(part["counts"], PART_BYTES, np.uint32))
     # every shard that trains on one knows its context's count and the probability without the
     # first word; the others send 0 for the latter
     context, lower = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.uint8)
-    told = [_filled(c) for c in _planes(part, "contexts", COUNT_BYTES, np.int64)]
-    np.maximum.at(context, where, np.concatenate(told))
-    np.maximum.at(lower, where, np.concatenate(_planes(part, "lower", 1, np.uint8)))
+    np.maximum.at(context, where, _filled(_unpacked(part["contexts"], COUNT_BYTES, np.int64)))
+    np.maximum.at(lower, where, _unpacked(part["lower"], 1, np.uint8))
     trained = total > 0
     if step == 1:
         lower = (quantised(lower[trained]) + 0.1) / part["floor"].iloc[0]
@@ -240,13 +245,16 @@ def _codes_for(part: pd.DataFrame, step: int, mass: float, counted: bool) -> pd.
     p = (total[trained] + mass * lower) / (context[trained] + mass)
     codes = _trie_codes(keys[trained], BITS[step], p, keys)[where]
     # the lowest bit says that one shard alone has it
-    told = (total << 1 | (np.bincount(where, minlength=len(keys)) == 1))[where]
-    rows, first = [], 0
-    for shard, bucket, own in zip(part["shard"], part["bucket"], asked):
-        mine = slice(first, first + len(own))
-        count = _packed(told[mine], COUNT_BYTES) if counted else b""
-        rows.append((shard, bucket, step, _packed(codes[mine], 1), count, 0, 0))
-        first += len(own)
+    counts = [b""] * len(part)
+    if counted:
+        told = total << 1 | (np.bincount(where, minlength=len(keys)) == 1)
+        counts = common.squeeze_runs(told[where], COUNT_BYTES, runs)
+    rows = [
+        (shard, bucket, step, body, count, 0, 0)
+        for shard, bucket, body, count in zip(
+            part["shard"], part["bucket"], common.squeeze_runs(codes, 1, runs), counts
+        )
+    ]
     return pd.DataFrame(rows, columns=_ANSWER)
 
 
@@ -256,8 +264,7 @@ def _answers(
     """Answers to all that a shard asked, in its own order of buckets."""
     rows = part[part["step"] == step]
     body = dict(zip(rows["bucket"], rows[column]))
-    found = [_unpacked(body[b], width, kind) for b, _, _ in by_bucket(buckets)]
-    return np.concatenate(found) if found else np.zeros(0, dtype=kind)
+    return _unpacked([body[b] for b, _, _ in by_bucket(buckets)], width, kind)
 
 
 class Shard:
@@ -293,19 +300,16 @@ class Shard:
         told = np.where(new, context, 0)
         lower = np.where(seen > 0, lower, 0).astype(np.uint8)
         shard = self.part["shard"].iloc[0]
-        rows = [
-            (
-                shard,
-                b,
-                _sorted(key[i:j]),
-                _packed(seen[i:j], PART_BYTES),
-                _packed(told[i:j], COUNT_BYTES),
-                _packed(lower[i:j], 1),
-                self.floor,
-            )
-            for b, i, j in by_bucket(bucket)
-        ]
-        return pd.DataFrame(rows, columns=_ASKED)
+        found = by_bucket(bucket)
+        runs = [(i, j) for _, i, j in found]
+        sent = zip(
+            [b for b, _, _ in found],
+            _sorted(key, runs),
+            common.squeeze_runs(seen, PART_BYTES, runs),
+            common.squeeze_runs(told, COUNT_BYTES, runs),
+            common.squeeze_runs(lower, 1, runs),
+        )
+        return pd.DataFrame([(shard, *row, self.floor) for row in sent], columns=_ASKED)
 
     def ask_pairs(self) -> pd.DataFrame:
         p, at = self.pairs, self.pairs.first
@@ -318,61 +322,63 @@ class Shard:
         return np.maximum(kept[self.pairs.place], backed)
 
     def _triples(self, after: np.ndarray):
-        """Tokens with two before them in their text, and their distinct triples."""
+        """Tokens with two before them in their text; if their triple is not to be sent; the count
+        of its first pair, and the code of the token after the last one."""
         place = self.pairs.place
         told = _answers(self.answers, 1, self.pairs.bucket, COUNT_BYTES, np.int64, "count")
         total, alone = told >> 1, (told & 1) > 0
         at = np.ones(len(place), dtype=bool)
         at[self.starts] = False
         at = np.flatnonzero(at)
-        run = place[at - 1] * len(total) + place[at]
-        _, first, where = _unique(run)
-        seen = self._seen(where, len(first), self.trains[at])
-        first = at[first]
-        before, last = place[first - 1], place[first]
+        before, last = place[at - 1], place[at]
         # no other shard has a triple if none has one of its pairs, and none trains on it if none
         # trains on one of them
-        own = (alone | (total == 0))[before] | (alone | (total == 0))[last]
-        context, lower = total[before], probability_codes(np.minimum(after[first], 1.0))
-        return at, where, first, seen, own, context, lower
+        here = alone | (total == 0)
+        own = here[before] | here[last]
+        return at, own, total[before], probability_codes(np.minimum(after[at], 1.0))
 
-    def _keys(self, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and key of the triples that end at some tokens, whose contexts occur so often."""
+    def _keys(self, at: np.ndarray) -> np.ndarray:
+        """Keys of the triples that end at some tokens."""
         # a token's pair is the context of the next token's triple; by its last word first
-        context = self.pairs.hash[first - 1]
-        middle = common.mix(self.words[first - 1])
-        part = _part(context, self.count[first - 1], self.split)
-        within = _part(self.words[first], count, self.split)
-        bucket = _spread(common.mix(middle + part), within, self.buckets)
+        context = self.pairs.hash[at - 1]
+        middle = common.mix(self.words[at - 1])
         key = (middle & _HALF) << np.uint64(40) | (context >> np.uint64(48)) << np.uint64(24)
-        return bucket, key | common.mix(context + self.words[first]) >> np.uint64(40)
+        return key | common.mix(context + self.words[at]) >> np.uint64(40)
+
+    def _asked(self, at: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct triples that end at some tokens, whose contexts occur so often, by bucket."""
+        middle = common.mix(self.words[at - 1])
+        part = _part(self.pairs.hash[at - 1], self.count[at - 1], self.split)
+        within = _part(self.words[at], count, self.split)
+        bucket = _spread(common.mix(middle + part), within, self.buckets)
+        return _distinct(bucket, self._keys(at), sum(BITS[2]))
 
     def ask_triples(self) -> pd.DataFrame:
-        _, _, first, seen, own, context, lower = self._triples(self.after_one())
-        asked = np.flatnonzero(~own)
-        bucket, key, group = _distinct(*self._keys(first[asked], context[asked]))[:3]
-        n = len(key)
-        total = np.bincount(group, weights=seen[asked], minlength=n).astype(np.uint32)
-        some = np.zeros((2, n), dtype=np.int64)
-        some[0][group], some[1][group] = context[asked], lower[asked]
-        return self._rows(bucket, key, total, *some)
+        at, own, context, lower = self._triples(self.after_one())
+        at, context, lower = at[~own], context[~own], lower[~own]
+        bucket, key, group, first = self._asked(at, context)
+        seen = self._seen(group, len(key), self.trains[at])
+        return self._rows(bucket, key, seen, context[first], lower[first])
 
     def after_two(self) -> np.ndarray:
         """Probability of each token after the two before it, or the one if it is alone."""
         after = self.after_one()
-        at, where, first, seen, own, context, lower = self._triples(after)
-        codes = np.zeros(len(first), dtype=np.uint8)
-        bucket, key, group = _distinct(*self._keys(first[~own], context[~own]))[:3]
+        at, own, context, lower = self._triples(after)
+        codes = np.zeros(len(at), dtype=np.uint8)
+        bucket, _, group, _ = self._asked(at[~own], context[~own])
         codes[~own] = _answers(self.answers, 2, bucket, 1, np.uint8)[group]
         # the triples of this shard alone are in a trie of its own
-        mine = np.flatnonzero(own & (seen > 0))
-        _, key = self._keys(first[mine], context[mine])
-        order = np.argsort(key)
-        new = np.diff(key[order], prepend=~key[order[:1]]) != 0
-        p = (seen[mine] + self.mass * probabilities(lower[mine])) / (context[mine] + self.mass)
-        codes[mine] = _trie_codes(key[order][new], BITS[2], p[order][new], key)
-        backed = self.mass * after[at] / (context[where] + self.mass)
-        after[at] = np.maximum(probabilities(codes)[where], backed)
+        mine = np.flatnonzero(own)
+        key, first, group = _unique(self._keys(at[mine]))
+        seen = self._seen(group, len(key), self.trains[at[mine]])
+        known = np.flatnonzero(seen)
+        first = mine[first[known]]
+        p = (seen[known] + self.mass * probabilities(lower[first])) / (context[first] + self.mass)
+        found = np.zeros(len(key), dtype=np.uint8)
+        found[known] = _trie_codes(key[known], BITS[2], p, key[known])
+        codes[mine] = found[group]
+        backed = self.mass * after[at] / (context + self.mass)
+        after[at] = np.maximum(probabilities(codes), backed)
         return after
 
     def scores(self, order: int) -> pd.DataFrame:
@@ -401,10 +407,9 @@ def _ask_words(part: pd.DataFrame, buckets: int) -> pd.DataFrame:
     n = np.bincount(place, weights=trains, minlength=len(words)).astype(np.uint32)
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
     shard = part["shard"].iloc[0]
-    rows = [
-        (shard, b, _sorted(words[i:j]), _packed(n[i:j], PART_BYTES))
-        for b, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
-    ]
+    runs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    sent = zip(_sorted(words, runs), common.squeeze_runs(n, PART_BYTES, runs))
+    rows = [(shard, b, *row) for b, row in enumerate(sent)]
     return pd.DataFrame(rows, columns=["shard", "bucket", "words", "counts"])
 
 

@@ -91,6 +91,59 @@ def test_elias_fano():
             assert (coded.value(np.arange(n)) == values).all()
 
 
+def test_many_searches_select_all_zeros_at_once(monkeypatch):
+    """A search for as many values as a trie's level holds selects no zero by itself."""
+    rng = np.random.default_rng(7)
+    for n, universe in ((1, 1), (1000, 1 << 32), (1000, 1200)):
+        values = np.sort(rng.integers(0, universe, n))
+        coded = eliasfano.EliasFano.encode(values, universe)
+        asked = np.concatenate((values, rng.integers(0, universe, 500)))
+        one_by_one = [int(coded.find(asked[i : i + 1])[0]) for i in range(len(asked))]
+        with monkeypatch.context() as m:
+            m.setattr(eliasfano.EliasFano, "_select_zero", None)
+            assert coded.find(asked).tolist() == one_by_one
+
+
+def test_packed_runs():
+    """Runs come back as they were; planes of zeros take no bytes."""
+    rng = np.random.default_rng(8)
+    values = rng.integers(0, 1 << 20, 1000, dtype=np.uint64)
+    values[100:300] = 0
+    runs = [(0, 100), (100, 300), (300, 300), (300, 1000)]
+    blobs = common.squeeze_runs(values, 6, runs)
+    assert len(blobs[1]) == 4 * 7
+    got, counts = common.spread_runs(blobs, 6, np.uint64)
+    assert got.tolist() == values.tolist() and counts.tolist() == [j - i for i, j in runs]
+    assert [common.spread_out(b, 6) for b in blobs] == [common.pack_planes(values[i:j], 6) for i, j in runs]
+    assert len(common.squeeze(bytes(60), 6)) == 4 * 7 and common.spread_out(common.squeeze(bytes(60), 6), 6) == bytes(60)
+    ordered = np.concatenate([np.sort(values[i:j]) for i, j in runs])
+    got, places = ngram._unsorted(ngram._sorted(ordered, runs))
+    assert got.tolist() == ordered.tolist() and places == runs
+
+
+def test_word_hashes():
+    """Equal words have equal hashes wherever they stand, others do not."""
+    words = [b"", b"a", b"b", b"a\0", *(bytes([97 + i % 3]) * i for i in range(2, 200)), b"x" * 64 + b"y", b"x" * 65]
+    data, starts = common.pack([*words, *words[::-1]])
+    sizes = np.array([len(w) for w in [*words, *words[::-1]]])
+    found = common.word_hashes(data, starts, starts + sizes)
+    assert (found[: len(words)] == found[len(words) :][::-1]).all()
+    assert len(set(found.tolist())) == len(set(words))
+
+
+def test_own_triples_score_held_out_texts():
+    """A triple that only one shard has scores its held-out texts as well as the others."""
+    texts = [b"a b c", b"a b c", b"a b d"]
+    part = pd.DataFrame({"doc_id": range(3), "text": common.pressed(pd.Series([t.decode() for t in texts])), "trains": [True, False, True], "shard": 0})
+    answers = ngram._counts_for(ngram._ask_words(part, 1))
+    answers.insert(0, "n", 0)
+    shard = lambda: ngram.Shard(part, answers, 1, ngram.MASS, ngram.SPLIT)
+    answers = pd.concat([answers, ngram._codes_for(shard().ask_pairs(), 1, ngram.MASS, True)])
+    assert not len(shard().ask_triples())
+    found = shard().scores(3)
+    assert found["score"][0] == found["score"][1] and found["score"][0] == found["score"][2]
+
+
 @pytest.mark.parametrize("shard", [4_000_000, 9_000])
 def test_ngram_scores_equal_brute_force(docs, shard):
     found = ngram.score_documents(docs, doc_remainder("doc_id", 10) != 0, shard_bytes=shard)
