@@ -68,14 +68,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def _powers(factor: np.uint64, n: int) -> np.ndarray:
+    row = np.full(n, factor)
+    row[0] = 1
+    return np.multiply.accumulate(row)
+
+
 def step_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, for n positions at least."""
     if "up" not in _POWERS or len(_POWERS["up"]) < n:
         size = (n >> 18) + 1 << 18
         for key, factor in (("up", _STEP), ("down", _STEP_INVERSE)):
-            row = np.full(size, factor)
-            row[0] = 1
-            _POWERS[key] = np.multiply.accumulate(row)
+            low = _powers(factor, 1 << 12)
+            high = _powers((low[-1:] * factor)[0], size >> 12)
+            _POWERS[key] = np.multiply.outer(high, low).ravel()
     return _POWERS["up"], _POWERS["down"]
 
 

@@ -165,11 +165,12 @@ def _shared_rows(part: pd.DataFrame, crowd: int) -> pd.DataFrame:
     seeds, where = np.unique(np.concatenate(own), return_inverse=True)
     mark = np.concatenate([common.unpack_planes(m, MARK_BYTES, np.uint64) for m in part["marks"]])
     # the first of the shards that have the same stretch, and all that have several
-    order = np.lexsort((mark, where))
     sends = mark == 0
-    new = np.diff(where[order], prepend=-1) != 0
-    new[1:] |= mark[order][1:] != mark[order][:-1]
-    sends[order[new]] = True
+    marks, kind = np.unique(mark, return_inverse=True)
+    same, stretch = np.unique(where * len(marks) + kind, return_inverse=True)
+    first = np.full(len(same), len(mark))
+    np.minimum.at(first, stretch, np.arange(len(mark)))
+    sends[first] = True
     shards = np.bincount(where, minlength=len(seeds))
     many = np.concatenate([
         np.unpackbits(np.frombuffer(m, dtype=np.uint8), count=len(s))
@@ -222,7 +223,10 @@ def _pieces(
     bucket = (value >> np.uint64(20)) % np.uint64(buckets)
     bucket = bucket.astype(np.int64)
     bucket[: calm.sum()] = found.seed[calm] >> 32
-    order = np.lexsort((value, bucket))
+    # few buckets fit in two bytes, which are sorted faster
+    order = np.argsort(value)
+    small = bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket
+    order = order[np.argsort(small[order], kind="stable")]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (np.diff(bucket[order]) != 0) | (value[order][1:] != value[order][:-1])
     which = np.empty(len(order), dtype=np.int64)
@@ -257,11 +261,18 @@ def _grouped(data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, length: int):
     """Of one part: the distinct strings, their smallest ids, and the string at each place."""
     order = suffixes.suffix_array(data)
     prefix = suffixes.common_prefixes(data, order, length)
-    group = np.empty(len(data), dtype=np.int64)
+    group = np.empty(len(data), dtype=np.int32 if len(data) < 1 << 30 else np.int64)
     group[order] = np.cumsum(prefix < length)
     strings = sizes - length + 1
     at = _ranges(np.cumsum(sizes) - sizes, strings)
-    _, one, which = np.unique(group[at], return_index=True, return_inverse=True)
+    group = group[at]
+    # groups are numbered in order, so that those in use need no sorting
+    used = np.zeros(len(order) + 1, dtype=bool)
+    used[group] = True
+    number = np.cumsum(used) - 1
+    which = number[group]
+    one = np.empty(int(number[-1]) + 1, dtype=np.int64)
+    one[which] = np.arange(len(at))
     least = np.full(len(one), _LAST_ID)
     np.minimum.at(least, which, np.repeat(ids, strings))
     table = np.lib.stride_tricks.sliding_window_view(data, length)[at[one]]
@@ -325,7 +336,7 @@ def _covered(
 ) -> tuple[Stretches, np.ndarray]:
     """The shard and which of its bytes are covered."""
     found = find_stretches(blobs, length, buckets)
-    cover = np.zeros(len(found.data) + 1, dtype=np.int32)
+    covered = np.zeros(len(found.data), dtype=bool)
     p = _pieces(found, ids, answers[answers["step"] == 0], length, buckets)
     if len(p.first):
         second = answers[answers["step"] == 1]
@@ -338,22 +349,31 @@ def _covered(
         starts = np.cumsum(strings) - strings
         hit = bits[_ranges(starts[p.which], p.count)]
         hit |= np.repeat(ids[p.row] > p.least[p.which], p.count)
-        at = _ranges(p.first, p.count)[hit]
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + length, -1)
-    return found, np.cumsum(cover)[:-1] > 0
+        covered[_ranges(p.first, p.count)[hit]] = True
+    # a byte is covered if one of the last strings that start at it or before it is
+    strings = np.cumsum(covered, dtype=np.int32)
+    before = np.concatenate((np.zeros(min(length, len(strings)), dtype=np.int32), strings[:-length]))
+    return found, strings > before
 
 
 def _result_rows(
     part: pd.DataFrame, answers: pd.DataFrame, length: int, buckets: int
 ) -> pd.DataFrame:
     found, covered = _covered(_blobs(part), _ids(part), answers, length, buckets)
-    rows = []
-    for start, size in zip(found.offsets.tolist(), found.sizes.tolist()):
-        hit = covered[start : start + size]
-        edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
-        kept = found.data[start : start + size][~hit].tobytes()
-        rows.append((size, edges[0::2], edges[1::2], kept))
+    # the joints between texts are never covered, so no run goes beyond its text
+    edges = np.flatnonzero(np.diff(covered.view(np.int8), prepend=0, append=0))
+    firsts, lasts = edges[0::2], edges[1::2]
+    body = memoryview(found.data[~covered].tobytes())
+    removed = np.concatenate(([0], np.cumsum(lasts - firsts)))
+    ends = found.offsets + found.sizes
+    spans = np.searchsorted(firsts, np.stack((found.offsets, ends)))
+    kept = np.stack((found.offsets, ends)) - removed[spans]
+    rows = [
+        (size, firsts[i:j] - start, lasts[i:j] - start, bytes(body[a:b]))
+        for size, start, i, j, a, b in zip(
+            found.sizes.tolist(), found.offsets.tolist(), *spans.tolist(), *kept.tolist()
+        )
+    ]
     out = pd.DataFrame(rows, columns=["n_bytes", "starts", "ends", "kept"])
     out.insert(0, "doc_id", part["doc_id"].to_numpy())
     return out

@@ -5,86 +5,101 @@ from __future__ import annotations
 import numpy as np
 
 
+def _eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position and the end on, read from the bytes themselves."""
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+
+
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on, little-endian, zeros beyond the end."""
-    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
-    return np.ndarray((len(data),), "<u8", buffer=padded, strides=(1,)).astype(np.uint64)
+    return _eight(data)[:-1].astype(np.uint64)
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """All suffixes in order, a suffix before those that go on after it.
 
     Larsson-Sadakane refinement: ranks by eight bytes first; each round doubles the prefix
-    by the rank that far ahead, and sorts only the groups that are still tied.
+    by the rank that far ahead, and sorts only the groups that are still tied. Up to two million
+    bytes, a suffix fits into one value with both its ranks, and values are sorted in place.
     """
     n = len(data)
     first = words_at(data).byteswap()
     order = np.argsort(first)
-    # rank: place of the first suffix of the group; ranks of four bytes are read faster
-    rank = np.empty(n, dtype=np.int32 if n < 1 << 30 else np.int64)
+    # rank: one and the place of the first suffix of the group, 0 for the empty one at the end;
+    # ranks of four bytes are read faster
+    rank = np.zeros(n + 1, dtype=np.int32 if n < 1 << 30 else np.int64)
     ordered = first[order]
     opens = np.ones(n, dtype=bool)
     opens[1:] = ordered[1:] != ordered[:-1]
     starts = np.flatnonzero(opens)
     sizes = np.diff(starts, append=n)
-    rank[order] = np.repeat(starts, sizes)
-    known = 8
+    rank[order] = np.repeat(starts + 1, sizes)
+    known, bits = 8, n.bit_length()
     while known < n:
         # places of the groups with more than one member
         tied = sizes > 1
-        places = np.repeat(starts[tied] - np.cumsum(sizes[tied]) + sizes[tied], sizes[tied])
+        starts, sizes = starts[tied], sizes[tied]
+        places = np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
         places += np.arange(len(places))
         if not len(places):
             break
         members = order[places]
-        ahead = members + known
-        key = rank[members].astype(np.int64) * (n + 1)
-        key += np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        inner = np.argsort(key)
-        members, key = members[inner], key[inner]
+        following = rank[np.minimum(members + known, n)].astype(np.uint64)
+        own = np.repeat(starts.astype(np.uint64) << np.uint64(bits), sizes)
+        members, key = _by_ranks(members, own | following, bits)
         order[places] = members
         opens = np.ones(len(key), dtype=bool)
         opens[1:] = key[1:] != key[:-1]
         starts = places[opens]
         sizes = np.diff(np.flatnonzero(opens), append=len(places))
-        rank[members] = np.repeat(starts, sizes)
+        rank[members] = np.repeat(starts + 1, sizes)
         known *= 2
     return order
 
 
+def _by_ranks(members: np.ndarray, key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members in order of a key of two ranks, and their keys."""
+    if 3 * bits > 64:
+        inner = np.argsort(key)
+        return members[inner], key[inner]
+    key <<= np.uint64(bits)
+    key |= members.astype(np.uint64)
+    key.sort()
+    return (key & np.uint64((1 << bits) - 1)).astype(members.dtype), key >> np.uint64(bits)
+
+
 def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int = 64) -> np.ndarray:
     """Common prefix of each suffix with the one before it in order, up to `most` or a bit over.
 
     Kasai's rule: a suffix shares at least one byte less with its neighbour than the suffix
-    one byte longer did with its own. The text is cut into lanes that advance together.
+    one byte longer did with its own. The text is cut into lanes that advance together; what
+    they read and write in one step lies together.
     """
     n = len(data)
-    words = words_at(data)
-    before = np.full(n, -1, dtype=np.int64)
-    before[order[1:]] = order[:-1]
-    shared = np.zeros(n, dtype=np.int64)
+    words = _eight(data)
     heads = np.arange(0, n, lane)
+    small = np.int32 if n < 1 << 30 else np.int64
+    before = np.full(len(heads) * lane, -1, dtype=small)
+    before[order[1:]] = order[:-1]
+    before = np.ascontiguousarray(before.reshape(-1, lane).T)
+    shared = np.zeros((lane, len(heads)), dtype=small)
     length = np.zeros(len(heads), dtype=np.int64)
     for step in range(min(lane, n)):
-        at = heads + step
-        live = at < n
-        if not live.all():
-            heads, length, at = heads[live], length[live], at[live]
-        other = before[at]
+        at, other = heads + step, before[step]
+        # places beyond the end have nothing before them
         length = np.where(other < 0, 0, np.maximum(length - 1, 0))
         going = np.flatnonzero((other >= 0) & (length < most))
         while len(going):
             p, q = at[going] + length[going], other[going] + length[going]
-            inside = np.maximum(p, q) < n
-            going, p, q = going[inside], p[inside], q[inside]
             differ = words[p] ^ words[q]
-            lowest = differ & (~differ + np.uint64(1))
-            same = np.where(differ == 0, 64, np.bitwise_count(lowest - np.uint64(1))) >> 3
+            # the bits below the lowest one that differs
+            same = np.bitwise_count((differ - np.uint64(1)) & ~differ) >> 3
             room = n - np.maximum(p, q)
             length[going] += np.minimum(same, room)
             going = going[(same == 8) & (room > 8) & (length[going] < most)]
-        shared[at] = length
-    return shared[order]
+        shared[step] = length
+    return shared.T.ravel()[order]
 
 
 def merge_least(shards: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:

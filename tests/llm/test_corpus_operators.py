@@ -42,6 +42,31 @@ def test_suffix_array_and_prefixes():
             assert min(shared[i], 50) == min(want, 50)
 
 
+def test_suffix_array_sorts_values_in_place(monkeypatch):
+    """Ties are sorted by one value of a suffix and its ranks where that fits, and as pairs of an
+    order and a key beyond it."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    data[1500:] = data[:1500]
+    text = data.tobytes()
+    want = sorted(range(3000), key=lambda i: text[i:])
+    argsort, sizes = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda x, **more: sizes.append(len(x)) or argsort(x, **more))
+    assert suffixes.suffix_array(data).tolist() == want and sizes == [3000]
+    by_ranks = suffixes._by_ranks
+    # 22 bits a rank do not fit three times
+    keys = lambda members, key, bits: by_ranks(members, (key >> np.uint64(bits) << np.uint64(22)) | key & np.uint64((1 << bits) - 1), 22)
+    monkeypatch.setattr(suffixes, "_by_ranks", keys)
+    assert suffixes.suffix_array(data).tolist() == want and len(sizes) > 3
+
+
+def test_powers_of_the_rolling_sums():
+    common._POWERS.clear()
+    up, down = common.step_powers(300_000)
+    assert len(up) >= 300_000 and up[0] == down[0] == 1
+    assert (up[1:] == up[:-1] * common._STEP).all() and (up * down == 1).all()
+
+
 def test_merge_least():
     shards = [(np.array(a, dtype="S2"), np.array(n)) for a, n in ((["aa", "bb"], [5, 2]), (["bb", "cc"], [1, 9]), (["aa"], [7]))]
     assert [x.tolist() for x in suffixes.merge_least(shards)] == [[5, 1], [1, 9], [5]]
