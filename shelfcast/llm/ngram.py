@@ -29,7 +29,8 @@ of its own.
 Words are told apart by 48 bits in their bucket, within a shard by 64. Pairs have 16 bits of the context and 32 bits of a hash of
 the pair, so that one is taken for another of its context's SPLIT in a bucket at most once in
 2^17 cases. Triples have 16 bits of the middle word, 16 of a hash of the first pair, and 24 of
-one of all three: at most once in 2^25 cases, within a shard as well.
+one of all three, within a shard as well: one is taken for another of the k of its first pair in
+a bucket in k of 2^24 cases.
 NULL texts are empty: their one token is the end. Texts whose training flag is NULL do not
 train. Without training texts every probability is one.
 """
