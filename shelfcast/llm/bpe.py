@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from shelfcast.llm import common
 from shelfcast.llm.storage import share
 
-# stretches kept with their tokens; beyond it the store is emptied and filled again
-KEPT_STRETCHES = 400_000
+# stretches kept with their tokens; beyond it only those of the texts at hand stay
+KEPT_STRETCHES = 100_000
 # characters looked at together
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -116,10 +117,10 @@ class PairIndex:
         order = np.argsort(ranks, kind="stable")
         at, ranks = at[order], ranks[order]
         cuts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        #: rank -> its positions
-        self.places: dict[int, list] = {
-            r: [p] for r, p in zip(ranks[cuts].tolist(), np.split(at, cuts[1:]) if len(at) else [])
-        }
+        #: rank -> its positions, ascending
+        self.places: dict[int, np.ndarray] = dict(
+            zip(ranks[cuts].tolist(), np.split(at, cuts[1:]) if len(at) else [])
+        )
         self.opened: dict[int, list[int]] = {}
         self.active = sorted(self.places)
 
@@ -128,10 +129,10 @@ class PairIndex:
         table, symbol, right = self.table, self.symbol, self.right
         while self.active:
             rank = heapq.heappop(self.active)
-            parts = self.places.pop(rank, [])
+            at = self.places.pop(rank, None)
             if rank in self.opened:
-                parts.append(np.array(self.opened.pop(rank)))
-            at = np.unique(np.concatenate(parts)) if len(parts) > 1 else np.unique(parts[0])
+                more = np.array(self.opened.pop(rank))
+                at = np.unique(more if at is None else np.concatenate((at, more)))
             after = right[at]
             stands = (symbol[at] == table.first[rank]) & (after >= 0)
             at, after = at[stands], after[stands]
@@ -221,15 +222,19 @@ class Encoder:
             if part in self.special:
                 out.append("\0" + part)
             elif part:
-                # sigma: no special form at the end of a word
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+                plain = part
+                if not part.isascii():
+                    # sigma: no special form at the end of a word
+                    plain = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                plain = plain.lower()
                 out += self.pieces(plain)
         return out
 
     def _learn(self, stretches: set[str]) -> None:
         if len(self.ids) > KEPT_STRETCHES:
-            self.ids.clear()
-            self.tokens.clear()
+            again = [s for s in stretches if s in self.ids]
+            self.ids = {s: self.ids[s] for s in again}
+            self.tokens = {s: self.tokens[s] for s in again}
         new = [s for s in stretches if s not in self.ids]
         if not new:
             return
@@ -266,13 +271,9 @@ class Encoder:
     def encoded(self, texts: list[str | None]) -> Iterator[tuple[str, int, str]]:
         """(ids joined by a space, their number, the decoded text) of each text."""
         for first, last in common.slices([len(t or "") for t in texts], CHUNK_CHARS):
-            seen: set[str] = set()
-            for t in texts[first:last]:
-                if t:
-                    seen.update(stretches(t))
-            self._learn(seen)
-            for t in texts[first:last]:
-                parts = stretches(t) if t else []
+            cut = [stretches(t) if t else [] for t in texts[first:last]]
+            self._learn(set().union(*cut))
+            for parts in cut:
                 # every character of a stretch is in some piece, so none has no tokens
                 ids = " ".join(map(self.ids.__getitem__, parts))
                 tokens = " ".join(map(self.tokens.__getitem__, parts))
@@ -289,12 +290,12 @@ def stretches(text: str) -> list[str]:
 def _per_text(spark: SparkSession, model: BpeModel, kind: str, row: Callable) -> Callable:
     shared = share(spark, model)
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(pickle.loads(shared.value))
         for texts in batches:
-            rows = [row(*x) for x in encoder.encoded(list(texts))]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
+            parts = common.text_parts(texts, CHUNK_CHARS)
+            yield common.struct_array(kind, ([row(*x) for x in encoder.encoded(p)] for p in parts))
 
     return run
 

@@ -8,9 +8,13 @@ the result; only the named columns are read, so other columns never clash.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +35,15 @@ _STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 _VALUES = np.random.default_rng(20240613).integers(0, 1 << 64, 256, dtype=np.uint64)
 
+# Arrow types of the columns that functions over texts give
+_ARROW = {
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()),
+}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -239,6 +252,25 @@ def slices(sizes: list[int], limit: int) -> list[tuple[int, int]]:
     return out
 
 
+def text_parts(texts: pa.Array, limit: int) -> Iterator[list[str | None]]:
+    """The texts in consecutive parts of `limit` bytes or one text. A batch of Spark's holds a
+    number of rows, however long; only a part of it is turned into Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for first, last in slices(sizes, limit):
+        yield texts[first:last].to_pylist()
+
+
+def struct_array(kind: str, parts: Iterable[list[Sequence]]) -> pa.Array:
+    """All rows of the parts as one array of structs; `kind` has the columns as in DDL."""
+    names, types = zip(*(column.split() for column in kind.split(", ")))
+    out = []
+    for rows in chain([[]], parts):
+        columns = zip(*rows) if rows else [()] * len(names)
+        arrays = [pa.array(c, _ARROW[t]) for c, t in zip(columns, types)]
+        out.append(pa.StructArray.from_arrays(arrays, names))
+    return pa.concat_arrays(out)
+
+
 def text_bytes(texts) -> list[bytes]:
     return [t.encode() if t is not None and t == t else b"" for t in texts]
 

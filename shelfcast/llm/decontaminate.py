@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -259,19 +259,17 @@ class Benchmark:
 def _per_text(benchmark: Benchmark, kind: str, row: Callable) -> Callable:
     shared, numbers = benchmark.shared, benchmark.first
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in kind.split(", ")]
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         items = [ids for s in shared for ids in pickle.loads(s.value).items]
+
+        def searched(part: list[str | None]) -> list[tuple]:
+            blobs = common.text_bytes(part)
+            hits = search_shard(blobs, zip(numbers, (pickle.loads(s.value) for s in shared)))
+            return [row(b, hits, *found) for b, found in zip(blobs, text_hits(hits, items))]
+
         for texts in batches:
-            blobs = common.text_bytes(texts)
-            rows = []
-            for first, last in common.slices([len(b) for b in blobs], SHARD):
-                part = blobs[first:last]
-                hits = search_shard(part, zip(numbers, (pickle.loads(s.value) for s in shared)))
-                for blob, found in zip(part, text_hits(hits, items)):
-                    rows.append(row(blob, hits, *found))
-            yield pd.DataFrame(rows, columns=names)
+            yield common.struct_array(kind, map(searched, common.text_parts(texts, SHARD)))
 
     return run
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -262,6 +264,42 @@ def test_texts_longer_than_a_part(monkeypatch):
     assert any(hit for _, hit, _ in whole[2])
 
 
+def _peak_mb(work) -> float:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_worker_is_that_of_a_part():
+    """Scoring and encoding hold a few megabytes beside the texts, however many there are."""
+    rng = np.random.default_rng(4)
+    letters = rng.integers(97, 123, (300_000, 10)).astype(np.uint8)
+    letters[:, -1] = 32
+    texts = [row.tobytes().decode() for row in letters.reshape(1000, -1)]
+    gram, n = np.unique(langid.four_bytes(letters.ravel()[:60_000]), return_counts=True)
+    counts = [pd.DataFrame({"lang": lang, "gram": gram[i::4], "n": n[i::4]}) for i, lang in enumerate("abcd")]
+    scorer = langid.Scorer(langid.fit(pd.concat(counts)))
+    blobs = [t.encode() for t in texts]
+    assert _peak_mb(lambda: scorer.bits(blobs)) < 40
+    encoder = bpe.Encoder(bpe.BpeModel.from_file(tokenizer_path()))
+    assert _peak_mb(lambda: sum(n for _, n, _ in encoder.encoded(texts))) < 200
+
+
+def test_text_parts():
+    texts = ["abc", None, "", "é" * 3, "x" * 20, None, "yy", "z"]
+    parts = list(common.text_parts(pa.array(texts), 9))
+    assert parts == [["abc", None, "", "é" * 3], ["x" * 20], [None, "yy", "z"]]
+    assert list(common.text_parts(pa.array(texts)[5:6], 9)) == [[None]]
+    assert list(common.text_parts(pa.array([], pa.string()), 9)) == []
+    kind = "n long, words array<string>"
+    rows = [[(1, ["a", "b"]), (2, [])], [], [(None, None)]]
+    assert common.struct_array(kind, rows).to_pylist() == [{"n": n, "words": w} for part in rows for n, w in part]
+    assert len(common.struct_array(kind, [])) == 0
+
+
 SECRET_TEXTS = [
     "password = 'hunter22xyz' Token:abcdefgh api_KEY=short secret: \"A.b/c+d=e_f-g\"",
     "passwordpassword=longenough1 tokentoken = tokentoken",
